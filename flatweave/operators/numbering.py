@@ -20,9 +20,8 @@ from flatweave.schemas import PLACE
 
 HOT_GROUP_ROWS = 1_000_000
 ROWS_PER_TASK = 2_000_000
-MOST_HOT_GROUPS = 100_000
 
-_HASH, _SPREAD, _TIE, _BITS, _CUT, _SLOT, _SLOTS, _BEFORE = (
+_HASH, _SPREAD, _TIE, _BITS, _CUT, _SLOT, _SLOTS, _GROUP, _ROWS, _BEFORE = (
     "__hash",
     "__spread",
     "__tie",
@@ -30,33 +29,30 @@ _HASH, _SPREAD, _TIE, _BITS, _CUT, _SLOT, _SLOTS, _BEFORE = (
     "__cut",
     "__slot",
     "__slots",
+    "__group",
+    "__rows",
     "__before",
 )
 
 
-def _group_hash(keys: list[Column]) -> Column:
-    """Hash of a group's keys; NULL if a key is NULL (such rows get no number)."""
+def _group_hash(group: list[Column]) -> Column:
+    """Hash of a row's group; NULL if a key is NULL (such rows get no number)."""
     complete = F.lit(True)
-    for key in keys:
+    for key in group:
         complete = complete & key.isNotNull()
-    return F.when(complete, F.xxhash64(*keys))
+    return F.when(complete, F.xxhash64(*group))
 
 
-def hot_groups(df: DataFrame, keys: list[Column], scope: list[str], hot_rows: int) -> DataFrame:
-    """Groups too large for one task, with the number of leading bits to cut by.
+def hot_groups(df: DataFrame, group: list[Column], hot_rows: int) -> DataFrame:
+    """Hashes of groups too large for one task, with the leading bits to cut them by.
 
-    Reads the key columns only and pre-aggregates before its shuffle.  A group is
-    hot above ``hot_rows`` and above 1/100,000 of all rows, so there are never more
-    than 100,000 of them, whatever the input size: safe to broadcast.
+    Reads the key columns only and pre-aggregates before its shuffle.  At most one
+    group per ``hot_rows`` rows is hot: 100,000 of 16 bytes in 10^11 rows, so the
+    result may be broadcast.  Two groups with one hash are cut alike, no more.
     """
-    hashes = df.select(*scope, _group_hash(keys).alias(_HASH)).where(F.col(_HASH).isNotNull())
-    sizes = hashes.groupBy(*scope, _HASH).agg(F.count("*").alias("__rows"))
-    large = sizes.where(F.col("__rows") > hot_rows)
-    total = large.agg(F.sum("__rows")).scalar()
-    limit = F.greatest(F.lit(hot_rows), F.ceil(total / MOST_HOT_GROUPS))
-    return large.where(F.col("__rows") > limit).select(
-        *scope, _HASH, F.ceil(F.log2(F.col("__rows") / limit)).cast("int").alias(_BITS)
-    )
+    sizes = df.select(_group_hash(group).alias(_HASH)).where(F.col(_HASH).isNotNull())
+    sizes = sizes.groupBy(_HASH).agg(F.count("*").alias(_ROWS)).where(F.col(_ROWS) > hot_rows)
+    return sizes.select(_HASH, F.ceil(F.log2(F.col(_ROWS) / hot_rows)).cast("int").alias(_BITS))
 
 
 def _cut() -> Column:
@@ -85,42 +81,40 @@ def number_rows(
     hence the numbers, repeatable.  A row with a NULL key gets a NULL number.
     """
     scope = list(scope)
-    names = [f"__key{i}" for i in range(len(keys))]
-    hot = hot_groups(df, keys, scope, hot_rows)
+    group = [*map(F.col, scope), *keys]
+    hot = hot_groups(df, group, hot_rows)
 
-    # One row per shard directory, which the driver lists anyway to plan the scan.
+    # One row per shard directory; the driver lists those anyway to plan the scan.
     slots = df.groupBy(*scope).agg(F.ceil(F.count("*") / rows_per_task).alias(_SLOTS))
 
     placed = (
-        df.withColumns({_HASH: _group_hash(keys), _SPREAD: spread(position), _TIE: F.xxhash64(position)})
-        .join(F.broadcast(hot), [*scope, _HASH], "left")
+        df.join(F.broadcast(slots), scope, "left")
+        .withColumns({_HASH: _group_hash(group), _SPREAD: spread(position), _TIE: F.xxhash64(position)})
+        .join(F.broadcast(hot), _HASH, "left")
         .withColumn(_CUT, _cut())
-        .drop(_BITS)
-        .join(F.broadcast(slots), scope, "left")
         .withColumn(_SLOT, F.pmod(F.xxhash64(_HASH, _CUT), F.coalesce(_SLOTS, F.lit(1))))
-        .drop(_SLOTS)
+        .drop(_BITS, _SLOTS)
         .repartition(*scope, _SLOT)
-        .withColumns(dict(zip(names, keys)))
+        .withColumn(_GROUP, F.struct(*group))
     )
     # The window's keys include the shuffle's, so it sorts without a second shuffle.
     # The group hash and range come first: comparing two longs settles most rows.
-    group = Window.partitionBy(*scope, _SLOT, _HASH, _CUT, *names)
-    numbered = placed.withColumn(output, F.row_number().over(group.orderBy(_SPREAD, _TIE)))
+    window = Window.partitionBy(*scope, _SLOT, _HASH, _CUT, _GROUP).orderBy(_SPREAD, _TIE)
+    numbered = placed.withColumn(output, F.row_number().over(window))
 
-    # Sizes of the ranges of hot groups: at most 2 rows per hot_rows rows read.
+    # Sizes of the ranges of hot groups: at most 2 ranges per hot_rows rows.
     ranges = (
-        df.select(*scope, _group_hash(keys).alias(_HASH), spread(position).alias(_SPREAD),
-                  *[key.alias(name) for key, name in zip(keys, names)])
-        .join(F.broadcast(hot), [*scope, _HASH])
-        .groupBy(*scope, _HASH, *names, _cut().alias(_CUT))
-        .agg(F.count("*").alias("__rows"))
+        df.select(_group_hash(group).alias(_HASH), spread(position).alias(_SPREAD), F.struct(*group).alias(_GROUP))
+        .join(F.broadcast(hot), _HASH)
+        .groupBy(_HASH, _GROUP, _cut().alias(_CUT))
+        .agg(F.count("*").alias(_ROWS))
     )
-    earlier = Window.partitionBy(*scope, _HASH, *names).orderBy(_CUT).rowsBetween(Window.unboundedPreceding, -1)
-    before = ranges.select(*scope, _HASH, *names, _CUT, F.sum("__rows").over(earlier).alias(_BEFORE))
+    earlier = Window.partitionBy(_HASH, _GROUP).orderBy(_CUT).rowsBetween(Window.unboundedPreceding, -1)
+    before = ranges.select(_HASH, _GROUP, _CUT, F.sum(_ROWS).over(earlier).alias(_BEFORE))
 
     number = F.when(F.col(_HASH).isNotNull(), F.col(output) + F.coalesce(F.col(_BEFORE), F.lit(0)))
     return (
-        numbered.join(F.broadcast(before), [*scope, _HASH, *names, _CUT], "left")
+        numbered.join(F.broadcast(before), [_HASH, _GROUP, _CUT], "left")
         .withColumn(output, number)
         .select(*df.columns, output)
     )

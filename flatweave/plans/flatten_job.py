@@ -27,7 +27,8 @@ def keyed_source(
     **numbering,
 ) -> DataFrame:
     """Rows of a source with their key and only the columns the tables read."""
-    rows = read_source(spark, root, source, between=between, extra=extra)
+    by_scan = position == "row_position"
+    rows = read_source(spark, root, source, between=between, extra=extra, position=by_scan)
     if shards is not None:
         # The pairs name directories of the source, whose listing the driver holds
         # anyway; the range filter above already keeps the scan to their days.
@@ -57,7 +58,7 @@ def flatten_work(
     made from the stage without another shuffle.  Shards that do not exist, and
     same-day shards with a daily export, are skipped.
     """
-    work, work_path = stage(work.coalesce(1), "work")
+    work, work_path = stage(work.coalesce(1), "work", spark=spark)
     daily = list_shards(spark, source_root, "events")
     for source in schemas.SOURCE_SCHEMAS:
         todo = with_source(work.where(F.col("source") == source), list_shards(spark, source_root, source))

@@ -39,5 +39,19 @@ def day_count_differences(left: DataFrame, right: DataFrame, day: str = "event_d
 
 def repeated_keys(flat: DataFrame, key: str = "event_id") -> DataFrame:
     """Keys that more than one row of a shard carries; NULL keys are not counted."""
-    counted = flat.where(F.col(key).isNotNull()).groupBy("dataset", "shard", key).agg(F.count("*").alias("nrow"))
-    return counted.where("nrow > 1")
+    return _rows_per_key(flat, key).where(F.col(key).isNotNull() & (F.col("nrow") > 1))
+
+
+def key_summary(flat: DataFrame, key: str = "event_id") -> DataFrame:
+    """Per shard: rows, rows without a key, distinct keys and keys that repeat."""
+    has_key = F.col(key).isNotNull()
+    return _rows_per_key(flat, key).groupBy("dataset", "shard").agg(
+        F.sum("nrow").alias("rows"),
+        F.coalesce(F.sum(F.when(~has_key, F.col("nrow"))), F.lit(0)).alias("without_key"),
+        F.count_if(has_key).alias("keys"),
+        F.count_if(has_key & (F.col("nrow") > 1)).alias("repeated_keys"),
+    )
+
+
+def _rows_per_key(flat: DataFrame, key: str) -> DataFrame:
+    return flat.groupBy("dataset", "shard", key).agg(F.count("*").alias("nrow"))

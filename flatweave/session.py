@@ -31,13 +31,16 @@ def new_stage_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/flatweave/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
+def stage(
+    df: DataFrame, name: str, partition_by: tuple[str, ...] = (), spark: SparkSession | None = None
+) -> tuple[DataFrame, str]:
     """Write a DataFrame to the shared folder once and read it back.
 
     The written table cuts the lineage: a lost executor re-reads files instead of
-    recomputing the plan, and every reader sees the same rows.
+    recomputing the plan, and every reader sees the same rows.  ``spark`` reads it
+    back, by default the session of ``df``.
     """
-    spark = df.sparkSession
+    spark = spark or df.sparkSession
     path = new_stage_path(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path

@@ -73,7 +73,8 @@ def replace_shards(rows: DataFrame, root: str, layout: str, table: str, shards:
     known = path_exists(spark, path)
     if known:
         # A dynamic overwrite leaves partitions without new rows alone: find them first.
-        held = read_flat(spark, root, layout, table).select(*by).join(shards, list(PLACE), "left_semi").distinct()
+        flat = read_flat(spark, root, layout, table)
+        held = flat.select(*by).join(shards, list(PLACE), "left_semi").select(*by).distinct()
         same = [held[name].eqNullSafe(F.col(f"new.{name}")) for name in by]
         condition = same[0]
         for part in same[1:]:

@@ -25,12 +25,14 @@ def read_source(
     datasets: Iterable[str] | None = None,
     schema: T.StructType | None = None,
     extra: Iterable[T.StructField] = (),
+    position: bool = True,
 ) -> DataFrame:
     """Scan one source: a single shard, an inclusive range of shards, or all.
 
     The filters are on the directory columns, so only matching files are listed
     and read.  The declared schema fills columns an old shard lacks with NULL.
-    ``row_position`` (file name and row number in it) identifies a source row.
+    ``row_position`` (file name and row number in it) identifies a source row; leave
+    it out with ``position=False`` where no key is generated.
     """
     fields = (schema or SOURCE_SCHEMAS[source]).fields
     declared = T.StructType([*fields, *extra, *PLACE_FIELDS])
@@ -41,8 +43,10 @@ def read_source(
         rows = rows.where(F.col("shard").between(*between))
     if datasets is not None:
         rows = rows.where(F.col("dataset").isin(*datasets))
-    position = F.concat_ws("#", "_metadata.file_name", "_metadata.row_index")
-    return rows.select("*", position.alias("row_position"))
+    if not position:
+        return rows
+    row_position = F.concat_ws("#", "_metadata.file_name", "_metadata.row_index")
+    return rows.select("*", row_position.alias("row_position"))
 
 
 def list_shards(spark: SparkSession, root: str, source: str) -> DataFrame:

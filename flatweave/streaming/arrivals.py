@@ -34,10 +34,12 @@ def flatten_on_arrival(
     recomputed whole and replaced, so a repeated or replayed message is harmless.
     Messages that name no known table are ignored.
     """
+    # A stream's own session plans without adaptive execution; the job needs it.
+    spark = messages.sparkSession
 
     def flatten_batch(batch: DataFrame, _batch_id: int) -> None:
         arrivals = parse_arrivals(decode_messages(batch)).where("valid")
-        flatten_work(batch.sparkSession, route(arrivals, control), source_root, out_root, **job)
+        flatten_work(spark, route(arrivals, control), source_root, out_root, **job)
 
     return (
         messages.writeStream.foreachBatch(flatten_batch)

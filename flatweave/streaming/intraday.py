@@ -61,7 +61,15 @@ def create_views(
 
     The views are plans, not copies: they read the shard's files when queried.
     """
-    rows = read_source(spark, source_root, SOURCE, shard=shard, datasets=[dataset], extra=extra)
+    rows = read_source(
+        spark,
+        source_root,
+        SOURCE,
+        shard=shard,
+        datasets=[dataset],
+        extra=extra,
+        position=position == "row_position",
+    )
     keyed_name = keyed_view_name(dataset, shard)
     with_event_id(rows, intraday_view=True, position=position, **numbering).createOrReplaceTempView(keyed_name)
     names = [keyed_name]
@@ -97,11 +105,12 @@ def manage_views(
     """Start a stream that keeps the views in step with creations and deletions.
 
     Datasets outside the control table are ignored; ``intraday_views`` decides
-    whether a creation makes views, a deletion always drops them.
+    whether a creation makes views, a deletion always drops them.  The views belong
+    to the session of ``messages``.
     """
+    spark = messages.sparkSession
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        spark = batch.sparkSession
         wanted = (
             latest_actions(decode_messages(batch))
             .join(control, "dataset")
@@ -160,7 +169,7 @@ def refresh_intraday(
 
     def refresh(batch: DataFrame, _batch_id: int) -> None:
         arrivals = batch.distinct().withColumn("source", F.lit(SOURCE))
-        flatten_work(batch.sparkSession, route(arrivals, control), source_root, out_root, **job)
+        flatten_work(spark, route(arrivals, control), source_root, out_root, **job)
 
     return (
         touched.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(**trigger).start()

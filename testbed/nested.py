@@ -328,7 +328,7 @@ def nested_pseudo_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nested_intraday(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events again as same-day tables, each a day ahead of its daily table."""
     ahead = F.date_format(F.date_add(F.to_date("shard", "yyyyMMdd"), 1), "yyyyMMdd")
-    rows = read_nested(spark, sf_dir, "events").drop("row_position")
+    rows = read_nested(spark, sf_dir, "events")
     return rows.withColumns({"event_date": ahead, "shard": ahead})
 
 
@@ -360,4 +360,4 @@ def nested_root(spark: SparkSession, sf_dir: str, *sources: str) -> str:
 
 def read_nested(spark: SparkSession, sf_dir: str, source: str, **scan) -> DataFrame:
     root = nested_root(spark, sf_dir, source)
-    return read_source(spark, root, source, extra=[SOURCE_ROW], **scan)
+    return read_source(spark, root, source, extra=[SOURCE_ROW], position=False, **scan)

@@ -343,9 +343,11 @@ ORACLES: dict[str, str] = {
     "row_key_users": f"{_USERS} SELECT dataset, shard, {_USER} AS user_id, row_id, day AS date FROM us",
     "session_ids": f"{_events()} SELECT dataset, shard, source_row, {_sessions('_')} FROM ev",
     "param_lookup": _lookup(),
-    "repeated_event_keys": (
-        f"{_events()} SELECT dataset, shard, key_id AS event_id, count(*) AS nrow FROM ev"
-        " WHERE key_id IS NOT NULL GROUP BY ALL HAVING count(*) > 1"
+    "event_key_summary": (
+        f"{_events()}, k AS (SELECT dataset, shard, key_id, count(*) AS nrow FROM ev GROUP BY ALL)"
+        " SELECT dataset, shard, CAST(sum(nrow) AS BIGINT) AS rows,"
+        " CAST(coalesce(sum(nrow) FILTER (WHERE key_id IS NULL), 0) AS BIGINT) AS without_key,"
+        " count(key_id) AS keys, count(key_id) FILTER (WHERE nrow > 1) AS repeated_keys FROM k GROUP BY ALL"
     ),
     "flat_events": _flat_events(),
     "flat_event_params": _params("daily", True, _events()),

@@ -101,8 +101,8 @@ def param_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def repeated_event_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.repeated_keys(event_key_daily(spark, sf_dir))
+def event_key_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.key_summary(event_key_daily(spark, sf_dir))
 
 
 # ---- Flat tables ------------------------------------------------------------------------
@@ -460,7 +460,7 @@ QUERIES: dict[str, Query] = {
     "row_key_users": row_key_users,
     "session_ids": session_keys,
     "param_lookup": param_lookup,
-    "repeated_event_keys": repeated_event_keys,
+    "event_key_summary": event_key_summary,
     **{f"flat_{table}": _flat(table) for table in schemas.ALL_TABLES},
     **{f"intraday_flat_{table}": _intraday(table) for table in schemas.EVENT_TABLES},
     "params_rejoin_events": params_rejoin_events,
