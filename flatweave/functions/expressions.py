@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,11 +11,9 @@ from flatweave.schemas import has_path
 SPREAD_BITS = 60
 
 
-def field_or_null(df: DataFrame, path: str, dtype: T.DataType) -> Column:
-    """A nested field, or a typed NULL when the export predates it."""
-    if has_path(df.schema, path):
-        return F.col(path)
-    return F.lit(None).cast(dtype)
+def field_or_null(schema: T.StructType, path: str, dtype: T.DataType) -> str:
+    """SQL text of a nested field, or of a typed NULL when the export predates it."""
+    return path if has_path(schema, path) else f"CAST(NULL AS {dtype.simpleString()})"
 
 
 def param_value(array: str, key: str, field: str = "int_value", strict: bool = False) -> Column:
@@ -34,14 +32,10 @@ def param_value(array: str, key: str, field: str = "int_value", strict: bool = F
     return F.when(repeats > 1, F.raise_error(F.lit(f"{array}: more than one value for {key}"))).otherwise(found)
 
 
-def text_value(value: str) -> Column:
-    """The typed union of a parameter value as text."""
-    return F.coalesce(
-        F.col(f"{value}.string_value"),
-        F.col(f"{value}.int_value").cast("string"),
-        F.col(f"{value}.float_value").cast("string"),
-        F.col(f"{value}.double_value").cast("string"),
-    )
+def text_value(value: str) -> str:
+    """SQL text of a parameter value's typed union as text: the first field that is set."""
+    fields = ("string_value", "int_value", "float_value", "double_value")
+    return f"coalesce({', '.join(f'CAST({value}.{field} AS STRING)' for field in fields)})"
 
 
 def shard_date(shard: str | Column) -> Column:

@@ -2,52 +2,46 @@
 
 Every function takes rows that already carry their key and returns the flat
 table's columns, preceded by ``dataset`` and ``shard``.  ``explode`` gives no row
-for a NULL or empty array.
+for a NULL or empty array.  Select lists are SQL text: the wide tables have some
+150 columns, and text crosses to the JVM in one call.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flatweave import schemas
-from flatweave.functions.expressions import field_or_null, shard_date, text_value
+from flatweave.functions.expressions import field_or_null, text_value
 from flatweave.operators.keys import session_ids
 from flatweave.schemas import PLACE
 
+_EVENT_HEAD = [*PLACE, "to_date(event_date, 'yyyyMMdd') AS event_date", "event_id"]
 
-def _flat_name(path: str) -> str:
-    return path.replace(".", "_")
 
-
-def _leaves(df: DataFrame, schema, skip: tuple[str, ...] = ()) -> list[Column]:
+def _leaves(df: DataFrame, schema, skip: tuple[str, ...] = ()) -> list[str]:
+    available = df.schema
     return [
-        field_or_null(df, path, dtype).alias(_flat_name(path))
+        f"{field_or_null(available, path, dtype)} AS {path.replace('.', '_')}"
         for path, dtype in schemas.leaf_paths(schema)
         if path not in skip
     ]
 
 
-def _tag(source: str) -> Column:
-    return F.lit("intraday" if schemas.is_intraday(source) else "daily").alias("source_table_type")
-
-
-def _event_head() -> list[Column]:
-    return [*map(F.col, PLACE), shard_date("event_date").alias("event_date"), F.col("event_id")]
+def _tag(source: str) -> str:
+    return f"'{'intraday' if schemas.is_intraday(source) else 'daily'}' AS source_table_type"
 
 
 # ---- Events ----------------------------------------------------------------------
 
 
 def flat_events(keyed: DataFrame, source: str = "events", strict: bool = False) -> DataFrame:
-    if "session_id" in keyed.columns:
-        sessions = [F.col("session_id"), F.col("session_id_1")]
-    else:
-        sessions = [value.alias(name) for name, value in session_ids(strict=strict).items()]
+    if "session_id" not in keyed.columns:
+        keyed = keyed.withColumns(session_ids(strict=strict))
     leaves = _leaves(keyed, schemas.EVENTS, skip=("event_date",))
-    return keyed.select(*_event_head(), *sessions, *leaves, _tag(source))
+    return keyed.selectExpr(*_EVENT_HEAD, "session_id", "session_id_1", *leaves, _tag(source))
 
 
 def intraday_events(keyed: DataFrame, shard: str | None = None, source: str = "events_intraday") -> DataFrame:
@@ -56,6 +50,7 @@ def intraday_events(keyed: DataFrame, shard: str | None = None, source: str = "e
     With ``shard`` the columns are those that shard's export has.  Without it, rows
     of all shards get all columns, NULL where the row's shard predates a column.
     """
+    available = keyed.schema
     columns = []
     for path, dtype in schemas.leaf_paths(schemas.EVENTS):
         top, _, leaf = path.partition(".")
@@ -66,20 +61,17 @@ def intraday_events(keyed: DataFrame, shard: str | None = None, source: str = "e
             since = schemas.COLLECTED_TRAFFIC_SINCE
         elif top == "is_active_user":
             since = schemas.ACTIVE_USER_SINCE
-        elif path == "event_date" or top.startswith("batch_") or top in (
-            "session_traffic_source_last_click",
-            "publisher",
-        ):
+        elif top in schemas.DAILY_ONLY or path == "event_date":
             continue
-        value = field_or_null(keyed, path, dtype)
+        value = field_or_null(available, path, dtype)
         if since is not None:
             if shard is not None and shard < since:
                 continue
             if shard is None:
-                value = F.when(F.col("shard") >= since, value)
-        columns.append(value.alias(_flat_name(path)))
-    sessions = [value.alias(name) for name, value in session_ids(separator=".").items()]
-    return keyed.select(*_event_head(), *sessions, *columns, _tag(source))
+                value = f"CASE WHEN shard >= '{since}' THEN {value} END"
+        columns.append(f"{value} AS {path.replace('.', '_')}")
+    with_sessions = keyed.withColumns(session_ids(separator="."))
+    return with_sessions.selectExpr(*_EVENT_HEAD, "session_id", "session_id_1", *columns, _tag(source))
 
 
 def _one_per(keyed: DataFrame, array: str, element: str, *keep: str) -> DataFrame:
@@ -89,13 +81,13 @@ def _one_per(keyed: DataFrame, array: str, element: str, *keep: str) -> DataFram
 def flat_event_params(keyed: DataFrame, source: str = "events", raw_values: bool = True) -> DataFrame:
     rows = _one_per(keyed, "event_params", "p", *PLACE, "event_date", "event_id")
     raw = [
-        F.col("p.value.string_value").alias("event_params_string_value"),
-        F.col("p.value.int_value").alias("event_params_int_value"),
+        "p.value.string_value AS event_params_string_value",
+        "p.value.int_value AS event_params_int_value",
     ]
-    return rows.select(
-        *_event_head(),
-        F.col("p.key").alias("event_params_key"),
-        text_value("p.value").alias("event_params_value"),
+    return rows.selectExpr(
+        *_EVENT_HEAD,
+        "p.key AS event_params_key",
+        f"{text_value('p.value')} AS event_params_value",
         *(raw if raw_values else []),
         _tag(source),
     )
@@ -103,11 +95,11 @@ def flat_event_params(keyed: DataFrame, source: str = "events", raw_values: bool
 
 def flat_user_properties(keyed: DataFrame, source: str = "events") -> DataFrame:
     rows = _one_per(keyed, "user_properties", "p", *PLACE, "event_date", "event_id")
-    return rows.select(
-        *_event_head(),
-        F.col("p.key").alias("user_properties_key"),
-        text_value("p.value").alias("user_properties_value"),
-        F.col("p.value.set_timestamp_micros").alias("user_properties_value_set_timestamp_micros"),
+    return rows.selectExpr(
+        *_EVENT_HEAD,
+        "p.key AS user_properties_key",
+        f"{text_value('p.value')} AS user_properties_value",
+        "p.value.set_timestamp_micros AS user_properties_value_set_timestamp_micros",
         _tag(source),
     )
 
@@ -115,37 +107,39 @@ def flat_user_properties(keyed: DataFrame, source: str = "events") -> DataFrame:
 def flat_items(keyed: DataFrame, source: str = "events") -> DataFrame:
     rows = _one_per(keyed, "items", "items", *PLACE, "event_date", "event_id")
     item = schemas.EVENTS["items"].dataType.elementType
+    available = rows.schema
     columns = [
-        field_or_null(rows, f"items.{name}", dtype).alias(f"items_{name}") for name, dtype in schemas.leaf_paths(item)
+        f"{field_or_null(available, f'items.{name}', dtype)} AS items_{name}"
+        for name, dtype in schemas.leaf_paths(item)
     ]
-    return rows.select(*_event_head(), *columns, _tag(source))
+    return rows.selectExpr(*_EVENT_HEAD, *columns, _tag(source))
 
 
 # ---- Users and pseudonymous users --------------------------------------------------
 
 
 def _user_table(keyed: DataFrame, schema) -> DataFrame:
-    return keyed.select(*PLACE, "row_id", "date", *_leaves(keyed, schema))
+    return keyed.selectExpr(*PLACE, "row_id", "date", *_leaves(keyed, schema))
 
 
 def _user_properties(keyed: DataFrame, user: str) -> DataFrame:
     rows = _one_per(keyed, "user_properties", "p", *PLACE, "row_id", "date", user)
-    return rows.select(
+    return rows.selectExpr(
         *PLACE,
         "row_id",
         "date",
         user,
-        F.col("p.key").alias("user_property_key"),
-        F.col("p.value.string_value").alias("user_property_value"),
-        F.col("p.value.set_timestamp_micros").alias("user_property_set_timestamp_micros"),
-        F.col("p.value.user_property_name").alias("user_property_name"),
+        "p.key AS user_property_key",
+        "p.value.string_value AS user_property_value",
+        "p.value.set_timestamp_micros AS user_property_set_timestamp_micros",
+        "p.value.user_property_name AS user_property_name",
     )
 
 
 def _user_audiences(keyed: DataFrame, user: str) -> DataFrame:
     rows = _one_per(keyed, "audiences", "a", *PLACE, "row_id", "date", user)
-    fields = [field.name for field in schemas.USERS["audiences"].dataType.elementType.fields]
-    return rows.select(*PLACE, "row_id", "date", user, *[F.col(f"a.{f}").alias(f"audience_{f}") for f in fields])
+    fields = schemas.USERS["audiences"].dataType.elementType.names
+    return rows.selectExpr(*PLACE, "row_id", "date", user, *[f"a.{name} AS audience_{name}" for name in fields])
 
 
 def flat_pseudo_users(keyed: DataFrame) -> DataFrame:

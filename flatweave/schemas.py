@@ -185,6 +185,15 @@ TABLES_OF_SOURCE = {
 
 ALL_TABLES = EVENT_TABLES + PSEUDO_USER_TABLES + USER_TABLES
 
+# Event columns that only the daily table selects.
+DAILY_ONLY = (
+    "batch_event_index",
+    "batch_page_id",
+    "batch_ordering_id",
+    "session_traffic_source_last_click",
+    "publisher",
+)
+
 # Shard from which the same-day export carries a column, and the collected
 # traffic fields that the same-day view exposes.
 COLLECTED_TRAFFIC_SINCE = "20230503"

@@ -145,34 +145,40 @@ PSEUDO_LEAVES = leaf_values(schemas.PSEUDO_USERS, PSEUDO_VALUES, "user_id", "'u'
 # ---- Nested columns -------------------------------------------------------------------
 
 
-def _struct(schema: T.StructType, values: dict[str, str], prefix: str = "") -> list[Column]:
-    """The scalar and struct fields of a schema, filled from leaf values."""
+def _struct(schema: T.StructType, values: dict[str, str], prefix: str = "") -> list[tuple[str, str]]:
+    """Name and SQL text of a schema's scalar and struct fields, filled from leaf values."""
     columns = []
     for field in schema.fields:
         path = prefix + field.name
         if isinstance(field.dataType, T.StructType):
-            columns.append(F.struct(*_struct(field.dataType, values, path + ".")).alias(field.name))
+            inner = _struct(field.dataType, values, path + ".")
+            columns.append((field.name, _named(inner)))
         elif not isinstance(field.dataType, T.ArrayType):
-            columns.append(F.expr(values[path]).cast(field.dataType).alias(field.name))
+            columns.append((field.name, f"CAST({values[path]} AS {field.dataType.simpleString()})"))
     return columns
 
 
-def _entries(array: T.ArrayType, entries: list[tuple[Column, list[Column]]]) -> Column:
-    """An array of the structs whose condition holds."""
-    built = [F.when(condition, F.struct(*fields).cast(array.elementType)) for condition, fields in entries]
-    return F.filter(F.array(*built), lambda entry: entry.isNotNull())
+def _named(fields: list[tuple[str, str]]) -> str:
+    return f"named_struct({', '.join(f'{chr(39)}{name}{chr(39)}, {text}' for name, text in fields)})"
 
 
-def _key_values(array: T.ArrayType, entries, micros: str | None = None) -> Column:
-    value_type = array.elementType["value"].dataType
+def _columns(fields: list[tuple[str, str]]) -> list[str]:
+    return [f"{text} AS {name}" for name, text in fields]
+
+
+def _entries(entries: list[tuple[str, str]]) -> str:
+    """SQL text of an array of the structs whose condition holds, from ``(condition, struct)``."""
+    built = ", ".join(f"CASE WHEN {condition} THEN {struct} END" for condition, struct in entries)
+    return f"filter(array({built}), entry -> entry IS NOT NULL)"
+
+
+def _key_values(array: T.ArrayType, entries, micros: str | None = None) -> str:
+    value = array.elementType["value"].dataType
     built = []
     for key, field, text, condition in entries:
-        given = {field: text, "set_timestamp_micros": micros}
-        values = [
-            F.expr(given.get(f.name) or "NULL").cast(f.dataType).alias(f.name) for f in value_type.fields
-        ]
-        built.append((F.expr(condition), [F.lit(key).alias("key"), F.struct(*values).alias("value")]))
-    return _entries(array, built)
+        given = {name: "NULL" for name in value.names} | {"set_timestamp_micros": micros, field: text}
+        built.append((condition, _named([("key", f"'{key}'"), ("value", _named(_struct(value, given)))])))
+    return _entries(built)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -205,53 +211,36 @@ def nested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     types = {field.name: field.dataType for field in schemas.EVENTS.fields}
     params = _key_values(types["event_params"], PARAMS)
     properties = _key_values(types["user_properties"], PROPERTIES, micros="ts_micros")
-    item_fields = [_item(ITEM_LEAVES), _item(REFUND_LEAVES)]
-    items = _entries(
-        types["items"],
-        [(F.lit(True), item_fields[0]), (F.expr("l_returnflag = 'R'"), item_fields[1])],
-    )
-    return event_base(spark, sf_dir).select(
-        *_struct(schemas.EVENTS, EVENT_LEAVES),
-        F.when(F.expr(HAS_PARAMS), params).alias("event_params"),
-        F.when(F.expr(HAS_PROPERTIES), properties).alias("user_properties"),
-        F.when(F.expr("l_partkey IS NOT NULL"), items).alias("items"),
-        F.expr(EVENT_ROW).alias("source_row"),
-        F.expr(DATASET).alias("dataset"),
-        F.expr(SHARD).alias("shard"),
+    sold, refunded = (_named(_struct(ITEM_SCHEMA, leaves)) for leaves in (ITEM_LEAVES, REFUND_LEAVES))
+    items = _entries([("1 = 1", sold), ("l_returnflag = 'R'", refunded)])
+    return event_base(spark, sf_dir).selectExpr(
+        *_columns(_struct(schemas.EVENTS, EVENT_LEAVES)),
+        f"CASE WHEN {HAS_PARAMS} THEN {params} END AS event_params",
+        f"CASE WHEN {HAS_PROPERTIES} THEN {properties} END AS user_properties",
+        f"CASE WHEN l_partkey IS NOT NULL THEN {items} END AS items",
+        f"{EVENT_ROW} AS source_row",
+        f"{DATASET} AS dataset",
+        f"{SHARD} AS shard",
     )
 
 
-def _item(leaves: dict[str, str]) -> list[Column]:
-    return [F.expr(leaves[f.name]).cast(f.dataType).alias(f.name) for f in ITEM_SCHEMA.fields]
-
-
-def _audiences(entries: list[tuple[str, str, str, str]]) -> Column:
+def _audiences(entries: list[tuple[str, str, str, str]]) -> str:
     """Audience entries from ``(name, start, end, condition)``."""
-    array = schemas.USERS["audiences"].dataType
+    element = schemas.USERS["audiences"].dataType.elementType
     built = []
     for index, (name, start, end, condition) in enumerate(entries):
-        fields = [
-            F.lit(str(index)).alias("id"),
-            F.expr(name).alias("name"),
-            F.expr(start).cast("long").alias("membership_start_timestamp_micros"),
-            F.expr(end).cast("long").alias("membership_expiry_timestamp_micros"),
-            F.lit("false").alias("npa"),
-        ]
-        built.append((F.expr(condition), fields))
-    return _entries(array, built)
-
-
-def _user_properties(entries: list[tuple[str, str, str]]) -> Column:
-    array = schemas.USERS["user_properties"].dataType
+        values = dict(zip(element.names, (f"'{index}'", name, start, end, "'false'")))
+        built.append((condition, _named(_struct(element, values))))
+    return _entries(built)
+
+
+def _user_properties(entries: list[tuple[str, str, str]]) -> str:
+    value = schemas.USERS["user_properties"].dataType.elementType["value"].dataType
     built = []
     for key, text, condition in entries:
-        value = F.struct(
-            F.expr(text).cast("string").alias("string_value"),
-            F.expr("last_micros").alias("set_timestamp_micros"),
-            F.lit(f"{key}_name").alias("user_property_name"),
-        )
-        built.append((F.expr(condition), [F.lit(key).alias("key"), value.alias("value")]))
-    return _entries(array, built)
+        values = dict(zip(value.names, (text, "last_micros", f"'{key}_name'")))
+        built.append((condition, _named([("key", f"'{key}'"), ("value", _named(_struct(value, values)))])))
+    return _entries(built)
 
 
 USER_PROPERTIES = [
@@ -290,13 +279,13 @@ def nested_users(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(history, F.col("c_custkey") == F.col("o_custkey"), "left")
         .withColumn("revenue", F.col("cents") / 100)
     )
-    return base.select(
-        *_struct(schemas.USERS, USER_LEAVES),
-        F.when(F.expr("c_custkey % 6 <> 0"), _user_properties(USER_PROPERTIES)).alias("user_properties"),
-        F.when(F.expr("c_custkey % 8 <> 0"), _audiences(USER_AUDIENCES)).alias("audiences"),
-        F.col("c_custkey").cast("string").alias("source_row"),
-        F.expr(DATASET.replace("user_id", "c_custkey")).alias("dataset"),
-        F.lit(USER_SHARD).alias("shard"),
+    return base.selectExpr(
+        *_columns(_struct(schemas.USERS, USER_LEAVES)),
+        f"CASE WHEN c_custkey % 6 <> 0 THEN {_user_properties(USER_PROPERTIES)} END AS user_properties",
+        f"CASE WHEN c_custkey % 8 <> 0 THEN {_audiences(USER_AUDIENCES)} END AS audiences",
+        "CAST(c_custkey AS STRING) AS source_row",
+        f"{DATASET.replace('user_id', 'c_custkey')} AS dataset",
+        f"'{USER_SHARD}' AS shard",
     )
 
 
@@ -315,13 +304,13 @@ def nested_pseudo_users(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.min(F.when(match, F.col("micros"))).alias(f"first_{t}") for t, match in of_type.items()],
         *[F.max(F.when(match, F.col("micros"))).alias(f"last_{t}") for t, match in of_type.items()],
     ).withColumn("revenue", F.col("cents") / 100)
-    return base.select(
-        *_struct(schemas.PSEUDO_USERS, PSEUDO_LEAVES),
-        _user_properties(PSEUDO_PROPERTIES).alias("user_properties"),
-        _audiences(PSEUDO_AUDIENCES).alias("audiences"),
-        F.col("user_id").cast("string").alias("source_row"),
-        F.expr(DATASET).alias("dataset"),
-        F.col("last_day").alias("shard"),
+    return base.selectExpr(
+        *_columns(_struct(schemas.PSEUDO_USERS, PSEUDO_LEAVES)),
+        f"{_user_properties(PSEUDO_PROPERTIES)} AS user_properties",
+        f"{_audiences(PSEUDO_AUDIENCES)} AS audiences",
+        "CAST(user_id AS STRING) AS source_row",
+        f"{DATASET} AS dataset",
+        "last_day AS shard",
     )
 
 
