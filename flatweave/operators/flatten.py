@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from flatweave import schemas
 from flatweave.functions.expressions import field_or_null, text_value
-from flatweave.operators.keys import session_ids
+from flatweave.operators.keys import KEY_COLUMNS, session_ids
 from flatweave.schemas import PLACE
 
 _EVENT_HEAD = [*PLACE, "to_date(event_date, 'yyyyMMdd') AS event_date", "event_id"]
@@ -204,8 +204,7 @@ def columns_needed(tables: list[str], source: str) -> list[str]:
     scalars = [field.name for field in schema.fields if field.name not in arrays]
     parents = {"events", "pseudo_users", "users"}
     if source.startswith("events"):
-        needed = {"event_date", "event_timestamp", "event_name", "stream_id", "user_pseudo_id"}
-        needed |= {"batch_event_index", "batch_page_id", "batch_ordering_id"}
+        needed = {"event_date", *KEY_COLUMNS}
         owner = {"event_params": "event_params", "user_properties": "user_properties", "items": "items"}
     else:
         needed = {"user_id"} if source == "users" else {"pseudo_user_id"}

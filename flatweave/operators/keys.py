@@ -7,8 +7,18 @@ from pyspark.sql import functions as F
 
 from flatweave.functions.expressions import id_text, param_value, shard_date
 from flatweave.operators.numbering import number_rows
+from flatweave.schemas import PLACE
 
 NO_PSEUDO_ID = "user_pseudo_id_null"
+KEY_COLUMNS = (
+    "stream_id",
+    "user_pseudo_id",
+    "event_name",
+    "event_timestamp",
+    "batch_event_index",
+    "batch_page_id",
+    "batch_ordering_id",
+)
 
 _NUMBER = "__number"
 
@@ -40,26 +50,57 @@ def _joined(parts: list[Column], separator: str) -> Column:
     return F.concat(*pieces)
 
 
-def with_event_id(events: DataFrame, intraday_view: bool = False, **numbering) -> DataFrame:
+def _event_key(events: DataFrame, intraday_view: bool) -> tuple[list[Column], list[Column], str]:
+    """Parts of the id, keys of the groups whose rows are numbered, and the separator."""
+    if not intraday_view:
+        parts = _daily_parts(events)
+        return parts, [F.concat(*parts)], "_"
+    parts = [
+        F.col("stream_id"),
+        F.coalesce("user_pseudo_id", F.lit(NO_PSEUDO_ID)),
+        F.col("event_name"),
+        F.col("event_timestamp").cast("string"),
+    ]
+    return parts, parts, "."
+
+
+def repeat_numbers(
+    events: DataFrame, intraday_view: bool = False, position: str = "row_position", **numbering
+) -> DataFrame:
+    """``dataset, shard``, position and number of the rows that are not the first of their group.
+
+    Reads and shuffles the key columns only.  Events rarely agree on their whole
+    key, so this is usually a small part of the input.
+    """
+    _, keys, _ = _event_key(events, intraday_view)
+    narrow = events.select(*PLACE, position, *[name for name in KEY_COLUMNS if name in events.columns])
+    numbered = number_rows(narrow, keys, _NUMBER, position=position, **numbering)
+    return numbered.where(F.col(_NUMBER) > 1).select(*PLACE, position, _NUMBER)
+
+
+def with_event_id(
+    events: DataFrame,
+    intraday_view: bool = False,
+    position: str = "row_position",
+    repeats: DataFrame | None = None,
+    **numbering,
+) -> DataFrame:
     """Add ``event_id`` to nested events.
 
     The daily form joins seven parts with ``_`` and numbers rows that agree on the
     parts put together *without* a separator.  The same-day view form joins four
     parts with ``.`` and numbers rows that agree on each.  Either is NULL where the
     stream, name or timestamp is NULL.
+
+    With ``repeats``, a result of :func:`repeat_numbers` small enough to broadcast,
+    the rows stay where they are; without, they are shuffled once to be numbered.
     """
-    if intraday_view:
-        parts = [
-            F.col("stream_id"),
-            F.coalesce("user_pseudo_id", F.lit(NO_PSEUDO_ID)),
-            F.col("event_name"),
-            F.col("event_timestamp").cast("string"),
-        ]
-        keys, separator = parts, "."
+    parts, keys, separator = _event_key(events, intraday_view)
+    if repeats is None:
+        numbered = number_rows(events, keys, _NUMBER, position=position, **numbering)
     else:
-        parts = _daily_parts(events)
-        keys, separator = [F.concat(*parts)], "_"
-    numbered = number_rows(events, keys, _NUMBER, **numbering)
+        numbered = events.join(F.broadcast(repeats), [*PLACE, position], "left")
+        numbered = numbered.select(*events.columns, F.coalesce(_NUMBER, F.lit(1)).alias(_NUMBER))
     event_id = _joined([*parts, F.col(_NUMBER).cast("string")], separator)
     return numbered.withColumn("event_id", event_id).drop(_NUMBER)
 

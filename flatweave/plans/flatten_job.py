@@ -2,102 +2,161 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flatweave import schemas
 from flatweave.operators.flatten import columns_needed, flatten_table
-from flatweave.operators.keys import session_ids, with_event_id, with_row_id
-from flatweave.plans.work import not_superseded, with_source
+from flatweave.operators.keys import repeat_numbers, session_ids, with_event_id, with_row_id
+from flatweave.plans.work import backfill_grid, not_superseded, only_shards, route, settle, with_source
 from flatweave.schemas import PLACE
 from flatweave.session import drop_stage, stage
 from flatweave.sinks.tables import PARTITIONED, SHARDED, replace_shards
 from flatweave.sources.shards import list_shards, read_source
 
 
-def keyed_source(
-    spark: SparkSession,
-    root: str,
-    source: str,
-    tables: list[str],
-    between: tuple[str, str] | None = None,
-    shards: DataFrame | None = None,
+# Most repeated rows whose numbers are broadcast; some 100 bytes each.
+REPEATS_TO_BROADCAST = 1_000_000
+
+
+def key_events(
+    rows: DataFrame,
     position: str = "row_position",
-    extra=(),
+    intraday_view: bool = False,
+    most_repeats: int = REPEATS_TO_BROADCAST,
     **numbering,
-) -> DataFrame:
-    """Rows of a source with their key and only the columns the tables read."""
+) -> tuple[DataFrame, str | None]:
+    """Events with their id, and the path of a staged table they depend on, if any.
+
+    First the key columns alone are numbered.  If few rows repeat a key, their
+    numbers are staged and broadcast, and the wide rows are not shuffled at all.
+    Otherwise the wide rows are shuffled once.
+    """
+    repeats = repeat_numbers(rows, intraday_view, position, **numbering)
+    repeats, path = stage(repeats, "repeats")
+    if repeats.count() <= most_repeats:
+        return with_event_id(rows, intraday_view, position, repeats), path
+    drop_stage(rows.sparkSession, path)
+    return with_event_id(rows, intraday_view, position, **numbering), None
+
+
+def _source_rows(spark, root, source, tables, between, shards, position, extra, strict) -> DataFrame:
     by_scan = position == "row_position"
     rows = read_source(spark, root, source, between=between, extra=extra, position=by_scan)
     if shards is not None:
-        # The pairs name directories of the source, whose listing the driver holds
-        # anyway; the range filter above already keeps the scan to their days.
-        rows = rows.join(F.broadcast(shards), list(PLACE), "left_semi")
+        rows = only_shards(rows, shards)
     rows = rows.select(*columns_needed(tables, source), *PLACE, position)
-    if not source.startswith("events"):
-        return with_row_id(rows, source, position)
     if "events" in tables:
-        rows = rows.withColumns(session_ids())
+        rows = rows.withColumns(session_ids(strict=strict))
         if "event_params" not in tables:
             rows = rows.drop("event_params")
-    return with_event_id(rows, position=position, **numbering)
+    return rows
 
 
-def flatten_work(
+def _keyed(
     spark: SparkSession,
-    work: DataFrame,
-    source_root: str,
-    out_root: str,
+    root: str,
+    source: str,
+    tables: list[str],
+    between: tuple[str, str] | None = None,
+    shards: DataFrame | None = None,
     position: str = "row_position",
     extra=(),
-    **numbering,
-) -> None:
+    strict: bool = False,
+    random_row_ids: bool = False,
+    **keying,
+) -> tuple[DataFrame, str | None]:
+    rows = _source_rows(spark, root, source, tables, between, shards, position, extra, strict)
+    if source.startswith("events"):
+        return key_events(rows, position, **keying)
+    return with_row_id(rows, source, position, random_row_ids), None
+
+
+def keyed_source(spark: SparkSession, root: str, source: str, tables: list[str], **options) -> DataFrame:
+    """Rows of a source with their key and only the columns the tables read.
+
+    Options: ``between`` (first and last shard), ``shards`` (a table of pairs),
+    ``position`` (a column that identifies a source row, if not the scan's own),
+    ``extra`` (its field), ``strict`` (a session parameter given twice is an error),
+    ``random_row_ids``, and those of :func:`key_events`.
+    """
+    return _keyed(spark, root, source, tables, **options)[0]
+
+
+def flatten_work(spark: SparkSession, work: DataFrame, source_root: str, out_root: str, **options) -> None:
     """Write every flat table of a work list.
 
-    Each source is read once: its keyed rows are staged, and the flat tables are
-    made from the stage without another shuffle.  Shards that do not exist, and
-    same-day shards with a daily export, are skipped.
+    The keys of a source are made once and shared by its flat tables.  Shards that
+    do not exist, and same-day shards with a daily export, are skipped.  ``options``
+    go to :func:`keyed_source`.
     """
-    work, work_path = stage(work.coalesce(1), "work", spark=spark)
-    daily = list_shards(spark, source_root, "events")
-    for source in schemas.SOURCE_SCHEMAS:
-        todo = with_source(work.where(F.col("source") == source), list_shards(spark, source_root, source))
+    work, staged_work = settle(work, spark)
+    # One row per source: the days asked for keep listings and scans to them.
+    days = work.groupBy("source").agg(F.min("shard").alias("first"), F.max("shard").alias("last")).collect()
+    for row in days:
+        source, between = row.source, (row["first"], row["last"])
+        todo = with_source(work.where(F.col("source") == source), list_shards(spark, source_root, source, between))
         if schemas.is_intraday(source):
-            todo = not_superseded(todo, daily)
-        todo, todo_path = stage(todo.coalesce(1), f"work-{source}")
-        # At most one row per flat table and layout flag.
-        outputs = (
-            todo.groupBy("flat_table")
-            .agg(
-                F.bool_or("sharded").alias(SHARDED),
-                F.bool_or("partitioned").alias(PARTITIONED),
-                F.min("shard").alias("first"),
-                F.max("shard").alias("last"),
-            )
-            .orderBy("flat_table")
-            .collect()
-        )
-        if outputs:
-            _write_source(spark, source, todo, outputs, source_root, out_root, position, extra, numbering)
-        drop_stage(spark, todo_path)
-    drop_stage(spark, work_path)
-
-
-def _write_source(spark, source, todo, outputs, source_root, out_root, position, extra, numbering) -> None:
-    tables = [row.flat_table.removeprefix("flat_") for row in outputs]
-    between = (min(row["first"] for row in outputs), max(row["last"] for row in outputs))
-    shards = todo.select(*PLACE).distinct()
-    keyed = keyed_source(spark, source_root, source, tables, between, shards, position, extra, **numbering)
-    writes = sum(row[layout] for row in outputs for layout in (SHARDED, PARTITIONED))
-    staged_path = None
-    if writes > 1 and source.startswith("events"):
-        # The event key costs a shuffle; user keys are computed in the scan.
-        keyed, staged_path = stage(keyed, f"keyed-{source}", PLACE)
-    for row, table in zip(outputs, tables):
-        for layout in (SHARDED, PARTITIONED):
-            if row[layout]:
-                wanted = todo.where((F.col("flat_table") == row.flat_table) & F.col(layout)).select(*PLACE).distinct()
-                rows = keyed.join(F.broadcast(wanted), list(PLACE), "left_semi")
-                replace_shards(flatten_table(rows, table, source), out_root, layout, table, wanted)
-    if staged_path:
-        drop_stage(spark, staged_path)
+            todo = not_superseded(todo, list_shards(spark, source_root, "events", between))
+        todo, staged_todo = settle(todo, spark)
+        _flatten_source(spark, source, todo, source_root, out_root, between, options)
+        if staged_todo:
+            drop_stage(spark, staged_todo)
+    if staged_work:
+        drop_stage(spark, staged_work)
+
+
+def _flatten_source(spark, source, todo, source_root, out_root, between, options) -> None:
+    # At most one row per flat table.
+    outputs = (
+        todo.groupBy("flat_table")
+        .agg(F.bool_or("sharded").alias(SHARDED), F.bool_or("partitioned").alias(PARTITIONED))
+        .orderBy("flat_table")
+        .collect()
+    )
+    writes = [
+        (row.flat_table.removeprefix("flat_"), layout)
+        for row in outputs
+        for layout in (SHARDED, PARTITIONED)
+        if row[layout]
+    ]
+    if not writes:
+        return
+    tables = sorted({table for table, _ in writes})
+    keyed, staged = _keyed(spark, source_root, source, tables, between, todo, **options)
+    # Keys that cost a shuffle of the wide rows, or that are drawn at random, are
+    # made once for all tables.  Otherwise each table scans its own columns.
+    once = staged is None if source.startswith("events") else options.get("random_row_ids", False)
+    if once and len(writes) > 1:
+        keyed, staged = stage(keyed, f"keyed-{source}", PLACE)
+
+    def write(table: str, layout: str) -> None:
+        wanted = todo.where((F.col("flat_table") == f"flat_{table}") & F.col(layout)).select(*PLACE).distinct()
+        rows = flatten_table(only_shards(keyed, wanted), table, source)
+        replace_shards(rows, out_root, layout, table, wanted)
+
+    # The writes go to different tables and share no state: let the cluster fill
+    # the tail of one with the tasks of another.
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(write), *args) for args in writes]:
+            done.result()
+    if staged:
+        drop_stage(spark, staged)
+
+
+def backfill(
+    spark: SparkSession,
+    control: DataFrame,
+    source_root: str,
+    out_root: str,
+    start: str,
+    end: str,
+    sources: tuple[str, ...] = ("events", "pseudonymous_users", "users"),
+    **options,
+) -> None:
+    """Flatten every configured dataset's shards from ``start`` to ``end``, both included."""
+    grid = backfill_grid(control, sources, start, end)
+    flatten_work(spark, route(grid, control), source_root, out_root, **options)

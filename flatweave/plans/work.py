@@ -1,19 +1,20 @@
 """What to flatten: arrivals or a backfill range, routed by the control table.
 
 The control table has one row per dataset: ``dataset, tables_to_flatten
-array<string>, sharded, partitioned, intraday_views`` (the flags may be NULL).  A
-work list has one row per flat table to write: ``dataset, source, shard,
+array<string>, sharded, partitioned, intraday_views`` (the flags may be NULL) and
+optionally ``frequency, units`` of a same-day refresh.  A work list has one row per flat table to write: ``dataset, source, shard,
 flat_table, sharded, partitioned``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flatweave import schemas
 from flatweave.functions.expressions import shard_date
 from flatweave.schemas import ALL_TABLES, PLACE, TABLES_OF_SOURCE
+from flatweave.session import stage
 from flatweave.sources.inventory import discover_datasets
 
 # Tables a new control table lists: all, or the event tables only.
@@ -21,6 +22,33 @@ EVERY_TABLE = ALL_TABLES
 EVENTS_ONLY = schemas.EVENT_TABLES
 
 
+# Work lists up to this length stay on the driver; filters name up to so many shards.
+LOCAL_ROWS = 10_000
+LITERAL_PAIRS = 1_000
+
+CONFIG_SCHEMA = """
+    map<string, struct<
+      tables_to_flatten: array<string>,
+      output_format: struct<sharded: boolean, partitioned: boolean>,
+      intraday_flattening: struct<
+        intraday_flat_tables_schedule: struct<frequency: int, units: string>, intraday_flat_views: boolean>>>
+    """
+
+
+def read_control(spark: SparkSession, path: str) -> DataFrame:
+    """The control table of a JSON configuration file, one object keyed by dataset."""
+    text = spark.read.text(path, wholetext=True)
+    return text.select(F.explode(F.from_json("value", CONFIG_SCHEMA)).alias("dataset", "c")).select(
+        "dataset",
+        "c.tables_to_flatten",
+        "c.output_format.sharded",
+        "c.output_format.partitioned",
+        F.col("c.intraday_flattening.intraday_flat_views").alias("intraday_views"),
+        "c.intraday_flattening.intraday_flat_tables_schedule.frequency",
+        "c.intraday_flattening.intraday_flat_tables_schedule.units",
+    )
+
+
 def default_control(
     inventory: DataFrame,
     tables: tuple[str, ...] = EVERY_TABLE,
@@ -97,6 +125,39 @@ def route(arrivals: DataFrame, control: DataFrame) -> DataFrame:
     )
 
 
+def settle(work: DataFrame, spark: SparkSession) -> tuple[DataFrame, str | None]:
+    """Compute a work list once: held by the driver if small, else as a staged table.
+
+    Returns the list and the path of the staged table, if any.
+    """
+    rows = work.take(LOCAL_ROWS + 1)
+    if len(rows) <= LOCAL_ROWS:
+        return spark.createDataFrame(rows, work.schema), None
+    return stage(work, "work", spark=spark)
+
+
+def only_shards(rows: DataFrame, shards: DataFrame) -> DataFrame:
+    """Rows of some ``(dataset, shard)`` pairs, pruned to their directories.
+
+    Few pairs become a constant filter on the directory columns.  Many, a broadcast:
+    the pairs name directories that the driver lists anyway to plan the scan.
+    """
+    pairs = shards.select(*PLACE).distinct().take(LITERAL_PAIRS + 1)
+    if len(pairs) > LITERAL_PAIRS:
+        return rows.join(F.broadcast(shards.select(*PLACE).distinct()), list(PLACE), "left_semi")
+    shards_of: dict[str, list[str]] = {}
+    for pair in pairs:
+        shards_of.setdefault(pair.dataset, []).append(pair.shard)
+    # Datasets with the same shards share a condition.
+    datasets_of: dict[tuple[str, ...], list[str]] = {}
+    for dataset, names in shards_of.items():
+        datasets_of.setdefault(tuple(sorted(names)), []).append(dataset)
+    wanted = F.lit(False)
+    for names, datasets in datasets_of.items():
+        wanted = wanted | (F.col("dataset").isin(datasets) & F.col("shard").isin(list(names)))
+    return rows.where(wanted)
+
+
 def with_source(work: DataFrame, existing: DataFrame) -> DataFrame:
     """Work whose source shard exists."""
     return work.join(existing, list(PLACE), "left_semi")

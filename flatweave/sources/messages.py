@@ -29,6 +29,15 @@ def _group(text: str | Column, pattern: str, group: int) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
 
+def _parsed_once(messages: DataFrame, schema: str) -> DataFrame:
+    """Add the parsed message as ``__body``.
+
+    As the only element of an exploded array it is a row of its own to the optimizer,
+    which would otherwise repeat the parse in every filter and column that uses it.
+    """
+    return messages.select("*", F.explode(F.array(F.from_json("message", schema))).alias("__body"))
+
+
 def decode_messages(raw: DataFrame, column: str = "data") -> DataFrame:
     """Add the text of base64 messages as ``message``; NULL if it is not base64."""
     return raw.withColumn("message", F.try_to_binary(F.col(column), F.lit("base64")).cast("string"))
@@ -36,11 +45,11 @@ def decode_messages(raw: DataFrame, column: str = "data") -> DataFrame:
 
 def parse_arrivals(messages: DataFrame) -> DataFrame:
     """``project, dataset, source, shard`` of each arrival, and whether it is ``valid``."""
-    path = F.from_json("message", ARRIVAL_SCHEMA)["protoPayload"]["resourceName"]
-    parsed = messages.withColumn("__path", path)
+    parsed = _parsed_once(messages, ARRIVAL_SCHEMA)
+    path = "__body.protoPayload.resourceName"
     names = ("project", "dataset", "source", "shard")
-    fields = {name: _group("__path", ARRIVAL_PATTERN, i + 1) for i, name in enumerate(names)}
-    return parsed.withColumns(fields).drop("__path").withColumn("valid", F.col("shard").isNotNull())
+    fields = {name: _group(path, ARRIVAL_PATTERN, i + 1) for i, name in enumerate(names)}
+    return parsed.withColumns(fields).drop("__body").withColumn("valid", F.col("shard").isNotNull())
 
 
 def parse_lifecycle(messages: DataFrame) -> DataFrame:
@@ -58,9 +67,9 @@ def parse_lifecycle(messages: DataFrame) -> DataFrame:
     def either(inserted: Column, deleted: Column) -> Column:
         return F.when(method == INSERT_METHOD, inserted).when(method == DELETE_METHOD, deleted)
 
-    parsed = messages.withColumn("__body", F.from_json("message", LIFECYCLE_SCHEMA))
     return (
-        parsed.withColumns(
+        _parsed_once(messages, LIFECYCLE_SCHEMA)
+        .withColumns(
             {
                 "action": F.when(method == INSERT_METHOD, "create").when(method == DELETE_METHOD, "delete"),
                 "project": either(table["projectId"], _group(resource, INTRADAY_RESOURCE_PATTERN, 1)),

@@ -49,14 +49,19 @@ def read_source(
     return rows.select("*", row_position.alias("row_position"))
 
 
-def list_shards(spark: SparkSession, root: str, source: str) -> DataFrame:
+def list_shards(
+    spark: SparkSession, root: str, source: str, between: tuple[str, str] | None = None
+) -> DataFrame:
     """The ``(dataset, shard)`` pairs that hold rows; empty if the source is missing."""
     path = source_path(root, source)
     if not path_exists(spark, path):
         return spark.createDataFrame([], T.StructType(PLACE_FIELDS))
     # Reads directory names and row counts from file footers, no columns.
     declared = T.StructType([*SOURCE_SCHEMAS[source].fields, *PLACE_FIELDS])
-    return spark.read.schema(declared).parquet(path).select(*PLACE).distinct()
+    places = spark.read.schema(declared).parquet(path).select(*PLACE)
+    if between is not None:
+        places = places.where(F.col("shard").between(*between))
+    return places.distinct()
 
 
 def write_source(rows: DataFrame, root: str, source: str) -> str:

@@ -174,3 +174,30 @@ def refresh_intraday(
     return (
         touched.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
+
+
+def refresh_on_schedule(
+    spark: SparkSession, control: DataFrame, source_root: str, out_root: str, checkpoint: str, **job
+) -> list[StreamingQuery]:
+    """Start one refresh stream per schedule in the control table, for its datasets.
+
+    A dataset without a schedule is not refreshed.
+    """
+    scheduled = control.where("frequency IS NOT NULL")
+    # One row per distinct schedule.
+    schedules = scheduled.select("frequency", "units").distinct().collect()
+    for row in schedules:
+        refresh_interval(row.frequency, row.units)
+    return [
+        refresh_intraday(
+            spark,
+            scheduled.where((F.col("frequency") == row.frequency) & (F.col("units") == row.units)),
+            source_root,
+            out_root,
+            f"{checkpoint}/{row.frequency}-{row.units}",
+            row.frequency,
+            row.units,
+            **job,
+        )
+        for row in schedules
+    ]

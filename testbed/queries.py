@@ -18,7 +18,7 @@ from flatweave.operators.relational import (
     rows_per_day,
     with_constants,
 )
-from flatweave.plans.flatten_job import flatten_work, keyed_source
+from flatweave.plans.flatten_job import flatten_work, key_events, keyed_source
 from flatweave.plans.work import (
     backfill_grid,
     configured_arrivals,
@@ -70,11 +70,12 @@ def control_table(spark: SparkSession) -> DataFrame:
 
 
 def event_key_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = with_event_id(read_nested(spark, sf_dir, "events"), position=POSITION)
+    keyed, _ = key_events(read_nested(spark, sf_dir, "events"), POSITION)
     return keyed.select(*PLACE, POSITION, "event_id")
 
 
 def event_key_intraday(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In the form of the live view, which numbers the rows when it is read."""
     keyed = with_event_id(read_nested(spark, sf_dir, "events"), intraday_view=True, position=POSITION)
     return keyed.select(*PLACE, POSITION, "event_id")
 
@@ -183,7 +184,7 @@ def union_all_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_supersedes_intraday(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = nested_root(spark, sf_dir, "events", "events_intraday")
     rows = not_superseded(read_nested(spark, sf_dir, "events_intraday"), list_shards(spark, root, "events"))
-    return flatten_table(with_event_id(rows, position=POSITION), "event_params", "events_intraday")
+    return flatten_table(key_events(rows, POSITION)[0], "event_params", "events_intraday")
 
 
 # ---- Discovery and planning --------------------------------------------------------------------
