@@ -27,7 +27,7 @@ from testbed.queries import JOB, ONE_SHARD, QUERIES, stream_flatten
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "4"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 
 def session() -> SparkSession:

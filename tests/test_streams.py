@@ -1,5 +1,6 @@
 import base64
 import json
+import time
 
 import pytest
 from nested_rows import DATASET, event, export, param
@@ -128,7 +129,10 @@ def test_schedules_come_from_the_control_table(spark, tmp_path):
     streams = refresh_on_schedule(spark, both, root, out, str(tmp_path / "checkpoint"))
     try:
         assert len(streams) == 1
-        streams[0].processAllAvailable()
+        # The first batch runs at once, the next at the trigger.
+        deadline = time.monotonic() + 60
+        while streams[0].lastProgress is None and time.monotonic() < deadline:
+            time.sleep(0.2)
     finally:
         for stream in streams:
             stream.stop()
