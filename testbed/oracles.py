@@ -386,7 +386,10 @@ ORACLES: dict[str, str] = {
         f"{_events()} SELECT dataset, shard, count(*) AS nrow FROM ev"
         f" WHERE shard BETWEEN '{SHARD_RANGE[0]}' AND '{SHARD_RANGE[1]}' GROUP BY ALL"
     ),
-    "source_shards": f"SELECT dataset, source, shard FROM ({_ARRIVALS})",
+    "source_shards": (
+        f"SELECT dataset, source, shard FROM ({_ARRIVALS}) UNION ALL"
+        f" SELECT DISTINCT {n.DATASET}, 'events_intraday', strftime(ts + INTERVAL 1 DAY, '%Y%m%d') FROM events"
+    ),
     "union_all_datasets": f"""{_events()}
         SELECT 'events' AS source, dataset, shard, count(*) AS nrow FROM ev GROUP BY ALL
         UNION ALL

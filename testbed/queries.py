@@ -161,13 +161,13 @@ def shard_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requested work whose source exists: a day past the data has none."""
-    root = nested_root(spark, sf_dir, "events", "pseudonymous_users", "users")
+    """Requested work whose source exists; not every day of the grid does."""
+    root = nested_root(spark, sf_dir, *schemas.SOURCE_SCHEMAS)
     datasets = list_shards(spark, root, "users").select("dataset").distinct()
-    wanted = backfill_grid(datasets, ("events", "pseudonymous_users", "users", "events_intraday"), *BACKFILL)
+    wanted = backfill_grid(datasets, tuple(schemas.SOURCE_SCHEMAS), *BACKFILL)
     found = [
         with_source(wanted.where(F.col("source") == source), list_shards(spark, root, source))
-        for source in ("events", "pseudonymous_users", "users", "events_intraday")
+        for source in schemas.SOURCE_SCHEMAS
     ]
     return union_datasets(found)
 
