@@ -45,7 +45,7 @@ def test_malformed_messages_are_kept_as_invalid(spark):
     assert [r.valid for r in parse_arrivals(broken).collect()] == [False]
 
 
-def lifecycle(action, shard="20250114", dataset="analytics_222460912", at="2025-01-14T07:00:17.888Z", entries=1):
+def lifecycle(action, shard="20250114", dataset="analytics_123456789", at="2025-01-14T07:00:17.888Z", entries=1):
     table = f"events_intraday_{shard}"
     resource = {"resource": f"projects/p/datasets/{dataset}/tables/{table}"}
     payload = {"methodName": f"tableservice.{action}", "authorizationInfo": [resource] * entries}
@@ -66,8 +66,8 @@ def test_lifecycle(spark):
     rows = parse_lifecycle(messages(spark, bodies)).orderBy("n").collect()
     assert [r.valid for r in rows] == [True, True, True, False, False, False, False]
     assert [(r.action, r.project, r.dataset, r.source, r.shard) for r in rows[:3]] == [
-        ("create", "p", "analytics_222460912", "events_intraday", "20250114"),
-        ("delete", "p", "analytics_222460912", "events_intraday", "20250114"),
+        ("create", "p", "analytics_123456789", "events_intraday", "20250114"),
+        ("delete", "p", "analytics_123456789", "events_intraday", "20250114"),
         ("delete", "p", "analytics_7", "events_intraday", "20250114"),
     ]
 

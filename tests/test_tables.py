@@ -5,7 +5,7 @@ from flatweave import quality
 from flatweave.operators.relational import rejoin
 from flatweave.plans.flatten_job import backfill, flatten_work, keyed_source
 from flatweave.plans.work import route
-from flatweave.session import drop_stage
+from flatweave.session import drop_stage, shared_folder
 from flatweave.sinks.tables import PARTITIONED, SHARDED, read_flat, replace_shards
 
 CONTROL = "dataset string, tables_to_flatten array<string>, sharded boolean, partitioned boolean, intraday_views boolean"
@@ -152,3 +152,21 @@ def test_replace_lists_the_shards_it_replaces(spark, tmp_path):
 def test_only_staged_tables_are_dropped(spark, tmp_path):
     with pytest.raises(ValueError):
         drop_stage(spark, str(tmp_path))
+
+
+def test_shared_folder_is_the_configured_one(spark):
+    class Session:
+        sparkContext = spark.sparkContext
+
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    assert shared_folder(Session) == shared_folder(Session)
+
+    class Cluster(Session):
+        class sparkContext:
+            master = "spark://somewhere"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster)
