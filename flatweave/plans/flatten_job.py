@@ -140,11 +140,13 @@ def _flatten_source(spark, source, todo, source_root, out_root, between, options
 
     # The writes go to different tables and share no state: let the cluster fill
     # the tail of one with the tasks of another.
-    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-        for done in [pool.submit(inheritable_thread_target(spark)(write), *args) for args in writes]:
-            done.result()
-    if staged:
-        drop_stage(spark, staged)
+    try:
+        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+            for done in [pool.submit(inheritable_thread_target(spark)(write), *args) for args in writes]:
+                done.result()
+    finally:
+        if staged:
+            drop_stage(spark, staged)
 
 
 def backfill(
