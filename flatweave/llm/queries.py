@@ -5,18 +5,40 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flatweave.llm import common, simhash
+from flatweave.llm import common, mixing, packing, simhash, token_files
+from flatweave.session import new_stage_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.mix_plan(common.read(spark, sf_dir, "documents", "doc_id", "source", "text"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_stage_path(spark, "llm-token-files")
+    files = token_files.write_token_files(common.read(spark, sf_dir, "documents", "doc_id", "text"), folder)
+    frames = token_files.read_token_files(files, folder)
+    return frames.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op5_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack_documents(docs, with_ids=False)
+
+
 def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(common.read(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", "fingerprint", "component_id")
 
 
 QUERIES: dict[str, Query] = {
+    "op2_mix_sources": op2_mix_sources,
+    "op3_token_files": op3_token_files,
+    "op5_pack_documents": op5_pack_documents,
     "op9_simhash_near_duplicates": op9_simhash_near_duplicates,
 }
 
