@@ -5,8 +5,9 @@ given outright; the fraction is rounded dependently: two documents with fraction
 (probability times words) from one to the other until one is integral.  The direction is random
 with the chances that keep both expectations, and no words appear or vanish.  Blocks of documents are folded this
 way, each leaves at most one fractional document, and those go on to the next level of a
-tree, until a source has one left, which is rounded by itself.  So a source's words miss its target by
-less than one document.
+tree, until a source has one left, which is rounded by itself.  Documents that are long for
+their source are rounded first, and the others share what those leave of the target, so that a source misses its target
+by less than one of the shorter documents.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MOST_COPIES = 3.0
 BLOCK = 64
 SEED = 20240229
+# Documents above this share of their source's words are rounded first.
+LARGE_SHARE = 1 / 500
 _NEAR = 1e-9
 
 _SIZE, _SOURCE, _KEY, _TARGET, _COPIES = "__llm_size", "__llm_source", "__llm_key", "__llm_target", "__llm_copies"
@@ -118,23 +121,30 @@ def _with_copies(rows: DataFrame, weights: tuple[float, ...], most: float) -> Da
     """Adds the target and copies to rows (ROW, size, source, key)."""
     sizes = rows.groupBy(F.col(_SOURCE).alias("source")).agg(F.sum(_SIZE).alias("source_size"))
     targets = staged(source_targets(sizes, weights, most), "mix-targets")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    whole = F.floor(rate + F.lit(_NEAR))
-    fraction = rate - whole
-    plan = targets.select(
-        F.col("source").alias("s"),
-        "source_size",
-        "target",
-        whole.alias("whole"),
-        F.when(fraction > _NEAR, fraction).otherwise(F.lit(0.0)).alias("p"),
-    )
-    rated = rows.join(plan, F.col(_SOURCE).eqNullSafe(F.col("s")), "left")
-    items = rated.where("p > 0").select(
-        F.col(_SOURCE).alias("grp"), F.col(ROW).alias("row"), F.col(_SIZE).alias("size"), "p", F.col(_KEY).alias("key")
+    large = F.col(_SIZE) > F.col("source_size") * F.lit(LARGE_SHARE)
+    rated = rows.join(targets.withColumnRenamed("source", "s"), F.col(_SOURCE).eqNullSafe(F.col("s")), "left").drop("s")
+
+    def rounded(some: DataFrame, goal: str, words: str) -> DataFrame:
+        """Copies of documents that are to take ``goal`` of their ``words`` words in all, a source at a time."""
+        rate = F.when(F.col(words) > 0, F.greatest(F.lit(0.0), F.least(F.col(goal) / F.col(words), F.lit(most))))
+        some = some.withColumn("rate", F.coalesce(rate, F.lit(0.0)))
+        some = some.withColumn("whole", F.floor(F.col("rate") + F.lit(_NEAR)))
+        some = some.withColumn("p", F.col("rate") - F.col("whole"))
+        items = some.where(F.col("p") > _NEAR).select(
+            F.col(_SOURCE).alias("grp"), F.col(ROW).alias("row"), F.col(_SIZE).alias("size"), "p", F.col(_KEY).alias("key")
+        )
+        raised = dependent_rounding(items).where("up").select(F.col("row").alias(ROW), F.lit(1).alias("up"))
+        copies = (F.col("whole") + F.coalesce(F.col("up"), F.lit(0))).cast("int")
+        return some.join(raised, ROW, "left").withColumn(_COPIES, copies).drop("rate", "whole", "p", "up")
+
+    first = staged(rounded(rated.where(large), "target", "source_size"), "mix-large")
+    spent = first.groupBy(F.col(_SOURCE).alias("s")).agg(
+        F.sum(_SIZE).alias("large_size"), F.sum(F.col(_SIZE) * F.col(_COPIES)).alias("spent")
     )
-    raised = dependent_rounding(items).where("up").select(F.col("row").alias(ROW), F.lit(1).alias("up"))
-    copies = F.col("whole") + F.coalesce(F.col("up"), F.lit(0))
-    return rated.join(raised, ROW, "left").withColumn(_COPIES, copies.cast("int"))
+    others = rated.where(~large).join(staged(spent, "mix-spent"), F.col(_SOURCE).eqNullSafe(F.col("s")), "left").drop("s")
+    others = others.withColumn("goal", F.col("target") - F.coalesce("spent", F.lit(0)))
+    others = others.withColumn("words", F.col("source_size") - F.coalesce("large_size", F.lit(0)))
+    return first.unionByName(rounded(others, "goal", "words").select(*first.columns))
 
 
 def _measured(docs: DataFrame, id_column: str, source: str, text: str) -> DataFrame:
