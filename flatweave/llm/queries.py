@@ -7,12 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatweave.llm import common, mixing, packing, simhash, token_files
+from flatweave.llm import common, language, mixing, packing, quality_model, quality_rules, simhash, token_files
 from flatweave.session import new_stage_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality_model.train_from(docs, common.read(spark, sf_dir, "labels", "doc_id", "quality"))
+    scored = docs.select("doc_id", common.held_out().alias("held_out"), quality_model.score(model, spark).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(common.read(spark, sf_dir, "documents", "doc_id", "source", "text"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -30,16 +37,29 @@ def op5_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, with_ids=False)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(common.read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(common.read(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    found = language.identify(language.train_from(docs), spark)
+    return docs.select("doc_id", common.held_out().alias("held_out"), found.alias("f")).select("doc_id", "held_out", "f.*")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_mix_sources": op2_mix_sources,
     "op3_token_files": op3_token_files,
     "op5_pack_documents": op5_pack_documents,
+    "op6_quality_rules": op6_quality_rules,
     "op9_simhash_near_duplicates": op9_simhash_near_duplicates,
+    "op10_language": op10_language,
 }
 
 # No operator here can be expressed in DuckDB's SQL: each needs XXH64, a tokenizer, a compressor, a
