@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatweave.llm import common, language, mixing, packing, quality_model, quality_rules, simhash, token_files
+import corpus_pipeline
+from flatweave.llm import (
+    common,
+    language,
+    mixing,
+    packing,
+    pages,
+    pii,
+    quality_model,
+    quality_rules,
+    simhash,
+    token_files,
+    vectors,
+)
 from flatweave.session import new_stage_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +45,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(common.read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op5_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read(spark, sf_dir, "documents", "doc_id", "text")
     return packing.pack_documents(docs, with_ids=False)
@@ -41,6 +58,16 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(common.read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op7_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extract(common.read(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op8_replace_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = pii.replace_pii(common.read(spark, sf_dir, "documents", "doc_id", "text"), entities="entities")
+    return replaced.withColumn("n_entities", F.size("entities").cast("long"))
+
+
 def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(common.read(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -56,10 +83,14 @@ QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_mix_sources": op2_mix_sources,
     "op3_token_files": op3_token_files,
+    "op4_near_vectors": op4_near_vectors,
     "op5_pack_documents": op5_pack_documents,
     "op6_quality_rules": op6_quality_rules,
+    "op7_page_text": op7_page_text,
+    "op8_replace_personal_data": op8_replace_personal_data,
     "op9_simhash_near_duplicates": op9_simhash_near_duplicates,
     "op10_language": op10_language,
+    "pipeline": corpus_pipeline.run,
 }
 
 # No operator here can be expressed in DuckDB's SQL: each needs XXH64, a tokenizer, a compressor, a
