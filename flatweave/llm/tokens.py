@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import os
+import sys
+from array import array
 from functools import lru_cache
 
+import numpy as np
+
 END = 0
 ID_BYTES = 4
-MOST_CACHED = 600_000
+MOST_CACHED = 500_000
 
 
 def public_tokenizer(name: str = "byte_bpe_50k.json") -> str:
@@ -17,12 +21,22 @@ def public_tokenizer(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class _Known(dict):
+    """Words that are kept, and beside them those of the present batch."""
+
+    others: dict[str, bytes]
+
+    def __missing__(self, word: str) -> bytes:
+        return self.others[word]
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers.
 
     A byte-level tokenizer with the usual pre-tokenizer starts a new piece at every space that has other
     than white space on both sides, so what lies between such spaces can be encoded by
-    itself, and once for all its repeats.  A text with any other white space next to a space
+    itself, and once for all its repeats.  New words of a batch are encoded together and told apart by the ids
+    that begin with a space.  A text with any other white space next to a space
     is encoded whole.  The ids are those of encoding the whole text (see the tests).
     """
 
@@ -32,36 +46,60 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._words: dict[str, bytes | None] = {}
+        vocabulary = self._tokenizer.get_vocab()
+        self._begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._begins[[number for sign, number in vocabulary.items() if sign.startswith("\u0120")]] = True
+        self._known = _Known()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in found]
-
-    def _learn(self, split: list[list[str]]) -> None:
-        used = {word for words in split for word in words[1:]}
-        new = used - self._words.keys()
-        if len(self._words) + len(new) > MOST_CACHED:
-            self._words.clear()
-            new = used
-        plain = [word for word in new if word and not word[0].isspace() and not word[-1].isspace()]
-        self._words.update(dict.fromkeys(new))
-        self._words.update(zip(plain, self._encode([" " + word for word in plain])))
+        made = [array("I", one.ids) for one in found]
+        if sys.byteorder == "big":
+            for one in made:
+                one.byteswap()
+        return [one.tobytes() for one in made]
+
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words that follow a space."""
+        made: dict[str, bytes] = {}
+        for first in range(0, len(words), 4_096):
+            some = words[first : first + 4_096]
+            ids = self._encode([" " + " ".join(some)])[0]
+            starts = ID_BYTES * np.flatnonzero(self._begins[np.frombuffer(ids, "<u4")])
+            if len(starts) == len(some):
+                ends = [*starts[1:].tolist(), len(ids)]
+                made.update(zip(some, [ids[a:b] for a, b in zip(starts.tolist(), ends)]))
+            else:
+                made.update(zip(some, self._encode([" " + word for word in some])))
+        return made
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text (null: empty), without an end id."""
         split = [(text or "").split(" ") for text in texts]
-        self._learn(split)
+        used = set().union(*split)
+        new = used - self._known.keys()
+        plain = [word for word in new if word and not word[0].isspace() and not word[-1].isspace()]
+        found = self._words(plain)
+        if len(self._known) + len(found) <= MOST_CACHED:
+            self._known.update(found)
+            self._known.others = {}
+        else:
+            # The first words met are the frequent ones.  Where most are new, the texts have changed.
+            if 2 * len(new) > len(used):
+                found |= {word: self._known[word] for word in used - new}
+                self._known = _Known()
+            self._known.others = found
+        get = self._known.__getitem__
         firsts = self._encode([words[0] for words in split])
         made = []
         for text, words, first in zip(texts, split, firsts):
-            parts = list(map(self._words.get, words[1:]))
-            if parts and (None in parts or not words[0] or words[0][-1].isspace()):
+            try:
+                if len(words) > 1 and (not words[0] or words[0][-1].isspace()):
+                    raise KeyError
+                del words[0]
+                made.append(first + b"".join(map(get, words)))
+            except KeyError:  # white space next to a space
                 made.append(self._encode([text])[0])
-            else:
-                made.append(first + b"".join(parts))
         return made
 
 
