@@ -21,8 +21,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MOST_COPIES = 3.0
 BLOCK = 64
 SEED = 20240229
-# Documents above this share of their source's words are rounded first.
-LARGE_SHARE = 1 / 500
+# Documents above these shares of their source's words are rounded before the shorter ones.
+LARGE_SHARES = (1 / 20, 1 / 100, 1 / 500)
 _NEAR = 1e-9
 
 _SIZE, _SOURCE, _KEY, _TARGET, _COPIES = "__llm_size", "__llm_source", "__llm_key", "__llm_target", "__llm_copies"
@@ -121,8 +121,9 @@ def _with_copies(rows: DataFrame, weights: tuple[float, ...], most: float) -> Da
     """Adds the target and copies to rows (ROW, size, source, key)."""
     sizes = rows.groupBy(F.col(_SOURCE).alias("source")).agg(F.sum(_SIZE).alias("source_size"))
     targets = staged(source_targets(sizes, weights, most), "mix-targets")
-    large = F.col(_SIZE) > F.col("source_size") * F.lit(LARGE_SHARE)
+    above = [(F.col(_SIZE) > F.col("source_size") * F.lit(share)).cast("int") for share in LARGE_SHARES]
     rated = rows.join(targets.withColumnRenamed("source", "s"), F.col(_SOURCE).eqNullSafe(F.col("s")), "left").drop("s")
+    rated = rated.withColumn("tier", sum(above[1:], above[0]))
 
     def rounded(some: DataFrame, goal: str, words: str) -> DataFrame:
         """Copies of documents that are to take ``goal`` of their ``words`` words in all, a source at a time."""
@@ -137,14 +138,26 @@ def _with_copies(rows: DataFrame, weights: tuple[float, ...], most: float) -> Da
         copies = (F.col("whole") + F.coalesce(F.col("up"), F.lit(0))).cast("int")
         return some.join(raised, ROW, "left").withColumn(_COPIES, copies).drop("rate", "whole", "p", "up")
 
-    first = staged(rounded(rated.where(large), "target", "source_size"), "mix-large")
-    spent = first.groupBy(F.col(_SOURCE).alias("s")).agg(
-        F.sum(_SIZE).alias("large_size"), F.sum(F.col(_SIZE) * F.col(_COPIES)).alias("spent")
-    )
-    others = rated.where(~large).join(staged(spent, "mix-spent"), F.col(_SOURCE).eqNullSafe(F.col("s")), "left").drop("s")
-    others = others.withColumn("goal", F.col("target") - F.coalesce("spent", F.lit(0)))
-    others = others.withColumn("words", F.col("source_size") - F.coalesce("large_size", F.lit(0)))
-    return first.unionByName(rounded(others, "goal", "words").select(*first.columns))
+    # What is left to take, and from how many words, once the longer documents are settled.
+    left = targets.select(F.col("source").alias("s"), F.col("target").alias("goal"), F.col("source_size").alias("words"))
+    made = None
+    tiers = sorted((row["tier"] for row in rated.select("tier").distinct().collect()), reverse=True)
+    for tier in tiers or [0]:  # as many as LARGE_SHARES has, and one
+        some = rated.where(F.col("tier") == tier).join(left, F.col(_SOURCE).eqNullSafe(F.col("s")), "left").drop("s")
+        some = rounded(some, "goal", "words").drop("goal", "words", "tier")
+        if tier:
+            some = staged(some, "mix-tier")
+            spent = some.groupBy(F.col(_SOURCE).alias("t")).agg(
+                F.sum(_SIZE).alias("gone"), F.sum(F.col(_SIZE) * F.col(_COPIES)).alias("spent")
+            )
+            left = left.join(spent, F.col("s").eqNullSafe(F.col("t")), "left").select(
+                "s",
+                (F.col("goal") - F.coalesce("spent", F.lit(0))).alias("goal"),
+                (F.col("words") - F.coalesce("gone", F.lit(0))).alias("words"),
+            )
+            left = staged(left, "mix-left")
+        made = some if made is None else made.unionByName(some)
+    return made
 
 
 def _measured(docs: DataFrame, id_column: str, source: str, text: str) -> DataFrame:

@@ -66,14 +66,13 @@ def token_pieces(
 @lru_cache(maxsize=8)
 def _dual_feasible(capacity: int) -> np.ndarray:
     """Values of dual-feasible functions at each length, a row a function (Fekete and Schepers)."""
-    x = np.arange(capacity + 1, dtype=np.float64) / capacity
+    length = np.arange(capacity + 1)
+    x = length / capacity
     rows = [x]
-    for e in range(1, capacity // 2 + 1, max(1, capacity // 256)):
-        least = e / capacity
-        rows.append(np.where(x > 1 - least, 1.0, np.where(x >= least, x, 0.0)))
+    for least in range(1, capacity // 2 + 1, max(1, capacity // 256)):
+        rows.append(np.where(length > capacity - least, 1.0, np.where(length >= least, x, 0.0)))
     for k in range(1, 32):
-        scaled = np.arange(capacity + 1, dtype=np.int64) * (k + 1)
-        rows.append(np.where(scaled % capacity == 0, x, scaled // capacity / k))
+        rows.append(np.where(length * (k + 1) % capacity == 0, x, length * (k + 1) // capacity / k))
     return np.array(rows)
 
 

@@ -1,0 +1,115 @@
+import re
+
+import odd
+import pytest
+from pyspark.sql import functions as F
+
+from flatweave.llm import pii
+
+
+def none(kind, normal):
+    return 0
+
+
+def kinds(text):
+    return [(kind, text[start:end]) for kind, start, end, _ in pii.find(text)]
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("write to ab.12@mail.example.com### now", [("email", "ab.12@mail.example.com")]),
+        ("+1 (017) 555-7713 190.137.223.204", [("phone", "+1 (017) 555-7713"), ("ip", "190.137.223.204")]),
+        ("7536784127813050 4845168114407329", [("card", "7536784127813050"), ("card", "4845168114407329")]),
+        ("4111-1111-1111-1111 and +49 30 901820 00", [("card", "4111-1111-1111-1111"), ("phone", "+49 30 901820 00")]),
+        ('token = "04dbebab91ab85687d33"', [("secret", "04dbebab91ab85687d33")]),
+        ("Mr. John Smith and г-жа Иванова", [("name", "Mr. John Smith"), ("name", "г-жа Иванова")]),
+        ("DE89 3704 0044 0532 0130 00; 078-05-1120", [("iban", "DE89 3704 0044 0532 0130 00"), ("ssn", "078-05-1120")]),
+        ("version 3.0, CC BY 4.0, 12 of 1,500 in 2024-01-02 at 10:20", []),
+        ("The Don river; Anna went home; a token of thanks; sir", []),
+        ("", []),
+    ],
+)
+def test_find(text, expected):
+    assert kinds(text) == expected
+
+
+def test_surrogates_keep_kind_form_and_script():
+    text = (
+        "Frau Anna Schmidt, Herr Schmidt, г-н Иванов, UND.34@MAIL7.EXAMPLE.COM, und.34@mail7.example.com, +1 (017) 555-7713, "
+        "4111 1111 1111 1111, DE89370400440532013000, 10.20.30.40, TOKEN = \"9233A8ECF7C5B09FE594\", 078-05-1120"
+    )
+    made, entities = pii.replace(text, b"k", none)
+    assert [kind for kind, _ in kinds(made)] == [one["kind"] for one in entities]
+    for one in entities:
+        old = text[one["start"] : one["end"]]
+        assert old not in made
+        if one["kind"] in ("phone", "card", "ssn", "secret"):
+            assert re.sub(r"[0-9A-F]", "9", one["surrogate"]) == re.sub(r"[0-9A-F]", "9", old)
+    by_kind = [one["surrogate"] for one in entities]
+    family = by_kind[0].split()[2]
+    assert by_kind[1] == f"Herr {family}"  # the same person
+    assert by_kind[0].split()[1] in pii.GIVEN["latin", "f"]
+    assert re.fullmatch(r"г-н [А-ЯЁ][а-яё]+", by_kind[2])
+    assert by_kind[3] == by_kind[4].upper() and by_kind[4].rsplit(".", 2)[1] == "example"
+    assert pii.luhn(by_kind[6].replace(" ", ""))
+    iban = by_kind[7]
+    assert int("".join(str(int(sign, 36)) for sign in iban[4:] + iban[:4])) % 97 == 1
+    assert pii.replace(text, b"k", none)[0] == made
+    assert pii.replace(text, b"other", none)[0] != made
+
+
+def test_given_documents(documents):
+    made = {row.doc_id: row for row in pii.replace_pii(documents, entities="entities").collect()}
+    pattern = r"[\w.]+@[\w.]+|\+1 \(\d+\) \d+-\d+|\d+(?:\.\d+){3}|\b\d{16}\b|(?i:token) = \"\w+"
+    known, found = {}, 0
+    for row in documents.collect():
+        new = made[row.doc_id]
+        for old in re.findall(pattern, row.text):
+            assert old not in new.text
+            found += 1
+        rebuilt, at = "", 0
+        for one in new.entities:
+            rebuilt += row.text[at : one.start] + one.surrogate
+            known.setdefault((one.kind, row.text[one.start : one.end].lower()), set()).add(one.surrogate.lower())
+            at = one.end
+        assert rebuilt + row.text[at:] == new.text
+        if not new.entities:
+            assert new.text == row.text
+    assert found > 5
+    assert all(len(surrogates) == 1 for surrogates in known.values())
+    assert len({next(iter(s)) for s in known.values()}) == len(known)
+
+
+def test_collisions_are_redrawn_until_surrogates_are_distinct(spark, monkeypatch):
+    # Only 12 values at first, some of which are originals themselves.
+    def narrow(key, kind, normal, attempt):
+        value = sum(map(ord, normal)) % 12
+        return str(value) if attempt == 0 else f"{value}-{attempt}"
+
+    monkeypatch.setattr(pii, "surrogate", narrow)
+    originals = [("card", str(i)) for i in range(6)] + [("number", f"n{i}") for i in range(60)] + [("ip", "n7")]
+    changed = pii.redraws(spark.createDataFrame(originals, "kind string, normal string"), b"k").collect()
+    attempts = {(row.kind, row.normal): row.attempt for row in changed}
+    values = [(k == "ip", narrow(b"k", k, n, attempts.get((k, n), 0))) for k, n in originals]
+    assert len(set(values)) == len(values)
+    assert not {value for ip, value in values if not ip} & {normal for _, normal in originals}
+
+
+def test_many_names_stay_distinct_through_documents(spark):
+    names = [f"{given} Smith" for given in pii.GIVEN["latin", "f"]]
+    df = spark.createDataFrame([(i, f"Then Mrs {name} left.") for i, name in enumerate(names)], "doc_id long, text string")
+    made = [row.text for row in pii.replace_pii(df).collect()]
+    assert len(set(made)) == len(names)
+    assert not {text.split()[2] for text in made} & {name.split()[0] for name in names}
+
+
+def test_odd_rows(spark):
+    df = odd.documents(spark)
+    made = pii.replace_pii(df, entities="found")
+    assert made.columns == [*df.columns, "found"]
+    old = sorted((str(row.doc_id), str(row.text)) for row in df.collect())
+    assert sorted((str(row.doc_id), str(row.text)) for row in made.collect()) == old
+    assert pii.replace_pii(odd.no_documents(spark)).count() == 0
+    plain = df.withColumn("text", F.lit(None).cast("string"))
+    assert pii.replace_pii(plain).where("text IS NOT NULL").count() == 0
