@@ -59,42 +59,64 @@ def slices_by_size(sizes: np.ndarray, most: int) -> Iterator[np.ndarray]:
         yield order[first:]
 
 
+def hash_sample(df: DataFrame, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows, those with the smallest hashes of ``key``.
+
+    Rows are counted first, so that all tasks together send the driver little more than the sample.
+    """
+    count = df.count()
+    # Six standard deviations above what is wanted: fewer are found about once in 10^9 times.
+    share = (most + 6 * most**0.5 + 10) / count if count else 1.0
+    return df.where(uniform(key) < share).orderBy(F.xxhash64(key), key).limit(most)
+
+
 class Vocabulary:
-    """Numbers of words, kept by a Python worker across its tasks; forgotten when full.
+    """Rows of features of words, kept by a Python worker across its tasks.
 
-    ``features`` makes a row of numbers for a list of new words.
+    ``features`` makes a row of numbers for each of a list of new words.  When full, the words met first, which are the
+    frequent ones, stay; should most others keep missing, all are forgotten.
     """
 
-    def __init__(self, features: Callable[[list[str]], np.ndarray], most: int = 600_000):
+    def __init__(self, features: Callable[[list[str]], np.ndarray], most: int = 500_000):
         self._features, self._most = features, most
-        self._reset()
+        self._forget()
 
-    def _reset(self) -> None:
+    def _forget(self) -> None:
         self._numbers: dict[str, int] = {}
         self._rows: np.ndarray | None = None
+        self._missed = 0
 
     def rows(self, words: list[str]) -> np.ndarray:
         """A feature row for each word, in order."""
-        if len(self._numbers) > self._most:
-            self._reset()
-        numbers = self._numbers
-        found = list(map(numbers.get, words))
-        if None in found:
-            new = list(dict.fromkeys(word for word, number in zip(words, found) if number is None))
-            start = len(numbers)
-            numbers.update(zip(new, range(start, start + len(new))))
-            made = self._features(new)
-            if self._rows is None:
-                self._rows = np.empty((max(1024, 2 * len(new)), *made.shape[1:]), made.dtype)
-            if start + len(new) > len(self._rows):
-                grown = np.empty((2 * (start + len(new)), *made.shape[1:]), made.dtype)
-                grown[:start] = self._rows[:start]
+        found = list(map(self._numbers.get, words))
+        if None not in found:
+            if not found:
+                return self._features([])
+            return self._rows[np.fromiter(found, np.int64, len(found))]
+        new = list(dict.fromkeys(word for word, number in zip(words, found) if number is None))
+        made = self._features(new)
+        start = len(self._numbers)
+        if start + len(new) <= self._most:
+            self._numbers.update(zip(new, range(start, start + len(new))))
+            if self._rows is None or start + len(new) > len(self._rows):
+                grown = np.empty((max(1024, 2 * (start + len(new))), *made.shape[1:]), made.dtype)
+                if self._rows is not None:
+                    grown[:start] = self._rows[:start]
                 self._rows = grown
             self._rows[start : start + len(new)] = made
-            found = list(map(numbers.__getitem__, words))
-        if self._rows is None:
-            return self._features([])
-        return self._rows[np.fromiter(found, np.int64, len(found))]
+            found = list(map(self._numbers.__getitem__, words))
+            return self._rows[np.fromiter(found, np.int64, len(found))]
+        other = dict(zip(new, range(start, start + len(new))))
+        places = np.fromiter((other[w] if n is None else n for w, n in zip(words, found)), np.int64, len(found))
+        rows = np.empty((len(words), *made.shape[1:]), made.dtype)
+        known = places < start
+        if start:
+            rows[known] = self._rows[places[known]]
+        rows[~known] = made[places[~known] - start]
+        self._missed += len(new)
+        if self._missed > 8 * self._most:
+            self._forget()
+        return rows
 
 
 def map_batches(

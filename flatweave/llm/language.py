@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatweave.llm.common import Vocabulary, held_out, slices_by_size, words_of
+from flatweave.llm.common import Vocabulary, hash_sample, held_out, slices_by_size, words_of
 
 UNKNOWN = "und"
 HASH_BITS = 17
@@ -33,18 +33,33 @@ MIN_SCORE = 1 / 3
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
+class _Slots(dict):
+    """Numbers of feature names; names of few letters come again and again."""
+
+    def __missing__(self, name: str) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        slot = self[name] = zlib.crc32(name.encode()) & ((1 << HASH_BITS) - 1)
+        return slot
+
+
+_slots = _Slots()
+
+
 def _features(word: str, lexicon: dict[str, str]) -> list[int]:
     """Hashed features; none for a word without letters."""
-    letters = _NOT_LETTERS.sub("", word).lower()
+    letters = word if word.isalpha() else _NOT_LETTERS.sub("", word)
     if not letters:
         return []
-    names = [f"w{letters}", f"p{letters[:2]}", f"p{letters[:3]}", f"s{letters[-2:]}", f"s{letters[-3:]}"]
+    letters = letters.lower()
     edged = f"^{letters}$"
-    names += [edged[at : at + 3] for at in range(len(edged) - 2)]
+    names = [edged[at : at + 3] for at in range(len(edged) - 2)]
+    names += ("p" + letters[:2], "p" + letters[:3], "s" + letters[-2:], "s" + letters[-3:])
     if letters in lexicon:
         names.append(f"lexicon {lexicon[letters]}")
-    mask = (1 << HASH_BITS) - 1
-    return [zlib.crc32(name.encode()) & mask for name in names]
+    made = list(map(_slots.__getitem__, names))
+    made.append(zlib.crc32(f"word {letters}".encode()) & ((1 << HASH_BITS) - 1))
+    return made
 
 
 @dataclass
@@ -208,7 +223,8 @@ def train(texts: list[str], languages: list[str], seed: int = 7) -> Model:
 def train_from(docs: DataFrame, most: int = MOST_DOCUMENTS) -> Model:
     """Learns from at most ``most`` rows with a language that are not held out, evenly by a hash of the id."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    rows = usable.select("doc_id", "text", "lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(most).collect()
+    rows = hash_sample(usable.select("doc_id", "text", "lang"), "doc_id", most).collect()
+    rows.sort(key=lambda row: (row["doc_id"], row["text"], row["lang"]))
     return train([row["text"] for row in rows], [row["lang"] for row in rows])
 
 

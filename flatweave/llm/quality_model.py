@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatweave.llm.common import Vocabulary, held_out, words_of
+from flatweave.llm.common import Vocabulary, hash_sample, held_out, words_of
 
 HASH_BITS = 20
 MOST_LABELLED = 6_000
@@ -124,7 +124,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "quality",
     """At most ``most`` labelled rows that are not held out, evenly by a hash of the id: the bound of the model's input."""
     usable = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     usable = usable.groupBy("doc_id").agg(F.max(label).alias("__llm_label"))
-    usable = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    usable = hash_sample(usable, "doc_id", most)
     # Broadcast: at most ``most`` ids.
     return docs.select("doc_id", "text").join(F.broadcast(usable), "doc_id")
 

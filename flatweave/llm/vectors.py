@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flatweave.llm.common import ROW, map_batches, staged, with_row_ids
+from flatweave.llm.common import ROW, hash_sample, map_batches, staged, with_row_ids
 from flatweave.llm.components import connected_components
 
 THRESHOLD = 0.95
@@ -284,7 +284,7 @@ def audit_recall(nodes: DataFrame, counted: DataFrame, threshold: float = THRESH
 
     The queries are a bounded number of nodes, those with the smallest hashes.
     """
-    asked = nodes.orderBy(F.xxhash64("node"), "node").limit(queries).select("node", "unit").collect()
+    asked = hash_sample(nodes.select("node", "unit"), "node", queries).collect()
     if not asked:
         return 1.0
     ids = np.array([row["node"] for row in asked])
@@ -364,7 +364,7 @@ def near_vectors(
 
 def _links_of(nodes: DataFrame, count: int, threshold: float) -> DataFrame:
     """Shards, graph and search of nodes of one dimension, widened until the audit is met."""
-    rows = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("unit").collect()
+    rows = hash_sample(nodes.select("node", "unit"), "node", SAMPLE).collect()
     sample = np.array([row["unit"] for row in rows])
     wanted = max(1, min(-(-count // SHARD_NODES), len(sample) // LEAST_PER_CENTROID))
     shared = nodes.sparkSession.sparkContext.broadcast(fit_centroids(sample, wanted))
