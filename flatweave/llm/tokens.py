@@ -11,7 +11,8 @@ import numpy as np
 
 END = 0
 ID_BYTES = 4
-MOST_CACHED = 500_000
+MOST_CACHED = 700_000
+_TOGETHER = 256  # longer texts are slower by the word
 
 
 def public_tokenizer(name: str = "byte_bpe_50k.json") -> str:
@@ -50,6 +51,7 @@ class Encoder:
         self._begins = np.zeros(max(vocabulary.values()) + 1, bool)
         self._begins[[number for sign, number in vocabulary.items() if sign.startswith("\u0120")]] = True
         self._known = _Known()
+        self._signs = dict(zip(",.", self._encode([",", "."])))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -62,8 +64,8 @@ class Encoder:
     def _words(self, words: list[str]) -> dict[str, bytes]:
         """The ids of words that follow a space."""
         made: dict[str, bytes] = {}
-        for first in range(0, len(words), 4_096):
-            some = words[first : first + 4_096]
+        for first in range(0, len(words), _TOGETHER):
+            some = words[first : first + _TOGETHER]
             ids = self._encode([" " + " ".join(some)])[0]
             starts = ID_BYTES * np.flatnonzero(self._begins[np.frombuffer(ids, "<u4")])
             if len(starts) == len(some):
@@ -79,7 +81,11 @@ class Encoder:
         used = set().union(*split)
         new = used - self._known.keys()
         plain = [word for word in new if word and not word[0].isspace() and not word[-1].isspace()]
-        found = self._words(plain)
+        found = self._words([word for word in plain if not (word[-1] in ",." and word[:-1] in self._known and word[:-1].isalpha())])
+        # A sign after letters is a piece of its own.
+        for word in plain:
+            if word not in found:
+                found[word] = self._known[word[:-1]] + self._signs[word[-1]]
         if len(self._known) + len(found) <= MOST_CACHED:
             self._known.update(found)
             self._known.others = {}
