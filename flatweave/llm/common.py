@@ -19,9 +19,12 @@ ROW = "__llm_row"
 BATCH_ROWS = 1_000
 
 
-def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
-    """A table of the given folder; texts are handed to Python in small batches."""
+def small_batches(spark: SparkSession) -> None:
+    """Texts are handed to Python in small batches from now on; long ones would not fit in memory else."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
     frame = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     return frame.select(*columns) if columns else frame
 
@@ -123,6 +126,7 @@ def map_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
 ) -> DataFrame:
     """``function`` for each Arrow batch; a batch without rows is left out."""
+    small_batches(df.sparkSession)
 
     def run(batches):
         for batch in batches:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatweave.llm.common import Vocabulary, hash_sample, held_out, slices_by_size, words_of
+from flatweave.llm.common import Vocabulary, hash_sample, held_out, slices_by_size, small_batches, words_of
 
 UNKNOWN = "und"
 HASH_BITS = 17
@@ -273,6 +273,7 @@ def identify(model: Model, spark, text: Column | str = "text") -> Column:
 
     ``score`` is the mean posterior of the language over the text's words, so it falls where a text switches.
     """
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")

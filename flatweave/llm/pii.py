@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatweave.llm.common import map_batches, staged
+from flatweave.llm.common import map_batches, small_batches, staged
 
 DEFAULT_KEY = b"example key: give your own"
 MOST_ROUNDS = 64
@@ -388,6 +388,7 @@ def replace_pii(docs: DataFrame, text: str = "text", key: bytes = DEFAULT_KEY, e
     ``entities`` names a column to add: array of (kind, start, end, surrogate), places in the old text.  A null text stays
     null and has none.  Repeated rows get equal texts.
     """
+    small_batches(docs.sparkSession)
     held = _held(docs, text)
     changed = redraws(held.select("kind", "normal").distinct(), key)
     entry = F.concat_ws("\x1f", "kind", "normal", F.col("attempt").cast("string"))

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatweave.llm.common import Vocabulary, hash_sample, held_out, words_of
+from flatweave.llm.common import Vocabulary, hash_sample, held_out, small_batches, words_of
 
 HASH_BITS = 20
 MOST_LABELLED = 6_000
@@ -141,6 +141,7 @@ _in_worker: dict[str, Vocabulary] = {}
 
 def score(model: Model, spark, text: Column | str = "text") -> Column:
     """The chance that a text is good: 0 to 1; null and empty texts have that of the bias."""
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

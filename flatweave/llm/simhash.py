@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flatweave.llm.common import ROW, map_batches, staged, with_row_ids, words_of
+from flatweave.llm.common import ROW, small_batches, staged, with_row_ids, words_of
 from flatweave.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -61,6 +61,7 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 def with_fingerprints(df: DataFrame, text: str = "text", output: str = "__llm_fp") -> DataFrame:
     """Adds the fingerprint as a signed long."""
+    small_batches(df.sparkSession)
 
     @F.pandas_udf("long")
     def prints(texts: pd.Series) -> pd.Series:

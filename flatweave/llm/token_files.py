@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flatweave.llm import tokens
-from flatweave.llm.common import staged
+from flatweave.llm.common import small_batches, staged
 
 # Fixed values of the published formats.
 SEEKABLE_MAGIC = 0x8F92EAB1
@@ -135,6 +135,7 @@ def write_token_files(
     document order.  Null texts are empty; null doc_ids come first; rows with one id are ordered by
     a hash of their text.  An empty table makes no file.
     """
+    small_batches(docs.sparkSession)
     store, place = file_system(folder)
     store.create_dir(place, recursive=True)
 

@@ -11,7 +11,7 @@ import numpy as np
 
 END = 0
 ID_BYTES = 4
-MOST_CACHED = 700_000
+MOST_CACHED = 800_000
 _TOGETHER = 256  # longer texts are slower by the word
 
 
