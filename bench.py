@@ -19,9 +19,9 @@ from flatweave import schemas
 from flatweave.operators.flatten import flatten_table
 from flatweave.plans.flatten_job import flatten_work, keyed_source
 from flatweave.plans.work import route
-from flatweave.session import new_stage_path
+from flatweave.session import Stages, new_stage_path
 from flatweave.sinks.tables import PARTITIONED, replace_shards
-from flatweave.sources.shards import list_shards
+from flatweave.sources.shards import list_shards, shard_paths
 from testbed.nested import nested_root
 from testbed.queries import JOB, ONE_SHARD, QUERIES, stream_flatten
 
@@ -68,9 +68,10 @@ def write_four_event_tables(spark: SparkSession) -> None:
 def replace_one_day(spark: SparkSession, state={}) -> None:
     root = nested_root(spark, SF_DIR, "events")
     out = state.setdefault("out", new_stage_path(spark, "bench-day"))
-    day = list_shards(spark, root, "events", (ONE_SHARD, ONE_SHARD))
-    keyed = keyed_source(spark, root, "events", ["event_params"], between=(ONE_SHARD, ONE_SHARD), **JOB)
-    replace_shards(flatten_table(keyed, "event_params", "events"), out, PARTITIONED, "event_params", day)
+    day = list(shard_paths(spark, root, "events", between=(ONE_SHARD, ONE_SHARD)))
+    with Stages(spark) as stages:
+        keyed = keyed_source(spark, root, "events", ["event_params"], pairs=day, stages=stages, **JOB)
+        replace_shards(flatten_table(keyed, "event_params", "events"), out, PARTITIONED, "event_params", day)
 
 
 def stream_catch_up(spark: SparkSession) -> None:

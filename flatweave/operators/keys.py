@@ -92,15 +92,15 @@ def with_event_id(
     parts with ``.`` and numbers rows that agree on each.  Either is NULL where the
     stream, name or timestamp is NULL.
 
-    With ``repeats``, a result of :func:`repeat_numbers` small enough to broadcast,
-    the rows stay where they are; without, they are shuffled once to be numbered.
+    Only the key columns are shuffled to be numbered.  The numbers, those given as ``repeats`` (a result of
+    :func:`repeat_numbers`) or else made when the rows are read, are joined to the rows: by broadcast if
+    Spark sees that they are small, else with one shuffle of the rows.
     """
-    parts, keys, separator = _event_key(events, intraday_view)
+    parts, _, separator = _event_key(events, intraday_view)
     if repeats is None:
-        numbered = number_rows(events, keys, _NUMBER, position=position, **numbering)
-    else:
-        numbered = events.join(F.broadcast(repeats), [*PLACE, position], "left")
-        numbered = numbered.select(*events.columns, F.coalesce(_NUMBER, F.lit(1)).alias(_NUMBER))
+        repeats = repeat_numbers(events, intraday_view, position, **numbering)
+    numbered = events.join(repeats, [*PLACE, position], "left")
+    numbered = numbered.select(*events.columns, F.coalesce(_NUMBER, F.lit(1)).alias(_NUMBER))
     event_id = _joined([*parts, F.col(_NUMBER).cast("string")], separator)
     return numbered.withColumn("event_id", event_id).drop(_NUMBER)
 

@@ -4,14 +4,16 @@ A plain ``row_number`` sends each group to one task.  Here a group's order is
 defined by an evenly spread 60-bit value of the row's source position, so a group
 too large for one task can be cut into equal ranges of that value: rows are
 numbered inside each range, and the sizes of the earlier ranges are added.  The
-numbers do not depend on where, or whether, a group is cut.
+numbers do not depend on where, or whether, a group is cut, so large groups are found in a
+sample.
 
-The wide rows are shuffled once.  That shuffle also collects each shard into as
-many tasks as its size needs, so writing the result by shard makes few files.
+Give the columns that are needed only: all rows are shuffled once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,15 +22,15 @@ from flatweave.schemas import PLACE
 
 HOT_GROUP_ROWS = 1_000_000
 ROWS_PER_TASK = 2_000_000
+# A hot group has about so many rows in the sample that finds it.
+SAMPLE_ROWS = 1_000
 
-_HASH, _SPREAD, _TIE, _BITS, _CUT, _SLOT, _SLOTS, _GROUP, _ROWS, _BEFORE = (
+_HASH, _SPREAD, _TIE, _BITS, _CUT, _GROUP, _ROWS, _BEFORE = (
     "__hash",
     "__spread",
     "__tie",
     "__bits",
     "__cut",
-    "__slot",
-    "__slots",
     "__group",
     "__rows",
     "__before",
@@ -43,16 +45,20 @@ def _group_hash(group: list[Column]) -> Column:
     return F.when(complete, F.xxhash64(*group))
 
 
-def hot_groups(df: DataFrame, group: list[Column], hot_rows: int) -> DataFrame:
+def hot_groups(df: DataFrame, group: list[Column], position: str, hot_rows: int) -> DataFrame:
     """Hashes of groups too large for one task, with the leading bits to cut them by.
 
-    Reads the key columns only and pre-aggregates before its shuffle.  At most one
-    group per ``hot_rows`` rows is hot: 100,000 of 16 bytes in 10^11 rows, so the
-    result may be broadcast.  Two groups with one hash are cut alike, no more.
+    From an even sample of rows, of which only hashes are shuffled.  A group a quarter below ``hot_rows`` may be
+    cut as well, and one a little above it may not; both are still numbered right.  About one group per ``hot_rows`` rows can be hot:
+    100,000 of 16 bytes in 10^11 rows, so the result may be broadcast.  Two groups with one hash are cut alike, no more.
     """
-    sizes = df.select(_group_hash(group).alias(_HASH)).where(F.col(_HASH).isNotNull())
-    sizes = sizes.groupBy(_HASH).agg(F.count("*").alias(_ROWS)).where(F.col(_ROWS) > hot_rows)
-    return sizes.select(_HASH, F.ceil(F.log2(F.col(_ROWS) / hot_rows)).cast("int").alias(_BITS))
+    share = min(1.0, SAMPLE_ROWS / hot_rows)
+    sampled = df.where(spread(position) < int(share * (1 << SPREAD_BITS)))
+    sizes = sampled.select(_group_hash(group).alias(_HASH)).where(F.col(_HASH).isNotNull())
+    sizes = sizes.groupBy(_HASH).agg((F.count("*") / share).alias(_ROWS))
+    sizes = sizes.where(F.col(_ROWS) > (hot_rows if share == 1.0 else 0.75 * hot_rows))
+    bits = F.greatest(F.ceil(F.log2(F.col(_ROWS) / hot_rows)), F.lit(1))
+    return sizes.select(_HASH, bits.cast("int").alias(_BITS))
 
 
 def _cut() -> Column:
@@ -74,35 +80,40 @@ def number_rows(
     scope: tuple[str, ...] = PLACE,
     hot_rows: int = HOT_GROUP_ROWS,
     rows_per_task: int = ROWS_PER_TASK,
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Number the rows of each group from 1, per source shard.
 
     ``position`` names a column that identifies a source row; it makes the order,
     hence the numbers, repeatable.  A row with a NULL key gets a NULL number.
+
+    ``keep`` writes a table and gives it back, under a name.  With it the large groups are found once, and rows are
+    counted to shuffle them into as many tasks as they need; without it nothing is run before the
+    result is, and the session's number of shuffle partitions holds.
     """
     scope = list(scope)
     group = [*map(F.col, scope), *keys]
-    hot = hot_groups(df, group, hot_rows)
-
-    # One row per shard directory; the driver lists those anyway to plan the scan.
-    slots = df.groupBy(*scope).agg(F.ceil(F.count("*") / rows_per_task).alias(_SLOTS))
+    hot = hot_groups(df, group, position, hot_rows)
+    if keep is not None:
+        hot = keep(hot, "hot-groups")
 
     placed = (
-        df.join(F.broadcast(slots), scope, "left")
-        .withColumns({_HASH: _group_hash(group), _SPREAD: spread(position), _TIE: F.xxhash64(position)})
+        df.withColumns({_HASH: _group_hash(group), _SPREAD: spread(position), _TIE: F.xxhash64(position)})
         .join(F.broadcast(hot), _HASH, "left")
         .withColumn(_CUT, _cut())
-        .withColumn(_SLOT, F.pmod(F.xxhash64(_HASH, _CUT), F.coalesce(_SLOTS, F.lit(1))))
-        .drop(_BITS, _SLOTS)
-        .repartition(*scope, _SLOT)
+        .drop(_BITS)
         .withColumn(_GROUP, F.struct(*group))
     )
-    # The window's keys include the shuffle's, so it sorts without a second shuffle.
+    if keep is not None:
+        default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        needed = -(-df.count() // rows_per_task)
+        if needed > default:
+            placed = placed.repartition(needed, _HASH, _CUT)
     # The group hash and range come first: comparing two longs settles most rows.
-    window = Window.partitionBy(*scope, _SLOT, _HASH, _CUT, _GROUP).orderBy(_SPREAD, _TIE)
+    window = Window.partitionBy(_HASH, _CUT, _GROUP).orderBy(_SPREAD, _TIE)
     numbered = placed.withColumn(output, F.row_number().over(window))
 
-    # Sizes of the ranges of hot groups: at most 2 ranges per hot_rows rows.
+    # Sizes of the ranges of hot groups: at most 3 ranges per hot_rows rows.
     ranges = (
         df.select(_group_hash(group).alias(_HASH), spread(position).alias(_SPREAD), F.struct(*group).alias(_GROUP))
         .join(F.broadcast(hot), _HASH)

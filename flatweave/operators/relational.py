@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,21 +13,26 @@ def last_value_per_group(df: DataFrame, group: list[str], value: str, output: st
     """Add the last ``value`` of each row's group, in value order, to every row.
 
     The same as ``last_value`` over the whole partition, but as a partial aggregate
-    joined back: no task has to hold a group, and a skewed join side can be split.
+    joined back: no task has to hold a group, and a skewed join side can be split.  As in a
+    window, rows with a NULL key form a group.
     """
-    last = df.groupBy(*group).agg(F.max(value).alias(output))
-    return df.join(last, group, "left")
+    names = {name: f"__{name}" for name in group}
+    last = df.groupBy(*[F.col(name).alias(other) for name, other in names.items()]).agg(F.max(value).alias(output))
+    same = [df[name].eqNullSafe(last[other]) for name, other in names.items()]
+    return df.join(last, reduce(and_, same), "left").select(*[df[name] for name in df.columns], output)
 
 
 def ordered_text(df: DataFrame, group: list[str], value: str, output: str, separator: str = "") -> DataFrame:
-    """The values of each group put together in order, repeats included.
+    """The values of each group put together in their own order, repeats included.
 
-    Repeats are counted before they are collected, so only distinct values of a
-    group come together.
+    Values are sorted before they become text, numbers hence by size.  Repeats are counted before
+    they are collected, so only distinct values of a group come together; the text itself is of course one value.
     """
     counted = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("__n"))
-    pairs = F.array_sort(F.collect_list(F.struct(F.col(value).cast("string").alias("text"), "__n")))
-    texts = F.flatten(F.transform(pairs, lambda p: F.array_repeat(p["text"], p["__n"].cast("int"))))
+    pairs = F.array_sort(F.collect_list(F.struct(F.col(value).alias("value"), "__n")))
+    # More repeats than an array can hold would not fit into a text either.
+    times = lambda n: F.when(n < 2**31, n.cast("int")).otherwise(F.raise_error(F.lit("too many values for one text")))
+    texts = F.flatten(F.transform(pairs, lambda p: F.array_repeat(p["value"].cast("string"), times(p["__n"]))))
     return counted.groupBy(*group).agg(F.array_join(texts, separator).alias(output))
 
 

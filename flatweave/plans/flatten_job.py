@@ -2,88 +2,74 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from flatweave import schemas
 from flatweave.operators.flatten import columns_needed, flatten_table
-from flatweave.operators.keys import repeat_numbers, session_ids, with_event_id, with_row_id
-from flatweave.plans.work import backfill_grid, not_superseded, only_shards, route, settle, with_source
+from flatweave.operators.keys import KEY_COLUMNS, repeat_numbers, session_ids, with_event_id, with_row_id
+from flatweave.plans.work import Output, Pair, backfill_grid, route, settle
 from flatweave.schemas import PLACE
-from flatweave.session import drop_stage, stage
-from flatweave.sinks.tables import PARTITIONED, SHARDED, replace_shards
-from flatweave.sources.shards import list_shards, read_source
+from flatweave.session import Stages
+from flatweave.sinks.tables import replace_shards
+from flatweave.sources.shards import read_source, shard_paths
 
 
-# Most repeated rows whose numbers are broadcast; some 100 bytes each.
-REPEATS_TO_BROADCAST = 1_000_000
+def key_numbers(rows: DataFrame, stages: Stages, position: str = "row_position", **numbering) -> DataFrame:
+    """Numbers of the rows that repeat a key, made once and staged; their size decides how they are joined."""
+    return stages.table(repeat_numbers(rows, position=position, keep=stages.table, **numbering), "repeats")
 
 
 def key_events(
-    rows: DataFrame,
-    position: str = "row_position",
-    intraday_view: bool = False,
-    most_repeats: int = REPEATS_TO_BROADCAST,
-    **numbering,
-) -> tuple[DataFrame, str | None]:
-    """Events with their id, and the path of a staged table they depend on, if any.
+    rows: DataFrame, position: str = "row_position", stages: Stages | None = None, **numbering
+) -> DataFrame:
+    """Events with their id.
 
-    First the key columns alone are numbered.  If few rows repeat a key, their
-    numbers are staged and broadcast, and the wide rows are not shuffled at all.
-    Otherwise the wide rows are shuffled once.
+    The key columns alone are numbered; only rows that repeat a key get an entry in the table of numbers.  With ``stages``
+    that table is written now, and its owner drops it.  Without, nothing is run before the result is read.
     """
-    repeats = repeat_numbers(rows, intraday_view, position, **numbering)
-    repeats, path = stage(repeats, "repeats")
-    if repeats.count() <= most_repeats:
-        return with_event_id(rows, intraday_view, position, repeats), path
-    drop_stage(rows.sparkSession, path)
-    return with_event_id(rows, intraday_view, position, **numbering), None
-
-
-def _source_rows(spark, root, source, tables, between, shards, position, extra, strict) -> DataFrame:
-    by_scan = position == "row_position"
-    rows = read_source(spark, root, source, between=between, extra=extra, position=by_scan)
-    if shards is not None:
-        rows = only_shards(rows, shards)
-    rows = rows.select(*columns_needed(tables, source), *PLACE, position)
-    if "events" in tables:
-        rows = rows.withColumns(session_ids(strict=strict))
-        if "event_params" not in tables:
-            rows = rows.drop("event_params")
-    return rows
+    if stages is None:
+        return with_event_id(rows, position=position, **numbering)
+    return with_event_id(rows, position=position, repeats=key_numbers(rows, stages, position, **numbering))
 
 
-def _keyed(
+def keyed_source(
     spark: SparkSession,
     root: str,
     source: str,
-    tables: list[str],
+    tables: Iterable[str],
     between: tuple[str, str] | None = None,
-    shards: DataFrame | None = None,
+    pairs: Iterable[Pair] | None = None,
     position: str = "row_position",
     extra=(),
     strict: bool = False,
     random_row_ids: bool = False,
-    **keying,
-) -> tuple[DataFrame, str | None]:
-    rows = _source_rows(spark, root, source, tables, between, shards, position, extra, strict)
-    if source.startswith("events"):
-        return key_events(rows, position, **keying)
-    return with_row_id(rows, source, position, random_row_ids), None
-
-
-def keyed_source(spark: SparkSession, root: str, source: str, tables: list[str], **options) -> DataFrame:
+    stages: Stages | None = None,
+    numbers: DataFrame | None = None,
+    **numbering,
+) -> DataFrame:
     """Rows of a source with their key and only the columns the tables read.
 
-    Options: ``between`` (first and last shard), ``shards`` (a table of pairs),
-    ``position`` (a column that identifies a source row, if not the scan's own),
-    ``extra`` (its field), ``strict`` (a session parameter given twice is an error),
-    ``random_row_ids``, and those of :func:`key_events`.
+    ``between`` (first and last shard) and ``pairs`` choose the shards, ``position`` is a column that identifies a
+    source row, if not the scan's own, and ``extra`` its field; ``strict`` makes a session parameter given twice an
+    error.  ``numbers`` are those of :func:`key_numbers` for at least these shards; otherwise see :func:`key_events`.
     """
-    return _keyed(spark, root, source, tables, **options)[0]
+    tables = list(tables)
+    by_scan = position == "row_position"
+    rows = read_source(spark, root, source, between=between, pairs=pairs, extra=extra, position=by_scan)
+    rows = rows.select(*columns_needed(tables, source), *PLACE, position)
+    if "events" in tables:
+        rows = rows.withColumns(session_ids(strict=strict))
+        if "event_params" not in tables:
+            rows = rows.drop("event_params")
+    if not source.startswith("events"):
+        return with_row_id(rows, source, position, random_row_ids)
+    if numbers is not None:
+        return with_event_id(rows, position=position, repeats=numbers)
+    return key_events(rows, position, stages, **numbering)
 
 
 def flatten_work(spark: SparkSession, work: DataFrame, source_root: str, out_root: str, **options) -> None:
@@ -93,60 +79,68 @@ def flatten_work(spark: SparkSession, work: DataFrame, source_root: str, out_roo
     do not exist, and same-day shards with a daily export, are skipped.  ``options``
     go to :func:`keyed_source`.
     """
-    work, staged_work = settle(work, spark)
-    # One row per source: the days asked for keep listings and scans to them.
-    days = work.groupBy("source").agg(F.min("shard").alias("first"), F.max("shard").alias("last")).collect()
-    for row in days:
-        source, between = row.source, (row["first"], row["last"])
-        todo = with_source(work.where(F.col("source") == source), list_shards(spark, source_root, source, between))
-        if schemas.is_intraday(source):
-            todo = not_superseded(todo, list_shards(spark, source_root, "events", between))
-        todo, staged_todo = settle(todo, spark)
-        _flatten_source(spark, source, todo, source_root, out_root, between, options)
-        if staged_todo:
-            drop_stage(spark, staged_todo)
-    if staged_work:
-        drop_stage(spark, staged_work)
-
-
-def _flatten_source(spark, source, todo, source_root, out_root, between, options) -> None:
-    # At most one row per flat table.
-    outputs = (
-        todo.groupBy("flat_table")
-        .agg(F.bool_or("sharded").alias(SHARDED), F.bool_or("partitioned").alias(PARTITIONED))
-        .orderBy("flat_table")
-        .collect()
-    )
-    writes = [
-        (row.flat_table.removeprefix("flat_"), layout)
-        for row in outputs
-        for layout in (SHARDED, PARTITIONED)
-        if row[layout]
-    ]
-    if not writes:
-        return
-    tables = sorted({table for table, _ in writes})
-    keyed, staged = _keyed(spark, source_root, source, tables, between, todo, **options)
-    # Keys that cost a shuffle of the wide rows, or that are drawn at random, are
-    # made once for all tables.  Otherwise each table scans its own columns.
-    once = staged is None if source.startswith("events") else options.get("random_row_ids", False)
-    if once and len(writes) > 1:
-        keyed, staged = stage(keyed, f"keyed-{source}", PLACE)
-
-    def write(table: str, layout: str) -> None:
-        wanted = todo.where((F.col("flat_table") == f"flat_{table}") & F.col(layout)).select(*PLACE).distinct()
-        rows = flatten_table(only_shards(keyed, wanted), table, source)
-        replace_shards(rows, out_root, layout, table, wanted)
+    for source, todo in sorted(settle(work).items()):
+        flatten_shards(spark, source, todo, source_root, out_root, **options)
+
+
+def flatten_shards(
+    spark: SparkSession, source: str, todo: dict[Pair, set[Output]], source_root: str, out_root: str, **options
+) -> None:
+    """Write what is to be written from each shard of one source."""
+
+    def existing(name: str) -> set[Pair]:
+        return set(shard_paths(spark, source_root, name, pairs=todo))
+
+    found = existing(source)
+    daily = existing("events") if schemas.is_intraday(source) else set()
+    own = {pair: outputs for pair, outputs in todo.items() if pair in found and pair not in daily}
+    if own:
+        with Stages(spark) as stages:
+            _flatten(spark, stages, source, own, source_root, out_root, options)
+    if schemas.is_intraday(source):
+        # A daily export that came meanwhile may just have been overwritten: it is written again.
+        late = existing("events") - daily
+        again = {pair: outputs for pair, outputs in own.items() if pair in late}
+        if again:
+            flatten_shards(spark, "events", again, source_root, out_root, **options)
+
+
+def _flatten(spark, stages, source, todo, source_root, out_root, options) -> None:
+    pairs_of: dict[Output, list[Pair]] = {}
+    for pair, outputs in todo.items():
+        for output in outputs:
+            pairs_of.setdefault(output, []).append(pair)
+    position, extra = options.get("position", "row_position"), options.get("extra", ())
+    random_ids = options.get("random_row_ids", False)
+    numbering = {name: value for name, value in options.items() if name in ("hot_rows", "rows_per_task")}
+    options = {name: value for name, value in options.items() if name not in numbering}
+
+    numbers = keyed = None
+    if source.startswith("events"):
+        rows = read_source(
+            spark, source_root, source, pairs=todo, extra=extra, position=position == "row_position"
+        ).select(*KEY_COLUMNS, *PLACE, position)
+        numbers = key_numbers(rows, stages, position, **numbering)
+    elif random_ids and len(pairs_of) > 1:
+        # Ids that are drawn at random are made once for all tables.
+        tables = sorted({table for table, _ in pairs_of})
+        keyed = keyed_source(spark, source_root, source, tables, pairs=todo, **options)
+        keyed = stages.table(keyed, f"keyed-{source}", PLACE)
+
+    def write(output: Output, pairs: list[Pair]) -> None:
+        table, layout = output
+        if keyed is None:
+            rows = keyed_source(spark, source_root, source, [table], pairs=pairs, numbers=numbers, **options)
+        else:
+            chosen = spark.createDataFrame(pairs, "dataset string, shard string")
+            rows = keyed.join(chosen, list(PLACE), "left_semi")
+        replace_shards(flatten_table(rows, table, source), out_root, layout, table, pairs)
 
     # The writes go to different tables and share no state: let the cluster fill
     # the tail of one with the tasks of another.
-    try:
-        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-            for done in [pool.submit(inheritable_thread_target(spark)(write), *args) for args in writes]:
-                done.result()
-    finally:
-        if staged:
-            drop_stage(spark, staged)
+    with ThreadPoolExecutor(max_workers=len(pairs_of)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(write), *args) for args in pairs_of.items()]:
+            done.result()
 
 
 def backfill(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from flatweave import schemas
 from flatweave.functions.expressions import shard_date
 from flatweave.schemas import ALL_TABLES, PLACE, TABLES_OF_SOURCE
-from flatweave.session import stage
+from flatweave.sinks.layouts import PARTITIONED, SHARDED
 from flatweave.sources.inventory import discover_datasets
 
 # Tables a new control table lists: all, or the event tables only.
@@ -22,10 +22,6 @@ EVERY_TABLE = ALL_TABLES
 EVENTS_ONLY = schemas.EVENT_TABLES
 
 
-# Work lists up to this length stay on the driver; filters name up to so many shards.
-LOCAL_ROWS = 10_000
-LITERAL_PAIRS = 1_000
-
 CONFIG_SCHEMA = """
     map<string, struct<
       tables_to_flatten: array<string>,
@@ -125,37 +121,28 @@ def route(arrivals: DataFrame, control: DataFrame) -> DataFrame:
     )
 
 
-def settle(work: DataFrame, spark: SparkSession) -> tuple[DataFrame, str | None]:
-    """Compute a work list once: held by the driver if small, else as a staged table.
-
-    Returns the list and the path of the staged table, if any.
-    """
-    rows = work.take(LOCAL_ROWS + 1)
-    if len(rows) <= LOCAL_ROWS:
-        return spark.createDataFrame(rows, work.schema), None
-    return stage(work, "work", spark=spark)
+Pair = tuple[str, str]
+Output = tuple[str, str]  # table and layout
 
 
-def only_shards(rows: DataFrame, shards: DataFrame) -> DataFrame:
-    """Rows of some ``(dataset, shard)`` pairs, pruned to their directories.
+def settle(work: DataFrame) -> dict[str, dict[Pair, set[Output]]]:
+    """A work list computed once: for each source, what to write from each of its shards.
 
-    Few pairs become a constant filter on the directory columns.  Many, a broadcast:
-    the pairs name directories that the driver lists anyway to plan the scan.
+    One row a source directory comes to the driver, which names these directories to a scan anyway.
     """
-    pairs = shards.select(*PLACE).distinct().take(LITERAL_PAIRS + 1)
-    if len(pairs) > LITERAL_PAIRS:
-        return rows.join(F.broadcast(shards.select(*PLACE).distinct()), list(PLACE), "left_semi")
-    shards_of: dict[str, list[str]] = {}
-    for pair in pairs:
-        shards_of.setdefault(pair.dataset, []).append(pair.shard)
-    # Datasets with the same shards share a condition.
-    datasets_of: dict[tuple[str, ...], list[str]] = {}
-    for dataset, names in shards_of.items():
-        datasets_of.setdefault(tuple(sorted(names)), []).append(dataset)
-    wanted = F.lit(False)
-    for names, datasets in datasets_of.items():
-        wanted = wanted | (F.col("dataset").isin(datasets) & F.col("shard").isin(list(names)))
-    return rows.where(wanted)
+    entry = F.struct("flat_table", "sharded", "partitioned")
+    rows = work.groupBy("source", *PLACE).agg(F.collect_set(entry).alias("outputs")).collect()
+    settled: dict[str, dict[Pair, set[Output]]] = {}
+    for row in rows:
+        outputs = {
+            (one.flat_table.removeprefix("flat_"), layout)
+            for one in row.outputs
+            for layout in (SHARDED, PARTITIONED)
+            if one[layout]
+        }
+        if outputs:
+            settled.setdefault(row.source, {})[row.dataset, row.shard] = outputs
+    return settled
 
 
 def with_source(work: DataFrame, existing: DataFrame) -> DataFrame:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flatweave.operators.relational import rows_per_day
 from flatweave.schemas import date_field
+from flatweave.session import partition_directories
+from flatweave.sinks.tables import PARTITIONED, SHARDED, flat_schema, table_path
 
 
 def schema_differences(left: DataFrame, right: DataFrame, ignore: tuple[str, ...] = ()) -> list[str]:
@@ -17,8 +21,34 @@ def schema_differences(left: DataFrame, right: DataFrame, ignore: tuple[str, ...
     return [name for name in names if kinds[0].get(name) != kinds[1].get(name)]
 
 
+def as_written(spark: SparkSession, root: str, layout: str, table: str) -> DataFrame:
+    """A written table with the columns and types that its files and directories have, not the declared ones."""
+    return spark.read.option("mergeSchema", "true").parquet(table_path(root, layout, table))
+
+
 def day_is_date(flat: DataFrame, table: str) -> bool:
-    return flat.schema[date_field(table)].dataType == T.DateType()
+    """Whether the day column is a DATE; use it on :func:`as_written`, where nothing is declared."""
+    return date_field(table) in flat.columns and flat.schema[date_field(table)].dataType == T.DateType()
+
+
+def written_differences(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Columns that differ between the two layouts of a table as written, or from its declaration.
+
+    Directory columns come back as what their names look like, so a shard number is not compared by type.
+    """
+    written = [as_written(spark, root, layout, table) for layout in (SHARDED, PARTITIONED)]
+    declared = spark.createDataFrame([], flat_schema(table))
+    places = ("dataset", "shard")
+    names = [sorted(set(one.columns) ^ set(declared.columns)) for one in written]
+    return sorted({*names[0], *names[1], *schema_differences(*written, ignore=places),
+                   *schema_differences(written[1], declared, ignore=places)})
+
+
+def days_match_partitions(spark: SparkSession, root: str, table: str) -> bool:
+    """Whether every directory of the partitioned layout is a day."""
+    found = partition_directories(spark, table_path(root, PARTITIONED, table), ("dataset", date_field(table)))
+    days = [values[date_field(table)] for values, _ in found]
+    return bool(days) and all(day is None or re.fullmatch(r"\d{4}-\d\d-\d\d", day) for day in days)
 
 
 def count_difference(left: DataFrame, right: DataFrame) -> int:

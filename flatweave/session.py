@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from functools import lru_cache
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,14 +16,16 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for intermediate data.
 
-    Only a local session without the setting gets a folder of its own; a cluster
-    without it is an error, because a machine-local folder would be lost or
-    invisible to other executors.
+    Only a local session without the setting gets a folder of its own; a cluster, ``local-cluster``
+    included, without it is an error, because a machine-local folder would be lost or
+    invisible to other executors.  A folder that the cluster names is trusted to be shared: a mounted
+    one has a ``file:`` address too.
     """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
     return _local_folder(spark.sparkContext.applicationId)
 
@@ -64,5 +68,64 @@ def drop_stage(spark: SparkSession, path: str) -> None:
     """Remove a table written by :func:`stage`; refuses any other path."""
     if not path.startswith(f"{shared_folder(spark)}/flatweave/"):
         raise ValueError(f"not a staged table: {path}")
+    delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
     fs, target = _file_system(spark, path)
     fs.delete(target, True)
+
+
+class Stages:
+    """Owner of staged tables: they are dropped when the block ends, however it ends."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths = spark, []
+
+    def table(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        path = new_stage_path(self._spark, name)
+        self._paths.append(path)  # first, so that a failed write goes too
+        df.write.partitionBy(*partition_by).parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Stages:
+        return self
+
+    def __exit__(self, *_) -> None:
+        while self._paths:
+            drop_stage(self._spark, self._paths.pop())
+
+
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_directories(
+    spark: SparkSession, path: str, columns: tuple[str, ...], wanted: Callable[[dict], bool] = lambda values: True
+) -> list[tuple[dict, str]]:
+    """Values and path of each directory of a partitioned table; none if the table is missing.
+
+    Lists one level after the other, and below a directory only if ``wanted`` accepts
+    the values known so far.  No file is opened.
+    """
+    found = [({}, path)]
+    for column in columns:
+        below = []
+        for values, parent in found:
+            fs, target = _file_system(spark, parent)
+            if not fs.exists(target):
+                continue
+            for status in fs.listStatus(target):
+                name = status.getPath().getName()
+                if not status.isDirectory() or not name.startswith(f"{column}="):
+                    continue
+                text = name[len(column) + 1 :]
+                known = {**values, column: None if text == NO_VALUE else unquote(text)}
+                if wanted(known):
+                    below.append((known, f"{parent}/{name}"))
+        found = below
+    return found
+
+
+def file_names(spark: SparkSession, path: str) -> frozenset[str]:
+    fs, target = _file_system(spark, path)
+    return frozenset(status.getPath().getName() for status in fs.listStatus(target) if status.isFile())

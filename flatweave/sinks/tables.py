@@ -12,6 +12,7 @@ even if some of them carry another day's date, so writing again changes nothing.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,11 +22,9 @@ from pyspark.sql import types as T
 from flatweave import schemas
 from flatweave.operators.flatten import flatten_table
 from flatweave.schemas import PLACE, PLACE_FIELDS, SOURCE_SCHEMAS, TABLES_OF_SOURCE
-from flatweave.session import path_exists
-
-SHARDED = "sharded"
-PARTITIONED = "partitioned"
-
+from flatweave.session import delete_path, file_names, partition_directories, path_exists
+from flatweave.sinks.layouts import PARTITIONED, SHARDED
+from flatweave.sources.shards import Pair
 
 def table_path(root: str, layout: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layout}/flat_{table}"
@@ -61,38 +60,39 @@ def read_flat(spark: SparkSession, root: str, layout: str, table: str) -> DataFr
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def replace_shards(rows: DataFrame, root: str, layout: str, table: str, shards: DataFrame) -> None:
+def _held(spark: SparkSession, root: str, layout: str, table: str, pairs: set[Pair]) -> dict[str, frozenset[str]]:
+    """The partition directories of some shards, and the files in each."""
+    datasets = {dataset for dataset, _ in pairs}
+
+    def wanted(values: dict) -> bool:
+        return values["dataset"] in datasets and ("shard" not in values or (values["dataset"], values["shard"]) in pairs)
+
+    path = table_path(root, layout, table)
+    found = partition_directories(spark, path, tuple(_partition_columns(layout, table)), wanted)
+    return {directory: file_names(spark, directory) for _, directory in found}
+
+
+def replace_shards(rows: DataFrame, root: str, layout: str, table: str, shards: Iterable[Pair] | DataFrame) -> None:
     """Replace what the table holds for some source shards by ``rows``.
 
     ``shards`` lists the ``(dataset, shard)`` pairs replaced; one without rows ends
-    up empty.  All pairs are written in one job that swaps in finished partitions.
+    up empty.  All pairs are written in one job, which moves finished partitions into place one after the
+    other when it commits; partitions that lost all their rows are removed right after.  Each partition is hence either old or
+    new to a reader, and a run that was cut short is mended by running it again.
     """
     spark = rows.sparkSession
-    path = table_path(root, layout, table)
-    by = _partition_columns(layout, table)
-    known = path_exists(spark, path)
-    if known:
-        # A dynamic overwrite leaves partitions without new rows alone: find them first.
-        flat = read_flat(spark, root, layout, table)
-        held = flat.select(*by).join(shards, list(PLACE), "left_semi").select(*by).distinct()
-        same = [held[name].eqNullSafe(F.col(f"new.{name}")) for name in by]
-        condition = same[0]
-        for part in same[1:]:
-            condition = condition & part
-        fresh = rows.select(*by).distinct().alias("new")
-        stale = held.join(fresh, condition, "left_anti").collect()  # partition names only
+    if isinstance(shards, DataFrame):
+        shards = [tuple(row) for row in shards.select(*PLACE).distinct().collect()]  # a row a directory
+    pairs = set(shards)
+    before = _held(spark, root, layout, table, pairs)
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
+        .partitionBy(*_partition_columns(layout, table))
+        .parquet(table_path(root, layout, table))
     )
-    if known and stale:
-        nothing = spark.createDataFrame([], T.StructType([f for f in flat_schema(table) if f.name not in by]))
-        for part in stale:
-            nothing.write.mode("overwrite").parquet(f"{path}/{_directory(part.asDict())}")
-
-
-def _directory(partition: dict) -> str:
-    default = "__HIVE_DEFAULT_PARTITION__"
-    return "/".join(f"{name}={default if value is None else value}" for name, value in partition.items())
+    # A dynamic overwrite leaves partitions without new rows alone: their files are still the same.
+    after = _held(spark, root, layout, table, pairs) if before else {}
+    for directory, files in before.items():
+        if after.get(directory) == files:
+            delete_path(spark, directory)

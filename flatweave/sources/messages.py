@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Message fields and resource names.
-ARRIVAL_PATTERN = (
-    r"projects/(.*?)/datasets/(.*?)/tables/(events_intraday|events|pseudonymous_users|users)_(20\d{6})$"
-)
-INTRADAY_TABLE_PATTERN = r"^(events_intraday)_(20\d{6})$"
-INTRADAY_RESOURCE_PATTERN = r"^projects/(.*?)/datasets/(analytics_\d+)/tables/(events_intraday)_(20\d{6})$"
+_DAY = r"(20\d{6})"
+_PROJECT, _ANY_DATASET, _EXPORT_DATASET = r"^projects/([^/]+)", r"/datasets/([^/]+)", r"/datasets/(analytics_\d+)"
+ARRIVAL_PATTERN = rf"{_PROJECT}{_ANY_DATASET}/tables/(events|events_intraday|users|pseudonymous_users)_{_DAY}$"
+INTRADAY_TABLE_PATTERN = rf"^(events_intraday)_{_DAY}$"
+INTRADAY_RESOURCE_PATTERN = rf"{_PROJECT}{_EXPORT_DATASET}/tables/(events_intraday)_{_DAY}$"
 INSERT_METHOD = "tableservice.insert"
 DELETE_METHOD = "tableservice.delete"
 ARRIVAL_SCHEMA = "protoPayload struct<resourceName: string>"
@@ -56,7 +56,7 @@ def parse_lifecycle(messages: DataFrame) -> DataFrame:
     """Creation or deletion of a same-day table.
 
     A creation names its table in the response; a deletion in its only
-    authorisation entry.  Anything else, several entries included, is not valid.
+    authorisation entry.  Anything else, several entries or no readable time included, is not valid.
     """
     payload = F.col("__body.protoPayload")
     table = payload["serviceData"]["tableInsertResponse"]["resource"]["tableName"]
@@ -86,5 +86,11 @@ def parse_lifecycle(messages: DataFrame) -> DataFrame:
             }
         )
         .drop("__body")
-        .withColumn("valid", F.col("shard").isNotNull() & F.col("project").isNotNull() & F.col("dataset").isNotNull())
+        .withColumn(
+            "valid",
+            F.col("shard").isNotNull()
+            & F.col("project").isNotNull()
+            & F.col("dataset").isNotNull()
+            & F.col("logged_at").isNotNull(),
+        )
     )

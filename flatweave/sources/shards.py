@@ -1,4 +1,8 @@
-"""Nested exports on storage: ``<root>/<source>/dataset=<d>/shard=<YYYYMMDD>/*.parquet``."""
+"""Nested exports on storage: ``<root>/<source>/dataset=<d>/shard=<YYYYMMDD>/*.parquet``.
+
+Which shards exist is told by their directories, so an export without rows exists, and only the
+directories asked for are listed and read.
+"""
 
 from __future__ import annotations
 
@@ -9,13 +13,46 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flatweave.schemas import PLACE, PLACE_FIELDS, SOURCE_SCHEMAS
-from flatweave.session import path_exists
+from flatweave.session import partition_directories
+
+Pair = tuple[str, str]
 
 
 def source_path(root: str, source: str) -> str:
     return f"{root.rstrip('/')}/{source}"
 
 
+def shard_paths(
+    spark: SparkSession,
+    root: str,
+    source: str,
+    between: tuple[str, str] | None = None,
+    datasets: Iterable[str] | None = None,
+    pairs: Iterable[Pair] | None = None,
+) -> dict[Pair, str]:
+    """The directory of each existing ``(dataset, shard)``; empty if the source is missing.
+
+    ``between`` is an inclusive range of shards.  Only directories of wanted datasets are listed, once each.
+    """
+    pairs = None if pairs is None else set(pairs)
+    if pairs is not None:
+        datasets = {dataset for dataset, _ in pairs} & (set(datasets) if datasets is not None else {d for d, _ in pairs})
+    datasets = None if datasets is None else set(datasets)
+
+    def wanted(values: dict) -> bool:
+        dataset, shard = values["dataset"], values.get("shard")
+        if datasets is not None and dataset not in datasets:
+            return False
+        if shard is None:
+            return "shard" not in values
+        if between is not None and not between[0] <= shard <= between[1]:
+            return False
+        return pairs is None or (dataset, shard) in pairs
+
+    found = partition_directories(spark, source_path(root, source), PLACE, wanted)
+    return {(values["dataset"], values["shard"]): path for values, path in found}
+
+
 def read_source(
     spark: SparkSession,
     root: str,
@@ -23,26 +60,26 @@ def read_source(
     shard: str | None = None,
     between: tuple[str, str] | None = None,
     datasets: Iterable[str] | None = None,
+    pairs: Iterable[Pair] | None = None,
     schema: T.StructType | None = None,
     extra: Iterable[T.StructField] = (),
     position: bool = True,
 ) -> DataFrame:
-    """Scan one source: a single shard, an inclusive range of shards, or all.
+    """Scan one source: a single shard, an inclusive range of shards, some pairs, or all.
 
-    The filters are on the directory columns, so only matching files are listed
-    and read.  The declared schema fills columns an old shard lacks with NULL.
-    ``row_position`` (file name and row number in it) identifies a source row; leave
-    it out with ``position=False`` where no key is generated.
+    Only the wanted directories are given to the scan.  The declared schema fills columns an
+    old shard lacks with NULL.  ``row_position`` (file name and row number in it) identifies
+    a source row; leave it out with ``position=False`` where no key is generated.
     """
     fields = (schema or SOURCE_SCHEMAS[source]).fields
     declared = T.StructType([*fields, *extra, *PLACE_FIELDS])
-    rows = spark.read.schema(declared).parquet(source_path(root, source))
     if shard is not None:
-        rows = rows.where(F.col("shard") == shard)
-    if between is not None:
-        rows = rows.where(F.col("shard").between(*between))
-    if datasets is not None:
-        rows = rows.where(F.col("dataset").isin(*datasets))
+        between = (shard, shard)
+    paths = sorted(shard_paths(spark, root, source, between, datasets, pairs).values())
+    if not paths:
+        rows = spark.createDataFrame([], declared)
+        return rows.withColumn("row_position", F.lit(None).cast("string")) if position else rows
+    rows = spark.read.schema(declared).option("basePath", source_path(root, source)).parquet(*paths)
     if not position:
         return rows
     row_position = F.concat_ws("#", "_metadata.file_name", "_metadata.row_index")
@@ -52,16 +89,8 @@ def read_source(
 def list_shards(
     spark: SparkSession, root: str, source: str, between: tuple[str, str] | None = None
 ) -> DataFrame:
-    """The ``(dataset, shard)`` pairs that hold rows; empty if the source is missing."""
-    path = source_path(root, source)
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], T.StructType(PLACE_FIELDS))
-    # Reads directory names and row counts from file footers, no columns.
-    declared = T.StructType([*SOURCE_SCHEMAS[source].fields, *PLACE_FIELDS])
-    places = spark.read.schema(declared).parquet(path).select(*PLACE)
-    if between is not None:
-        places = places.where(F.col("shard").between(*between))
-    return places.distinct()
+    """The ``(dataset, shard)`` pairs that exist, with rows or without."""
+    return spark.createDataFrame(sorted(shard_paths(spark, root, source, between)), T.StructType(PLACE_FIELDS))
 
 
 def write_source(rows: DataFrame, root: str, source: str) -> str:

@@ -16,9 +16,9 @@ from flatweave.operators.flatten import (
 from flatweave.operators.keys import with_event_id
 from flatweave.plans.flatten_job import flatten_work
 from flatweave.plans.work import route
-from flatweave.schemas import PLACE, PLACE_FIELDS, SOURCE_SCHEMAS
+from flatweave.schemas import PLACE
 from flatweave.sources.messages import decode_messages, parse_lifecycle
-from flatweave.sources.shards import read_source, source_path
+from flatweave.sources.shards import read_source, shard_paths
 
 SOURCE = "events_intraday"
 
@@ -89,9 +89,11 @@ def drop_views(spark: SparkSession, dataset: str, shard: str) -> None:
 
 
 def latest_actions(messages: DataFrame) -> DataFrame:
-    """The last creation or deletion of each same-day shard."""
+    """The last creation or deletion of each same-day shard, and its time; of two at one time the deletion counts."""
     events = parse_lifecycle(messages).where("valid")
-    return events.groupBy(*PLACE).agg(F.max_by("action", "logged_at").alias("action"))
+    last = F.max(F.struct("logged_at", "action"))  # "delete" is greater than "create"
+    latest = events.groupBy(*PLACE).agg(last.alias("last"))
+    return latest.select(*PLACE, "last.action", "last.logged_at")
 
 
 def manage_views(
@@ -105,22 +107,30 @@ def manage_views(
     """Start a stream that keeps the views in step with creations and deletions.
 
     Datasets outside the control table are ignored; ``intraday_views`` decides
-    whether a creation makes views, a deletion always drops them.  The views belong
-    to the session of ``messages``.
+    whether a creation makes views, a deletion always drops them.  An action older than the last one
+    seen for its shard is ignored, in whichever batch it comes, and so is the creation of a shard that does not
+    exist any more.  The views belong to the session of ``messages``, and so does the memory of what was seen.
     """
     spark = messages.sparkSession
+    seen: dict[tuple[str, str], tuple] = {}  # one entry a shard that was announced
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
         wanted = (
             latest_actions(decode_messages(batch))
             .join(control, "dataset")
-            .select(*PLACE, "action", "tables_to_flatten", F.coalesce("intraday_views", F.lit(True)).alias("on"))
+            .select(
+                *PLACE, "action", "logged_at", "tables_to_flatten", F.coalesce("intraday_views", F.lit(True)).alias("on")
+            )
         )
         # Views live in the driver's catalog; one row per shard that changed.
         for row in wanted.toLocalIterator():
+            pair, now = (row.dataset, row.shard), (row.logged_at, row.action)
+            if pair in seen and now < seen[pair]:
+                continue
+            seen[pair] = now
             if row.action == "delete":
                 drop_views(spark, row.dataset, row.shard)
-            elif row.on:
+            elif row.action == "create" and row.on and shard_paths(spark, source_root, SOURCE, pairs=[pair]):
                 create_views(spark, source_root, row.dataset, row.shard, row.tables_to_flatten, **views)
 
     return (
@@ -155,25 +165,23 @@ def refresh_intraday(
     units: str = "hours",
     **job,
 ) -> StreamingQuery:
-    """Start a stream that re-flattens same-day shards with new files.
+    """Start a stream that flattens the same-day shards anew at each tick.
 
-    Each trigger looks at the shards that got files since the last and recomputes
-    those whole from all their files: row numbers need the complete shard.  A shard
-    with a daily export is left alone.  Without ``frequency`` the stream handles what
-    is there and stops.
+    Each tick recomputes, whole, the shards of the control table's datasets that exist then, so files that were
+    added, rewritten or removed are all seen.  A shard with a daily export is left alone.  Without
+    ``frequency`` there is one tick.
     """
-    declared = SOURCE_SCHEMAS[SOURCE].fields + PLACE_FIELDS
-    path = source_path(source_root, SOURCE)
-    touched = spark.readStream.schema(type(SOURCE_SCHEMAS[SOURCE])(declared)).parquet(path).select(*PLACE)
     trigger = {"availableNow": True} if frequency is None else {"processingTime": refresh_interval(frequency, units)}
+    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
+    # The work is done by the session that the stream was started from: a stream's own plans without adaptive execution.
+    names = [row.dataset for row in control.select("dataset").distinct().collect()]  # the configured datasets
 
-    def refresh(batch: DataFrame, _batch_id: int) -> None:
-        arrivals = batch.distinct().withColumn("source", F.lit(SOURCE))
+    def refresh(_batch: DataFrame, _batch_id: int) -> None:
+        present = sorted(shard_paths(spark, source_root, SOURCE, datasets=names))
+        arrivals = spark.createDataFrame(present, "dataset string, shard string").withColumn("source", F.lit(SOURCE))
         flatten_work(spark, route(arrivals, control), source_root, out_root, **job)
 
-    return (
-        touched.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(**trigger).start()
-    )
+    return ticks.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def refresh_on_schedule(
@@ -181,7 +189,8 @@ def refresh_on_schedule(
 ) -> list[StreamingQuery]:
     """Start one refresh stream per schedule in the control table, for its datasets.
 
-    A dataset without a schedule is not refreshed.
+    A dataset without a schedule is not refreshed.  Schedules are read now; to change them, stop the streams and
+    start them again.
     """
     scheduled = control.where("frequency IS NOT NULL")
     # One row per distinct schedule.

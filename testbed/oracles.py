@@ -8,7 +8,16 @@ from __future__ import annotations
 
 from flatweave import schemas
 from testbed import nested as n
-from testbed.queries import BACKFILL, CONTROL, DATASETS, DISCOVERY_NOW, ONE_SHARD, SHARD_RANGE
+from testbed.queries import (
+    BACKFILL,
+    CONTROL,
+    DATASETS,
+    DISCOVERY_NOW,
+    EMPTIED,
+    GATE_DAYS,
+    ONE_SHARD,
+    SHARD_RANGE,
+)
 
 _SQL_TYPE = {"string": "VARCHAR", "long": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
@@ -47,9 +56,15 @@ _INTRADAY_PARTS = [
 ]
 
 
-def _events(shift: int = 0, intraday_view: bool = False) -> str:
+def _gate_shift() -> str:
+    """Days by which the same-day shards of each dataset are moved, one more than the adapter's."""
+    cases = " ".join(f"WHEN {DATASETS.index(dataset)} THEN {days + 1}" for dataset, days in GATE_DAYS.items())
+    return f"CASE user_id % 3 {cases} ELSE 1 END"
+
+
+def _events(shift: int | str = 0, intraday_view: bool = False) -> str:
     """CTEs ending in ``ev``: a row per nested event with its key."""
-    shard = n.SHARD if not shift else f"strftime(ts + INTERVAL {shift} DAY, '%Y%m%d')"
+    shard = n.SHARD if not shift else f"strftime(ts + to_days(CAST({shift} AS INTEGER)), '%Y%m%d')"
     parts = _INTRADAY_PARTS if intraday_view else _DAILY_PARTS
     group = ", ".join(parts) if intraday_view else " || ".join(parts)
     separator = "'.'" if intraday_view else "'_'"
@@ -93,9 +108,13 @@ def _sessions(separator: str) -> str:
     return ", ".join(columns)
 
 
-def _event_leaves(keep=lambda path: True) -> str:
+def _event_leaves(keep=lambda path: True, since=lambda path: None) -> str:
+    def value(path: str, dtype) -> str:
+        plain = _cast(n.EVENT_LEAVES[path], dtype.typeName())
+        return f"CASE WHEN shard >= '{since(path)}' THEN {plain} END" if since(path) else plain
+
     return ", ".join(
-        f"{_cast(n.EVENT_LEAVES[path], dtype.typeName())} AS {path.replace('.', '_')}"
+        f"{value(path, dtype)} AS {path.replace('.', '_')}"
         for path, dtype in schemas.leaf_paths(schemas.EVENTS)
         if path != "event_date" and keep(path)
     )
@@ -106,6 +125,9 @@ def _flat_events() -> str:
     return f"{_events()} SELECT {head}, {_sessions('_')}, {_event_leaves()}, {tag} FROM ev"
 
 
+_GATED = _events(_gate_shift(), intraday_view=True)
+
+
 def _intraday_events() -> str:
     dropped = ("batch_", "session_traffic_source_last_click.", "publisher.")
     collected = "collected_traffic_source."
@@ -115,8 +137,11 @@ def _intraday_events() -> str:
             return path.removeprefix(collected) in schemas.INTRADAY_COLLECTED_TRAFFIC
         return not path.startswith(dropped)
 
+    def since(path: str) -> str | None:
+        return "20230503" if path.startswith(collected) else "20230717" if path == "is_active_user" else None
+
     head, tag = _head("intraday")
-    return f"{_events(intraday_view=True)} SELECT {head}, {_sessions('.')}, {_event_leaves(keep)}, {tag} FROM ev"
+    return f"{_GATED} SELECT {head}, {_sessions('.')}, {_event_leaves(keep, since)}, {tag} FROM ev"
 
 
 _TEXT = {
@@ -338,7 +363,7 @@ _REJOIN_KEY = "ev2.dataset = p.dataset AND ev2.shard = p.shard AND ev2.event_id
 ORACLES: dict[str, str] = {
     "event_key_daily": f"{_events()} SELECT dataset, shard, source_row, key_id AS event_id FROM ev",
     "event_key_intraday": (
-        f"{_events(intraday_view=True)} SELECT dataset, shard, source_row, key_id AS event_id FROM ev"
+        f"{_events(1, intraday_view=True)} SELECT dataset, shard, source_row, key_id AS event_id FROM ev"
     ),
     "row_key_users": f"{_USERS} SELECT dataset, shard, {_USER} AS user_id, row_id, day AS date FROM us",
     "session_ids": f"{_events()} SELECT dataset, shard, source_row, {_sessions('_')} FROM ev",
@@ -364,9 +389,9 @@ ORACLES: dict[str, str] = {
     "flat_users_user_properties": _user_properties(_USERS, _USER, "user_id", n.USER_PROPERTIES, "c_custkey % 6 <> 0"),
     "flat_users_user_audiences": _user_audiences(_USERS, _USER, "user_id", n.USER_AUDIENCES, "c_custkey % 8 <> 0"),
     "intraday_flat_events": _intraday_events(),
-    "intraday_flat_event_params": _params("intraday", False, _events(intraday_view=True)),
-    "intraday_flat_user_properties": _properties("intraday", _events(intraday_view=True)),
-    "intraday_flat_items": _items("intraday", _events(intraday_view=True)),
+    "intraday_flat_event_params": _params("intraday", False, _GATED),
+    "intraday_flat_user_properties": _properties("intraday", _GATED),
+    "intraday_flat_items": _items("intraday", _GATED),
     "params_rejoin_events": (
         f"SELECT p.dataset, p.shard, p.event_id, ev2.event_name, ev2.event_bundle_sequence_id, p.event_params_key,"
         f" p.event_params_value FROM ({_params('daily', True, _events())}) p"
@@ -420,6 +445,15 @@ ORACLES: dict[str, str] = {
         "SELECT c_custkey, c_name, c_nationkey, last_value(c_name) OVER (PARTITION BY c_nationkey ORDER BY c_name"
         " ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_name FROM customer"
     ),
+    "last_customer_per_segment": (
+        "SELECT c_custkey, segment, c_acctbal, last_value(c_acctbal) OVER (PARTITION BY segment ORDER BY c_acctbal"
+        " ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_balance"
+        " FROM (SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS segment, c_acctbal FROM customer)"
+    ),
+    "ordered_numbers": (
+        "SELECT l_suppkey, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_partkey) AS parts"
+        " FROM lineitem GROUP BY l_suppkey"
+    ),
     "ordered_string_agg": (
         "SELECT dataset, shard, string_agg(event_type, ',' ORDER BY event_type) AS event_names"
         f" FROM (SELECT DISTINCT {n.DATASET} AS dataset, {n.SHARD} AS shard, event_type FROM events) GROUP BY ALL"
@@ -461,5 +495,30 @@ ORACLES: dict[str, str] = {
         f"SELECT * FROM ({_params('intraday', True, _events(shift=1))}) x"
         f" WHERE NOT EXISTS (SELECT 1 FROM ({_EVENT_SHARDS}) d WHERE d.dataset = x.dataset AND d.shard = x.shard)"
     ),
-    "stream_views": _properties("intraday", _events(shift=1, intraday_view=True), "shard = '20240131'"),
+    "stream_views": _properties(
+        "intraday", _events(shift=1, intraday_view=True), "CAST(substr(shard, 7, 2) AS INTEGER) % 4 = 0"
+    ),
+}
+
+
+_LAYOUTS = "(VALUES ('sharded'), ('partitioned')) AS k(layout)"
+ORACLES |= {
+    f"written_{table}_table": f"SELECT * FROM ({ORACLES[f'flat_{table}']}), {_LAYOUTS}" for table in schemas.ALL_TABLES
 }
+ORACLES["written_checks"] = " UNION ALL ".join(
+    f"SELECT '{table}' AS flat_table, count(*) AS sharded, count(*) AS partitioned, 0 AS differences, true AS day_is_date"
+    f" FROM ({ORACLES[f'flat_{table}']})"
+    for table in schemas.ALL_TABLES
+)
+ORACLES["random_row_ids"] = f"""
+    WITH u AS (SELECT dataset, count(*) AS users FROM ({ORACLES["flat_users"]}) GROUP BY dataset),
+    c AS (
+      SELECT dataset, count(*) AS children
+      FROM (SELECT dataset FROM ({ORACLES["flat_users_user_properties"]})
+            UNION ALL SELECT dataset FROM ({ORACLES["flat_users_user_audiences"]}))
+      GROUP BY dataset
+    )
+    SELECT dataset, users, users AS ids, users AS uuids, children, CAST(0 AS BIGINT) AS orphans FROM u JOIN c USING (dataset)"""
+ORACLES["empty_shard_replaced"] = (
+    f"SELECT * FROM ({ORACLES['flat_pseudo_users']}), {_LAYOUTS} WHERE shard <> '{EMPTIED}'"
+)

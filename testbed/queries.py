@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,11 +29,11 @@ from flatweave.plans.work import (
     with_source,
 )
 from flatweave.schemas import PLACE
-from flatweave.session import new_stage_path
+from flatweave.session import Stages, new_stage_path
 from flatweave.sinks.tables import PARTITIONED, SHARDED, read_flat, replace_shards
 from flatweave.sources.inventory import analytics_tables, discover_datasets, recent_event_tables, union_datasets
 from flatweave.sources.messages import decode_messages, parse_arrivals, parse_lifecycle
-from flatweave.sources.shards import list_shards
+from flatweave.sources.shards import list_shards, shard_paths, write_source
 from flatweave.streaming.arrivals import flatten_on_arrival, read_messages
 from flatweave.streaming.intraday import (
     intraday_table,
@@ -62,6 +63,11 @@ CONTROL_SCHEMA = (
 JOB = {"position": POSITION, "extra": [SOURCE_ROW]}
 
 
+def _stages(spark: SparkSession) -> Stages:
+    """Of a result that is read later: its staged tables stay until the application's folder goes."""
+    return Stages(spark)
+
+
 def control_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(CONTROL), CONTROL_SCHEMA)
 
@@ -70,13 +76,13 @@ def control_table(spark: SparkSession) -> DataFrame:
 
 
 def event_key_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed, _ = key_events(read_nested(spark, sf_dir, "events"), POSITION)
+    keyed = key_events(read_nested(spark, sf_dir, "events"), POSITION, _stages(spark))
     return keyed.select(*PLACE, POSITION, "event_id")
 
 
 def event_key_intraday(spark: SparkSession, sf_dir: str) -> DataFrame:
     """In the form of the live view, which numbers the rows when it is read."""
-    keyed = with_event_id(read_nested(spark, sf_dir, "events"), intraday_view=True, position=POSITION)
+    keyed = with_event_id(read_nested(spark, sf_dir, "events_intraday"), intraday_view=True, position=POSITION)
     return keyed.select(*PLACE, POSITION, "event_id")
 
 
@@ -114,24 +120,38 @@ def _flat(table: str) -> Query:
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = nested_root(spark, sf_dir, source)
-        return flatten_table(keyed_source(spark, root, source, [table], **JOB), table, source)
+        return flatten_table(keyed_source(spark, root, source, [table], stages=_stages(spark), **JOB), table, source)
 
     return query
 
 
+# Days by which same-day shards are moved, so that some lie on each side of the days on which columns were added.
+GATE_DAYS = {DATASETS[1]: -255, DATASETS[2]: -180}
+
+
+def gated_intraday(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_nested(spark, sf_dir, "events_intraday")
+    days = F.lit(0)
+    for dataset, shift in GATE_DAYS.items():
+        days = F.when(F.col("dataset") == dataset, shift).otherwise(days)
+    moved = F.date_format(F.date_add(F.to_date("shard", "yyyyMMdd"), days), "yyyyMMdd")
+    return rows.withColumns({"shard": moved, "event_date": moved})
+
+
 def _intraday(table: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        keyed = with_event_id(read_nested(spark, sf_dir, "events"), intraday_view=True, position=POSITION)
+        keyed = with_event_id(gated_intraday(spark, sf_dir), intraday_view=True, position=POSITION)
         return intraday_table(keyed, table)
 
     return query
 
 
 def params_rejoin_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    params = _flat("event_params")(spark, sf_dir)
-    events = _flat("events")(spark, sf_dir)
-    joined = rejoin(events, params)
-    return joined.select(
+    root = nested_root(spark, sf_dir, "events")
+    tables = ["events", "event_params"]
+    keyed = keyed_source(spark, root, "events", tables, stages=_stages(spark), **JOB)
+    events, params = (flatten_table(keyed, table, "events") for table in tables)
+    return rejoin(events, params).select(
         *PLACE, "event_id", "event_name", "event_bundle_sequence_id", "event_params_key", "event_params_value"
     )
 
@@ -184,7 +204,7 @@ def union_all_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_supersedes_intraday(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = nested_root(spark, sf_dir, "events", "events_intraday")
     rows = not_superseded(read_nested(spark, sf_dir, "events_intraday"), list_shards(spark, root, "events"))
-    return flatten_table(key_events(rows, POSITION)[0], "event_params", "events_intraday")
+    return flatten_table(key_events(rows, POSITION, _stages(spark)), "event_params", "events_intraday")
 
 
 # ---- Discovery and planning --------------------------------------------------------------------
@@ -248,6 +268,19 @@ def last_customer_per_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last_value_per_group(customers, ["c_nationkey"], "c_name", "last_name")
 
 
+def last_customer_per_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of one segment have none: they form a group of their own."""
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    rows = customers.selectExpr("c_custkey", "nullif(c_mktsegment, 'BUILDING') AS segment", "c_acctbal")
+    return last_value_per_group(rows, ["segment"], "c_acctbal", "last_balance")
+
+
+def ordered_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts that each supplier delivers, by number, repeats included."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_suppkey", "l_partkey")
+    return ordered_text(items, ["l_suppkey"], "l_partkey", "parts", ",")
+
+
 def ordered_string_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event types of each dataset and day, in name order, as one text."""
     rows = read_nested(spark, sf_dir, "events").select(*PLACE, "event_name").distinct()
@@ -341,7 +374,7 @@ def lifecycle_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lifecycle_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_actions(decode_messages(lifecycle_messages(spark, sf_dir)))
+    return latest_actions(decode_messages(lifecycle_messages(spark, sf_dir))).drop("logged_at")
 
 
 # ---- Written tables -------------------------------------------------------------------------------
@@ -363,19 +396,92 @@ def _flatten_all(spark: SparkSession, sf_dir: str, source: str, tables: tuple[st
     return out
 
 
+@lru_cache(maxsize=None)
+def _flattened_once(application: str, sf_dir: str, source: str) -> str:
+    """All flat tables of a source in both layouts, written once per application."""
+    tables = schemas.TABLES_OF_SOURCE[source]
+    return _flatten_all(SparkSession.active(), sf_dir, source, tuple(tables))
+
+
+def _written_root(spark: SparkSession, sf_dir: str, table: str) -> str:
+    source = next(name for name, tables in schemas.TABLES_OF_SOURCE.items() if table in tables)
+    return _flattened_once(spark.sparkContext.applicationId, sf_dir, source)
+
+
+def _written(table: str) -> Query:
+    """A flat table as written, from both layouts."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = _written_root(spark, sf_dir, table)
+        both = [read_flat(spark, out, one, table).withColumn("layout", F.lit(one)) for one in (SHARDED, PARTITIONED)]
+        return union_datasets(both)
+
+    return query
+
+
 def written_sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _flatten_all(spark, sf_dir, "events", ("event_params", "items"))
-    return read_flat(spark, out, SHARDED, "items")
+    return read_flat(spark, _written_root(spark, sf_dir, "items"), SHARDED, "items")
 
 
 def written_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _flatten_all(spark, sf_dir, "events", ("event_params", "items"))
-    return read_flat(spark, out, PARTITIONED, "event_params")
+    return read_flat(spark, _written_root(spark, sf_dir, "event_params"), PARTITIONED, "event_params")
 
 
 def written_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _flatten_all(spark, sf_dir, "users", ("users", "users_user_audiences"))
-    return read_flat(spark, out, PARTITIONED, "users_user_audiences")
+    return read_flat(spark, _written_root(spark, sf_dir, "users"), PARTITIONED, "users_user_audiences")
+
+
+def written_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each flat table in each layout, and whether files and directories have the declared form."""
+    rows = []
+    for table in schemas.ALL_TABLES:
+        out = _written_root(spark, sf_dir, table)
+        counts = [read_flat(spark, out, layout, table).count() for layout in (SHARDED, PARTITIONED)]
+        partitioned = quality.as_written(spark, out, PARTITIONED, table)
+        dates = quality.day_is_date(partitioned, table) and quality.days_match_partitions(spark, out, table)
+        rows.append((table, *counts, len(quality.written_differences(spark, out, table)), dates))
+    schema = "flat_table string, sharded long, partitioned long, differences int, day_is_date boolean"
+    return spark.createDataFrame(rows, schema)
+
+
+def random_row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids drawn at random: as many as users, and every child has its parent's."""
+    root, out = nested_root(spark, sf_dir, "users"), new_stage_path(spark, "flat")
+    tables = ["users", "users_user_properties", "users_user_audiences"]
+    work = list_shards(spark, root, "users").withColumn("source", F.lit("users"))
+    control = spark.createDataFrame([(dataset, tables, True, False, False) for dataset in DATASETS], CONTROL_SCHEMA)
+    flatten_work(spark, route(work, control), root, out, random_row_ids=True, **JOB)
+    users, properties, audiences = (read_flat(spark, out, SHARDED, table) for table in tables)
+    children = properties.select("dataset", "row_id").unionByName(audiences.select("dataset", "row_id"))
+    own = users.select("dataset", "row_id", F.col("row_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$").alias("ok"))
+    found = children.join(own.drop("dataset"), "row_id", "left").groupBy("dataset").agg(
+        F.count("*").alias("children"), F.count_if(F.col("ok").isNull()).alias("orphans")
+    )
+    return (
+        own.groupBy("dataset")
+        .agg(F.count("*").alias("users"), F.count_distinct("row_id").alias("ids"), F.count_if("ok").alias("uuids"))
+        .join(found, "dataset")
+    )
+
+
+EMPTIED = "20240130"
+
+
+def empty_shard_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export of all days flattened, then one day's shards rewritten without rows and all flattened again."""
+    source, table = "pseudonymous_users", "pseudo_users"
+    root, out = new_stage_path(spark, "emptied"), new_stage_path(spark, "flat")
+    rows = read_nested(spark, sf_dir, source)
+    write_source(rows, root, source)
+    work = list_shards(spark, root, source).withColumn("source", F.lit(source))
+    control = spark.createDataFrame([(dataset, [table], True, True, False) for dataset in DATASETS], CONTROL_SCHEMA)
+    flatten_work(spark, route(work, control), root, out, **JOB)
+    nothing = rows.drop(*PLACE).where("1 = 0")
+    for path in shard_paths(spark, root, source, between=(EMPTIED, EMPTIED)).values():
+        nothing.write.mode("overwrite").parquet(path)
+    flatten_work(spark, route(work, control), root, out, **JOB)
+    both = [read_flat(spark, out, one, table).withColumn("layout", F.lit(one)) for one in (SHARDED, PARTITIONED)]
+    return union_datasets(both)
 
 
 def day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -395,11 +501,12 @@ def replace_day_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = "items"
     root = nested_root(spark, sf_dir, "events")
     out = _flatten_all(spark, sf_dir, "events", (table,))
-    day = list_shards(spark, root, "events").where(F.col("shard") == ONE_SHARD)
-    keyed = keyed_source(spark, root, "events", [table], between=(ONE_SHARD, ONE_SHARD), **JOB)
-    rows = flatten_table(keyed, table, "events")
-    replace_shards(rows.where("1 = 0"), out, PARTITIONED, table, day)
-    replace_shards(rows, out, PARTITIONED, table, day)
+    day = list(shard_paths(spark, root, "events", between=(ONE_SHARD, ONE_SHARD)))
+    with Stages(spark) as stages:
+        keyed = keyed_source(spark, root, "events", [table], pairs=day, stages=stages, **JOB)
+        rows = flatten_table(keyed, table, "events")
+        replace_shards(rows.where("1 = 0"), out, PARTITIONED, table, day)
+        replace_shards(rows, out, PARTITIONED, table, day)
     return read_flat(spark, out, PARTITIONED, table)
 
 
@@ -433,26 +540,63 @@ def stream_intraday_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_flat(spark, out, SHARDED, "event_params")
 
 
-def stream_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Views made by a creation message per same-day shard of one day, read back together."""
-    root = nested_root(spark, sf_dir, "events_intraday")
-    inbox, checkpoint = (new_stage_path(spark, name) for name in ("inbox", "checkpoint"))
-    shards = list_shards(spark, root, "events_intraday").where(F.col("shard") == "20240131")
+def view_messages(shards: DataFrame) -> DataFrame:
+    """Creations of all shards, and deletions of those whose number of days into the month is not divisible by 4.
+
+    Some deletions come at the very time of the creation.  Later batches bring creations that are older than
+    the deletion, deletions without a time, and the creation of a shard that does not exist.
+    """
+    day = F.col("shard").substr(7, 2).cast("int")
     name = F.struct(
         F.lit("p").alias("projectId"),
         F.col("dataset").alias("datasetId"),
         F.concat(F.lit("events_intraday_"), "shard").alias("tableId"),
     )
     response = F.struct(F.struct(F.struct(name.alias("tableName")).alias("resource")).alias("tableInsertResponse"))
-    payload = F.struct(F.lit("tableservice.insert").alias("methodName"), response.alias("serviceData"))
-    body = F.struct(F.lit("2024-01-31T00:00:00Z").alias("timestamp"), payload.alias("protoPayload"))
-    shards.select(_encoded(body).alias("data")).coalesce(1).write.json(inbox)
+    path = F.concat(F.lit("projects/p/datasets/"), "dataset", F.lit("/tables/events_intraday_"), "shard")
+    entries = F.array(F.struct(path.alias("resource")))
+
+    def message(rows: DataFrame, batch: int, method: str, time: str | None) -> DataFrame:
+        created = method == "tableservice.insert"
+        payload = F.struct(
+            F.lit(method).alias("methodName"),
+            F.when(F.lit(not created), entries).alias("authorizationInfo"),
+            F.when(F.lit(created), response).alias("serviceData"),
+        )
+        body = F.struct(F.lit(time).alias("timestamp"), payload.alias("protoPayload"))
+        return rows.select(F.lit(batch).alias("batch"), _encoded(body).alias("data"))
+
+    insert, delete = "tableservice.insert", "tableservice.delete"
+    dropped = shards.where(day % 4 != 0)
+    absent = shards.select("dataset", F.lit("20991231").alias("shard")).distinct()
+    return union_datasets(
+        [
+            message(shards, 1, insert, "2024-03-01T00:00:00Z"),
+            message(dropped.where(day % 3 == 0), 1, delete, "2024-03-01T00:00:00Z"),
+            message(dropped.where(day % 3 != 0), 2, delete, "2024-03-05T00:00:00Z"),
+            message(shards.where(day % 5 == 0), 2, delete, None),
+            message(dropped.where(day % 2 == 0), 3, insert, "2024-02-28T00:00:00Z"),
+            message(absent, 3, insert, "2024-03-09T00:00:00Z"),
+        ]
+    )
+
+
+def stream_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views of all same-day shards after their creations and deletions, those left read back together."""
+    root = nested_root(spark, sf_dir, "events_intraday")
+    inbox, checkpoint = (new_stage_path(spark, name) for name in ("inbox", "checkpoint"))
+    shards = list_shards(spark, root, "events_intraday")
+    messages = view_messages(shards)
     control = spark.createDataFrame(
         [(dataset, ["user_properties"], None, None, True) for dataset in DATASETS], CONTROL_SCHEMA
     )
-    manage_views(read_messages(spark, inbox), control, root, checkpoint, **JOB).awaitTermination()
-    views = [spark.table(view_name(dataset, "user_properties", "20240131")) for dataset in DATASETS]
-    return union_datasets(views)
+    for batch in (1, 2, 3):
+        # A file a batch, one after the other.
+        messages.where(F.col("batch") == batch).select("data").coalesce(1).write.mode("append").json(inbox)
+    stream = manage_views(read_messages(spark, inbox, 1), control, root, checkpoint, **JOB)
+    stream.awaitTermination()
+    names = [view_name(row.dataset, "user_properties", row.shard) for row in shards.collect()]
+    return union_datasets([spark.table(name) for name in sorted(names) if spark.catalog.tableExists(name)])
 
 
 QUERIES: dict[str, Query] = {
@@ -476,6 +620,8 @@ QUERIES: dict[str, Query] = {
     "default_config": default_config,
     "last_schema_window": last_dataset_window,
     "last_customer_per_nation": last_customer_per_nation,
+    "last_customer_per_segment": last_customer_per_segment,
+    "ordered_numbers": ordered_numbers,
     "ordered_string_agg": ordered_string_agg,
     "constant_columns": constant_columns,
     "configured_datasets": configured_datasets,
@@ -487,6 +633,10 @@ QUERIES: dict[str, Query] = {
     "written_sharded": written_sharded,
     "written_partitioned": written_partitioned,
     "written_users": written_users,
+    **{f"written_{table}_table": _written(table) for table in schemas.ALL_TABLES},
+    "written_checks": written_checks,
+    "random_row_ids": random_row_ids,
+    "empty_shard_replaced": empty_shard_replaced,
     "day_counts": day_counts,
     "day_counts_parity": day_counts_parity,
     "replace_day_idempotent": replace_day_idempotent,

@@ -114,3 +114,15 @@ def test_relational_helpers(spark):
     assert with_constants(df, one=1).select("one").distinct().collect()[0].one == 1
     other = spark.createDataFrame([("z", 1)], "k string, n int")
     assert union_datasets([df, other, df]).count() == 9
+
+
+def test_null_keys_form_a_group(spark):
+    rows = [(None, "a"), (None, "b"), ("x", "c"), ("x", None)]
+    df = spark.createDataFrame(rows, "k string, v string")
+    found = last_value_per_group(df, ["k"], "v", "last").collect()
+    assert {tuple(row) for row in found} == {(*row, {None: "b", "x": "c"}[row[0]]) for row in rows}
+
+
+def test_numbers_are_joined_in_their_own_order(spark):
+    df = spark.createDataFrame([("a", n) for n in (100, 9, 10, 9, None, -1)], "k string, v long")
+    assert ordered_text(df, ["k"], "v", "t", ",").first().t == "-1,9,9,10,100"

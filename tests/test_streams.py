@@ -1,5 +1,6 @@
 import base64
 import json
+import os
 import time
 
 import pytest
@@ -63,7 +64,7 @@ def test_arrivals_are_flattened_once_each(spark, tmp_path):
     assert shards(spark, out) == {"20240101": 2, "20240103": 1}
 
 
-def test_refresh_recomputes_touched_shards(spark, tmp_path):
+def test_refresh_recomputes_present_shards(spark, tmp_path):
     root, out = str(tmp_path / "in"), str(tmp_path / "out")
 
     def drain():
@@ -82,6 +83,17 @@ def test_refresh_recomputes_touched_shards(spark, tmp_path):
     assert shards(spark, out) == {"20240102": 2, "20240103": 1}
     ids = [r.event_id for r in read_flat(spark, out, SHARDED, "events").where("shard = '20240102'").collect()]
     assert sorted(ids) == ["s_u_view_1____1", "s_u_view_1____2"]
+    # A file rewritten under its old name is seen too.
+    folder = next((tmp_path / "in" / "events_intraday").glob("dataset=*/shard=20240103"))
+    names = {path.name: path for path in folder.iterdir() if path.name.startswith("part-")}
+    other = frame(spark, "events_intraday", [event("20240103"), event("20240103")], position=False)
+    other.drop("dataset", "shard").coalesce(1).write.parquet(str(tmp_path / "other"))
+    new = next((tmp_path / "other").glob("part-*"))
+    for path in names.values():
+        path.write_bytes(new.read_bytes())
+        path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+    drain()
+    assert shards(spark, out) == {"20240102": 2, "20240103": 2 * len(names)}
 
 
 def test_views_follow_messages(spark, tmp_path):
@@ -112,6 +124,24 @@ def test_views_follow_messages(spark, tmp_path):
     assert not spark.catalog.tableExists(events)
 
 
+def test_late_and_timeless_messages_do_not_revive_views(spark, tmp_path):
+    root, inbox, dataset = str(tmp_path / "in"), tmp_path / "inbox", "analytics_32"
+    export(spark, root, "events_intraday", [event(f"2024010{day}", dataset=dataset) for day in range(1, 5)])
+    insert, delete = (lambda shard, at, kind=kind: lifecycle(kind, shard, dataset, at) for kind in ("insert", "delete"))
+    # Files are read one after the other, a batch each.
+    send(inbox, "1", insert("20240101", "2024-01-02T00:00:00Z"), insert("20240102", "2024-01-02T00:00:00Z"))
+    send(inbox, "2", delete("20240101", "2024-01-05T00:00:00Z"), delete("20240103", None),
+         insert("20240104", "2024-01-02T00:00:00Z"), delete("20240104", "2024-01-02T00:00:00Z"))
+    send(inbox, "3", insert("20240101", "2024-01-04T00:00:00Z"), insert("20240109", "2024-01-04T00:00:00Z"))
+    for at, name in enumerate(sorted(inbox.iterdir())):
+        os.utime(name, (1_700_000_000 + at, 1_700_000_000 + at))
+    manage_views(
+        read_messages(spark, str(inbox), 1), control(spark, ["events"], dataset=dataset), root, str(tmp_path / "checkpoint")
+    ).awaitTermination()
+    there = [day for day in (1, 2, 3, 4, 9) if spark.catalog.tableExists(view_name(dataset, "events", f"2024010{day}"))]
+    assert there == [2]
+
+
 def test_refresh_intervals():
     assert refresh_interval(30, "minutes") == "30 minutes"
     assert refresh_interval(1, "hours") == "1 hours"

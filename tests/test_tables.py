@@ -1,12 +1,16 @@
+import pathlib
+
 import pytest
 from nested_rows import DATASET, event, export, param
+from pyspark.sql import functions as F
 
 from flatweave import quality
 from flatweave.operators.relational import rejoin
 from flatweave.plans.flatten_job import backfill, flatten_work, keyed_source
 from flatweave.plans.work import route
-from flatweave.session import drop_stage, shared_folder
-from flatweave.sinks.tables import PARTITIONED, SHARDED, read_flat, replace_shards
+from flatweave.session import Stages, drop_stage, shared_folder
+from flatweave.sinks.tables import PARTITIONED, SHARDED, read_flat, replace_shards, table_path
+from flatweave.sources.shards import read_source
 
 CONTROL = "dataset string, tables_to_flatten array<string>, sharded boolean, partitioned boolean, intraday_views boolean"
 
@@ -30,21 +34,49 @@ def counts(spark, out, table="event_params", layout=PARTITIONED):
     return {(r.shard, str(r.event_date)): r["count"] for r in flat.groupBy("shard", "event_date").count().collect()}
 
 
-@pytest.mark.parametrize("most_repeats", [0, 1_000_000])
-def test_layouts_agree_and_runs_are_idempotent(spark, tmp_path, most_repeats):
+def staged_folders(spark):
+    return partition_free(f"{shared_folder(spark)}/flatweave/{spark.sparkContext.applicationId}")
+
+
+def partition_free(folder):
+    path = pathlib.Path(folder.removeprefix("file:"))
+    return {p.name for p in path.iterdir() if not p.name.startswith("nested-")} if path.exists() else set()
+
+
+def test_layouts_agree_and_runs_are_idempotent(spark, tmp_path):
     root, out = export(spark, tmp_path / "in", "events", two_days()), str(tmp_path / "out")
+    before = staged_folders(spark)
     for _ in range(2):
-        flatten_work(spark, work(spark, ["20240101", "20240102"]), root, out, most_repeats=most_repeats)
+        flatten_work(spark, work(spark, ["20240101", "20240102"]), root, out)
         for table in ("events", "event_params"):
             sharded, partitioned = (read_flat(spark, out, layout, table) for layout in (SHARDED, PARTITIONED))
-            assert quality.schema_differences(sharded, partitioned) == []
-            assert quality.day_is_date(partitioned, table)
+            assert quality.written_differences(spark, out, table) == []
+            assert quality.day_is_date(quality.as_written(spark, out, PARTITIONED, table), table)
+            assert quality.days_match_partitions(spark, out, table)
             assert quality.count_difference(sharded, partitioned) == 0
             assert quality.day_count_differences(sharded, partitioned).count() == 0
         assert counts(spark, out) == {("20240101", "2024-01-01"): 3, ("20240102", "2024-01-02"): 1}
         events = read_flat(spark, out, SHARDED, "events")
         assert quality.repeated_keys(events).count() == 0
         assert rejoin(events, read_flat(spark, out, SHARDED, "event_params")).count() == 4
+    assert staged_folders(spark) == before
+
+
+def test_checks_see_wrong_tables(spark, tmp_path):
+    root, out = export(spark, tmp_path / "in", "events", two_days()), str(tmp_path / "out")
+    flatten_work(spark, work(spark, ["20240101"], ("items", "event_params")), root, out)
+    path = table_path(out, PARTITIONED, "event_params")
+    rows = quality.as_written(spark, out, PARTITIONED, "event_params")
+    wrong = rows.withColumn("event_params_int_value", F.col("event_params_int_value").cast("string")).drop("event_id")
+    wrong.withColumn("event_date", F.lit("20240101x")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static").partitionBy("dataset", "event_date", "shard").parquet(f"{path}-new")
+    pathlib.Path(path).rename(f"{path}-old")
+    pathlib.Path(f"{path}-new").rename(path)
+    assert quality.written_differences(spark, out, "event_params")[:1] == ["event_date"] or set(
+        quality.written_differences(spark, out, "event_params")
+    ) >= {"event_id", "event_params_int_value"}
+    assert not quality.day_is_date(quality.as_written(spark, out, PARTITIONED, "event_params"), "event_params")
+    assert not quality.days_match_partitions(spark, out, "event_params")
 
 
 def test_one_day_is_replaced_alone(spark, tmp_path):
@@ -122,14 +154,67 @@ def test_backfill_writes_configured_tables(spark, tmp_path):
     assert not (tmp_path / "out" / "partitioned").exists()
 
 
-def test_many_shards_are_selected_by_a_join(spark, tmp_path, monkeypatch):
-    from flatweave.plans import work as planning
+def test_only_requested_directories_are_scanned(spark, tmp_path):
+    columns = "user_id string, dataset string, shard string"
+    many = [("u", f"d{i % 20}", f"2024{i // 20:04d}") for i in range(2_000)]
+    spark.createDataFrame(many, columns).coalesce(1).write.partitionBy("dataset", "shard").parquet(f"{tmp_path}/in/users")
+    pairs = [(dataset, shard) for _, dataset, shard in many[:1_100]]
+    rows = read_source(spark, f"{tmp_path}/in", "users", pairs=[*pairs, ("d0", "20990101"), ("no", "20240000")])
+    files = rows.inputFiles()
+    assert len(files) == 1_100
+    assert {tuple(part.partition("=")[2] for part in file.split("/")[-3:-1]) for file in files} == set(pairs)
+    assert rows.count() == 1_100
 
-    monkeypatch.setattr(planning, "LITERAL_PAIRS", 1)
-    monkeypatch.setattr(planning, "LOCAL_ROWS", 1)
+
+def test_emptied_shard_clears_its_rows(spark, tmp_path):
     root, out = export(spark, tmp_path / "in", "events", two_days()), str(tmp_path / "out")
     flatten_work(spark, work(spark, ["20240101", "20240102"]), root, out)
-    assert counts(spark, out) == {("20240101", "2024-01-01"): 3, ("20240102", "2024-01-02"): 1}
+    empty = read_source(spark, root, "events", shard="20240102", position=False).drop("dataset", "shard").where("1 = 0")
+    empty.write.mode("overwrite").parquet(f"{root}/events/dataset={DATASET}/shard=20240102")
+    assert read_source(spark, root, "events", shard="20240102").count() == 0
+    flatten_work(spark, work(spark, ["20240101", "20240102"]), root, out)
+    for layout in (SHARDED, PARTITIONED):
+        assert counts(spark, out, layout=layout) == {("20240101", "2024-01-01"): 3}
+
+
+def test_empty_daily_export_wins_over_same_day(spark, tmp_path):
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    export(spark, root, "events", [event("20240102")])
+    export(spark, root, "events_intraday", [event("20240102")])
+    empty = read_source(spark, root, "events", position=False).drop("dataset", "shard").where("1 = 0")
+    empty.write.mode("overwrite").parquet(f"{root}/events/dataset={DATASET}/shard=20240102")
+    flatten_work(spark, work(spark, ["20240102"], ("events",), "events_intraday"), root, out)
+    assert not (tmp_path / "out").exists()
+
+
+def test_daily_export_that_arrives_during_a_refresh_stays(spark, tmp_path, monkeypatch):
+    from flatweave.plans import flatten_job
+
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    export(spark, root, "events_intraday", [event("20240102"), event("20240102", event_name="click")])
+    real = flatten_job.replace_shards
+
+    def arrives(*args):
+        if not (tmp_path / "in" / "events").exists():
+            export(spark, root, "events", [event("20240102")])
+        real(*args)
+
+    monkeypatch.setattr(flatten_job, "replace_shards", arrives)
+    flatten_work(spark, work(spark, ["20240102"], ("events",), "events_intraday", partitioned=False), root, out)
+    assert [r.source_table_type for r in read_flat(spark, out, SHARDED, "events").collect()] == ["daily"]
+
+
+def test_names_that_need_escaping_are_replaced(spark, tmp_path):
+    name = "a b=c:d%"
+    rows = [event("20240101", dataset=name, event_params=[param("a", int_value=1)]), event("20240102", dataset=name)]
+    root, out = export(spark, tmp_path / "in", "events", rows), str(tmp_path / "out")
+    control = spark.createDataFrame([(name, ["event_params"], True, True, True)], CONTROL)
+    arrivals = spark.createDataFrame([(name, "events", "20240101")], "dataset string, source string, shard string")
+    flatten_work(spark, route(arrivals, control), root, out)
+    assert [read_flat(spark, out, layout, "event_params").count() for layout in (SHARDED, PARTITIONED)] == [1, 1]
+    export(spark, tmp_path / "in", "events", [event("20240101", dataset=name, event_params=None)])
+    flatten_work(spark, route(arrivals, control), root, out)
+    assert [read_flat(spark, out, layout, "event_params").count() for layout in (SHARDED, PARTITIONED)] == [0, 0]
 
 
 def test_replace_lists_the_shards_it_replaces(spark, tmp_path):
@@ -164,9 +249,19 @@ def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert shared_folder(Session) == shared_folder(Session)
 
-    class Cluster(Session):
-        class sparkContext:
-            master = "spark://somewhere"
+    for address in ("spark://somewhere", "local-cluster[2,1,1024]"):
+
+        class Cluster(Session):
+            class sparkContext:
+                master = address
+
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(Cluster)
+
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(Cluster)
+def test_stages_are_dropped_when_a_job_fails(spark, tmp_path):
+    before = staged_folders(spark)
+    with pytest.raises(Exception, match="stop here"), Stages(spark) as stages:
+        assert stages.table(spark.range(3), "kept").count() == 3
+        stages.table(spark.range(3).select(F.raise_error(F.lit("stop here"))), "broken")
+    assert staged_folders(spark) == before
