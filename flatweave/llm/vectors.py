@@ -34,6 +34,7 @@ MEDOIDS = 4
 AUDIT_QUERIES = 256
 TARGET_RECALL = 0.98
 _QUERIES_AT_ONCE = 256
+_EXPANDED_AT_ONCE = 4
 
 
 def _usable(vectors: DataFrame, column: str) -> DataFrame:
@@ -120,48 +121,67 @@ def range_search(
 ) -> np.ndarray:
     """Which points (columns) each query found in range.
 
-    All queries walk in step: each expands the best few of its ``beam`` best points until all are expanded, then every point in
-    range until none is left.
+    All queries walk in step, and each expands the best few of its ``beam`` best points until all are expanded.  Then
+    each expands every point in range that it has met, until none is left.
     """
     count, asked = len(points), len(queries)
     similar = np.full((asked, count), -2.0)
     expanded = np.zeros((asked, count), bool)
-    beam = min(beam, count)
-
-    def visit(query: np.ndarray, point: np.ndarray) -> None:
-        fresh = similar[query, point] == -2.0
-        query, point = query[fresh], point[fresh]
-        code = np.unique(query * count + point)
-        query, point = code // count, code % count
-        for at in range(0, len(code), 1 << 17):
-            q, p = query[at : at + (1 << 17)], point[at : at + (1 << 17)]
-            similar[q, p] = np.einsum("nd,nd->n", queries[q], points[p])
-
-    def expand(query: np.ndarray, point: np.ndarray) -> None:
-        expanded[query, point] = True
-        for at in range(0, len(query), 1 << 16):
-            q, p = query[at : at + (1 << 16)], point[at : at + (1 << 16)]
-            near = lists[p]
-            real = near >= 0
-            visit(np.repeat(q, near.shape[1])[real.reshape(-1)], near[real])
-
-    everyone = np.arange(asked)
-    visit(np.repeat(everyone, len(starts)), np.tile(starts, asked))
-    active = everyone
+    first_of = np.zeros(asked * count, np.int32)
+
+    def visit(query: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """Similarities of points (rows: queries, -1: none) not met before, once each; -3 for the others."""
+        rows, places = np.nonzero(near >= 0)
+        point = near[rows, places]
+        code = query[rows] * count + point
+        fresh = similar.reshape(-1)[code] == -2.0
+        rows, places, point, code = rows[fresh], places[fresh], point[fresh], code[fresh]
+        first_of[code] = np.arange(len(code))
+        once = first_of[code] == np.arange(len(code))
+        rows, places, point, code = rows[once], places[once], point[once], code[once]
+        found = np.full(near.shape, -3.0)
+        for at in range(0, len(code), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            found[rows[part], places[part]] = np.einsum("nd,nd->n", queries[query[rows[part]]], points[point[part]])
+        similar.reshape(-1)[code] = found[rows, places]
+        return found
+
+    active = np.arange(asked)
+    ids = np.broadcast_to(starts, (asked, len(starts))).copy()
+    worth = visit(active, ids)
+    open_ = np.ones(ids.shape, bool)
     while len(active):
-        top = np.argpartition(-similar[active], beam - 1, axis=1)[:, :beam]
-        worth = np.take_along_axis(similar[active], top, axis=1)
-        worth = np.where(np.take_along_axis(expanded[active], top, axis=1) | (worth == -2.0), -3.0, worth)
-        best = np.argsort(-worth, axis=1, kind="stable")[:, :4]
-        open_ = np.take_along_axis(worth, best, axis=1) > -2.5
-        query = np.repeat(active, best.shape[1])[open_.reshape(-1)]
-        expand(query, np.take_along_axis(top, best, axis=1)[open_])
-        active = active[open_.any(axis=1)]
-    while True:
-        query, point = np.nonzero((similar >= threshold) & ~expanded)
-        if not len(query):
-            return similar >= threshold
-        expand(query, point)
+        best = np.argsort(-np.where(open_, worth, -4.0), axis=1, kind="stable")[:, :_EXPANDED_AT_ONCE]
+        chosen = np.take_along_axis(ids, best, axis=1)
+        real = np.take_along_axis(open_ & (worth > -2.5), best, axis=1)
+        going = real.any(axis=1)
+        if not going.all():
+            active, ids, worth, open_ = active[going], ids[going], worth[going], open_[going]
+            best, chosen, real = best[going], chosen[going], real[going]
+            if not len(active):
+                break
+        np.put_along_axis(open_, best, False, axis=1)
+        row = np.broadcast_to(active[:, None], chosen.shape)
+        expanded[row[real], chosen[real]] = True
+        near = np.where(real[:, :, None], lists[chosen], -1).reshape(len(active), -1)
+        found = visit(active, near)
+        ids = np.hstack([ids, near])
+        worth = np.hstack([worth, found])
+        open_ = np.hstack([open_, found > -2.5])
+        if ids.shape[1] > beam:
+            top = np.argpartition(-worth, beam - 1, axis=1)[:, :beam]
+            ids, worth, open_ = (np.take_along_axis(one, top, axis=1) for one in (ids, worth, open_))
+
+    mark = np.zeros(count + 1, bool)  # the last place takes the -1
+    for query in np.flatnonzero(((similar >= threshold) & ~expanded).any(axis=1)):
+        frontier = np.flatnonzero((similar[query] >= threshold) & ~expanded[query])
+        while len(frontier):
+            mark[:] = False
+            mark[lists[frontier].reshape(-1)] = True
+            new = np.flatnonzero(mark[:count] & (similar[query] == -2.0))
+            similar[query, new] = points[new] @ queries[query]
+            frontier = new[similar[query, new] >= threshold]
+    return similar >= threshold
 
 
 def _lists_of(group: pa.Table, ids: np.ndarray) -> np.ndarray:
