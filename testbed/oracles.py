@@ -496,7 +496,7 @@ ORACLES: dict[str, str] = {
         f" WHERE NOT EXISTS (SELECT 1 FROM ({_EVENT_SHARDS}) d WHERE d.dataset = x.dataset AND d.shard = x.shard)"
     ),
     "stream_views": _properties(
-        "intraday", _events(shift=1, intraday_view=True), "CAST(substr(shard, 7, 2) AS INTEGER) % 4 = 0"
+        "intraday", _events(shift=1, intraday_view=True), "CAST(substr(shard, 7, 2) AS INTEGER) % 10 = 0"
     ),
 }
 

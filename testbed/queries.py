@@ -541,7 +541,7 @@ def stream_intraday_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def view_messages(shards: DataFrame) -> DataFrame:
-    """Creations of all shards, and deletions of those whose number of days into the month is not divisible by 4.
+    """Creations of all shards, and deletions of those whose day of the month is not divisible by 10.
 
     Some deletions come at the very time of the creation.  Later batches bring creations that are older than
     the deletion, deletions without a time, and the creation of a shard that does not exist.
@@ -567,7 +567,7 @@ def view_messages(shards: DataFrame) -> DataFrame:
         return rows.select(F.lit(batch).alias("batch"), _encoded(body).alias("data"))
 
     insert, delete = "tableservice.insert", "tableservice.delete"
-    dropped = shards.where(day % 4 != 0)
+    dropped = shards.where(day % 10 != 0)
     absent = shards.select("dataset", F.lit("20991231").alias("shard")).distinct()
     return union_datasets(
         [
