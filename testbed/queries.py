@@ -573,7 +573,8 @@ def view_messages(shards: DataFrame) -> DataFrame:
         [
             message(shards, 1, insert, "2024-03-01T00:00:00Z"),
             message(dropped.where(day % 3 == 0), 1, delete, "2024-03-01T00:00:00Z"),
-            message(dropped.where(day % 3 != 0), 2, delete, "2024-03-05T00:00:00Z"),
+            message(dropped.where(day % 3 == 1), 1, delete, "2024-03-05T00:00:00Z"),
+            message(dropped.where(day % 3 == 2), 2, delete, "2024-03-05T00:00:00Z"),
             message(shards.where(day % 5 == 0), 2, delete, None),
             message(dropped.where(day % 2 == 0), 3, insert, "2024-02-28T00:00:00Z"),
             message(absent, 3, insert, "2024-03-09T00:00:00Z"),
