@@ -11,7 +11,7 @@ import numpy as np
 
 END = 0
 ID_BYTES = 4
-MOST_CACHED = 800_000
+MOST_CACHED = 1_400_000
 _TOGETHER = 256  # longer texts are slower by the word
 
 
@@ -22,15 +22,6 @@ def public_tokenizer(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class _Known(dict):
-    """Words that are kept, and beside them those of the present batch."""
-
-    others: dict[str, bytes]
-
-    def __missing__(self, word: str) -> bytes:
-        return self.others[word]
-
-
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers.
 
@@ -50,7 +41,8 @@ class Encoder:
         vocabulary = self._tokenizer.get_vocab()
         self._begins = np.zeros(max(vocabulary.values()) + 1, bool)
         self._begins[[number for sign, number in vocabulary.items() if sign.startswith("\u0120")]] = True
-        self._known = _Known()
+        self._known: dict[str, bytes] = {}  # of words after a space
+        self._first: dict[str, bytes] = {}  # of words at the beginning
         self._signs = dict(zip(",.", self._encode([",", "."])))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -75,37 +67,54 @@ class Encoder:
                 made.update(zip(some, self._encode([" " + word for word in some])))
         return made
 
+    def _new(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of words not known yet; those with white space at an end are left out.
+
+        They are kept while there is room: the first words met are the frequent ones.
+        """
+        known, found, other = self._known, {}, []
+        for word in words:
+            if not word or word[0].isspace() or word[-1].isspace():
+                continue
+            # A sign after letters is a piece of its own.
+            letters = known.get(word[:-1]) if word[-1] in self._signs and word[:-1].isalpha() else None
+            if letters is None:
+                other.append(word)
+            else:
+                found[word] = letters + self._signs[word[-1]]
+        found |= self._words(other)
+        if len(known) + len(found) <= MOST_CACHED:
+            known.update(found)
+        return found
+
+    def _firsts(self, words: list[str]) -> list[bytes]:
+        new = list({word for word in words if word not in self._first})
+        found = dict(zip(new, self._encode(new)))
+        if len(self._first) + len(found) <= MOST_CACHED // 8:
+            self._first.update(found)
+        return [self._first.get(word) or found.get(word, b"") for word in words]
+
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text (null: empty), without an end id."""
         split = [(text or "").split(" ") for text in texts]
-        used = set().union(*split)
-        new = used - self._known.keys()
-        plain = [word for word in new if word and not word[0].isspace() and not word[-1].isspace()]
-        found = self._words([word for word in plain if not (word[-1] in ",." and word[:-1] in self._known and word[:-1].isalpha())])
-        # A sign after letters is a piece of its own.
-        for word in plain:
-            if word not in found:
-                found[word] = self._known[word[:-1]] + self._signs[word[-1]]
-        if len(self._known) + len(found) <= MOST_CACHED:
-            self._known.update(found)
-            self._known.others = {}
-        else:
-            # The first words met are the frequent ones.  Where most are new, the texts have changed.
-            if 2 * len(new) > len(used):
-                found |= {word: self._known[word] for word in used - new}
-                self._known = _Known()
-            self._known.others = found
-        get = self._known.__getitem__
-        firsts = self._encode([words[0] for words in split])
+        firsts = self._firsts([words[0] for words in split])
+        # White space next to the first space is seen here, next to others below.
+        whole = [len(words) > 1 and (not words[0] or words[0][-1].isspace()) for words in split]
+        for words in split:
+            del words[0]
+        parts = [list(map(self._known.get, words)) for words in split]
+        missing = {w for words, own in zip(split, parts) if None in own for w, ids in zip(words, own) if ids is None}
+        if 3 * len(missing) > sum(map(len, split)) and len(self._known) + len(missing) > MOST_CACHED:
+            self._known = {}  # the texts have changed, and what is kept no longer helps
+        found = self._new(missing)
         made = []
-        for text, words, first in zip(texts, split, firsts):
-            try:
-                if len(words) > 1 and (not words[0] or words[0][-1].isspace()):
-                    raise KeyError
-                del words[0]
-                made.append(first + b"".join(map(get, words)))
-            except KeyError:  # white space next to a space
-                made.append(self._encode([text])[0])
+        for text, words, own, first, odd in zip(texts, split, parts, firsts, whole):
+            if None in own:
+                for at, ids in enumerate(own):
+                    if ids is None:
+                        own[at] = found.get(words[at])
+                odd = odd or None in own
+            made.append(self._encode([text])[0] if odd else first + b"".join(own))
         return made
 
 
