@@ -1,6 +1,7 @@
 """Near-duplicate vectors by a robust-pruned flat graph.
 
-Equal vectors are one node.  Nodes are dealt to overlapping shards, those of their nearest centroids; each shard
+Equal vectors are one node.  Nodes are dealt to overlapping shards, those of their nearest centroids; shards that are too
+large are dealt on to centroids of their own, unless they are one dense group.  Each shard
 builds a graph whose lists are thinned by robust pruning (Subramanya et al., DiskANN), and the
 lists that a node got in its shards are united.  Every node is then searched for in each of
 its shards: greedily from the shard's medoids, and from within the range on through all links, until no vector in
@@ -13,10 +14,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flatweave.llm.common import ROW, hash_sample, map_batches, staged, with_row_ids
+from flatweave.llm.common import ROW, hash_sample, map_batches, staged, uniform, with_row_ids
 from flatweave.llm.components import connected_components
 
 THRESHOLD = 0.95
@@ -25,6 +27,15 @@ MOST_SHARD_NODES = 6_000
 OVERLAP = 4
 SAMPLE = 20_000
 LEAST_PER_CENTROID = 4
+# Centroids nearer than this are one, so that a dense group stays together.
+SAME_CENTROID = 0.85
+# A shard of more nodes is dealt on, by centroids of a sample of its own.
+RESPLIT_NODES = 16_000
+SHARD_SAMPLE = 4_000
+RESPLIT_OVERLAP = 2
+# With fewer centroids than this the overlap would leave shards about as large as they were.
+LEAST_RESPLIT = 8
+MOST_LEVELS = 3
 DEGREE = 24
 POOL = 64
 ALPHA = 1.2
@@ -60,7 +71,16 @@ def fit_centroids(sample: np.ndarray, count: int, rounds: int = 8, seed: int = 3
         np.add.at(sums, nearest, sample)
         norms = np.linalg.norm(sums, axis=1, keepdims=True)
         centroids = np.where(norms > 0, sums / np.where(norms > 0, norms, 1), centroids)
-    return centroids
+    alike = centroids @ centroids.T >= SAME_CENTROID
+    kept = np.ones(len(centroids), bool)
+    for at in range(len(centroids)):
+        if kept[at]:
+            kept[at + 1 :] &= ~alike[at, at + 1 :]
+    return centroids[kept]
+
+
+def nearest_centroids(points: np.ndarray, centroids: np.ndarray, count: int) -> np.ndarray:
+    return np.argsort(-(points @ centroids.T), axis=1, kind="stable")[:, :count]
 
 
 def shard_graph(points: np.ndarray, block: int = 512) -> np.ndarray:
@@ -197,6 +217,16 @@ def _lists_of(group: pa.Table, ids: np.ndarray) -> np.ndarray:
     return lists
 
 
+def _shard_lists(column: pa.ChunkedArray) -> np.ndarray:
+    """Lists of different lengths as rows, ended by -1."""
+    column = column.combine_chunks()
+    sizes = np.diff(column.offsets.to_numpy())
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    made = np.full((len(sizes), int(sizes.max(initial=1))), -1, np.int64)
+    made[np.repeat(np.arange(len(sizes)), sizes), np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
+    return made
+
+
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     column = column.combine_chunks()
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
@@ -206,8 +236,8 @@ def node_links(nodes: DataFrame, threshold: float = THRESHOLD, beam: int = BEAM)
     """(node, links, first) of nodes (node, unit, weight, shards): the weight of other nodes in range, by shard,
     and a node that it hangs together with in that shard.
 
-    A shard above ``MOST_SHARD_NODES`` is cut into slices by hash: each slice has its own graph, and all the
-    shard's nodes are searched for in every slice.
+    A shard above ``MOST_SHARD_NODES`` is cut into slices by hash.  Each slice has its own graph, and the nodes of each slice
+    are searched for in every other, a task for each two.
     """
     in_shard = nodes.withColumn("shard", F.explode("shards"))
     slices = staged(
@@ -226,34 +256,39 @@ def node_links(nodes: DataFrame, threshold: float = THRESHOLD, beam: int = BEAM)
     parts = placed.groupBy("shard", "own").applyInArrow(build, "node long, near array<long>")
     united = parts.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     placed = placed.join(staged(united, "vector-graph"), "node")
-    # Every node is a query in all slices of its shards, and a point of its own slice.
-    asked = placed.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
-    asked = asked.withColumn("is_point", F.col("slice") == F.col("own"))
+    # Every node is a query in all slices of its shards, and a point of its own slice for the queries of all.
+    every = F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)
+    asked = placed.withColumn("slice", F.explode(every)).withColumn("block", F.col("own"))
+    asked = asked.withColumns({"is_query": F.lit(True), "is_point": F.col("slice") == F.col("own")})
+    met = placed.withColumn("block", F.explode(every)).where("block != own").withColumn("slice", F.col("own"))
+    met = met.withColumns({"is_query": F.lit(False), "is_point": F.lit(True)})
+    asked = asked.unionByName(met)
 
     def search(group: pa.Table) -> pa.Table:
         shard = group.column("shard")[0].as_py()
-        group = group.take(np.lexsort((group.column("node").to_numpy(), ~group.column("is_point").to_numpy(zero_copy_only=False))))
         is_point = group.column("is_point").to_numpy(zero_copy_only=False)
-        ids, units = group.column("node").to_numpy(), _matrix(group.column("unit"))
-        weights, shards = group.column("weight").to_numpy(), _matrix(group.column("shards"))
+        group = group.take(np.lexsort((group.column("node").to_numpy(), ~is_point)))
         many = int(is_point.sum())
+        queries = np.flatnonzero(group.column("is_query").to_numpy(zero_copy_only=False))
+        ids, units = group.column("node").to_numpy(), _matrix(group.column("unit"))
+        weights, shards = group.column("weight").to_numpy(), _shard_lists(group.column("shards"))
         points = units[:many]
-        if not many:
+        if not many or not len(queries):
             return pa.table({"node": ids[:0], "links": weights[:0], "first": ids[:0]})
         lists = _lists_of(group.slice(0, many), ids[:many])
-        centre = points.mean(axis=0)
-        starts = np.argsort(-(points @ centre), kind="stable")[:1]
+        # The medoid, and some more points in case the graph falls apart.
+        starts = np.argsort(-(points @ points.mean(axis=0)), kind="stable")[:1]
         spread = np.linspace(0, many - 1, min(MEDOIDS, many)).astype(np.int64)
         starts = np.unique(np.r_[starts, spread])
-        links = np.zeros(len(ids), np.int64)
-        parent = np.arange(len(ids))
+        links, parent = np.zeros(len(ids), np.int64), np.arange(len(ids))
 
-        whole = many == len(ids)
+        whole = len(queries) == many == len(ids)
         found_all = np.zeros((many, many), bool) if whole else None
-        for at in range(0, len(ids), _QUERIES_AT_ONCE):
-            own = np.arange(at, min(len(ids), at + _QUERIES_AT_ONCE))
+        for at in range(0, len(queries), _QUERIES_AT_ONCE):
+            own = queries[at : at + _QUERIES_AT_ONCE]
             found = range_search(points, lists, units[own], starts, threshold, beam)
-            found[own < many, own[own < many]] = False
+            same = np.flatnonzero(own < many)
+            found[same, own[same]] = False
             if whole:
                 found_all[own] = found
             else:
@@ -268,7 +303,7 @@ def node_links(nodes: DataFrame, threshold: float = THRESHOLD, beam: int = BEAM)
         some = (links > 0) | (parent != np.arange(len(ids)))
         return pa.table({"node": ids[some], "links": links[some], "first": ids[parent[some]]})
 
-    return asked.groupBy("shard", "slice").applyInArrow(search, "node long, links long, first long")
+    return asked.groupBy("shard", "slice", "block").applyInArrow(search, "node long, links long, first long")
 
 
 def _count(found, own, shards, shard, weights, links, parent) -> None:
@@ -279,7 +314,7 @@ def _count(found, own, shards, shard, weights, links, parent) -> None:
         first = np.full(len(q), np.iinfo(np.int64).max)
         for a in range(shards.shape[1]):
             mine = shards[q, a]
-            shared = (shards[p] == mine[:, None]).any(axis=1)
+            shared = (shards[p] == mine[:, None]).any(axis=1) & (mine >= 0)
             first = np.where(shared, np.minimum(first, mine), first)
         counted = first == shard
         np.add.at(links, q[counted], weights[p[counted]])
@@ -382,6 +417,63 @@ def near_vectors(
     return usable.unionByName(lone).withColumn("kept", kept)
 
 
+def _resplit(sharded: DataFrame, dimension: int) -> DataFrame:
+    """Deals the nodes of too large shards on, level by level, to the nearest of centroids of a sample of the shard.
+
+    A shard whose centroids are nearly all alike is a dense group and stays whole.
+    """
+    settled = None
+    for _ in range(MOST_LEVELS):
+        members = sharded.select("node", "unit", F.explode("shards").alias("shard"))
+        large = members.groupBy("shard").agg(F.count("*").alias("size")).where(F.col("size") > RESPLIT_NODES)
+        if settled is not None:
+            large = large.join(settled, "shard", "left_anti")
+        large = staged(large, "vector-large")
+        if large.isEmpty():
+            return sharded
+        # Cut into blocks, so that no task gets a shard whole.
+        large = large.withColumn("blocks", F.ceil(F.col("size") / RESPLIT_NODES))
+        members = members.join(large, "shard").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+
+        def fit(group: pa.Table) -> pa.Table:
+            sample = _matrix(group.column("unit"))
+            wanted = min(-(-group.column("size")[0].as_py() // SHARD_NODES), len(sample) // LEAST_PER_CENTROID, 256)
+            made = fit_centroids(sample, max(1, wanted)).reshape(-1)
+            return pa.table({"shard": group.column("shard")[:1], "centroids": pa.array([made], pa.list_(pa.float64()))})
+
+        def deal(members: pa.Table, fitted: pa.Table) -> pa.Table:
+            points = _matrix(members.column("unit"))
+            centroids = _matrix(fitted.column("centroids")).reshape(-1, points.shape[1])
+            shard = members.column("shard")[0].as_py()
+            # Numbers of the new shards; two with one number would only be searched together.
+            numbers = [xxhash.xxh64_intdigest(f"{shard}/{one}") >> 1 for one in range(len(centroids))]
+            new = np.array(numbers, np.int64)[nearest_centroids(points, centroids, RESPLIT_OVERLAP)]
+            return pa.table(
+                {"node": members.column("node"), "shard": members.column("shard"), "new": pa.array(list(new), pa.list_(pa.int64()))}
+            )
+
+        sample = members.where(uniform("node", "shard") < F.lit(SHARD_SAMPLE) / F.col("size")).select("shard", "size", "unit")
+        fitted = staged(sample.groupBy("shard").applyInArrow(fit, "shard long, centroids array<double>"), "vector-centroids")
+        alone = F.size("centroids") < LEAST_RESPLIT * dimension
+        whole = staged(fitted.where(alone).select("shard"), "vector-whole")
+        settled = whole if settled is None else settled.union(whole)
+        apart = fitted.where(~alone).join(large, "shard")
+        apart = apart.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        own = members.join(whole, "shard", "left_anti").select("shard", "block", "node", "unit").groupBy("shard", "block")
+        moved = own.cogroup(apart.select("shard", "block", "centroids").groupBy("shard", "block"))
+        moved = moved.applyInArrow(deal, "node long, shard long, new array<long>")
+        moved = moved.groupBy("node").agg(F.collect_list("shard").alias("old"), F.flatten(F.collect_list("new")).alias("new"))
+        empty = F.array().cast("array<bigint>")
+        lists = F.array_union(
+            F.array_except("shards", F.coalesce("old", empty)), F.coalesce("new", empty)
+        )
+        joined = sharded.join(moved, "node", "left")
+        sharded = staged(
+            joined.select("node", "unit", "weight", F.array_sort(lists).alias("shards")), "vector-assigned"
+        )
+    return sharded
+
+
 def _links_of(nodes: DataFrame, count: int, threshold: float) -> DataFrame:
     """Shards, graph and search of nodes of one dimension, widened until the audit is met."""
     rows = hash_sample(nodes.select("node", "unit"), "node", SAMPLE).collect()
@@ -392,12 +484,12 @@ def _links_of(nodes: DataFrame, count: int, threshold: float) -> DataFrame:
     def assign(batch: pa.RecordBatch) -> pa.RecordBatch:
         centroids = shared.value
         points = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-        near = np.argsort(-(points @ centroids.T), axis=1, kind="stable")[:, :OVERLAP]
+        near = nearest_centroids(points, centroids, OVERLAP)
         shards = pa.array(list(np.sort(near, axis=1)), pa.list_(pa.int64()))
         return pa.RecordBatch.from_arrays([*batch.columns, shards], ["node", "unit", "weight", "shards"])
 
     schema = "node long, unit array<double>, weight long, shards array<long>"
-    sharded = staged(map_batches(nodes, assign, schema), "vector-assigned")
+    sharded = _resplit(staged(map_batches(nodes, assign, schema), "vector-assigned"), sample.shape[1])
     beam = BEAM
     while True:
         found = staged(node_links(sharded, threshold, beam), "vector-links")

@@ -60,6 +60,19 @@ def test_clouds_over_several_shards_and_slices(spark, monkeypatch, most):
     assert sum(a[2] == b[2] for a, b in zip(found, sorted(expected))) >= 0.98 * len(rows)
 
 
+def test_large_shards_are_dealt_on_and_dense_groups_stay(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "SAMPLE", 24)  # few centroids at first
+    monkeypatch.setattr(vectors, "SHARD_NODES", 10)
+    monkeypatch.setattr(vectors, "RESPLIT_NODES", 150)
+    monkeypatch.setattr(vectors, "MOST_SHARD_NODES", 90)
+    rows = clouds(2, [130, 40, 6] + [1] * 300)
+    expected = brute(rows)
+    found = sorted(map(tuple, vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()))
+    true, got = sum(row[1] for row in expected), sum(row[1] for row in found)
+    assert 0.97 * true <= got <= true
+    assert sum(a[2] == b[2] for a, b in zip(found, sorted(expected))) >= 0.98 * len(rows)
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
