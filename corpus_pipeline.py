@@ -3,13 +3,36 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from flatweave.llm import language, mixing, packing, pii, simhash
-from flatweave.llm.common import read, staged
+from flatweave.llm.common import read, recording, staged
+from flatweave.session import drop_stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_left: list[str] = []
+
+
+def _owned(stage: Stage) -> Stage:
+    """A stage that first drops the tables that the stage called before it has staged.
+
+    A stage's result is written before the next one is called, so nothing reads them any more.
+    """
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _left:
+            path = _left.pop()
+            if spark.sparkContext.applicationId in path:  # not those of an application that has ended
+                drop_stage(spark, path)
+        with recording() as paths:
+            result = stage(spark, docs, sf_dir)
+        _left.extend(paths)
+        return result
+
+    return run_stage
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,11 +60,11 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("language", identify_language),
-    ("near_duplicates", drop_near_duplicates),
-    ("personal_data", replace_personal_data),
-    ("mix", mix_sources),
-    ("packing", pack),
+    ("language", _owned(identify_language)),
+    ("near_duplicates", _owned(drop_near_duplicates)),
+    ("personal_data", _owned(replace_personal_data)),
+    ("mix", _owned(mix_sources)),
+    ("packing", _owned(pack)),
 ]
 
 # No stage can be expressed in DuckDB's SQL; tests/llm/test_pipeline.py holds run() against a brute-force version.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +30,26 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
     return frame.select(*columns) if columns else frame
 
 
+_recorded: list[str] | None = None
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back, so that a lost executor costs a file read only."""
-    return stage(df, f"llm-{name}")[0]
+    made, path = stage(df, f"llm-{name}")
+    if _recorded is not None:
+        _recorded.append(path)
+    return made
+
+
+@contextmanager
+def recording() -> Iterator[list[str]]:
+    """The paths of the tables staged in the block, for an owner that can tell when they are done with."""
+    global _recorded
+    before, _recorded = _recorded, []
+    try:
+        yield _recorded
+    finally:
+        _recorded = before
 
 
 def with_row_ids(df: DataFrame, name: str) -> DataFrame:

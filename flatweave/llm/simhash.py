@@ -205,7 +205,9 @@ def keep_one(df: DataFrame, id_column: str = "doc_id", text: str = "text", radiu
     """
     rows = with_row_ids(with_fingerprints(df, text), "docs-prints")
     classes = components_of(rows.select(ROW, id_column, "__llm_fp"), id_column, radius)
-    best = F.min(F.struct(F.col(id_column).isNull().alias("n"), F.col(id_column).alias("i"), F.col(ROW).alias("r")))
-    chosen = rows.select(ROW, id_column, "__llm_fp").join(classes, "__llm_fp").groupBy("component").agg(best.alias("best"))
-    chosen = staged(chosen.select(F.col("best.r").alias(ROW)), "chosen")
-    return rows.join(chosen, ROW, "left_semi").select(*df.columns)
+    order = F.struct(F.col(id_column).isNull().alias("n"), F.col(id_column).alias("i"), F.col(ROW).alias("r"))
+    placed = staged(rows.select(ROW, id_column, "__llm_fp").join(classes, "__llm_fp").select(ROW, id_column, "component"), "placed")
+    best = staged(placed.groupBy("component").agg(F.min(order).alias("best")), "chosen")
+    # The rows that go are fewer than those that stay.
+    gone = placed.join(best, "component").where(F.col(ROW) != F.col("best.r")).select(ROW)
+    return rows.join(staged(gone, "gone"), ROW, "left_anti").select(*df.columns)
