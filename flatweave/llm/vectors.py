@@ -4,8 +4,9 @@ Equal vectors are one node.  Nodes are dealt to overlapping shards, those of the
 large are dealt on to centroids of their own, unless they are one dense group.  Each shard
 builds a graph whose lists are thinned by robust pruning (Subramanya et al., DiskANN), and the
 lists that a node got in its shards are united.  Every node is then searched for in each of
-its shards: greedily from the shard's medoids, and from within the range on through all links, until no vector in
-range is left unexpanded.  A pair that shares several shards counts in the first of them only.  All links
+its shards: greedily from itself, the shard's medoid and each connected part of its graph, and from within the range on
+through all links, until no vector in range is left unexpanded.  A pair that shares several shards counts once,
+wherever it was found: where the shards of a node disagree, it is compared with all vectors of its shards.  All links
 are verified by their cosine in double precision; recall is audited against brute force, and the search is widened
 until the audit is met.
 """
@@ -46,6 +47,7 @@ AUDIT_QUERIES = 256
 TARGET_RECALL = 0.98
 _QUERIES_AT_ONCE = 256
 _EXPANDED_AT_ONCE = 4
+_MET = ("node", "shard", "pairs", "shared", "links", "sign", "first")
 
 
 def _usable(vectors: DataFrame, column: str) -> DataFrame:
@@ -137,9 +139,9 @@ def robust_prune(local: np.ndarray, pool: np.ndarray, rows: int) -> np.ndarray:
 
 
 def range_search(
-    points: np.ndarray, lists: np.ndarray, queries: np.ndarray, starts: np.ndarray, threshold: float, beam: int
+    points: np.ndarray, lists: np.ndarray, queries: np.ndarray, places: np.ndarray, starts: np.ndarray, threshold: float, beam: int
 ) -> np.ndarray:
-    """Which points (columns) each query found in range.
+    """Which points (columns) each query found in range; ``places`` are the queries' own ones (-1: none).
 
     All queries walk in step, and each expands the best few of its ``beam`` best points until all are expanded.  Then
     each expands every point in range that it has met, until none is left.
@@ -167,7 +169,7 @@ def range_search(
         return found
 
     active = np.arange(asked)
-    ids = np.broadcast_to(starts, (asked, len(starts))).copy()
+    ids = np.hstack([places[:, None], np.broadcast_to(starts, (asked, len(starts)))])
     worth = visit(active, ids)
     open_ = np.ones(ids.shape, bool)
     while len(active):
@@ -232,9 +234,30 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _parts(lists: np.ndarray) -> np.ndarray:
+    """The least place of each connected part of a graph."""
+    parent = np.arange(len(lists))
+    row, column = np.nonzero(lists >= 0)
+    _join(parent, row, lists[row, column])
+    return np.flatnonzero(parent == np.arange(len(lists)))
+
+
+def _counts(met: DataFrame) -> DataFrame:
+    """(node, links, unsure) of what the searches met: each node's links, once each.
+
+    Pairs of a node are told apart by the shards that they share.  All of these should have found the same ones, by
+    their combined hash; a node is unsure if some have not.
+    """
+    met = met.where("shared > 0").groupBy("node", "pairs", "shared", "shard")
+    met = met.agg(F.sum("links").alias("links"), F.bit_xor("sign").alias("sign")).groupBy("node", "pairs", "shared")
+    unsure = (F.count("*") < F.col("shared")) | (F.min("sign") != F.max("sign"))
+    met = met.agg(F.max("links").alias("links"), unsure.alias("unsure"))
+    return met.groupBy("node").agg(F.sum("links").alias("links"), F.max("unsure").alias("unsure"))
+
+
 def node_links(nodes: DataFrame, threshold: float = THRESHOLD, beam: int = BEAM) -> DataFrame:
-    """(node, links, first) of nodes (node, unit, weight, shards): the weight of other nodes in range, by shard,
-    and a node that it hangs together with in that shard.
+    """(node, links, first) of nodes (node, unit, weight, shards): the weight of other nodes in range, in one of a node's rows,
+    and a node that it hangs together with.
 
     A shard above ``MOST_SHARD_NODES`` is cut into slices by hash.  Each slice has its own graph, and the nodes of each slice
     are searched for in every other, a task for each two.
@@ -256,10 +279,32 @@ def node_links(nodes: DataFrame, threshold: float = THRESHOLD, beam: int = BEAM)
     parts = placed.groupBy("shard", "own").applyInArrow(build, "node long, near array<long>")
     united = parts.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     placed = placed.join(staged(united, "vector-graph"), "node")
+    met = staged(_searched(placed, threshold, beam), "vector-met")
+    counts = staged(_counts(met), "vector-sure")
+    # Shards that disagree have missed links: those nodes are compared with all others of their shards.
+    unsure = staged(counts.where("unsure").select("node"), "vector-unsure")
+    if not unsure.isEmpty():
+        again = staged(_searched(placed, threshold, None, unsure), "vector-met")
+        counts = counts.where("NOT unsure").unionByName(_counts(again))
+        met = met.unionByName(again)
+    ends = met.select("node", F.lit(0).cast("long").alias("links"), "first").distinct()
+    return counts.select("node", "links", F.col("node").alias("first")).unionByName(ends)
+
+
+def _searched(placed: DataFrame, threshold: float, beam: int | None, only: DataFrame | None = None) -> DataFrame:
+    """What each node, or each of ``only``, meets in its shards; without a beam it is compared with all.
+
+    A row for each shard, slice and set of shards that the pairs share: (node, shard, pairs, shared, links, sign, first).
+    """
+    wanted = F.lit(True)
+    if only is not None:
+        placed = placed.join(only.withColumn("wanted", F.lit(True)), "node", "left")
+        wanted = F.coalesce("wanted", F.lit(False))
+    placed = placed.withColumn("wanted", wanted)
     # Every node is a query in all slices of its shards, and a point of its own slice for the queries of all.
     every = F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)
     asked = placed.withColumn("slice", F.explode(every)).withColumn("block", F.col("own"))
-    asked = asked.withColumns({"is_query": F.lit(True), "is_point": F.col("slice") == F.col("own")})
+    asked = asked.withColumns({"is_query": F.col("wanted"), "is_point": F.col("slice") == F.col("own")})
     met = placed.withColumn("block", F.explode(every)).where("block != own").withColumn("slice", F.col("own"))
     met = met.withColumns({"is_query": F.lit(False), "is_point": F.lit(True)})
     asked = asked.unionByName(met)
@@ -274,51 +319,74 @@ def node_links(nodes: DataFrame, threshold: float = THRESHOLD, beam: int = BEAM)
         weights, shards = group.column("weight").to_numpy(), _shard_lists(group.column("shards"))
         points = units[:many]
         if not many or not len(queries):
-            return pa.table({"node": ids[:0], "links": weights[:0], "first": ids[:0]})
-        lists = _lists_of(group.slice(0, many), ids[:many])
-        # The medoid, and some more points in case the graph falls apart.
-        starts = np.argsort(-(points @ points.mean(axis=0)), kind="stable")[:1]
-        spread = np.linspace(0, many - 1, min(MEDOIDS, many)).astype(np.int64)
-        starts = np.unique(np.r_[starts, spread])
-        links, parent = np.zeros(len(ids), np.int64), np.arange(len(ids))
-
-        whole = len(queries) == many == len(ids)
+            return pa.table(dict.fromkeys(_MET, ids[:0]))
+        parent, rows = np.arange(len(ids)), []
+
+        def count(found: np.ndarray, own: np.ndarray) -> None:
+            rows.extend(_count(found, own, shards, weights, _mixed(ids), parent))
+
+        whole = beam is not None and len(queries) == many == len(ids)
         found_all = np.zeros((many, many), bool) if whole else None
+        if beam is not None:
+            lists = _lists_of(group.slice(0, many), ids[:many])
+            # The medoid, some more points, and one of each part in case the graph falls apart.
+            starts = np.argsort(-(points @ points.mean(axis=0)), kind="stable")[:1]
+            spread = np.linspace(0, many - 1, min(MEDOIDS, many)).astype(np.int64)
+            starts = np.unique(np.r_[starts, spread, _parts(lists)])
         for at in range(0, len(queries), _QUERIES_AT_ONCE):
             own = queries[at : at + _QUERIES_AT_ONCE]
-            found = range_search(points, lists, units[own], starts, threshold, beam)
+            if beam is None:
+                found = units[own] @ points.T >= threshold
+            else:
+                found = range_search(points, lists, units[own], np.where(own < many, own, -1), starts, threshold, beam)
             same = np.flatnonzero(own < many)
             found[same, own[same]] = False
             if whole:
                 found_all[own] = found
             else:
-                _count(found, own, shards, shard, weights, links, parent)
+                count(found, own)
         if whole:
             # A link found from either end holds for both.
             found_all |= found_all.T
             for at in range(0, len(ids), _QUERIES_AT_ONCE):
                 own = np.arange(at, min(len(ids), at + _QUERIES_AT_ONCE))
-                _count(found_all[own], own, shards, shard, weights, links, parent)
+                count(found_all[own], own)
         _join(parent, parent[:0], parent[:0])
-        some = (links > 0) | (parent != np.arange(len(ids)))
-        return pa.table({"node": ids[some], "links": links[some], "first": ids[parent[some]]})
+        moved = np.flatnonzero(parent != np.arange(len(ids)))
+        rows.append((moved, *[np.zeros(len(moved), np.int64)] * 4))
+        place, pairs, shared, links, sign = (np.concatenate(column) for column in zip(*rows))
+        columns = [ids[place], np.full(len(place), shard), pairs, shared, links, sign, ids[parent[place]]]
+        return pa.table(dict(zip(_MET, columns)))
+
+    return asked.groupBy("shard", "slice", "block").applyInArrow(search, ", ".join(f"{name} long" for name in _MET))
+
 
-    return asked.groupBy("shard", "slice", "block").applyInArrow(search, "node long, links long, first long")
+def _mixed(numbers: np.ndarray) -> np.ndarray:
+    """A hash of each number."""
+    mixed = numbers.astype(np.uint64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        mixed = (mixed + np.uint64(0x9E3779B97F4A7C15) ^ mixed >> np.uint64(shift)) * np.uint64(factor)
+    return (mixed ^ mixed >> np.uint64(31)).view(np.int64)
 
 
-def _count(found, own, shards, shard, weights, links, parent) -> None:
-    """Adds a block of found links to the counts and joins what they connect."""
+def _count(found, own, shards, weights, signs, parent):
+    """Joins what a block of found links connects, and sums them: (query, pairs, shared, links, sign) by
+    query and the shards that its pairs share."""
     query, point = np.nonzero(found)
+    mixed = _mixed(shards)
     for at in range(0, len(query), 1 << 18):
         q, p = own[query[at : at + (1 << 18)]], point[at : at + (1 << 18)]
-        first = np.full(len(q), np.iinfo(np.int64).max)
+        pairs, shared = np.zeros(len(q), np.int64), np.zeros(len(q), np.int64)
         for a in range(shards.shape[1]):
-            mine = shards[q, a]
-            shared = (shards[p] == mine[:, None]).any(axis=1) & (mine >= 0)
-            first = np.where(shared, np.minimum(first, mine), first)
-        counted = first == shard
-        np.add.at(links, q[counted], weights[p[counted]])
+            both = (shards[p] == shards[q, a][:, None]).any(axis=1) & (shards[q, a] >= 0)
+            pairs ^= np.where(both, mixed[q, a], 0)
+            shared += both
         _join(parent, q, p)
+        order = np.lexsort((pairs, q))
+        q, p, pairs, shared = q[order], p[order], pairs[order], shared[order]
+        first = np.flatnonzero(np.r_[True, (q[1:] != q[:-1]) | (pairs[1:] != pairs[:-1])])
+        links, sign = np.add.reduceat(weights[p], first), np.bitwise_xor.reduceat(signs[p], first)
+        yield q[first], pairs[first], shared[first], links, sign
 
 
 def _join(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:

@@ -99,3 +99,26 @@ def test_pruned_lists_keep_the_nearest_and_respect_the_degree():
     for at in range(300):
         own = lists[at][lists[at] >= 0]
         assert near[at].argmax() in own and at not in own
+
+
+@pytest.mark.parametrize("most", [400, 6_000])
+def test_many_groups_without_single_vectors(spark, monkeypatch, most):
+    monkeypatch.setattr(vectors, "MOST_SHARD_NODES", most)
+    rows = clouds(5, [100] * 10, spread=0.01)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, vectors.near_vectors(df).collect())) == sorted(brute(rows))
+
+
+def test_a_link_missed_in_one_shard_counts_where_it_was_found(spark, monkeypatch):
+    rows = clouds(6, [30, 1, 2], spread=0.01)
+    searched = vectors.range_search
+
+    def blind(points, lists, queries, *rest):
+        found = searched(points, lists, queries, *rest)
+        return found & (len(points) != 32)  # nothing is found in the shard of 32
+
+    monkeypatch.setattr(vectors, "range_search", blind)
+    nodes = [(i, vectors.unit([v])[0].tolist(), 1, [0, 1] if i < 32 else [1]) for i, v in rows]
+    links = vectors.node_links(spark.createDataFrame(nodes, "node long, unit array<double>, weight long, shards array<long>"))
+    found = {row.node: row.n for row in links.groupBy("node").agg({"links": "sum"}).toDF("node", "n").collect()}
+    assert [found.get(i, 0) for i, _ in rows] == [row[1] for row in brute(rows)]
