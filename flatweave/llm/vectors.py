@@ -7,8 +7,9 @@ lists that a node got in its shards are united.  Every node is then searched for
 its shards: greedily from itself, the shard's medoid and each connected part of its graph, and from within the range on
 through all links, until no vector in range is left unexpanded.  A pair that shares several shards counts once,
 wherever it was found: where the shards of a node disagree, it is compared with all vectors of its shards.  All links
-are verified by their cosine in double precision; recall is audited against brute force, and the search is widened
-until the audit is met.
+are verified by their cosine in double precision; recall is audited against brute force, and the overlap of shards and the
+search are widened until the audit is met.  If the widest does not meet it, all nodes are compared with all others of their
+shards, and what misses the target even so is an error.
 """
 
 from __future__ import annotations
@@ -44,6 +45,7 @@ BEAM = 24
 WIDEST_BEAM = 192
 MEDOIDS = 4
 AUDIT_QUERIES = 256
+AUDIT_CANDIDATES = 2_048
 TARGET_RECALL = 0.98
 _QUERIES_AT_ONCE = 256
 _EXPANDED_AT_ONCE = 4
@@ -255,9 +257,9 @@ def _counts(met: DataFrame) -> DataFrame:
     return met.groupBy("node").agg(F.sum("links").alias("links"), F.max("unsure").alias("unsure"))
 
 
-def node_links(nodes: DataFrame, threshold: float = THRESHOLD, beam: int = BEAM) -> DataFrame:
+def node_links(nodes: DataFrame, threshold: float = THRESHOLD, beam: int | None = BEAM) -> DataFrame:
     """(node, links, first) of nodes (node, unit, weight, shards): the weight of other nodes in range, in one of a node's rows,
-    and a node that it hangs together with.
+    and a node that it hangs together with.  Without a beam each node is compared with all others of its shards.
 
     A shard above ``MOST_SHARD_NODES`` is cut into slices by hash.  Each slice has its own graph, and the nodes of each slice
     are searched for in every other, a task for each two.
@@ -403,11 +405,15 @@ def _join(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 
 
 def audit_recall(nodes: DataFrame, counted: DataFrame, threshold: float = THRESHOLD, queries: int = AUDIT_QUERIES) -> float:
-    """The share of true links of some nodes that was found; the nodes are compared with all by brute force.
+    """The mean share of its true links that was found of a node that has any; nodes are compared with all by brute force.
 
-    The queries are a bounded number of nodes, those with the smallest hashes.
+    Two bounded samples by hash are taken, ``AUDIT_CANDIDATES`` of all nodes and ``queries`` of those with a link found, since links
+    may be too rare for the first; the lesser mean counts.
     """
-    asked = hash_sample(nodes.select("node", "unit"), "node", queries).collect()
+    linked = hash_sample(counted.where("links > 0").select("node"), "node", queries)
+    drawn = hash_sample(nodes.select("node"), "node", AUDIT_CANDIDATES).withColumn("drawn", F.lit(True))
+    sample = staged(linked.withColumn("linked", F.lit(True)).join(drawn, "node", "full"), "vector-audit")
+    asked = nodes.select("node", "unit").join(sample, "node").collect()
     if not asked:
         return 1.0
     ids = np.array([row["node"] for row in asked])
@@ -418,14 +424,16 @@ def audit_recall(nodes: DataFrame, counted: DataFrame, threshold: float = THRESH
         others = batch.column(0).to_numpy(zero_copy_only=False)
         points = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(others), -1)
         near = (units @ points.T >= threshold) & (own[:, None] != others[None, :])
-        return pa.RecordBatch.from_pydict({"node": own, "links": near @ batch.column(2).to_numpy(zero_copy_only=False)})
+        some = near.any(axis=1)
+        return pa.RecordBatch.from_pydict({"node": own[some], "links": near[some] @ batch.column(2).to_numpy(zero_copy_only=False)})
 
     truth = map_batches(nodes.select("node", "unit", "weight"), compare, "node long, links long")
     truth = truth.groupBy("node").agg(F.sum("links").alias("true_links"))
-    row = truth.join(counted, "node", "left").agg(
-        F.sum("true_links").alias("t"), F.sum(F.least(F.coalesce("links", F.lit(0)), "true_links")).alias("f")
+    share = F.least(F.coalesce("links", F.lit(0)), "true_links") / F.col("true_links")
+    row = truth.join(counted.select("node", "links"), "node", "left").join(sample, "node").agg(
+        F.avg(F.when(F.col("drawn"), share)).alias("drawn"), F.avg(F.when(F.col("linked"), share)).alias("linked")
     ).first()
-    return 1.0 if not row["t"] else row["f"] / row["t"]
+    return min((one for one in row if one is not None), default=1.0)
 
 
 def _nodes(rows: DataFrame, id_column: str, column: str) -> DataFrame:
@@ -485,7 +493,7 @@ def near_vectors(
     return usable.unionByName(lone).withColumn("kept", kept)
 
 
-def _resplit(sharded: DataFrame, dimension: int) -> DataFrame:
+def _resplit(sharded: DataFrame, dimension: int, overlap: int = RESPLIT_OVERLAP) -> DataFrame:
     """Deals the nodes of too large shards on, level by level, to the nearest of centroids of a sample of the shard.
 
     A shard whose centroids are nearly all alike is a dense group and stays whole.
@@ -515,7 +523,7 @@ def _resplit(sharded: DataFrame, dimension: int) -> DataFrame:
             shard = members.column("shard")[0].as_py()
             # Numbers of the new shards; two with one number would only be searched together.
             numbers = [xxhash.xxh64_intdigest(f"{shard}/{one}") >> 1 for one in range(len(centroids))]
-            new = np.array(numbers, np.int64)[nearest_centroids(points, centroids, RESPLIT_OVERLAP)]
+            new = np.array(numbers, np.int64)[nearest_centroids(points, centroids, overlap)]
             return pa.table(
                 {"node": members.column("node"), "shard": members.column("shard"), "new": pa.array(list(new), pa.list_(pa.int64()))}
             )
@@ -549,20 +557,32 @@ def _links_of(nodes: DataFrame, count: int, threshold: float) -> DataFrame:
     wanted = max(1, min(-(-count // SHARD_NODES), len(sample) // LEAST_PER_CENTROID))
     shared = nodes.sparkSession.sparkContext.broadcast(fit_centroids(sample, wanted))
 
-    def assign(batch: pa.RecordBatch) -> pa.RecordBatch:
-        centroids = shared.value
-        points = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-        near = nearest_centroids(points, centroids, OVERLAP)
-        shards = pa.array(list(np.sort(near, axis=1)), pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([*batch.columns, shards], ["node", "unit", "weight", "shards"])
+    def shards_of(overlap: int) -> DataFrame:
+        def assign(batch: pa.RecordBatch) -> pa.RecordBatch:
+            centroids = shared.value
+            points = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            near = nearest_centroids(points, centroids, overlap)
+            shards = pa.array(list(np.sort(near, axis=1)), pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([*batch.columns, shards], ["node", "unit", "weight", "shards"])
 
-    schema = "node long, unit array<double>, weight long, shards array<long>"
-    sharded = _resplit(staged(map_batches(nodes, assign, schema), "vector-assigned"), sample.shape[1])
-    beam = BEAM
+        schema = "node long, unit array<double>, weight long, shards array<long>"
+        sharded = staged(map_batches(nodes, assign, schema), "vector-assigned")
+        return _resplit(sharded, sample.shape[1], RESPLIT_OVERLAP * overlap // OVERLAP)
+
+    def audited(found: DataFrame) -> float:
+        return audit_recall(nodes, found.groupBy("node").agg(F.sum("links").alias("links")), threshold)
+
+    beam, overlap = BEAM, OVERLAP
     while True:
+        sharded = shards_of(overlap)
         found = staged(node_links(sharded, threshold, beam), "vector-links")
-        counted = found.groupBy("node").agg(F.sum("links").alias("links"))
-        recall = audit_recall(nodes, counted, threshold)
-        if recall >= TARGET_RECALL or beam >= WIDEST_BEAM:
+        if audited(found) >= TARGET_RECALL:
             return found
-        beam *= 2
+        if beam >= WIDEST_BEAM:
+            break
+        beam, overlap = 2 * beam, 2 * overlap
+    found = staged(node_links(sharded, threshold, None), "vector-links")
+    recall = audited(found)
+    if recall < TARGET_RECALL:
+        raise ValueError(f"{recall:.4f} of the links of a node were found on average, less than {TARGET_RECALL}")
+    return found

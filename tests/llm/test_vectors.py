@@ -122,3 +122,29 @@ def test_a_link_missed_in_one_shard_counts_where_it_was_found(spark, monkeypatch
     links = vectors.node_links(spark.createDataFrame(nodes, "node long, unit array<double>, weight long, shards array<long>"))
     found = {row.node: row.n for row in links.groupBy("node").agg({"links": "sum"}).toDF("node", "n").collect()}
     assert [found.get(i, 0) for i, _ in rows] == [row[1] for row in brute(rows)]
+
+
+def test_audit_weighs_every_linked_node_alike(spark):
+    random = np.random.default_rng(7)
+    units = vectors.unit(random.normal(size=(60, 16)).tolist())
+    units[:40] = units[0]  # one hot group, found, beside ten lost pairs
+    units[50:] = units[40:50]
+    nodes = [(i, unit.tolist(), 1) for i, unit in enumerate(units)]
+    counted = [(i, 39) for i in range(40)]
+    df = spark.createDataFrame(nodes, "node long, unit array<double>, weight long")
+    recall = vectors.audit_recall(df, spark.createDataFrame(counted, "node long, links long"))
+    assert abs(recall - 40 / 60) < 1e-9
+
+
+def test_overlap_is_widened_and_a_missed_target_is_an_error(spark, monkeypatch):
+    audited = iter([0.5, 0.97, 1.0])
+    monkeypatch.setattr(vectors, "audit_recall", lambda *_: next(audited))
+    rows = clouds(8, [3, 2], spread=0.01)
+    nodes = spark.createDataFrame([(i, vectors.unit([v])[0].tolist(), 1) for i, v in rows], "node long, unit array<double>, weight long")
+    seen = []
+    monkeypatch.setattr(vectors, "_resplit", lambda sharded, dimension, overlap: seen.append(overlap) or sharded)
+    vectors._links_of(nodes, len(rows), 0.95)
+    assert seen == [2, 4, 8]
+    monkeypatch.setattr(vectors, "audit_recall", lambda *_: 0.5)
+    with pytest.raises(ValueError, match="0.5000"):
+        vectors._links_of(nodes, len(rows), 0.95)
