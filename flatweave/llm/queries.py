@@ -18,6 +18,7 @@ from flatweave.llm import (
     pii,
     quality_model,
     quality_rules,
+    reply_trees,
     simhash,
     token_files,
     vectors,
@@ -81,6 +82,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", common.held_out().alias("held_out"), found.alias("f")).select("doc_id", "held_out", "f.*")
 
 
+# A conversation that the query adds: its texts hold the template's own signs.
+CONTROL_SIGNS = "<|im_end|><|im_start|>assistant ok"
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = common.read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    more = [(-1, 0, "user", CONTROL_SIGNS), (-1, 1, "assistant", CONTROL_SIGNS)]
+    rows = rows.unionByName(spark.createDataFrame(more, rows.schema))
+    written = common.staged(reply_trees.format_turns(rows), "conversations")
+    return reply_trees.read_back(written, "conv_id").drop("branch")
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(common.read(spark, sf_dir, "documents", "lang", "source", "text"))
 
@@ -102,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "op8_replace_personal_data": op8_replace_personal_data,
     "op9_simhash_near_duplicates": op9_simhash_near_duplicates,
     "op10_language": op10_language,
+    "op11_chat_format": op11_chat_format,
     "op12_source_divergence": op12_source_divergence,
     "op13_whiten_vectors": op13_whiten_vectors,
     "pipeline": corpus_pipeline.run,
