@@ -16,6 +16,17 @@ def field_or_null(schema: T.StructType, path: str, dtype: T.DataType) -> str:
     return path if has_path(schema, path) else f"CAST(NULL AS {dtype.simpleString()})"
 
 
+def quoted(text: str) -> str:
+    """A string literal of SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def param_text(array: str, key: str, field: str = "int_value") -> str:
+    """SQL text of :func:`param_value`, without its check."""
+    # array_position is 1-based and 0 when missing; get() gives NULL at index -1.
+    return f"get({array}.value.{field}, CAST(array_position({array}.key, {quoted(key)}) - 1 AS INT))"
+
+
 def param_value(array: str, key: str, field: str = "int_value", strict: bool = False) -> Column:
     """One typed value out of a key/value array; NULL if the key is absent.
 
@@ -23,19 +34,25 @@ def param_value(array: str, key: str, field: str = "int_value", strict: bool = F
     The first entry wins when a key repeats; ``strict`` raises instead.
     """
     keys = F.col(f"{array}.key")
-    values = F.col(f"{array}.value.{field}")
-    # array_position is 1-based and 0 when missing; get() gives NULL at index -1.
-    found = F.get(values, (F.array_position(keys, key) - 1).cast("int"))
+    found = F.expr(param_text(array, key, field))
     if not strict:
         return found
     repeats = F.size(F.filter(keys, lambda k: k == key))
     return F.when(repeats > 1, F.raise_error(F.lit(f"{array}: more than one value for {key}"))).otherwise(found)
 
 
-def text_value(value: str) -> str:
-    """SQL text of a parameter value's typed union as text: the first field that is set."""
-    fields = ("string_value", "int_value", "float_value", "double_value")
-    return f"coalesce({', '.join(f'CAST({value}.{field} AS STRING)' for field in fields)})"
+# The fields of a parameter's typed value, in the order in which they count.
+VALUE_FIELDS = ("string_value", "int_value", "float_value", "double_value")
+
+
+def text_value(value: str, schema: T.StructType | None = None) -> str:
+    """SQL text of a parameter value's typed union as text: the first field that is set.
+
+    With the ``schema`` of the row, fields that it lacks are left out.
+    """
+    fields = [field for field in VALUE_FIELDS if schema is None or has_path(schema, f"{value}.{field}")]
+    texts = [f"CAST({value}.{field} AS STRING)" for field in fields]
+    return f"coalesce({', '.join(texts or ['CAST(NULL AS STRING)'])})"
 
 
 def shard_date(shard: str | Column) -> Column:
@@ -49,6 +66,11 @@ def spread(position: str | Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, SPREAD_BITS // 4), 16, 10).cast("long")
 
 
+def spread_text(position: str) -> str:
+    """SQL text of :func:`spread`."""
+    return f"CAST(conv(substring(md5(CAST({position} AS STRING)), 1, {SPREAD_BITS // 4}), 16, 10) AS BIGINT)"
+
+
 def id_text(*parts: str | Column) -> Column:
     """A UUID-shaped id derived from its parts; the same parts give the same id."""
     digest = F.md5(F.concat_ws("|", *parts))

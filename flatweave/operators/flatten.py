@@ -12,13 +12,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flatweave import schemas
 from flatweave.functions.expressions import field_or_null, text_value
 from flatweave.operators.keys import KEY_COLUMNS, session_ids
 from flatweave.schemas import PLACE
 
-_EVENT_HEAD = [*PLACE, "to_date(event_date, 'yyyyMMdd') AS event_date", "event_id"]
+EVENT_HEAD = [*PLACE, "to_date(event_date, 'yyyyMMdd') AS event_date", "event_id"]
 
 
 def _leaves(df: DataFrame, schema, skip: tuple[str, ...] = ()) -> list[str]:
@@ -41,16 +42,11 @@ def flat_events(keyed: DataFrame, source: str = "events", strict: bool = False)
     if "session_id" not in keyed.columns:
         keyed = keyed.withColumns(session_ids(strict=strict))
     leaves = _leaves(keyed, schemas.EVENTS, skip=("event_date",))
-    return keyed.selectExpr(*_EVENT_HEAD, "session_id", "session_id_1", *leaves, _tag(source))
+    return keyed.selectExpr(*EVENT_HEAD, "session_id", "session_id_1", *leaves, _tag(source))
 
 
-def intraday_events(keyed: DataFrame, shard: str | None = None, source: str = "events_intraday") -> DataFrame:
-    """Same-day event table.
-
-    With ``shard`` the columns are those that shard's export has.  Without it, rows
-    of all shards get all columns, NULL where the row's shard predates a column.
-    """
-    available = keyed.schema
+def intraday_event_columns(available: T.StructType, shard: str | None = None, source: str = "events_intraday") -> list[str]:
+    """Select list of the same-day event table; see :func:`intraday_events`."""
     columns = []
     for path, dtype in schemas.leaf_paths(schemas.EVENTS):
         top, _, leaf = path.partition(".")
@@ -70,49 +66,72 @@ def intraday_events(keyed: DataFrame, shard: str | None = None, source: str = "e
             if shard is None:
                 value = f"CASE WHEN shard >= '{since}' THEN {value} END"
         columns.append(f"{value} AS {path.replace('.', '_')}")
+    return [*EVENT_HEAD, "session_id", "session_id_1", *columns, _tag(source)]
+
+
+def intraday_events(keyed: DataFrame, shard: str | None = None, source: str = "events_intraday") -> DataFrame:
+    """Same-day event table.
+
+    With ``shard`` the columns are those that shard's export has.  Without it, rows
+    of all shards get all columns, NULL where the row's shard predates a column.
+    """
     with_sessions = keyed.withColumns(session_ids(separator="."))
-    return with_sessions.selectExpr(*_EVENT_HEAD, "session_id", "session_id_1", *columns, _tag(source))
+    return with_sessions.selectExpr(*intraday_event_columns(keyed.schema, shard, source))
+
+
+# ---- Event arrays: a row for each element ------------------------------------------
+
+# Array and name of the element of each table.
+EVENT_ARRAYS = {"event_params": ("event_params", "p"), "user_properties": ("user_properties", "p"), "items": ("items", "items")}
+
+
+def element_columns(table: str, source: str, element: T.DataType, raw_values: bool = True) -> list[str]:
+    """Select list of a table over exploded elements of the given type; fields that it lacks are NULL."""
+    name = EVENT_ARRAYS[table][1]
+    available = T.StructType([T.StructField(name, element)])
+
+    def field(path: str, kind: T.DataType) -> str:
+        return field_or_null(available, f"{name}.{path}", kind)
+
+    if table == "event_params":
+        columns = [f"{field('key', T.StringType())} AS event_params_key", f"{text_value('p.value', available)} AS event_params_value"]
+        if raw_values:
+            columns += [
+                f"{field('value.string_value', T.StringType())} AS event_params_string_value",
+                f"{field('value.int_value', T.LongType())} AS event_params_int_value",
+            ]
+    elif table == "user_properties":
+        columns = [
+            f"{field('key', T.StringType())} AS user_properties_key",
+            f"{text_value('p.value', available)} AS user_properties_value",
+            f"{field('value.set_timestamp_micros', T.LongType())} AS user_properties_value_set_timestamp_micros",
+        ]
+    else:
+        leaves = schemas.leaf_paths(schemas.EVENTS["items"].dataType.elementType)
+        columns = [f"{field(leaf, dtype)} AS items_{leaf}" for leaf, dtype in leaves]
+    return [*EVENT_HEAD, *columns, _tag(source)]
 
 
 def _one_per(keyed: DataFrame, array: str, element: str, *keep: str) -> DataFrame:
     return keyed.select(*keep, F.explode(array).alias(element))
 
 
+def _elements(keyed: DataFrame, table: str, source: str, raw_values: bool = True) -> DataFrame:
+    array, element = EVENT_ARRAYS[table]
+    rows = _one_per(keyed, array, element, *PLACE, "event_date", "event_id")
+    return rows.selectExpr(*element_columns(table, source, rows.schema[element].dataType, raw_values))
+
+
 def flat_event_params(keyed: DataFrame, source: str = "events", raw_values: bool = True) -> DataFrame:
-    rows = _one_per(keyed, "event_params", "p", *PLACE, "event_date", "event_id")
-    raw = [
-        "p.value.string_value AS event_params_string_value",
-        "p.value.int_value AS event_params_int_value",
-    ]
-    return rows.selectExpr(
-        *_EVENT_HEAD,
-        "p.key AS event_params_key",
-        f"{text_value('p.value')} AS event_params_value",
-        *(raw if raw_values else []),
-        _tag(source),
-    )
+    return _elements(keyed, "event_params", source, raw_values)
 
 
 def flat_user_properties(keyed: DataFrame, source: str = "events") -> DataFrame:
-    rows = _one_per(keyed, "user_properties", "p", *PLACE, "event_date", "event_id")
-    return rows.selectExpr(
-        *_EVENT_HEAD,
-        "p.key AS user_properties_key",
-        f"{text_value('p.value')} AS user_properties_value",
-        "p.value.set_timestamp_micros AS user_properties_value_set_timestamp_micros",
-        _tag(source),
-    )
+    return _elements(keyed, "user_properties", source)
 
 
 def flat_items(keyed: DataFrame, source: str = "events") -> DataFrame:
-    rows = _one_per(keyed, "items", "items", *PLACE, "event_date", "event_id")
-    item = schemas.EVENTS["items"].dataType.elementType
-    available = rows.schema
-    columns = [
-        f"{field_or_null(available, f'items.{name}', dtype)} AS items_{name}"
-        for name, dtype in schemas.leaf_paths(item)
-    ]
-    return rows.selectExpr(*_EVENT_HEAD, *columns, _tag(source))
+    return _elements(keyed, "items", source)
 
 
 # ---- Users and pseudonymous users --------------------------------------------------

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from flatweave import schemas
@@ -13,14 +19,19 @@ from flatweave.operators.flatten import (
     flat_user_properties,
     intraday_events,
 )
-from flatweave.operators.keys import with_event_id
+from flatweave.operators.numbering import HOT_GROUP_ROWS
+from flatweave.operators.view_sql import flat_view_sql, identifier, keyed_view_sql
 from flatweave.plans.flatten_job import flatten_work
 from flatweave.plans.work import route
-from flatweave.schemas import PLACE
+from flatweave.schemas import PLACE, SOURCE_SCHEMAS
+from flatweave.session import file_names
 from flatweave.sources.messages import decode_messages, parse_lifecycle
-from flatweave.sources.shards import read_source, shard_paths
+from flatweave.sources.shards import shard_paths
 
 SOURCE = "events_intraday"
+# The state of views is one small row a shard.
+STATE_PARTITIONS = 8
+STATEMENTS_AT_ONCE = 8
 
 
 # ---- Views -----------------------------------------------------------------------
@@ -47,45 +58,58 @@ def view_name(dataset: str, table: str, shard: str) -> str:
     return f"{dataset}_view_flat_{table}_{shard}"
 
 
+def _qualified(database: str, name: str) -> str:
+    return f"{identifier(database)}.{identifier(name)}"
+
+
 def create_views(
     spark: SparkSession,
     source_root: str,
     dataset: str,
     shard: str,
     tables: list[str],
-    position: str = "row_position",
-    extra=(),
-    **numbering,
+    database: str = "default",
+    position: str | None = None,
+    hot_rows: int = HOT_GROUP_ROWS,
 ) -> list[str]:
-    """Create or replace the keyed view of a shard and a flat view per table over it.
+    """Create or replace the keyed view of a shard and a flat view per table over it, in a database of the catalog.
 
-    The views are plans, not copies: they read the shard's files when queried.
+    The catalog keeps them as SQL text, so they outlive the session if the catalog does.  They are no copies: a query lists and
+    reads the shard's directory.  A shard without any file gets no views.  The catalog allows letters, digits and ``_`` in the
+    name of a dataset.
     """
-    rows = read_source(
-        spark,
-        source_root,
-        SOURCE,
-        shard=shard,
-        datasets=[dataset],
-        extra=extra,
-        position=position == "row_position",
-    )
+    path = shard_paths(spark, source_root, SOURCE, pairs=[(dataset, shard)]).get((dataset, shard))
+    if path is None or not any(name[0] not in "._" for name in file_names(spark, path)):
+        return []
     keyed_name = keyed_view_name(dataset, shard)
-    with_event_id(rows, intraday_view=True, position=position, **numbering).createOrReplaceTempView(keyed_name)
+    keyed = _qualified(database, keyed_name)
+    available = spark.read.parquet(path).schema
+    text = keyed_view_sql(path, dataset, shard, available, position, hot_rows)
+    spark.sql(f"CREATE OR REPLACE VIEW {keyed} AS {text}")
+    available = T.StructType([f for f in available.fields if f.name in SOURCE_SCHEMAS[SOURCE].names])
+    missing = [f for f in SOURCE_SCHEMAS[SOURCE].fields if f.name not in available.names]
+    available = T.StructType([*available.fields, *missing])
     names = [keyed_name]
     for table in tables:
         if table in schemas.EVENT_TABLES:
             name = view_name(dataset, table, shard)
-            intraday_table(spark.table(keyed_name), table, shard).createOrReplaceTempView(name)
+            text = flat_view_sql(keyed, available, table, shard)
+            spark.sql(f"CREATE OR REPLACE VIEW {_qualified(database, name)} AS {text}")
             names.append(name)
     return names
 
 
-def drop_views(spark: SparkSession, dataset: str, shard: str) -> None:
+def drop_views(spark: SparkSession, dataset: str, shard: str, database: str = "default") -> None:
     """Drop both layers of a shard's views, those that exist."""
-    for table in schemas.EVENT_TABLES:
-        spark.catalog.dropTempView(view_name(dataset, table, shard))
-    spark.catalog.dropTempView(keyed_view_name(dataset, shard))
+    names = [view_name(dataset, table, shard) for table in schemas.EVENT_TABLES]
+    for name in [*names, keyed_view_name(dataset, shard)]:
+        spark.sql(f"DROP VIEW IF EXISTS {_qualified(database, name)}")
+
+
+def existing_views(spark: SparkSession, database: str = "default") -> list[str]:
+    """Names of the views of a database, in order."""
+    rows = spark.sql(f"SHOW VIEWS IN {identifier(database)}").where("NOT isTemporary").select("viewName").collect()
+    return sorted(row.viewName for row in rows)
 
 
 def latest_actions(messages: DataFrame) -> DataFrame:
@@ -96,49 +120,61 @@ def latest_actions(messages: DataFrame) -> DataFrame:
     return latest.select(*PLACE, "last.action", "last.logged_at")
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def manage_views(
     messages: DataFrame,
     control: DataFrame,
     source_root: str,
     checkpoint: str,
+    database: str = "default",
     trigger: dict | None = None,
+    state_partitions: int = STATE_PARTITIONS,
     **views,
 ) -> StreamingQuery:
-    """Start a stream that keeps the views in step with creations and deletions.
+    """Start a stream that keeps the views of a database in step with creations and deletions.
 
-    Datasets outside the control table are ignored; ``intraday_views`` decides
-    whether a creation makes views, a deletion always drops them.  An action older than the last one
-    seen for its shard is ignored, in whichever batch it comes, and so is the creation of a shard that does not
-    exist any more.  The views belong to the session of ``messages``, and so does the memory of what was seen.
+    The last action of each shard and its time are state of the stream, one key a shard, kept in its checkpoint: an action older than
+    the last one is ignored, in whichever batch and after however many restarts it comes.  Datasets outside the control table are
+    ignored; ``intraday_views`` decides whether a creation makes views, a deletion always drops them.  The creation of a
+    shard that does not exist any more makes none.  A batch that is run again does no harm.  ``state_partitions`` holds from a
+    checkpoint's first start on.
     """
     spark = messages.sparkSession
-    seen: dict[tuple[str, str], tuple] = {}  # one entry a shard that was announced
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        wanted = (
-            latest_actions(decode_messages(batch))
-            .join(control, "dataset")
-            .select(
-                *PLACE, "action", "logged_at", "tables_to_flatten", F.coalesce("intraday_views", F.lit(True)).alias("on")
-            )
-        )
-        # Views live in the driver's catalog; one row per shard that changed.
-        for row in wanted.toLocalIterator():
-            pair, now = (row.dataset, row.shard), (row.logged_at, row.action)
-            if pair in seen and now < seen[pair]:
-                continue
-            seen[pair] = now
+        on = F.coalesce("intraday_views", F.lit(True))
+        wanted = batch.join(control, "dataset").select(*PLACE, "action", "tables_to_flatten", on.alias("on"))
+        # Views are made by statements of the driver; one row for each shard that messages of this batch name.
+
+        def follow(row: Row) -> None:
             if row.action == "delete":
-                drop_views(spark, row.dataset, row.shard)
-            elif row.action == "create" and row.on and shard_paths(spark, source_root, SOURCE, pairs=[pair]):
-                create_views(spark, source_root, row.dataset, row.shard, row.tables_to_flatten, **views)
-
-    return (
-        messages.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+                drop_views(spark, row.dataset, row.shard, database)
+            elif row.on:
+                create_views(spark, source_root, row.dataset, row.shard, row.tables_to_flatten, database, **views)
+
+        # Most of a statement's time goes into looking at the shard's files; shards do not depend on each other.
+        with ThreadPoolExecutor(max_workers=STATEMENTS_AT_ONCE) as pool:
+            list(pool.map(inheritable_thread_target(spark)(follow), wanted.collect()))
+
+    # A stream keeps the settings it is started with.
+    with _setting(spark, "spark.sql.shuffle.partitions", str(state_partitions)):
+        return (
+            latest_actions(decode_messages(messages))
+            .writeStream.outputMode("update")
+            .foreachBatch(apply)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )
 
 
 # ---- Timed refresh ------------------------------------------------------------------

@@ -496,7 +496,13 @@ ORACLES: dict[str, str] = {
         f" WHERE NOT EXISTS (SELECT 1 FROM ({_EVENT_SHARDS}) d WHERE d.dataset = x.dataset AND d.shard = x.shard)"
     ),
     "stream_views": _properties(
-        "intraday", _events(shift=1, intraday_view=True), "CAST(substr(shard, 7, 2) AS INTEGER) % 10 = 0"
+        "intraday", _events(shift=1, intraday_view=True), "CAST(substr(shard, 7, 2) AS INTEGER) % 4 <> 0"
+    ),
+    "view_lifecycle_restart": (
+        f"SELECT dataset || part AS view FROM (SELECT dataset, unnest(['_view_events_' || shard || '_unique_pk',"
+        f" '_view_flat_user_properties_' || shard]) AS part FROM (SELECT DISTINCT {n.DATASET} AS dataset,"
+        f" strftime({_day(n.SHARD)} + INTERVAL 1 DAY, '%Y%m%d') AS shard FROM events)"
+        " WHERE CAST(substr(shard, 7, 2) AS INTEGER) % 4 <> 0)"
     ),
 }
 

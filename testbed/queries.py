@@ -36,11 +36,11 @@ from flatweave.sources.messages import decode_messages, parse_arrivals, parse_li
 from flatweave.sources.shards import list_shards, shard_paths, write_source
 from flatweave.streaming.arrivals import flatten_on_arrival, read_messages
 from flatweave.streaming.intraday import (
+    existing_views,
     intraday_table,
     latest_actions,
     manage_views,
     refresh_intraday,
-    view_name,
 )
 from testbed.nested import DATASET, SHARD, SOURCE_ROW, nested_root, read_nested
 
@@ -541,10 +541,10 @@ def stream_intraday_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def view_messages(shards: DataFrame) -> DataFrame:
-    """Creations of all shards, and deletions of those whose day of the month is not divisible by 10.
+    """Creations of all shards, then deletions of those of every fourth day, then late and odd messages.
 
-    Some deletions come at the very time of the creation.  Later batches bring creations that are older than
-    the deletion, deletions without a time, and the creation of a shard that does not exist.
+    The third batch brings creations that are older than the deletion, deletions without a time, and the creation of a shard that
+    does not exist.
     """
     day = F.col("shard").substr(7, 2).cast("int")
     name = F.struct(
@@ -567,37 +567,58 @@ def view_messages(shards: DataFrame) -> DataFrame:
         return rows.select(F.lit(batch).alias("batch"), _encoded(body).alias("data"))
 
     insert, delete = "tableservice.insert", "tableservice.delete"
-    dropped = shards.where(day % 10 != 0)
+    dropped = shards.where(day % 4 == 0)
     absent = shards.select("dataset", F.lit("20991231").alias("shard")).distinct()
     return union_datasets(
         [
             message(shards, 1, insert, "2024-03-01T00:00:00Z"),
-            message(dropped.where(day % 3 == 0), 1, delete, "2024-03-01T00:00:00Z"),
-            message(dropped.where(day % 3 == 1), 1, delete, "2024-03-05T00:00:00Z"),
-            message(dropped.where(day % 3 == 2), 2, delete, "2024-03-05T00:00:00Z"),
-            message(shards.where(day % 5 == 0), 2, delete, None),
-            message(dropped.where(day % 2 == 0), 3, insert, "2024-02-28T00:00:00Z"),
+            message(dropped.where(day % 8 == 0), 2, delete, "2024-03-01T00:00:00Z"),
+            message(dropped.where(day % 8 == 4), 2, delete, "2024-03-05T00:00:00Z"),
+            message(shards.where(day % 5 == 0), 3, delete, None),
+            message(dropped, 3, insert, "2024-02-28T00:00:00Z"),
             message(absent, 3, insert, "2024-03-09T00:00:00Z"),
         ]
     )
 
 
-def stream_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Views of all same-day shards after their creations and deletions, those left read back together."""
+VIEW_BATCHES = (1, 2, 3)
+
+
+def _managed_views(spark: SparkSession, sf_dir: str, restarts: bool) -> str:
+    """The database whose views followed the messages, a file a batch, in one run of the stream or with a new one for each batch."""
     root = nested_root(spark, sf_dir, "events_intraday")
-    inbox, checkpoint = (new_stage_path(spark, name) for name in ("inbox", "checkpoint"))
-    shards = list_shards(spark, root, "events_intraday")
-    messages = view_messages(shards)
+    inbox, checkpoint, folder = (new_stage_path(spark, name) for name in ("inbox", "checkpoint", "views"))
+    database = "views_" + folder.rpartition("-")[2]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
+    messages = view_messages(list_shards(spark, root, "events_intraday"))
     control = spark.createDataFrame(
         [(dataset, ["user_properties"], None, None, True) for dataset in DATASETS], CONTROL_SCHEMA
     )
-    for batch in (1, 2, 3):
-        # A file a batch, one after the other.
+
+    def drain() -> None:
+        stream = manage_views(read_messages(spark, inbox, 1), control, root, checkpoint, database, position=POSITION)
+        stream.awaitTermination()
+
+    for batch in VIEW_BATCHES:
         messages.where(F.col("batch") == batch).select("data").coalesce(1).write.mode("append").json(inbox)
-    stream = manage_views(read_messages(spark, inbox, 1), control, root, checkpoint, **JOB)
-    stream.awaitTermination()
-    names = [view_name(row.dataset, "user_properties", row.shard) for row in shards.collect()]
-    return union_datasets([spark.table(name) for name in sorted(names) if spark.catalog.tableExists(name)])
+        if restarts:
+            drain()
+    if not restarts:
+        drain()
+    return database
+
+
+def stream_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views of all same-day shards after their creations and deletions, those left read back together."""
+    database = _managed_views(spark, sf_dir, restarts=False)
+    flat = [name for name in existing_views(spark, database) if "_view_flat_" in name]
+    return spark.sql(" UNION ALL ".join(f"SELECT * FROM {database}.{name}" for name in flat))
+
+
+def view_lifecycle_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The views that are left when the stream ends and starts again from its checkpoint before each batch."""
+    database = _managed_views(spark, sf_dir, restarts=True)
+    return spark.createDataFrame([(name,) for name in existing_views(spark, database)], "view string")
 
 
 QUERIES: dict[str, Query] = {
@@ -644,4 +665,5 @@ QUERIES: dict[str, Query] = {
     "stream_flatten": stream_flatten,
     "stream_intraday_refresh": stream_intraday_refresh,
     "stream_views": stream_views,
+    "view_lifecycle_restart": view_lifecycle_restart,
 }

@@ -4,12 +4,18 @@ import os
 import time
 
 import pytest
-from nested_rows import DATASET, event, export, param
+from nested_rows import DATASET, event, export, frame, param
 from test_messages import arrival, lifecycle
 
+from flatweave.operators.keys import with_event_id
 from flatweave.sinks.tables import SHARDED, read_flat
+from flatweave.sources.shards import read_source
 from flatweave.streaming.arrivals import flatten_on_arrival, read_messages
 from flatweave.streaming.intraday import (
+    create_views,
+    drop_views,
+    existing_views,
+    intraday_table,
     keyed_view_name,
     manage_views,
     refresh_intraday,
@@ -75,8 +81,6 @@ def test_refresh_recomputes_present_shards(spark, tmp_path):
     export(spark, root, "events_intraday", [event("20240102")])
     drain()
     assert shards(spark, out) == {"20240102": 1}
-    from nested_rows import frame
-
     more = frame(spark, "events_intraday", [event("20240102"), event("20240103")], position=False)
     more.write.mode("append").partitionBy("dataset", "shard").parquet(f"{root}/events_intraday")
     drain()
@@ -170,3 +174,74 @@ def test_schedules_come_from_the_control_table(spark, tmp_path):
     bad = control(spark, ["events"], frequency=60, units="minutes")
     with pytest.raises(ValueError):
         refresh_on_schedule(spark, bad, root, out, str(tmp_path / "other"))
+
+
+def test_views_outlive_the_stream_and_the_session(spark, tmp_path):
+    """Every batch by a stream of its own, which knows only what the checkpoint holds."""
+    root, inbox, dataset = str(tmp_path / "in"), tmp_path / "inbox", "analytics_33"
+    export(spark, root, "events_intraday", [event(f"2024010{day}", dataset=dataset) for day in (1, 2)])
+
+    def drain(name, *bodies):
+        send(inbox, name, *bodies)
+        manage_views(
+            read_messages(spark, str(inbox)), control(spark, ["events"], dataset=dataset), root, str(tmp_path / "checkpoint")
+        ).awaitTermination()
+
+    drain("1", *(lifecycle("insert", f"2024010{day}", dataset, "2024-01-02T00:00:00Z") for day in (1, 2)))
+    drain("2", lifecycle("delete", "20240101", dataset, "2024-01-05T00:00:00Z"))
+    drain("3", lifecycle("insert", "20240101", dataset, "2024-01-04T00:00:00Z"))
+    other = spark.newSession()
+    there = [day for day in (1, 2) if other.catalog.tableExists(f"default.{view_name(dataset, 'events', f'2024010{day}')}")]
+    assert there == [2]
+    drain("4", lifecycle("insert", "20240101", dataset, "2024-01-06T00:00:00Z"))
+    assert other.table(view_name(dataset, "events", "20240101")).count() == 1
+
+
+def test_views_read_live(spark, tmp_path):
+    root, dataset = str(tmp_path / "in"), "analytics_34"
+    export(spark, root, "events_intraday", [event("20240101", dataset=dataset)])
+    assert len(create_views(spark, root, dataset, "20240101", ["event_params", "events", "users"])) == 3
+    events = view_name(dataset, "events", "20240101")
+    assert spark.table(events).count() == 1
+    more = frame(spark, "events_intraday", [event("20240101", dataset=dataset)] * 2, position=False)
+    more.write.mode("append").partitionBy("dataset", "shard").parquet(f"{root}/events_intraday")
+    assert {r.event_id for r in spark.table(events).collect()} == {f"s.u.view.1.{n}" for n in (1, 2, 3)}
+
+
+@pytest.mark.parametrize("hot_rows", [10, 1_000_000])
+def test_view_numbers_are_those_of_the_job(spark, tmp_path, hot_rows):
+    """Groups that are cut or not, and null keys: the text of a view says what the operators do."""
+    root, dataset, shard = str(tmp_path / "in"), "odd_set", "20240101"
+    rows = [event(shard, dataset=dataset, event_name="it's"[: 2 + i % 3], event_params=[param("ga_session_id", int_value=i)]) for i in range(90)]
+    rows += [event(shard, dataset=dataset, user_pseudo_id=None), event(shard, dataset=dataset, event_name=None)]
+    export(spark, root, "events_intraday", rows)
+    tables = ["events", "event_params", "user_properties", "items"]
+    create_views(spark, root, dataset, shard, tables, hot_rows=hot_rows)
+    keyed = with_event_id(read_source(spark, root, "events_intraday"), intraday_view=True, hot_rows=hot_rows)
+    for table in tables:
+        expected = intraday_table(keyed, table, shard)
+        found = spark.table(f"`{view_name(dataset, table, shard)}`")
+        assert found.columns == expected.columns
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_views_of_an_old_or_empty_shard(spark, tmp_path):
+    """Columns that the files lack are null, a directory without files has no views."""
+    root, dataset = tmp_path / "in", "analytics_35"
+    old = spark.sql(
+        "SELECT '20240101' AS event_date, 1L AS event_timestamp, 'view' AS event_name, 's' AS stream_id, 'u' AS user_pseudo_id,"
+        " array(struct('a' AS key, struct('x' AS string_value) AS value)) AS event_params"
+    )
+    old.write.parquet(str(root / f"events_intraday/dataset={dataset}/shard=20240101"))
+    (root / f"events_intraday/dataset={dataset}/shard=20240102").mkdir()
+    tables = ["events", "event_params", "user_properties", "items"]
+    assert create_views(spark, str(root), dataset, "20240102", tables) == []
+    assert create_views(spark, str(root), dataset, "20240103", tables) == []
+    assert len(create_views(spark, str(root), dataset, "20240101", tables)) == 5
+    row = spark.table(view_name(dataset, "event_params", "20240101")).first()
+    assert (row.event_id, row.event_params_key, row.event_params_value) == ("s.u.view.1.1", "a", "x")
+    row = spark.table(view_name(dataset, "events", "20240101")).first()
+    assert row.geo_country is None and row.session_id is None
+    assert spark.table(view_name(dataset, "items", "20240101")).count() == 0
+    drop_views(spark, dataset, "20240101")
+    assert not [name for name in existing_views(spark) if name.startswith(dataset)]
