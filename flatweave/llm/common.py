@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
+import sys
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -91,21 +95,57 @@ def hash_sample(df: DataFrame, key: str, most: int) -> DataFrame:
     return df.where(uniform(key) < share).orderBy(F.xxhash64(key), key).limit(most)
 
 
+# What a Python worker may keep of words, and the longest one worth keeping: text without spaces has "words" of any length.
+STORE_BYTES = 160 << 20
+LONGEST_KEPT = 64
+# An entry of a dictionary, besides its key and value.
+ENTRY_BYTES = 104
+
+_kept: dict[str, Any] = {}
+
+
+def kept_in_worker(name: str, make: Callable[[], Any] = dict) -> Any:
+    """What this Python worker keeps under ``name``, made when it is first asked for.
+
+    Spark gives the workers of one stage to the next, so whatever an earlier operator kept here goes now.
+    """
+    if name not in _kept:
+        if _kept:
+            _kept.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+            if trim is not None:
+                trim(0)
+        _kept[name] = make()
+    return _kept[name]
+
+
 class Vocabulary:
-    """Rows of features of words, kept by a Python worker across its tasks.
+    """Rows of features of words, kept by a Python worker across its tasks, in ``most`` bytes.
 
     ``features`` makes a row of numbers for each of a list of new words.  When full, the words met first, which are the
-    frequent ones, stay; should most others keep missing, all are forgotten.
+    frequent ones, stay; should most others keep missing, all are forgotten.  Long words are never kept.
     """
 
-    def __init__(self, features: Callable[[list[str]], np.ndarray], most: int = 500_000):
+    def __init__(self, features: Callable[[list[str]], np.ndarray], most: int = STORE_BYTES):
         self._features, self._most = features, most
         self._forget()
 
     def _forget(self) -> None:
         self._numbers: dict[str, int] = {}
         self._rows: np.ndarray | None = None
-        self._missed = 0
+        self._missed = self.bytes = 0
+
+    def _keep(self, words: list[str], rows: np.ndarray) -> None:
+        start, end = len(self._numbers), len(self._numbers) + len(words)
+        self._numbers.update(zip(words, range(start, end)))
+        if self._rows is None or end > len(self._rows):
+            grown = np.empty((max(1024, end + end // 2), *rows.shape[1:]), rows.dtype)
+            if self._rows is not None:
+                grown[:start] = self._rows[:start]
+            self._rows = grown
+        self._rows[start:end] = rows
 
     def rows(self, words: list[str]) -> np.ndarray:
         """A feature row for each word, in order."""
@@ -116,25 +156,25 @@ class Vocabulary:
             return self._rows[np.fromiter(found, np.int64, len(found))]
         new = list(dict.fromkeys(word for word, number in zip(words, found) if number is None))
         made = self._features(new)
-        start = len(self._numbers)
-        if start + len(new) <= self._most:
-            self._numbers.update(zip(new, range(start, start + len(new))))
-            if self._rows is None or start + len(new) > len(self._rows):
-                grown = np.empty((max(1024, 2 * (start + len(new))), *made.shape[1:]), made.dtype)
-                if self._rows is not None:
-                    grown[:start] = self._rows[:start]
-                self._rows = grown
-            self._rows[start : start + len(new)] = made
+        short = [at for at, word in enumerate(new) if len(word) <= LONGEST_KEPT]
+        # Rows are kept in an array with half as much room again, and held twice while it grows.
+        cost = sum(sys.getsizeof(new[at]) for at in short) + len(short) * (ENTRY_BYTES + 3 * made[:1].nbytes)
+        if self.bytes + cost <= self._most:
+            self.bytes += cost
+            self._keep([new[at] for at in short], made[short] if len(short) < len(new) else made)
+        else:
+            self._missed += cost
+        if len(new) == len(short) and new[0] in self._numbers:
             found = list(map(self._numbers.__getitem__, words))
             return self._rows[np.fromiter(found, np.int64, len(found))]
+        start = len(self._numbers)
         other = dict(zip(new, range(start, start + len(new))))
         places = np.fromiter((other[w] if n is None else n for w, n in zip(words, found)), np.int64, len(found))
         rows = np.empty((len(words), *made.shape[1:]), made.dtype)
         known = places < start
-        if start:
+        if known.any():
             rows[known] = self._rows[places[known]]
         rows[~known] = made[places[~known] - start]
-        self._missed += len(new)
         if self._missed > 8 * self._most:
             self._forget()
         return rows

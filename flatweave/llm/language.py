@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatweave.llm.common import Vocabulary, hash_sample, held_out, slices_by_size, small_batches, words_of
+from flatweave.llm.common import Vocabulary, hash_sample, held_out, kept_in_worker, slices_by_size, small_batches, words_of
 
 UNKNOWN = "und"
 HASH_BITS = 17
@@ -265,9 +265,6 @@ def _shares(model: Model, vocabulary: Vocabulary, texts: list[str | None]) -> tu
     return labels, scores
 
 
-_in_worker: dict[str, Vocabulary] = {}
-
-
 def identify(model: Model, spark, text: Column | str = "text") -> Column:
     """struct<lang_pred, score>: ``und`` and 0 for a null text or one without letters.
 
@@ -279,10 +276,8 @@ def identify(model: Model, spark, text: Column | str = "text") -> Column:
     @F.pandas_udf("lang_pred string, score double")
     def labels(texts: pd.Series) -> pd.DataFrame:
         own = shared.value
-        if own.key not in _in_worker:
-            _in_worker.clear()
-            _in_worker[own.key] = Vocabulary(own.emissions)
-        found, scores = _shares(own, _in_worker[own.key], list(texts))
+        vocabulary = kept_in_worker(f"language-{own.key}", lambda: Vocabulary(own.emissions))
+        found, scores = _shares(own, vocabulary, list(texts))
         return pd.DataFrame({"lang_pred": found, "score": scores})
 
     return labels(text)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatweave.llm.common import map_batches, small_batches, staged
+from flatweave.llm.common import kept_in_worker, map_batches, small_batches, staged
 
 DEFAULT_KEY = b"example key: give your own"
 MOST_ROUNDS = 64
@@ -399,6 +399,7 @@ def replace_pii(docs: DataFrame, text: str = "text", key: bytes = DEFAULT_KEY, e
 
     @F.pandas_udf("text string, entities array<struct<kind: string, start: int, end: int, surrogate: string>>")
     def replaced(texts: pd.Series, redrawn: pd.Series) -> pd.DataFrame:
+        kept_in_worker("pii")
         made, found = [], []
         for one, listed in zip(texts, redrawn):
             own = {}

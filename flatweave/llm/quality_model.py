@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatweave.llm.common import Vocabulary, hash_sample, held_out, small_batches, words_of
+from flatweave.llm.common import Vocabulary, hash_sample, held_out, kept_in_worker, small_batches, words_of
 
 HASH_BITS = 20
 MOST_LABELLED = 6_000
@@ -125,8 +125,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "quality",
     usable = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     usable = usable.groupBy("doc_id").agg(F.max(label).alias("__llm_label"))
     usable = hash_sample(usable, "doc_id", most)
-    # Broadcast: at most ``most`` ids.
-    return docs.select("doc_id", "text").join(F.broadcast(usable), "doc_id")
+    # Broadcast: at most ``most`` ids.  An id may have any number of rows, of which this many are enough.
+    found = docs.select("doc_id", "text").join(F.broadcast(usable), "doc_id")
+    return found.withColumn("__llm_order", F.xxhash64("text")).orderBy(F.xxhash64("doc_id"), "doc_id", "__llm_order").limit(most).drop("__llm_order")
 
 
 def train_from(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MOST_LABELLED) -> Model:
@@ -136,9 +137,6 @@ def train_from(docs: DataFrame, labels: DataFrame, label: str = "quality", most:
     return train([row["text"] for row in rows], [row["__llm_label"] for row in rows])
 
 
-_in_worker: dict[str, Vocabulary] = {}
-
-
 def score(model: Model, spark, text: Column | str = "text") -> Column:
     """The chance that a text is good: 0 to 1; null and empty texts have that of the bias."""
     small_batches(spark)
@@ -147,10 +145,7 @@ def score(model: Model, spark, text: Column | str = "text") -> Column:
     @F.pandas_udf("double")
     def scores(texts: pd.Series) -> pd.Series:
         own = shared.value
-        if own.key not in _in_worker:
-            _in_worker.clear()
-            _in_worker[own.key] = Vocabulary(_hashes)
-        vocabulary = _in_worker[own.key]
+        vocabulary = kept_in_worker(f"quality-{own.key}", lambda: Vocabulary(_hashes))
         made = []
         for one in texts:
             words = words_of(one or "")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flatweave.llm.common import ROW, small_batches, staged, with_row_ids, words_of
+from flatweave.llm.common import ROW, kept_in_worker, small_batches, staged, with_row_ids, words_of
 from flatweave.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -65,6 +65,7 @@ def with_fingerprints(df: DataFrame, text: str = "text", output: str = "__llm_fp
 
     @F.pandas_udf("long")
     def prints(texts: pd.Series) -> pd.Series:
+        kept_in_worker("simhash")
         found = np.fromiter((fingerprint(text) for text in texts), np.uint64, len(texts))
         return pd.Series(found.view(np.int64))
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 import os
 import sys
 from array import array
-from functools import lru_cache
 
 import numpy as np
 
+from flatweave.llm.common import ENTRY_BYTES, LONGEST_KEPT, STORE_BYTES, kept_in_worker
+
 END = 0
 ID_BYTES = 4
-MOST_CACHED = 1_400_000
 _TOGETHER = 256  # longer texts are slower by the word
 
 
@@ -29,10 +29,11 @@ class Encoder:
     than white space on both sides, so what lies between such spaces can be encoded by
     itself, and once for all its repeats.  New words of a batch are encoded together and told apart by the ids
     that begin with a space.  A text with any other white space next to a space
-    is encoded whole.  The ids are those of encoding the whole text (see the tests).
+    is encoded whole.  The ids are those of encoding the whole text (see the tests), in which the text of a special token
+    is ordinary text, as the notes of the tokenizer files say.  Words are kept in ``most`` bytes, long ones never.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = STORE_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -43,6 +44,7 @@ class Encoder:
         self._begins[[number for sign, number in vocabulary.items() if sign.startswith("\u0120")]] = True
         self._known: dict[str, bytes] = {}  # of words after a space
         self._first: dict[str, bytes] = {}  # of words at the beginning
+        self._most, self.bytes = most, 0
         self._signs = dict(zip(",.", self._encode([",", "."])))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -83,15 +85,21 @@ class Encoder:
             else:
                 found[word] = letters + self._signs[word[-1]]
         found |= self._words(other)
-        if len(known) + len(found) <= MOST_CACHED:
-            known.update(found)
+        self._keep(known, found)
         return found
 
+    def _keep(self, known: dict[str, bytes], found: dict[str, bytes]) -> None:
+        short = {word: ids for word, ids in found.items() if len(word) <= LONGEST_KEPT}
+        size = sys.getsizeof
+        cost = sum(size(word) + size(ids) for word, ids in short.items()) + ENTRY_BYTES * len(short)
+        if self.bytes + cost <= self._most:
+            self.bytes += cost
+            known.update(short)
+
     def _firsts(self, words: list[str]) -> list[bytes]:
         new = list({word for word in words if word not in self._first})
         found = dict(zip(new, self._encode(new)))
-        if len(self._first) + len(found) <= MOST_CACHED // 8:
-            self._first.update(found)
+        self._keep(self._first, found)
         return [self._first.get(word) or found.get(word, b"") for word in words]
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
@@ -104,8 +112,8 @@ class Encoder:
             del words[0]
         parts = [list(map(self._known.get, words)) for words in split]
         missing = {w for words, own in zip(split, parts) if None in own for w, ids in zip(words, own) if ids is None}
-        if 3 * len(missing) > sum(map(len, split)) and len(self._known) + len(missing) > MOST_CACHED:
-            self._known = {}  # the texts have changed, and what is kept no longer helps
+        if 3 * len(missing) > sum(map(len, split)) and self.bytes + 2 * ENTRY_BYTES * len(missing) > self._most:
+            self._known, self._first, self.bytes = {}, {}, 0  # the texts have changed, and what is kept no longer helps
         found = self._new(missing)
         made = []
         for text, words, own, first, odd in zip(texts, split, parts, firsts, whole):
@@ -118,7 +126,6 @@ class Encoder:
         return made
 
 
-@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     """One per Python worker."""
-    return Encoder(path)
+    return kept_in_worker(f"tokens-{path}", lambda: Encoder(path))

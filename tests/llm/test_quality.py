@@ -113,3 +113,12 @@ def test_vocabulary_forgets_without_losing_rows():
     for words in (["a", "b", "a"], ["c", "d", "e", "f"], ["a", "g"], [], ["f"]):
         assert (small.rows(words) == large.rows(words)).all()
         assert len(small.rows(words)) == len(words)
+
+
+def test_training_rows_are_bounded_however_often_an_id_repeats(spark):
+    docs = spark.range(10_000).selectExpr("CAST(id % 2 AS BIGINT) AS doc_id", "concat('text ', id) AS text")
+    docs = docs.unionByName(spark.createDataFrame([(i, "other") for i in range(2, 12)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    rows = quality_model.labelled_sample(docs, labels, most=50).collect()
+    assert len(rows) == 50
+    assert len(quality_model.labelled_sample(docs.where("doc_id > 1"), labels, most=50).collect()) <= 10

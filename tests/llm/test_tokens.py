@@ -1,3 +1,5 @@
+import random
+import sys
 import zlib
 
 import numpy as np
@@ -7,7 +9,7 @@ import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from flatweave.llm import packing, token_files, tokens
+from flatweave.llm import common, packing, token_files, tokens
 from flatweave.session import new_stage_path
 
 
@@ -24,11 +26,10 @@ ODD_TEXTS = [
 ]
 
 
-@pytest.mark.parametrize("most", [3, 500_000])
-def test_ids_are_those_of_whole_texts(documents, plain, monkeypatch, most):
-    monkeypatch.setattr(tokens, "MOST_CACHED", most)
+@pytest.mark.parametrize("most", [600, 160 << 20])
+def test_ids_are_those_of_whole_texts(documents, plain, most):
     texts = ODD_TEXTS + [row.text for row in documents.select("text").collect()] + [text for _, text, *_ in odd.rows()]
-    encoder = tokens.Encoder(tokens.public_tokenizer())
+    encoder = tokens.Encoder(tokens.public_tokenizer(), most)
     for _ in range(2):
         found = [np.frombuffer(ids, "<u4").tolist() for first in range(0, len(texts), 50) for ids in encoder.ids(texts[first : first + 50])]
         assert found == [plain(text) for text in texts]
@@ -152,3 +153,35 @@ def test_lower_bounds_never_pass_the_optimum():
 
 def test_packing_nothing(spark):
     assert packing.pack_documents(odd.no_documents(spark)).count() == 0
+
+
+def test_a_workers_store_is_bounded_in_bytes():
+    """Runs without spaces, of any length: ids stay right, and what is kept stays small."""
+    rng = random.Random(3)
+    runs = ["".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(rng.choice((3, 40, 60, 5_000)))) for _ in range(4_000)]
+    texts = [" ".join(runs[i : i + 40]) for i in range(0, len(runs), 40)]
+    encoder = tokens.Encoder(tokens.public_tokenizer(), most=200_000)
+    plain = Tokenizer.from_file(tokens.public_tokenizer())
+    plain.encode_special_tokens = True
+    for text in texts:
+        ids = np.frombuffer(encoder.ids([text])[0], "<u4").tolist()
+        assert ids == plain.encode(text, add_special_tokens=False).ids
+    kept = sum(sys.getsizeof(w) + sys.getsizeof(i) for d in (encoder._known, encoder._first) for w, i in d.items())
+    assert encoder.bytes <= 200_000 and kept <= 200_000
+    assert max(map(len, [*encoder._known, *encoder._first])) <= common.LONGEST_KEPT
+
+
+def test_a_new_operator_clears_the_stores_of_others():
+    first = common.kept_in_worker("one", lambda: [1])
+    assert common.kept_in_worker("one", lambda: [2]) is first
+    common.kept_in_worker("two")
+    assert common.kept_in_worker("one", lambda: [3]) == [3]
+
+
+def test_vocabulary_is_bounded_in_bytes():
+    made = common.Vocabulary(lambda words: np.array([[len(w), hash(w) & 0xFFFF] for w in words]).reshape(len(words), 2), most=50_000)
+    for first in range(0, 3_000, 50):
+        words = [f"w{i}" * (1 + i % 40) for i in range(first, first + 50)] + ["same", f"w{first}"]
+        assert made.rows(words).tolist() == [[len(w), hash(w) & 0xFFFF] for w in words]
+        assert made.bytes <= 50_000
+    assert max(map(len, made._numbers)) <= common.LONGEST_KEPT
