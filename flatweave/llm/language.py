@@ -27,7 +27,7 @@ SEQUENCES, SEQUENCE_WORDS, SPAN_WORDS = 5_000, 64, (6, 40)
 BATCH = 64
 RATE = 0.25
 LEXICON_WORDS, LEXICON_SHARE, LEXICON_COUNT = 20_000, 0.9, 3
-MOST_WORDS_AT_ONCE = 400_000
+MOST_CHARS_AT_ONCE = 600_000
 MIN_SCORE = 1 / 3
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -242,16 +242,17 @@ def label_words(model: Model, text: str) -> list[tuple[str, str]]:
 def _shares(model: Model, vocabulary: Vocabulary, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
     """The language with the most posterior over a text's words with letters, and its share."""
     labels, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-    split = [words_of(text or "") for text in texts]
-    sizes = np.fromiter(map(len, split), np.int64, len(split))
     if not model.languages:
         return labels, scores
-    for part in slices_by_size(sizes, MOST_WORDS_AT_ONCE):
-        part = part[sizes[part] > 0]
+    sizes = np.fromiter((len(text or "") for text in texts), np.int64, len(texts))
+    for part in slices_by_size(sizes, MOST_CHARS_AT_ONCE):
+        split = [words_of(texts[at] or "") for at in part]
+        lengths = np.fromiter(map(len, split), np.int64, len(split))
+        order = np.argsort(-lengths, kind="stable")[: np.count_nonzero(lengths)]  # longest first
+        part, lengths = part[order], lengths[order]
         if not len(part):
             continue
-        lengths = sizes[part]
-        rows = np.concatenate([vocabulary.rows(split[at]) for at in part])
+        rows = np.concatenate([vocabulary.rows(split[at]) for at in order])
         gamma = forward_backward(rows[:, :-1], lengths, model.start.astype(np.float32), model.moves.astype(np.float32))
         gamma = gamma * rows[:, -1:]
         starts = np.cumsum(lengths) - lengths
