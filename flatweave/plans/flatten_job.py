@@ -14,8 +14,11 @@ from flatweave.operators.keys import KEY_COLUMNS, repeat_numbers, session_ids, w
 from flatweave.plans.work import Output, Pair, backfill_grid, route, settle
 from flatweave.schemas import PLACE
 from flatweave.session import Stages
-from flatweave.sinks.tables import replace_shards
-from flatweave.sources.shards import read_source, shard_paths
+from flatweave.sinks.tables import copy_version, entries_of, publish, shard_state, write_version
+from flatweave.sources.shards import among, listed_shards, read_source, shard_paths, shard_table
+
+# Shards in one step of a named run.
+SHARDS_AT_ONCE = 1_000
 
 
 def key_numbers(rows: DataFrame, stages: Stages, position: str = "row_position", **numbering) -> DataFrame:
@@ -49,6 +52,7 @@ def keyed_source(
     random_row_ids: bool = False,
     stages: Stages | None = None,
     numbers: DataFrame | None = None,
+    rows: DataFrame | None = None,
     **numbering,
 ) -> DataFrame:
     """Rows of a source with their key and only the columns the tables read.
@@ -56,10 +60,12 @@ def keyed_source(
     ``between`` (first and last shard) and ``pairs`` choose the shards, ``position`` is a column that identifies a
     source row, if not the scan's own, and ``extra`` its field; ``strict`` makes a session parameter given twice an
     error.  ``numbers`` are those of :func:`key_numbers` for at least these shards; otherwise see :func:`key_events`.
+    ``rows`` is a scan that was made before, in place of a new one.
     """
     tables = list(tables)
-    by_scan = position == "row_position"
-    rows = read_source(spark, root, source, between=between, pairs=pairs, extra=extra, position=by_scan)
+    if rows is None:
+        by_scan = position == "row_position"
+        rows = read_source(spark, root, source, between=between, pairs=pairs, extra=extra, position=by_scan)
     rows = rows.select(*columns_needed(tables, source), *PLACE, position)
     if "events" in tables:
         rows = rows.withColumns(session_ids(strict=strict))
@@ -72,75 +78,158 @@ def keyed_source(
     return key_events(rows, position, stages, **numbering)
 
 
-def flatten_work(spark: SparkSession, work: DataFrame, source_root: str, out_root: str, **options) -> None:
+def flatten_work(
+    spark: SparkSession,
+    work: DataFrame,
+    source_root: str,
+    out_root: str,
+    run: str | None = None,
+    shards_at_once: int = SHARDS_AT_ONCE,
+    changed_only: bool = False,
+    **options,
+) -> None:
     """Write every flat table of a work list.
 
     The keys of a source are made once and shared by its flat tables.  Shards that
-    do not exist, and same-day shards with a daily export, are skipped.  ``options``
-    go to :func:`keyed_source`.
+    do not exist, and same-day shards with a daily export, are skipped.
+
+    A named ``run`` goes through the shards from the newest on, ``shards_at_once`` at a time, and publishes each of these steps
+    when it is written; started again under its name, it does only what it has not yet published.  With ``changed_only``
+    shards are left out whose files are those that the flat table was made of.  ``options`` go to :func:`keyed_source`.
     """
     for source, todo in sorted(settle(work).items()):
-        flatten_shards(spark, source, todo, source_root, out_root, **options)
+        newest_first = sorted(todo, key=lambda pair: (pair[1], pair[0]), reverse=True)
+        step = shards_at_once if run is not None else len(newest_first)
+        for first in range(0, len(newest_first), step):
+            some = {pair: todo[pair] for pair in newest_first[first : first + step]}
+            flatten_shards(spark, source, some, source_root, out_root, run, changed_only, **options)
 
 
 def flatten_shards(
-    spark: SparkSession, source: str, todo: dict[Pair, set[Output]], source_root: str, out_root: str, **options
+    spark: SparkSession,
+    source: str,
+    todo: dict[Pair, set[Output]],
+    source_root: str,
+    out_root: str,
+    run: str | None = None,
+    changed_only: bool = False,
+    **options,
 ) -> None:
-    """Write what is to be written from each shard of one source."""
-
-    def existing(name: str) -> set[Pair]:
-        return set(shard_paths(spark, source_root, name, pairs=todo))
-
-    found = existing(source)
-    daily = existing("events") if schemas.is_intraday(source) else set()
-    own = {pair: outputs for pair, outputs in todo.items() if pair in found and pair not in daily}
-    if own:
-        with Stages(spark) as stages:
-            _flatten(spark, stages, source, own, source_root, out_root, options)
+    """Write what is to be written from each shard of one source; all of it is published when all is written."""
+    # Marks are taken before any file is read: what changes meanwhile differs from them next time.
+    marks = source_marks(spark, source_root, source, todo) if changed_only else {}
+    if run is not None or changed_only:
+        todo = _left_to_do(spark, source, todo, out_root, run, marks if changed_only else None)
+
+    def daily_of(pairs: Iterable[Pair]) -> set[Pair]:
+        return set(shard_paths(spark, source_root, "events", pairs=pairs))
+
+    listed, beside = listed_shards(spark, source_root, source, todo)
+    daily = daily_of(listed) if schemas.is_intraday(source) else set()
+    own = {pair: outputs for pair, outputs in todo.items() if pair in listed and pair not in daily}
+    if not own:
+        return
+    with Stages(spark) as stages:
+        listed = {pair: listed[pair] for pair in own}
+        written = _flatten(spark, stages, source, own, (listed, beside), source_root, out_root, options)
+        _publish(spark, source, written, out_root, marks, run)
     if schemas.is_intraday(source):
         # A daily export that came meanwhile may just have been overwritten: it is written again.
-        late = existing("events") - daily
+        late = daily_of(own)
         again = {pair: outputs for pair, outputs in own.items() if pair in late}
         if again:
             flatten_shards(spark, "events", again, source_root, out_root, **options)
 
 
-def _flatten(spark, stages, source, todo, source_root, out_root, options) -> None:
-    pairs_of: dict[Output, list[Pair]] = {}
+def source_marks(spark: SparkSession, source_root: str, source: str, pairs: Iterable[Pair]) -> dict[Pair, str]:
+    """The mark of each shard's files; one a directory."""
+    pairs = set(pairs)
+    marks = shard_table(spark, source_root, source, {dataset for dataset, _ in pairs}).where(among(pairs))
+    return {(row.dataset, row.shard): row.mark for row in marks.select(*PLACE, "mark").collect()}
+
+
+def _left_to_do(
+    spark: SparkSession,
+    source: str,
+    todo: dict[Pair, set[Output]],
+    out_root: str,
+    run: str | None,
+    marks: dict[Pair, str] | None,
+) -> dict[Pair, set[Output]]:
+    """Without what this run has published, or what was made of the files that are there now."""
+    left = {pair: set(outputs) for pair, outputs in todo.items()}
+    for output in sorted({output for outputs in todo.values() for output in outputs}):
+        table, layout = output
+        state = shard_state(spark, out_root, layout, table).where(among(todo))
+        for row in state.select(*PLACE, "source", "mark", "run").collect():  # one a shard of this step
+            pair = row.dataset, row.shard
+            same = marks is not None and row.source == source and row.mark is not None and row.mark == marks.get(pair)
+            if same or (run is not None and row.run == run and row.source == source):
+                left[pair].discard(output)
+    return {pair: outputs for pair, outputs in left.items() if outputs}
+
+
+Written = dict[Output, tuple[str, list[Pair]]]  # version and shards
+
+
+def _flatten(spark, stages, source, todo, listed, source_root, out_root, options) -> Written:
+    pairs_of: dict[str, dict[str, list[Pair]]] = {}
     for pair, outputs in todo.items():
-        for output in outputs:
-            pairs_of.setdefault(output, []).append(pair)
+        for table, layout in outputs:
+            pairs_of.setdefault(table, {}).setdefault(layout, []).append(pair)
     position, extra = options.get("position", "row_position"), options.get("extra", ())
     random_ids = options.get("random_row_ids", False)
     numbering = {name: value for name, value in options.items() if name in ("hot_rows", "rows_per_task")}
     options = {name: value for name, value in options.items() if name not in numbering}
 
+    # One scan, listed once; each table reads its own columns of it.
+    scan = read_source(spark, source_root, source, extra=extra, position=position == "row_position", listed=listed)
     numbers = keyed = None
     if source.startswith("events"):
-        rows = read_source(
-            spark, source_root, source, pairs=todo, extra=extra, position=position == "row_position"
-        ).select(*KEY_COLUMNS, *PLACE, position)
-        numbers = key_numbers(rows, stages, position, **numbering)
-    elif random_ids and len(pairs_of) > 1:
+        numbers = key_numbers(scan.select(*KEY_COLUMNS, *PLACE, position), stages, position, **numbering)
+    elif random_ids and sum(map(len, pairs_of.values())) > 1:
         # Ids that are drawn at random are made once for all tables.
-        tables = sorted({table for table, _ in pairs_of})
-        keyed = keyed_source(spark, source_root, source, tables, pairs=todo, **options)
+        keyed = keyed_source(spark, source_root, source, sorted(pairs_of), rows=scan, **options)
         keyed = stages.table(keyed, f"keyed-{source}", PLACE)
 
-    def write(output: Output, pairs: list[Pair]) -> None:
-        table, layout = output
-        if keyed is None:
-            rows = keyed_source(spark, source_root, source, [table], pairs=pairs, numbers=numbers, **options)
-        else:
-            chosen = spark.createDataFrame(pairs, "dataset string, shard string")
-            rows = keyed.join(chosen, list(PLACE), "left_semi")
-        replace_shards(flatten_table(rows, table, source), out_root, layout, table, pairs)
+    def write(table: str, layouts: dict[str, list[Pair]]) -> Written:
+        rows = keyed
+        if rows is None:
+            rows = keyed_source(spark, source_root, source, [table], numbers=numbers, rows=scan, **options)
+        written: Written = {}
+        # The layout with more shards is made of the source, and the other one of its files if they hold all it wants.
+        for layout, pairs in sorted(layouts.items(), key=lambda one: (-len(one[1]), one[0])):
+            made = next(((known, version) for known, (version, has) in written.items() if set(pairs) <= set(has)), None)
+            if made is not None:
+                (_, other), version = made
+                some = pairs if len(pairs) < len(written[table, other][1]) else None
+                version = copy_version(spark, out_root, table, version, other, layout, some)
+            else:
+                chosen = rows if len(pairs) == len(todo) else rows.where(among(pairs))
+                version = write_version(flatten_table(chosen, table, source), out_root, layout, table)
+            written[table, layout] = version, pairs
+        return written
 
     # The writes go to different tables and share no state: let the cluster fill
     # the tail of one with the tasks of another.
-    with ThreadPoolExecutor(max_workers=len(pairs_of)) as pool:
-        for done in [pool.submit(inheritable_thread_target(spark)(write), *args) for args in pairs_of.items()]:
-            done.result()
+    return _at_once(spark, write, pairs_of.items())
+
+
+def _at_once(spark: SparkSession, function, arguments) -> dict:
+    arguments, done = list(arguments), {}
+    with ThreadPoolExecutor(max_workers=len(arguments)) as pool:
+        for one in [pool.submit(inheritable_thread_target(spark)(function), *args) for args in arguments]:
+            done |= one.result()
+    return done
+
+
+def _publish(spark, source: str, written: Written, out_root: str, marks: dict[Pair, str], run: str | None) -> None:
+    def publish_one(output: Output, version_and_pairs: tuple[str, list[Pair]]) -> dict:
+        (table, layout), (version, pairs) = output, version_and_pairs
+        publish(spark, out_root, layout, table, version, entries_of(spark, pairs, source, marks, run))
+        return {}
+
+    _at_once(spark, publish_one, written.items())
 
 
 def backfill(
@@ -153,6 +242,9 @@ def backfill(
     sources: tuple[str, ...] = ("events", "pseudonymous_users", "users"),
     **options,
 ) -> None:
-    """Flatten every configured dataset's shards from ``start`` to ``end``, both included."""
+    """Flatten every configured dataset's shards from ``start`` to ``end``, both included.
+
+    Give it a ``run`` name to be able to go on where it stopped, see :func:`flatten_work`.
+    """
     grid = backfill_grid(control, sources, start, end)
     flatten_work(spark, route(grid, control), source_root, out_root, **options)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from flatweave.operators.relational import rows_per_day
 from flatweave.schemas import date_field
 from flatweave.session import partition_directories
-from flatweave.sinks.tables import PARTITIONED, SHARDED, flat_schema, table_path
+from flatweave.sinks.tables import PARTITIONED, SHARDED, flat_schema, rows_path
 
 
 def schema_differences(left: DataFrame, right: DataFrame, ignore: tuple[str, ...] = ()) -> list[str]:
@@ -23,7 +23,7 @@ def schema_differences(left: DataFrame, right: DataFrame, ignore: tuple[str, ...
 
 def as_written(spark: SparkSession, root: str, layout: str, table: str) -> DataFrame:
     """A written table with the columns and types that its files and directories have, not the declared ones."""
-    return spark.read.option("mergeSchema", "true").parquet(table_path(root, layout, table))
+    return spark.read.option("mergeSchema", "true").parquet(rows_path(root, layout, table)).drop("version")
 
 
 def day_is_date(flat: DataFrame, table: str) -> bool:
@@ -46,7 +46,7 @@ def written_differences(spark: SparkSession, root: str, table: str) -> list[str]
 
 def days_match_partitions(spark: SparkSession, root: str, table: str) -> bool:
     """Whether every directory of the partitioned layout is a day."""
-    found = partition_directories(spark, table_path(root, PARTITIONED, table), ("dataset", date_field(table)))
+    found = partition_directories(spark, rows_path(root, PARTITIONED, table), ("version", "dataset", date_field(table)))
     days = [values[date_field(table)] for values, _ in found]
     return bool(days) and all(day is None or re.fullmatch(r"\d{4}-\d\d-\d\d", day) for day in days)
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -76,6 +78,25 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session while the block runs."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def listing_tasks(spark: SparkSession) -> str:
+    """Tasks that list directories: a few for each core, where Spark would take one for each directory."""
+    return str(4 * spark.sparkContext.defaultParallelism)
+
+
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
 class Stages:
     """Owner of staged tables: they are dropped when the block ends, however it ends."""
 
@@ -126,6 +147,24 @@ def partition_directories(
     return found
 
 
-def file_names(spark: SparkSession, path: str) -> frozenset[str]:
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if it is missing."""
     fs, target = _file_system(spark, path)
-    return frozenset(status.getPath().getName() for status in fs.listStatus(target) if status.isFile())
+    return [status.getPath().getName() for status in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def move_if_absent(spark: SparkSession, path: str, to: str) -> bool:
+    """Move a file to a name that must be free, in one step where the store can; False if it is taken."""
+    jvm = spark._jvm
+    fs, source = _file_system(spark, path)
+    target = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(to))
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(fs.makeQualified(source), target, options)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        return False
+    return True

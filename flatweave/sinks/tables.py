@@ -1,18 +1,24 @@
-"""Flat tables on storage, replaced by source shard.
+"""Flat tables on storage, replaced by source shard, all or nothing.
 
 Two layouts, each one table for all datasets and days:
 
-* sharded      ``<root>/sharded/flat_x/dataset=/shard=``
-* partitioned  ``<root>/partitioned/flat_x/dataset=/event_date=/shard=``
+* sharded      ``<root>/sharded/flat_x/rows/version=/dataset=/shard=``
+* partitioned  ``<root>/partitioned/flat_x/rows/version=/dataset=/event_date=/shard=``
 
-The partitioned table has a partition per day, as a DATE, and below it one per
-source shard.  A shard's rows are replaced whole and touch no other shard's rows,
-even if some of them carry another day's date, so writing again changes nothing.
+The partitioned table has a partition per day, as a DATE, and below it one per source shard.  A shard's rows are replaced whole and
+touch no other shard's rows, even if some of them carry another day's date, so writing again changes nothing.
+
+A write goes to a version of its own, which nobody reads until it is published.  Publishing moves one small file
+``current/<number>.parquet`` into place, which names the version of every shard: a reader sees all of a write or
+nothing of it, and two writers cannot publish the same number.  The version that a shard had before stays for readers under way until the
+shard is replaced again.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,15 +28,37 @@ from pyspark.sql import types as T
 from flatweave import schemas
 from flatweave.operators.flatten import flatten_table
 from flatweave.schemas import PLACE, PLACE_FIELDS, SOURCE_SCHEMAS, TABLES_OF_SOURCE
-from flatweave.session import delete_path, file_names, partition_directories, path_exists
+from flatweave.session import (
+    child_names,
+    delete_path,
+    move_if_absent,
+    partition_directories,
+    path_exists,
+)
 from flatweave.sinks.layouts import PARTITIONED, SHARDED
-from flatweave.sources.shards import Pair
+from flatweave.sources.shards import Pair, among
+
+# What is known of each shard that was ever written: the version that holds it now and the one before, the source it came from, a mark
+# of the source's files, and the run that wrote it.
+STATE_FIELDS = [*PLACE_FIELDS, *(T.StructField(name, T.StringType()) for name in ("version", "previous", "source", "mark", "run"))]
+STATE = T.StructType(STATE_FIELDS)
+PUBLISH_ATTEMPTS = 20
+DELETIONS_AT_ONCE = 16
+
 
 def table_path(root: str, layout: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layout}/flat_{table}"
 
 
-def _partition_columns(layout: str, table: str) -> list[str]:
+def rows_path(root: str, layout: str, table: str) -> str:
+    return f"{table_path(root, layout, table)}/rows"
+
+
+def _version_path(root: str, layout: str, table: str, version: str) -> str:
+    return f"{rows_path(root, layout, table)}/version={version}"
+
+
+def partition_columns(layout: str, table: str) -> list[str]:
     return ["dataset", "shard"] if layout == SHARDED else ["dataset", schemas.date_field(table), "shard"]
 
 
@@ -51,48 +79,146 @@ def flat_schema(table: str) -> T.StructType:
     return T.StructType(list(_flat_fields(table)))
 
 
+# ---- What is current ---------------------------------------------------------------
+
+
+def _latest(spark: SparkSession, path: str) -> tuple[int, DataFrame]:
+    """Number and content of the last publication; 0 and nothing if there is none."""
+    numbers = [int(name.removesuffix(".parquet")) for name in child_names(spark, f"{path}/current") if name[0].isdigit()]
+    if not numbers:
+        return 0, spark.createDataFrame([], STATE)
+    return max(numbers), spark.read.schema(STATE).parquet(_publication(path, max(numbers)))
+
+
+def _publication(path: str, number: int) -> str:
+    return f"{path}/current/{number:010d}.parquet"
+
+
+def shard_state(spark: SparkSession, root: str, layout: str, table: str) -> DataFrame:
+    """A row for each shard that a flat table holds, see :data:`STATE`."""
+    return _latest(spark, table_path(root, layout, table))[1]
+
+
+def ledger(spark: SparkSession, root: str) -> DataFrame:
+    """:func:`shard_state` of all flat tables, with ``flat_table`` and ``layout``."""
+    parts = [
+        shard_state(spark, root, layout, table).select(F.lit(table).alias("flat_table"), F.lit(layout).alias("layout"), "*")
+        for layout in (SHARDED, PARTITIONED)
+        for table in schemas.ALL_TABLES
+        if path_exists(spark, table_path(root, layout, table))
+    ]
+    whole = spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in ("flat_table", "layout")] + STATE_FIELDS))
+    for part in parts:
+        whole = whole.unionByName(part)
+    return whole
+
+
 def read_flat(spark: SparkSession, root: str, layout: str, table: str) -> DataFrame:
     """A flat table of either layout; empty if it was never written."""
     schema = flat_schema(table)
-    path = table_path(root, layout, table)
-    if not path_exists(spark, path):
+    number, state = _latest(spark, table_path(root, layout, table))
+    if not number:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    stored = T.StructType([*schema.fields, T.StructField("version", T.StringType())])
+    rows = spark.read.schema(stored).parquet(rows_path(root, layout, table))
+    # A row for each shard: less than the scan itself holds, which lists the shards' directories.  All columns are the scan's
+    # partitions, so that directories of earlier versions are not opened.
+    current = F.broadcast(state.where("version != ''").select(*PLACE, "version"))
+    return rows.join(current, [*PLACE, "version"], "left_semi").select(*schema.names)
+
 
+# ---- Writing -----------------------------------------------------------------------
 
-def _held(spark: SparkSession, root: str, layout: str, table: str, pairs: set[Pair]) -> dict[str, frozenset[str]]:
-    """The partition directories of some shards, and the files in each."""
-    datasets = {dataset for dataset, _ in pairs}
 
-    def wanted(values: dict) -> bool:
-        return values["dataset"] in datasets and ("shard" not in values or (values["dataset"], values["shard"]) in pairs)
+def write_version(rows: DataFrame, root: str, layout: str, table: str) -> str:
+    """Write rows where nobody reads them yet; a failed write leaves nothing behind."""
+    version = f"v{uuid.uuid4().hex}"
+    path = _version_path(root, layout, table, version)
+    try:
+        rows.write.partitionBy(*partition_columns(layout, table)).parquet(path)
+    except BaseException:
+        delete_path(rows.sparkSession, path)
+        raise
+    return version
 
+
+def copy_version(
+    spark: SparkSession, root: str, table: str, version: str, layout: str, to: str, pairs: Iterable[Pair] | None = None
+) -> str:
+    """The rows of a version, or of some of its shards, in the other layout."""
+    rows = spark.read.schema(flat_schema(table)).parquet(_version_path(root, layout, table, version))
+    if pairs is not None:
+        rows = rows.where(among(pairs))
+    return write_version(rows, root, to, table)
+
+
+def publish(spark: SparkSession, root: str, layout: str, table: str, version: str, entries: DataFrame) -> None:
+    """Make a version the current one of the shards in ``entries`` (dataset, shard, source, mark, run), all at once.
+
+    A shard of which the version has no rows ends up empty.  Should another writer publish meanwhile, its
+    publication is taken over and tried again.
+    """
+    path = table_path(root, layout, table)
+    for _ in range(PUBLISH_ATTEMPTS):
+        number, old = _latest(spark, path)
+        before = old.select(*PLACE, F.col("version").alias("previous"))
+        new = entries.join(before, list(PLACE), "left").withColumn("version", F.lit(version)).select(*STATE.names)
+        whole = old.join(entries, list(PLACE), "left_anti").select(*STATE.names).unionByName(new)
+        draft = f"{path}/current/_{uuid.uuid4().hex}"
+        try:
+            whole.coalesce(1).write.parquet(draft)
+            part = next(name for name in child_names(spark, draft) if name.endswith(".parquet"))
+            published = move_if_absent(spark, f"{draft}/{part}", _publication(path, number + 1))
+        finally:
+            delete_path(spark, draft)
+        if published:
+            _clean(spark, root, layout, table, old, entries, number + 1)
+            return
+    raise RuntimeError(f"{path}: {PUBLISH_ATTEMPTS} publications by others came between")
+
+
+def _clean(spark, root: str, layout: str, table: str, old: DataFrame, entries: DataFrame, number: int) -> None:
+    """Delete what the replaced shards had before their last version, and publications before the last one."""
     path = table_path(root, layout, table)
-    found = partition_directories(spark, path, tuple(_partition_columns(layout, table)), wanted)
-    return {directory: file_names(spark, directory) for _, directory in found}
+    gone = old.join(entries, list(PLACE), "left_semi").where("previous IS NOT NULL")
+    gone = [tuple(row) for row in gone.select("previous", *PLACE).collect()]  # a row a replaced shard
+    if gone:
+        state = spark.read.schema(STATE).parquet(_publication(path, number))
+        used = {row[0] for row in state.select(F.explode(F.array("version", "previous"))).distinct().collect()}
+        doomed = [_version_path(root, layout, table, version) for version in {one[0] for one in gone} - used]
+        for version in {one[0] for one in gone} & used:
+            pairs = {(dataset, shard) for one, dataset, shard in gone if one == version}
+            datasets = {dataset for dataset, _ in pairs}
+
+            def wanted(values: dict, pairs=pairs, datasets=datasets) -> bool:
+                return values["dataset"] in datasets and ("shard" not in values or (values["dataset"], values["shard"]) in pairs)
+
+            found = partition_directories(
+                spark, _version_path(root, layout, table, version), tuple(partition_columns(layout, table)), wanted
+            )
+            doomed += [directory for _, directory in found]
+        with ThreadPoolExecutor(max_workers=DELETIONS_AT_ONCE) as pool:
+            list(pool.map(lambda one: delete_path(spark, one), doomed))
+    for name in child_names(spark, f"{path}/current"):
+        if name[0].isdigit() and int(name.removesuffix(".parquet")) < number - 1:
+            delete_path(spark, f"{path}/current/{name}")
+
+
+def entries_of(
+    spark: SparkSession, pairs: Iterable[Pair], source: str | None = None, marks: dict[Pair, str] | None = None, run: str | None = None
+) -> DataFrame:
+    """What :func:`publish` says of some shards."""
+    rows = [(dataset, shard, source, (marks or {}).get((dataset, shard)), run) for dataset, shard in sorted(set(pairs))]
+    return spark.createDataFrame(rows, T.StructType([f for f in STATE_FIELDS if f.name not in ("version", "previous")]))
 
 
 def replace_shards(rows: DataFrame, root: str, layout: str, table: str, shards: Iterable[Pair] | DataFrame) -> None:
     """Replace what the table holds for some source shards by ``rows``.
 
     ``shards`` lists the ``(dataset, shard)`` pairs replaced; one without rows ends
-    up empty.  All pairs are written in one job, which moves finished partitions into place one after the
-    other when it commits; partitions that lost all their rows are removed right after.  Each partition is hence either old or
-    new to a reader, and a run that was cut short is mended by running it again.
+    up empty.  Readers see the rows of before until all of the new ones are written.
     """
     spark = rows.sparkSession
     if isinstance(shards, DataFrame):
         shards = [tuple(row) for row in shards.select(*PLACE).distinct().collect()]  # a row a directory
-    pairs = set(shards)
-    before = _held(spark, root, layout, table, pairs)
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*_partition_columns(layout, table))
-        .parquet(table_path(root, layout, table))
-    )
-    # A dynamic overwrite leaves partitions without new rows alone: their files are still the same.
-    after = _held(spark, root, layout, table, pairs) if before else {}
-    for directory, files in before.items():
-        if after.get(directory) == files:
-            delete_path(spark, directory)
+    publish(spark, root, layout, table, write_version(rows, root, layout, table), entries_of(spark, shards))

@@ -13,6 +13,7 @@ INTRADAY_TABLE_PATTERN = rf"^(events_intraday)_{_DAY}$"
 INTRADAY_RESOURCE_PATTERN = rf"{_PROJECT}{_EXPORT_DATASET}/tables/(events_intraday)_{_DAY}$"
 INSERT_METHOD = "tableservice.insert"
 DELETE_METHOD = "tableservice.delete"
+_NOT_JSON = "__not_json"
 ARRIVAL_SCHEMA = "protoPayload struct<resourceName: string>"
 LIFECYCLE_SCHEMA = """
     timestamp string,
@@ -35,7 +36,20 @@ def _parsed_once(messages: DataFrame, schema: str) -> DataFrame:
     As the only element of an exploded array it is a row of its own to the optimizer,
     which would otherwise repeat the parse in every filter and column that uses it.
     """
-    return messages.select("*", F.explode(F.array(F.from_json("message", schema))).alias("__body"))
+    body = F.from_json("message", f"{schema}, {_NOT_JSON} string", {"columnNameOfCorruptRecord": _NOT_JSON})
+    return messages.select("*", F.explode(F.array(body)).alias("__body"))
+
+
+def _reason(accepted: Column, *others: tuple[Column, str]) -> Column:
+    """Why a message is not accepted, the first that holds; NULL for one that is."""
+    unread = [
+        (F.col("message").isNull(), "not base64 text"),
+        (F.col(f"__body.{_NOT_JSON}").isNotNull(), "not a JSON object"),
+    ]
+    reason = F.when(accepted, F.lit(None).cast("string"))
+    for holds, text in [*unread, *others]:
+        reason = reason.when(holds, text)
+    return reason
 
 
 def decode_messages(raw: DataFrame, column: str = "data") -> DataFrame:
@@ -44,19 +58,24 @@ def decode_messages(raw: DataFrame, column: str = "data") -> DataFrame:
 
 
 def parse_arrivals(messages: DataFrame) -> DataFrame:
-    """``project, dataset, source, shard`` of each arrival, and whether it is ``valid``."""
+    """``project, dataset, source, shard`` of each arrival, whether it is ``valid``, and else the ``reason``."""
     parsed = _parsed_once(messages, ARRIVAL_SCHEMA)
     path = "__body.protoPayload.resourceName"
     names = ("project", "dataset", "source", "shard")
     fields = {name: _group(path, ARRIVAL_PATTERN, i + 1) for i, name in enumerate(names)}
-    return parsed.withColumns(fields).drop("__body").withColumn("valid", F.col("shard").isNotNull())
+    found = parsed.withColumns(fields)
+    valid = F.col("shard").isNotNull()
+    reason = _reason(
+        valid, (F.col(path).isNull(), "no resource name"), (F.col("shard").isNull(), "names no table of an export")
+    )
+    return found.withColumns({"valid": valid, "reason": reason}).drop("__body")
 
 
 def parse_lifecycle(messages: DataFrame) -> DataFrame:
     """Creation or deletion of a same-day table.
 
     A creation names its table in the response; a deletion in its only
-    authorisation entry.  Anything else, several entries or no readable time included, is not valid.
+    authorisation entry.  Anything else, several entries or no readable time included, is not ``valid``; ``reason`` says why.
     """
     payload = F.col("__body.protoPayload")
     table = payload["serviceData"]["tableInsertResponse"]["resource"]["tableName"]
@@ -67,6 +86,19 @@ def parse_lifecycle(messages: DataFrame) -> DataFrame:
     def either(inserted: Column, deleted: Column) -> Column:
         return F.when(method == INSERT_METHOD, inserted).when(method == DELETE_METHOD, deleted)
 
+    valid = (
+        F.col("shard").isNotNull()
+        & F.col("project").isNotNull()
+        & F.col("dataset").isNotNull()
+        & F.col("logged_at").isNotNull()
+    )
+    reason = _reason(
+        valid,
+        (F.col("action").isNull(), "neither a creation nor a deletion"),
+        ((F.col("action") == "delete") & ~F.coalesce(F.size(entries) == 1, F.lit(False)), "not one resource"),
+        (F.col("shard").isNull() | F.col("project").isNull() | F.col("dataset").isNull(), "names no same-day table"),
+        (F.col("logged_at").isNull(), "no readable time"),
+    )
     return (
         _parsed_once(messages, LIFECYCLE_SCHEMA)
         .withColumns(
@@ -85,12 +117,6 @@ def parse_lifecycle(messages: DataFrame) -> DataFrame:
                 "logged_at": F.try_to_timestamp(F.col("__body.timestamp")),
             }
         )
+        .withColumns({"valid": valid, "reason": reason})
         .drop("__body")
-        .withColumn(
-            "valid",
-            F.col("shard").isNotNull()
-            & F.col("project").isNotNull()
-            & F.col("dataset").isNotNull()
-            & F.col("logged_at").isNotNull(),
-        )
     )

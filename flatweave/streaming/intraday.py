@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import logging
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -24,7 +24,7 @@ from flatweave.operators.view_sql import flat_view_sql, identifier, keyed_view_s
 from flatweave.plans.flatten_job import flatten_work
 from flatweave.plans.work import route
 from flatweave.schemas import PLACE, SOURCE_SCHEMAS
-from flatweave.session import file_names
+from flatweave.session import child_names, setting
 from flatweave.sources.messages import decode_messages, parse_lifecycle
 from flatweave.sources.shards import shard_paths
 
@@ -79,7 +79,7 @@ def create_views(
     name of a dataset.
     """
     path = shard_paths(spark, source_root, SOURCE, pairs=[(dataset, shard)]).get((dataset, shard))
-    if path is None or not any(name[0] not in "._" for name in file_names(spark, path)):
+    if path is None or not any(name[0] not in "._" for name in child_names(spark, path)):
         return []
     keyed_name = keyed_view_name(dataset, shard)
     keyed = _qualified(database, keyed_name)
@@ -120,16 +120,6 @@ def latest_actions(messages: DataFrame) -> DataFrame:
     return latest.select(*PLACE, "last.action", "last.logged_at")
 
 
-@contextmanager
-def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(name)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def manage_views(
     messages: DataFrame,
     control: DataFrame,
@@ -166,7 +156,7 @@ def manage_views(
             list(pool.map(inheritable_thread_target(spark)(follow), wanted.collect()))
 
     # A stream keeps the settings it is started with.
-    with _setting(spark, "spark.sql.shuffle.partitions", str(state_partitions)):
+    with setting(spark, "spark.sql.shuffle.partitions", str(state_partitions)):
         return (
             latest_actions(decode_messages(messages))
             .writeStream.outputMode("update")
@@ -191,9 +181,27 @@ def refresh_interval(frequency: int, units: str) -> str:
     return f"{frequency} {units}"
 
 
+Control = DataFrame | Callable[[], DataFrame]
+
+
+def _ticks(spark: SparkSession, at_tick: Callable[[int], None], checkpoint: str, trigger: dict) -> StreamingQuery:
+    """A stream that calls ``at_tick`` with the number of the tick, which goes on from the checkpoint after a restart."""
+    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
+    run = ticks.writeStream.foreachBatch(lambda _batch, number: at_tick(number))
+    return run.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def _refresh(spark: SparkSession, control: DataFrame, source_root: str, out_root: str, job: dict) -> None:
+    """Flatten the same-day shards of the control table's datasets whose files have changed since they were flattened."""
+    names = [row.dataset for row in control.select("dataset").distinct().collect()]  # the configured datasets
+    present = sorted(shard_paths(spark, source_root, SOURCE, datasets=names))
+    arrivals = spark.createDataFrame(present, "dataset string, shard string").withColumn("source", F.lit(SOURCE))
+    flatten_work(spark, route(arrivals, control), source_root, out_root, changed_only=True, **job)
+
+
 def refresh_intraday(
     spark: SparkSession,
-    control: DataFrame,
+    control: Control,
     source_root: str,
     out_root: str,
     checkpoint: str,
@@ -201,48 +209,59 @@ def refresh_intraday(
     units: str = "hours",
     **job,
 ) -> StreamingQuery:
-    """Start a stream that flattens the same-day shards anew at each tick.
+    """Start a stream that brings the flat tables of same-day shards up to date at each tick.
 
-    Each tick recomputes, whole, the shards of the control table's datasets that exist then, so files that were
-    added, rewritten or removed are all seen.  A shard with a daily export is left alone.  Without
-    ``frequency`` there is one tick.
+    At each tick the files of the shards that exist are listed, and those shards are flattened, whole, of which a file was added, removed or
+    written again since a flat table was made of them; that is known from the flat tables themselves.  A shard with a daily
+    export is left alone.  ``control`` may be a function, which is then asked at each tick.  Without ``frequency`` there is one tick.
     """
     trigger = {"availableNow": True} if frequency is None else {"processingTime": refresh_interval(frequency, units)}
-    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
+
     # The work is done by the session that the stream was started from: a stream's own plans without adaptive execution.
-    names = [row.dataset for row in control.select("dataset").distinct().collect()]  # the configured datasets
+    def at_tick(_number: int) -> None:
+        _refresh(spark, control() if callable(control) else control, source_root, out_root, job)
 
-    def refresh(_batch: DataFrame, _batch_id: int) -> None:
-        present = sorted(shard_paths(spark, source_root, SOURCE, datasets=names))
-        arrivals = spark.createDataFrame(present, "dataset string, shard string").withColumn("source", F.lit(SOURCE))
-        flatten_work(spark, route(arrivals, control), source_root, out_root, **job)
+    return _ticks(spark, at_tick, checkpoint, trigger)
 
-    return ticks.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+def scheduled(control: DataFrame, tick: int) -> tuple[DataFrame, list[str]]:
+    """Rows of the control table that are due at a tick (ticks are minutes), and datasets whose schedule is none."""
+    frequency, units = F.col("frequency"), F.col("units")
+    minutes = F.when((units == "minutes") & frequency.between(1, 59), frequency)
+    minutes = minutes.when((units == "hours") & (frequency >= 1), frequency * 60)
+    rows = control.where(frequency.isNotNull()).withColumn("__minutes", minutes)
+    wrong = [row.dataset for row in rows.where("__minutes IS NULL").select("dataset").collect()]
+    return rows.where((F.lit(tick) % F.col("__minutes")) == 0).drop("__minutes"), sorted(wrong)
 
 
 def refresh_on_schedule(
-    spark: SparkSession, control: DataFrame, source_root: str, out_root: str, checkpoint: str, **job
-) -> list[StreamingQuery]:
-    """Start one refresh stream per schedule in the control table, for its datasets.
+    spark: SparkSession,
+    control: Control,
+    source_root: str,
+    out_root: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    **job,
+) -> StreamingQuery:
+    """Start one stream that refreshes every dataset of the control table by its own schedule.
 
-    A dataset without a schedule is not refreshed.  Schedules are read now; to change them, stop the streams and
-    start them again.
+    It ticks once a minute.  At each tick the control table is read (``control`` may be a function, which reads it anew), and
+    the datasets are refreshed whose period divides the number of the tick, so a changed, new or removed schedule needs
+    no restart.  A dataset without a schedule is not refreshed.  A schedule that is none is an error at the start, and later
+    leaves its dataset out, with a warning.
     """
-    scheduled = control.where("frequency IS NOT NULL")
-    # One row per distinct schedule.
-    schedules = scheduled.select("frequency", "units").distinct().collect()
-    for row in schedules:
-        refresh_interval(row.frequency, row.units)
-    return [
-        refresh_intraday(
-            spark,
-            scheduled.where((F.col("frequency") == row.frequency) & (F.col("units") == row.units)),
-            source_root,
-            out_root,
-            f"{checkpoint}/{row.frequency}-{row.units}",
-            row.frequency,
-            row.units,
-            **job,
-        )
-        for row in schedules
-    ]
+
+    def current() -> DataFrame:
+        return control() if callable(control) else control
+
+    wrong = scheduled(current(), 0)[1]
+    if wrong:
+        raise ValueError(f"a refresh takes 1 to 59 minutes or whole hours: {', '.join(wrong)}")
+
+    def at_tick(number: int) -> None:
+        due, wrong = scheduled(current(), number)
+        if wrong:
+            logging.getLogger(__name__).warning("no schedule that can be kept: %s", ", ".join(wrong))
+        _refresh(spark, due, source_root, out_root, job)
+
+    return _ticks(spark, at_tick, checkpoint, trigger or {"processingTime": "1 minute"})

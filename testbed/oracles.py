@@ -516,6 +516,28 @@ ORACLES["written_checks"] = " UNION ALL ".join(
     f" FROM ({ORACLES[f'flat_{table}']})"
     for table in schemas.ALL_TABLES
 )
+ORACLES["failed_replace"] = f"SELECT * FROM ({ORACLES['flat_items']}), {_LAYOUTS}"
+ORACLES["resumed_backfill"] = (
+    "SELECT 'items' AS flat_table, layout, dataset, shard, 'events' AS source, 'first' AS run, shard >= '20240122' AS kept"
+    f" FROM ({_EVENT_SHARDS}), {_LAYOUTS}"
+)
+ORACLES["refresh_changed_shards"] = (
+    f"SELECT dataset, shard, CAST(CASE WHEN shard = '{ONE_SHARD}' THEN 2 ELSE 1 END AS BIGINT) AS writes FROM (SELECT DISTINCT"
+    f" {n.DATASET} AS dataset, strftime({_day(n.SHARD)} + INTERVAL 1 DAY, '%Y%m%d') AS shard FROM events)"
+)
+ORACLES["rejected_arrivals"] = f"""
+    WITH d AS (SELECT DISTINCT user_id, {n.DATASET} AS ds, {n.SHARD} AS day FROM events),
+    m AS (
+      SELECT '{{"protoPayload":{{"resourceName":"projects/p' || CAST(user_id % 2 AS VARCHAR) || '/datasets/' || ds || '/tables/'
+             || CASE user_id % 7 WHEN 0 THEN 'events' ELSE 'users_x_' || day END || '"}}}}' AS message,
+             'names no table of an export' AS reason
+      FROM d WHERE user_id % 7 IN (0, 1)
+      UNION ALL
+      SELECT CASE event_id % 5 WHEN 1 THEN '{{"id": ' || CAST(event_id AS VARCHAR) WHEN 2 THEN '{{"id": ' || CAST(event_id AS VARCHAR) || '}}' END,
+             CASE event_id % 5 WHEN 0 THEN 'not base64 text' WHEN 1 THEN 'not a JSON object' ELSE 'no resource name' END
+      FROM events WHERE event_id % 5 < 3
+    )
+    SELECT 'arrival' AS kind, message, reason, count(*) AS n FROM m GROUP BY ALL"""
 ORACLES["random_row_ids"] = f"""
     WITH u AS (SELECT dataset, count(*) AS users FROM ({ORACLES["flat_users"]}) GROUP BY dataset),
     c AS (

@@ -19,7 +19,7 @@ from flatweave.operators.relational import (
     rows_per_day,
     with_constants,
 )
-from flatweave.plans.flatten_job import flatten_work, key_events, keyed_source
+from flatweave.plans.flatten_job import backfill, flatten_work, key_events, keyed_source
 from flatweave.plans.work import (
     backfill_grid,
     configured_arrivals,
@@ -29,12 +29,12 @@ from flatweave.plans.work import (
     with_source,
 )
 from flatweave.schemas import PLACE
-from flatweave.session import Stages, new_stage_path
-from flatweave.sinks.tables import PARTITIONED, SHARDED, read_flat, replace_shards
+from flatweave.session import Stages, delete_path, new_stage_path
+from flatweave.sinks.tables import PARTITIONED, SHARDED, ledger, read_flat, replace_shards, shard_state
 from flatweave.sources.inventory import analytics_tables, discover_datasets, recent_event_tables, union_datasets
 from flatweave.sources.messages import decode_messages, parse_arrivals, parse_lifecycle
 from flatweave.sources.shards import list_shards, shard_paths, write_source
-from flatweave.streaming.arrivals import flatten_on_arrival, read_messages
+from flatweave.streaming.arrivals import flatten_on_arrival, read_messages, record_rejected
 from flatweave.streaming.intraday import (
     existing_views,
     intraday_table,
@@ -484,6 +484,57 @@ def empty_shard_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_datasets(both)
 
 
+def failed_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A flat table in both layouts after a replacement of all its shards that failed half-way."""
+    table, root = "items", nested_root(spark, sf_dir, "events")
+    out = _flatten_all(spark, sf_dir, "events", (table,))
+    pairs = list(shard_paths(spark, root, "events"))
+    rows = read_flat(spark, out, SHARDED, table)
+    late = F.when(F.col("shard") == ONE_SHARD, F.raise_error(F.lit("stopped half-way"))).otherwise(F.col("items_item_id"))
+    for layout in (SHARDED, PARTITIONED):
+        try:
+            replace_shards(rows.withColumn("items_item_id", late.cast("string")), out, layout, table, pairs)
+        except Exception as error:  # noqa: BLE001
+            if "stopped half-way" not in str(error):
+                raise
+    both = [read_flat(spark, out, one, table).withColumn("layout", F.lit(one)) for one in (SHARDED, PARTITIONED)]
+    return union_datasets(both)
+
+
+RESUMED_STEP, BROKEN = 30, "20240115"
+
+
+def resumed_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of a backfill that a broken file stopped, and that went on under its name when the file was gone.
+
+    ``kept`` says whether the shard still has what the first attempt wrote.
+    """
+    root, out = new_stage_path(spark, "broken"), new_stage_path(spark, "flat")
+    write_source(read_nested(spark, sf_dir, "events"), root, "events")
+    control = spark.createDataFrame([(dataset, ["items"], True, True, False) for dataset in DATASETS], CONTROL_SCHEMA)
+    broken = shard_paths(spark, root, "events", between=(BROKEN, BROKEN))
+    junk = [f"{path}/junk.parquet" for path in broken.values()]
+
+    def run() -> None:
+        backfill(spark, control, root, out, *BACKFILL, sources=("events",), run="first", shards_at_once=RESUMED_STEP, **JOB)
+
+    for path in junk:
+        spark.range(1).selectExpr("'no such file format' AS value").coalesce(1).write.text(path)
+    try:
+        run()
+    except Exception as error:  # noqa: BLE001
+        if "junk.parquet" not in str(error):
+            raise
+    first = ledger(spark, out).select("flat_table", "layout", *PLACE, "version").collect()
+    for path in junk:
+        delete_path(spark, path)
+    run()
+    schema = "flat_table string, layout string, dataset string, shard string, version string"
+    kept = spark.createDataFrame(first, schema).withColumn("kept", F.lit(True))
+    found = ledger(spark, out).join(kept, ["flat_table", "layout", *PLACE, "version"], "left")
+    return found.select("flat_table", "layout", *PLACE, "source", "run", F.coalesce("kept", F.lit(False)).alias("kept"))
+
+
 def day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_per_day(_flat("event_params")(spark, sf_dir)).orderBy("event_date")
 
@@ -540,6 +591,39 @@ def stream_intraday_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_flat(spark, out, SHARDED, "event_params")
 
 
+def refresh_changed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each same-day shard was written in three ticks: nothing has changed at the second, one day at the third."""
+    root, out, checkpoint = (new_stage_path(spark, name) for name in ("same-day", "flat", "checkpoint"))
+    rows = read_nested(spark, sf_dir, "events_intraday")
+    write_source(rows, root, "events_intraday")
+    control = spark.createDataFrame([(dataset, ["items"], True, False, False) for dataset in DATASETS], CONTROL_SCHEMA)
+    seen = []
+    for tick in range(3):
+        if tick == 2:
+            more = rows.where(F.col("shard") == ONE_SHARD)
+            more.write.mode("append").partitionBy(*PLACE).parquet(f"{root}/events_intraday")
+        refresh_intraday(spark, control, root, out, checkpoint, **JOB).awaitTermination()
+        seen += shard_state(spark, out, SHARDED, "items").select(*PLACE, "version").collect()
+    versions = spark.createDataFrame(seen, "dataset string, shard string, version string")
+    return versions.groupBy(*PLACE).agg(F.count_distinct("version").alias("writes"))
+
+
+def rejected_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that no stream acts on, with the reason, kept by a stream of their own that is started twice."""
+    inbox, folder, checkpoint = (new_stage_path(spark, name) for name in ("inbox", "rejected", "checkpoint"))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    junk = events.select(
+        F.expr(
+            "CASE event_id % 5 WHEN 0 THEN '*' || event_id WHEN 1 THEN base64('{\"id\": ' || event_id)"
+            " WHEN 2 THEN base64('{\"id\": ' || event_id || '}') ELSE NULL END"
+        ).alias("data")
+    ).where("data IS NOT NULL")
+    for part in (arrival_messages(spark, sf_dir).select("data"), junk):
+        part.write.mode("append").json(inbox)
+        record_rejected(read_messages(spark, inbox), "arrival", folder, checkpoint).awaitTermination()
+    return spark.read.parquet(folder).groupBy("kind", "message", "reason").agg(F.count("*").alias("n"))
+
+
 def view_messages(shards: DataFrame) -> DataFrame:
     """Creations of all shards, then deletions of those of every fourth day, then late and odd messages.
 
@@ -662,6 +746,10 @@ QUERIES: dict[str, Query] = {
     "day_counts": day_counts,
     "day_counts_parity": day_counts_parity,
     "replace_day_idempotent": replace_day_idempotent,
+    "failed_replace": failed_replace,
+    "resumed_backfill": resumed_backfill,
+    "refresh_changed_shards": refresh_changed_shards,
+    "rejected_arrivals": rejected_arrivals,
     "stream_flatten": stream_flatten,
     "stream_intraday_refresh": stream_intraday_refresh,
     "stream_views": stream_views,

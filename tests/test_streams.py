@@ -8,9 +8,11 @@ from nested_rows import DATASET, event, export, frame, param
 from test_messages import arrival, lifecycle
 
 from flatweave.operators.keys import with_event_id
-from flatweave.sinks.tables import SHARDED, read_flat
+from flatweave.plans.flatten_job import flatten_work
+from flatweave.plans.work import route
+from flatweave.sinks.tables import SHARDED, read_flat, shard_state
 from flatweave.sources.shards import read_source
-from flatweave.streaming.arrivals import flatten_on_arrival, read_messages
+from flatweave.streaming.arrivals import flatten_on_arrival, read_messages, record_rejected, rejected_messages
 from flatweave.streaming.intraday import (
     create_views,
     drop_views,
@@ -21,6 +23,7 @@ from flatweave.streaming.intraday import (
     refresh_intraday,
     refresh_interval,
     refresh_on_schedule,
+    scheduled,
     view_name,
 )
 
@@ -154,28 +157,107 @@ def test_refresh_intervals():
             refresh_interval(frequency, units)
 
 
-def test_schedules_come_from_the_control_table(spark, tmp_path):
+def written_at(spark, out, table="events"):
+    return {(r.dataset, r.shard): r.version for r in shard_state(spark, out, SHARDED, table).collect()}
+
+
+def test_refresh_leaves_unchanged_shards_alone(spark, tmp_path):
     root, out = str(tmp_path / "in"), str(tmp_path / "out")
-    export(spark, root, "events_intraday", [event("20240102"), event("20240102", dataset="analytics_2")])
+    export(spark, root, "events_intraday", [event("20240102"), event("20240103")])
+
+    def drain():
+        refresh_intraday(spark, control(spark, ["events"]), root, out, str(tmp_path / "checkpoint")).awaitTermination()
+        return written_at(spark, out)
+
+    first = drain()
+    assert len(first) == 2 and drain() == first
+    more = frame(spark, "events_intraday", [event("20240103")], position=False)
+    more.write.mode("append").partitionBy("dataset", "shard").parquet(f"{root}/events_intraday")
+    third = drain()
+    assert {pair[1] for pair in first if third[pair] != first[pair]} == {"20240103"}
+    assert shards(spark, out) == {"20240102": 1, "20240103": 2}
+    # A removed file is a change as well, and a daily export takes the shard over.
+    folder = next((tmp_path / "in" / "events_intraday").glob("dataset=*/shard=20240103"))
+    next(path for path in folder.iterdir() if path.name.startswith("part-")).unlink()
+    drain()
+    assert shards(spark, out)["20240103"] in (1, 0)
+    export(spark, root, "events", [event("20240102")])
+    flatten_work(spark, route(spark.createDataFrame([(DATASET, "events", "20240102")], "dataset string, source string, shard string"),
+                              control(spark, ["events"])), root, out)
+    daily = written_at(spark, out)
+    drain()
+    assert written_at(spark, out) == daily
+
+
+def test_due_schedules(spark):
     both = control(spark, ["events"], frequency=30, units="minutes").unionByName(
-        control(spark, ["events"], dataset="analytics_2")
+        control(spark, ["events"], frequency=2, units="hours", dataset="analytics_2")
+    ).unionByName(control(spark, ["events"], dataset="analytics_3")).unionByName(
+        control(spark, ["events"], frequency=60, units="minutes", dataset="analytics_4")
     )
-    streams = refresh_on_schedule(spark, both, root, out, str(tmp_path / "checkpoint"))
+    due = {tick: {r.dataset for r in scheduled(both, tick)[0].collect()} for tick in (0, 1, 30, 60, 120)}
+    assert due == {0: {DATASET, "analytics_2"}, 1: set(), 30: {DATASET}, 60: {DATASET}, 120: {DATASET, "analytics_2"}}
+    assert scheduled(both, 0)[1] == ["analytics_4"]
+
+
+def test_schedules_are_read_at_each_tick(spark, tmp_path):
+    """A dataset whose schedule comes while the stream runs is refreshed without a restart."""
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    export(spark, root, "events_intraday", [event("20240102"), event("20240102", dataset="analytics_2")])
+    tables = [control(spark, ["events"], frequency=1, units="minutes").unionByName(control(spark, ["events"], dataset="analytics_2"))]
+    stream = refresh_on_schedule(
+        spark, lambda: tables[-1], root, out, str(tmp_path / "checkpoint"), trigger={"processingTime": "1 second"}
+    )
+
+    def wait_for(count):
+        deadline = time.monotonic() + 90
+        while len(written_at(spark, out)) < count and time.monotonic() < deadline and stream.isActive:
+            time.sleep(0.3)
+        return {dataset for dataset, _ in written_at(spark, out)}
+
     try:
-        assert len(streams) == 1
-        # The first batch runs at once, the next at the trigger.
-        deadline = time.monotonic() + 60
-        while streams[0].lastProgress is None and time.monotonic() < deadline:
-            time.sleep(0.2)
+        assert wait_for(1) == {DATASET}
+        tables.append(control(spark, ["events"], frequency=1, units="minutes", dataset="analytics_2"))
+        assert wait_for(2) == {DATASET, "analytics_2"}
     finally:
-        for stream in streams:
-            stream.stop()
-    assert shards(spark, out) == {"20240102": 1}
+        stream.stop()
     bad = control(spark, ["events"], frequency=60, units="minutes")
     with pytest.raises(ValueError):
         refresh_on_schedule(spark, bad, root, out, str(tmp_path / "other"))
 
 
+def test_rejected_messages_are_kept_with_a_reason(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    send(inbox, "1", announce("events", "20240101"), announce("events", "2024"), {"protoPayload": {}}, [1], "x")
+    (inbox / "2.json").write_text(
+        "\n".join(json.dumps({"data": data}) for data in ("%%%", base64.b64encode(b'{"a": ').decode(), None, base64.b64encode(b"").decode()))
+    )
+
+    def drain():
+        record_rejected(read_messages(spark, str(inbox)), "arrival", str(tmp_path / "bad"), str(tmp_path / "c")).awaitTermination()
+        return sorted((r.reason, r.message) for r in spark.read.parquet(str(tmp_path / "bad")).collect() if r.message)
+
+    found = drain()
+    assert [reason for reason, _ in found].count("names no table of an export") == 1
+    assert ("no resource name", '{"protoPayload": {}}') in found
+    reasons = [r.reason for r in spark.read.parquet(str(tmp_path / "bad")).collect()]
+    assert None not in reasons and len(reasons) == 8 and reasons.count("not base64 text") == 2
+    assert drain() == found
+
+
+def test_rejected_lifecycle_messages(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    good = lifecycle("insert", "20240102", DATASET, "2024-01-02T00:00:00Z")
+    two = lifecycle("delete", "20240102", DATASET, "2024-01-02T00:00:00Z")
+    two["protoPayload"]["authorizationInfo"] *= 2
+    send(inbox, "1", good, two, lifecycle("delete", "20240102", DATASET, None), lifecycle("insert", "2024", DATASET, "2024-01-02T00:00:00Z"),
+         {"protoPayload": {"methodName": "other"}})
+    rows = rejected_messages(spark.read.schema("data string").json(str(inbox)), "lifecycle").collect()
+    assert sorted(r.reason for r in rows) == [
+        "names no same-day table", "neither a creation nor a deletion", "no readable time", "not one resource",
+    ]
+
+
 def test_views_outlive_the_stream_and_the_session(spark, tmp_path):
     """Every batch by a stream of its own, which knows only what the checkpoint holds."""
     root, inbox, dataset = str(tmp_path / "in"), tmp_path / "inbox", "analytics_33"

@@ -1,4 +1,6 @@
+import os
 import pathlib
+import time
 
 import pytest
 from nested_rows import DATASET, event, export, param
@@ -9,8 +11,8 @@ from flatweave.operators.relational import rejoin
 from flatweave.plans.flatten_job import backfill, flatten_work, keyed_source
 from flatweave.plans.work import route
 from flatweave.session import Stages, drop_stage, shared_folder
-from flatweave.sinks.tables import PARTITIONED, SHARDED, read_flat, replace_shards, table_path
-from flatweave.sources.shards import read_source
+from flatweave.sinks.tables import PARTITIONED, SHARDED, ledger, read_flat, replace_shards, rows_path
+from flatweave.sources.shards import read_source, shard_table
 
 CONTROL = "dataset string, tables_to_flatten array<string>, sharded boolean, partitioned boolean, intraday_views boolean"
 
@@ -65,11 +67,11 @@ def test_layouts_agree_and_runs_are_idempotent(spark, tmp_path):
 def test_checks_see_wrong_tables(spark, tmp_path):
     root, out = export(spark, tmp_path / "in", "events", two_days()), str(tmp_path / "out")
     flatten_work(spark, work(spark, ["20240101"], ("items", "event_params")), root, out)
-    path = table_path(out, PARTITIONED, "event_params")
+    path = rows_path(out, PARTITIONED, "event_params")
     rows = quality.as_written(spark, out, PARTITIONED, "event_params")
     wrong = rows.withColumn("event_params_int_value", F.col("event_params_int_value").cast("string")).drop("event_id")
-    wrong.withColumn("event_date", F.lit("20240101x")).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static").partitionBy("dataset", "event_date", "shard").parquet(f"{path}-new")
+    wrong.withColumns({"event_date": F.lit("20240101x"), "version": F.lit("v")}).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static").partitionBy("version", "dataset", "event_date", "shard").parquet(f"{path}-new")
     pathlib.Path(path).rename(f"{path}-old")
     pathlib.Path(f"{path}-new").rename(path)
     assert quality.written_differences(spark, out, "event_params")[:1] == ["event_date"] or set(
@@ -160,10 +162,17 @@ def test_only_requested_directories_are_scanned(spark, tmp_path):
     spark.createDataFrame(many, columns).coalesce(1).write.partitionBy("dataset", "shard").parquet(f"{tmp_path}/in/users")
     pairs = [(dataset, shard) for _, dataset, shard in many[:1_100]]
     rows = read_source(spark, f"{tmp_path}/in", "users", pairs=[*pairs, ("d0", "20990101"), ("no", "20240000")])
-    files = rows.inputFiles()
+    # Most of the folder: it is listed whole, and pruned by the names of its directories.
+    assert "PartitionFilters: [concat_ws(/, dataset" in rows._jdf.queryExecution().toString()
+    files = rows.select("_metadata.file_path").distinct().collect()
     assert len(files) == 1_100
-    assert {tuple(part.partition("=")[2] for part in file.split("/")[-3:-1]) for file in files} == set(pairs)
+    assert {tuple(part.partition("=")[2] for part in row.file_path.split("/")[-3:-1]) for row in files} == set(pairs)
     assert rows.count() == 1_100
+    # A few: only these are listed.
+    few = read_source(spark, f"{tmp_path}/in", "users", pairs=[*pairs[:5], ("d0", "20990101")])
+    assert len(few.inputFiles()) == 5
+    some = read_source(spark, f"{tmp_path}/in", "users", between=("20240000", "20240001"))
+    assert len(some.inputFiles()) == 40
 
 
 def test_emptied_shard_clears_its_rows(spark, tmp_path):
@@ -192,14 +201,14 @@ def test_daily_export_that_arrives_during_a_refresh_stays(spark, tmp_path, monke
 
     root, out = str(tmp_path / "in"), str(tmp_path / "out")
     export(spark, root, "events_intraday", [event("20240102"), event("20240102", event_name="click")])
-    real = flatten_job.replace_shards
+    real = flatten_job.publish
 
     def arrives(*args):
         if not (tmp_path / "in" / "events").exists():
             export(spark, root, "events", [event("20240102")])
         real(*args)
 
-    monkeypatch.setattr(flatten_job, "replace_shards", arrives)
+    monkeypatch.setattr(flatten_job, "publish", arrives)
     flatten_work(spark, work(spark, ["20240102"], ("events",), "events_intraday", partitioned=False), root, out)
     assert [r.source_table_type for r in read_flat(spark, out, SHARDED, "events").collect()] == ["daily"]
 
@@ -265,3 +274,134 @@ def test_stages_are_dropped_when_a_job_fails(spark, tmp_path):
         assert stages.table(spark.range(3), "kept").count() == 3
         stages.table(spark.range(3).select(F.raise_error(F.lit("stop here"))), "broken")
     assert staged_folders(spark) == before
+
+
+def replace_with(spark, out, rows, shards, layout=SHARDED):
+    replace_shards(rows, out, layout, "event_params", [(DATASET, shard) for shard in shards])
+
+
+@pytest.mark.parametrize("layout", [SHARDED, PARTITIONED])
+def test_a_write_that_fails_changes_nothing(spark, tmp_path, layout):
+    root, out = export(spark, tmp_path / "in", "events", two_days()), str(tmp_path / "out")
+    flatten_work(spark, work(spark, ["20240101", "20240102"]), root, out)
+    rows = read_flat(spark, out, layout, "event_params")
+    under_way = rows.select("event_id")  # planned before, read afterwards
+    before, files = counts(spark, out, layout=layout), len(list((tmp_path / "out").rglob("*.parquet")))
+    late = F.when(F.col("shard") == "20240102", F.raise_error(F.lit("half-way"))).otherwise(F.col("event_id"))
+    with pytest.raises(Exception, match="half-way"):
+        replace_with(spark, out, rows.withColumn("event_id", late.cast("string")), ["20240101", "20240102"], layout)
+    assert counts(spark, out, layout=layout) == before
+    assert len(list((tmp_path / "out").rglob("*.parquet"))) == files  # nothing is left behind
+    replace_with(spark, out, rows.where("shard = '20240101'").limit(1), ["20240101"], layout)
+    assert under_way.count() == 4  # the version of before is still there
+    assert counts(spark, out, layout=layout) == {("20240101", "2024-01-01"): 1, ("20240102", "2024-01-02"): 1}
+
+
+def test_versions_go_when_nobody_needs_them(spark, tmp_path):
+    root, out = export(spark, tmp_path / "in", "events", two_days()), str(tmp_path / "out")
+    for _ in range(4):
+        flatten_work(spark, work(spark, ["20240101", "20240102"]), root, out)
+    for layout in (SHARDED, PARTITIONED):
+        folder = pathlib.Path(rows_path(out, layout, "event_params"))
+        assert len([path for path in folder.iterdir() if path.is_dir()]) == 2
+        assert len(list((folder.parent / "current").glob("[0-9]*.parquet"))) == 2
+    # Of a version that another shard still needs, the directories of the replaced shard go.
+    for _ in range(3):
+        rows = read_flat(spark, out, SHARDED, "event_params").where("shard = '20240101'")
+        replace_with(spark, out, rows, ["20240101"])
+    folder = pathlib.Path(rows_path(out, SHARDED, "event_params"))
+    assert len(list(folder.glob("version=*/dataset=*/shard=20240101"))) == 2
+    assert len(list(folder.glob("version=*/dataset=*/shard=20240102"))) == 2
+    assert counts(spark, out, layout=SHARDED) == {("20240101", "2024-01-01"): 3, ("20240102", "2024-01-02"): 1}
+
+
+def test_two_writers_lose_nothing(spark, tmp_path, monkeypatch):
+    """Another publication comes between a writer's look at the current one and its own."""
+    from flatweave.sinks import tables
+
+    root, out = export(spark, tmp_path / "in", "events", two_days()), str(tmp_path / "out")
+    flatten_work(spark, work(spark, ["20240101", "20240102"]), root, out)
+    rows = read_flat(spark, out, SHARDED, "event_params")
+    day = {shard: rows.where(F.col("shard") == shard).limit(1) for shard in ("20240101", "20240102")}
+    real, between = tables.move_if_absent, []
+
+    def late(spark, path, to):
+        if not between:
+            between.append(True)
+            replace_with(spark, out, day["20240102"].unionByName(day["20240102"]), ["20240102"])
+        return real(spark, path, to)
+
+    monkeypatch.setattr(tables, "move_if_absent", late)
+    replace_with(spark, out, day["20240101"], ["20240101"])
+    assert counts(spark, out, layout=SHARDED) == {("20240101", "2024-01-01"): 1, ("20240102", "2024-01-02"): 2}
+    assert len(set(r.version for r in tables.shard_state(spark, out, SHARDED, "event_params").collect())) == 2
+
+
+def test_a_run_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
+    from flatweave.plans import flatten_job
+
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    export(spark, root, "events", [event(f"2024010{day}") for day in range(1, 6)])
+    real, steps = flatten_job._flatten, []
+
+    def stops(*args):
+        steps.append(sorted(shard for _, shard in args[3]))
+        if len(steps) == 2:
+            raise RuntimeError("stopped")
+        return real(*args)
+
+    monkeypatch.setattr(flatten_job, "_flatten", stops)
+    todo = work(spark, [f"2024010{day}" for day in range(1, 6)], ("events",), partitioned=False)
+    with pytest.raises(RuntimeError):
+        flatten_work(spark, todo, root, out, run="a", shards_at_once=2)
+    flatten_work(spark, todo, root, out, run="a", shards_at_once=2)
+    assert steps == [["20240104", "20240105"], ["20240102", "20240103"], ["20240102", "20240103"], ["20240101"]]
+    assert {(r.flat_table, r.layout, r.shard, r.run) for r in ledger(spark, out).collect()} == {
+        ("events", SHARDED, f"2024010{day}", "a") for day in range(1, 6)
+    }
+    flatten_work(spark, todo, root, out, run="a", shards_at_once=2)
+    assert len(steps) == 4
+    flatten_work(spark, todo, root, out, run="b")
+    assert len(steps) == 5
+
+
+def test_layouts_of_different_datasets(spark, tmp_path):
+    """One dataset in both layouts, one in each: none appears where it is not asked for."""
+    names = ["a", "b", "c"]
+    rows = [event("20240101", dataset=name, event_params=[param("x", int_value=1)]) for name in names]
+    root, out = export(spark, tmp_path / "in", "events", rows), str(tmp_path / "out")
+    control = spark.createDataFrame(
+        [("a", ["event_params"], True, True, True), ("b", ["event_params"], True, False, True), ("c", ["event_params"], False, True, True)],
+        CONTROL,
+    )
+    arrivals = spark.createDataFrame([(name, "events", "20240101") for name in names], "dataset string, source string, shard string")
+    flatten_work(spark, route(arrivals, control), root, out)
+    there = {layout: {r.dataset for r in read_flat(spark, out, layout, "event_params").collect()} for layout in (SHARDED, PARTITIONED)}
+    assert there == {SHARDED: {"a", "b"}, PARTITIONED: {"a", "c"}}
+
+
+def test_shard_table(spark, tmp_path):
+    rows = [event("20240101", dataset="a b=c+d%"), event("20240102", dataset="a b=c+d%"), event("20240101", dataset="x")]
+    root = export(spark, tmp_path / "in", "events", rows)
+    found = {(r.dataset, r.shard): r for r in shard_table(spark, root, "events").collect()}
+    assert set(found) == {("a b=c+d%", "20240101"), ("a b=c+d%", "20240102"), ("x", "20240101")}
+    assert all(r.files == 1 and r.bytes > 0 and r.mark for r in found.values())
+    some = shard_table(spark, root, "events", ["a b=c+d%", "missing"]).collect()
+    assert {(r.dataset, r.shard): r.mark for r in some} == {p: r.mark for p, r in found.items() if p[0] != "x"}
+    assert shard_table(spark, root, "users").collect() == []
+
+
+def test_many_directories_are_listed_and_planned_quickly(spark, tmp_path):
+    spark.createDataFrame([("u",)], "user_id string").coalesce(1).write.parquet(str(tmp_path / "one"))
+    file = next((tmp_path / "one").glob("part-*.parquet"))
+    for number in range(20_000):
+        folder = tmp_path / "in" / "users" / f"dataset=d{number % 20}" / f"shard={20000000 + number // 20}"
+        folder.mkdir(parents=True)
+        os.link(file, folder / "part-0.parquet")
+    start = time.monotonic()
+    assert shard_table(spark, f"{tmp_path}/in", "users").count() == 20_000
+    listed = time.monotonic()
+    rows = read_source(spark, f"{tmp_path}/in", "users", position=False)
+    planned = time.monotonic()
+    assert rows.where("shard = '20000007'").count() == 20
+    assert listed - start < 15 and planned - listed < 15  # a few seconds each on an idle machine
