@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -32,9 +33,12 @@ FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Mademoi
 NEUTRAL_TITLES = ("Dr", "Prof", "Professor", "Doctor", "Docteur", "Doktor", "Profesor", "Profesora")
 GIVEN = {
     ("latin", "m"): "Adam Albert Bruno Carl Daniel David Emil Felix Frank George Hugo Ivan James Jean Jorge Karl Louis Lucas Luis Marco "
-    "Martin Max Michael Oscar Otto Pablo Paul Pedro Peter Pierre Ralph Robert Simon Stefan Thomas Tomas Victor Walter William".split(),
+    "Martin Max Michael Oscar Otto Pablo Paul Pedro Peter Pierre Ralph Robert Simon Stefan Thomas Tomas Victor Walter William "
+    "John Richard Joseph Charles Christopher Matthew Anthony Steven Andrew Kevin Edward Hans Klaus Jürgen Wolfgang Michel François "
+    "José Carlos Juan Antonio Miguel".split(),
     ("latin", "f"): "Ada Agnes Alice Amelia Ana Anna Beatrice Bertha Carla Carmen Clara Diana Elena Elisa Emily Emma Eva Flora Frida "
-    "Greta Helen Ida Irene Jane Julia Laura Lucia Maria Marie Marta Mary Nina Olivia Paula Rosa Sara Sofia Susan Teresa Vera".split(),
+    "Greta Helen Ida Irene Jane Julia Laura Lucia Maria Marie Marta Mary Nina Olivia Paula Rosa Sara Sofia Susan Teresa Vera "
+    "Patricia Jennifer Linda Elizabeth Barbara Jessica Sarah Karen Nancy Lisa Sabine Monika Claudia Nathalie Isabelle Sophie Isabel".split(),
     ("cyrillic", "m"): "Александр Алексей Андрей Борис Виктор Дмитрий Иван Максим Михаил Николай Олег Павел Пётр Сергей Юрий".split(),
     ("cyrillic", "f"): "Александра Анна Вера Галина Дарья Елена Ирина Ксения Лидия Мария Наталья Ольга Полина Светлана Юлия".split(),
 }
@@ -43,34 +47,40 @@ TLDS = ("com", "org", "net")
 _KNOWN = {name.lower(): gender for (_, gender), names in GIVEN.items() for name in names}
 _TITLE = "|".join(re.escape(title) for title in sorted((*MALE_TITLES, *FEMALE_TITLES, *NEUTRAL_TITLES), key=len, reverse=True))
 _CAPITAL = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+(?:[-'’][A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+)?"
+_SHOUTED = r"[A-ZÀ-ÖØ-Þ]{2,}(?:[-'’][A-ZÀ-ÖØ-Þ]{2,})?"
+_SHOUTED_TITLE = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Madame|Monsieur|Señor|Señora"
 _GIVEN_WORDS = "|".join(sorted({name for names in GIVEN.values() for name in names}, key=len, reverse=True))
 
 # In order of preference where two begin at one place.  Digits and letters must not go on outside a match.
 PATTERNS = (
     ("email", r"(?<![\w.+-])[\w.+-]*\w@(?:[\w-]+\.)+[^\W\d_]{2,}(?!\w)"),
-    ("secret", r"(?i:(?<![a-z])(?:api[_-]?key|access[_-]?key|secret(?:[_-]?key)?|auth[_-]?token|token|password|passwd|pwd)['\"]?\s*(?:=>|[:=])\s*['\"]?)(?P<secret_value>[\w+/=.~-]{8,})"),
+    ("secret", r"(?i:(?<![^\W\d_])bearer)\s+(?P<bearer_value>(?=[\w+/=.~-]*\d)[\w+/=.~-]{16,})"),
+    ("secret", r"(?i:(?<![^\W\d_])(?:api[_-]?key|access[_-]?key|secret(?:[_-]?key)?|auth[_-]?token|token|password|passwd|pwd)['\"]?\s*(?:=>|[:=])\s*['\"]?)(?P<secret_value>[\w+/=.~-]{8,})"),
     ("key", r"(?<!\w)(?:AKIA[0-9A-Z]{16}|gh[pousr]_\w{36,}|sk-\w{20,}|xox[abprs]-[\w-]{10,})(?!\w)"),
     ("iban", r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
     ("ip", r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\w)"),
     ("ip", r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])"),
+    ("ip", r"(?<![\w:])(?=[0-9A-Fa-f:]*\d)(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?(?![\w:])"),
     ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     ("card", r"(?<![\w.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2,3}(?:[ -]?\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{5})(?!\w|[.-]\d)"),
     ("phone", r"(?<![\w+.-])(?:\+?1[ .-]?)?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]\d{4}(?!\w|[.-]\d)"),
     ("phone", r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\w|[.-]\d)"),
-    ("name", rf"(?<!\w)(?:(?P<title>{_TITLE})\.? (?P<titled>{_CAPITAL}(?: {_CAPITAL})?)|(?P<given>{_GIVEN_WORDS}) (?P<family>{_CAPITAL}))(?!\w)"),
+    ("name", rf"(?<!\w)(?:(?P<shouted_title>{_SHOUTED_TITLE})\.? (?:(?:Dr|Prof)\.? )?(?P<shouted>{_SHOUTED}(?: {_SHOUTED})?)"
+     rf"|(?P<title>{_TITLE})\.? (?:(?:Dr|Prof)\.? )?(?P<titled>{_CAPITAL}(?: {_CAPITAL})?)"
+     rf"|(?P<given>{_GIVEN_WORDS}) (?P<family>{_CAPITAL}))(?!\w)"),
 )
 _ANY = re.compile("|".join(f"(?P<k{at}>{pattern})" for at, (_, pattern) in enumerate(PATTERNS)))
 _KINDS = [kind for kind, _ in PATTERNS]
-# An entity lies near one of these signs or words, so only their surroundings are matched.
-_SIGNS = re.compile(r"[@\d]+")
+# An entity lies near one of these signs or words, so only their surroundings are matched (tests compare with whole texts).
+_SIGNS = re.compile(r"[@\d]+|::")
 _LETTERS = re.compile(r"[^\W\d_]+")
-_SECRET_WORDS = "key token secret password passwd pwd".split()
 _WORDS = frozenset(
     {name for names in GIVEN.values() for name in names}
     | {part for title in (*MALE_TITLES, *FEMALE_TITLES, *NEUTRAL_TITLES) for part in _LETTERS.findall(title)}
-    | {form for word in _SECRET_WORDS for form in (word, word.upper(), word.title())}
-    | {"AKIA", "ghp", "gho", "ghu", "ghs", "ghr", "sk", "xoxa", "xoxb", "xoxp", "xoxr", "xoxs", "apiKey", "accessKey", "secretKey"}
+    | {"AKIA", "ghp", "gho", "ghu", "ghs", "ghr", "sk", "xoxa", "xoxb", "xoxp", "xoxr", "xoxs"}
 )
+# In any case: the runs of letters that the names of secrets are made of.
+_SECRET_WORDS = frozenset("key token secret password passwd pwd apikey accesskey secretkey authtoken bearer".split())
 _AROUND = 80
 
 _ONSETS = {"latin": "b br d dr f g gr h k kl l m n p r s st t tr v w z".split(), "cyrillic": "б в г д ж з к л м н п р с т ф х".split()}
@@ -96,15 +106,24 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _is_address(text: str) -> bool:
+    try:
+        ipaddress.IPv6Address(text)
+    except ValueError:
+        return False
+    return True
+
+
 def _script(word: str) -> str:
     return "cyrillic" if re.search(r"[А-яЁё]", word) else "latin"
 
 
 def _name_parts(match: re.Match) -> Iterator[Part]:
-    title = (match["title"] or "").rstrip(".")
+    title = match["title"] or match["shouted_title"] or ""
     gender = "m" if title in MALE_TITLES else "f" if title in FEMALE_TITLES else "n"
-    if match["title"]:
-        names, start = match["titled"].split(" "), match.start("titled")
+    if title:
+        group = "titled" if match["title"] else "shouted"
+        names, start = match[group].split(" "), match.start(group)
     else:
         names, start = [match["given"], match["family"]], match.start("given")
     for place, name in enumerate(names):
@@ -120,8 +139,10 @@ def _name_parts(match: re.Match) -> Iterator[Part]:
 def _windows(text: str) -> Iterator[tuple[int, int]]:
     """Stretches that hold all entities, between white space."""
     spans = [match.span() for match in _SIGNS.finditer(text)]
-    if not _WORDS.isdisjoint(_LETTERS.findall(text)):
-        spans += [match.span() for match in _LETTERS.finditer(text) if match.group() in _WORDS]
+    words = set(_LETTERS.findall(text))
+    words = {word for word in words if word in _WORDS or word.lower() in _SECRET_WORDS}
+    if words:
+        spans += [match.span() for match in _LETTERS.finditer(text) if match.group() in words]
         spans.sort()
     low = high = -1
     for start, end in spans:
@@ -142,10 +163,40 @@ def _windows(text: str) -> Iterator[tuple[int, int]]:
         yield low, high
 
 
-def find(text: str) -> list[tuple[str, int, int, list[Part]]]:
-    """(kind, start, end, parts) of each entity, in order and without overlap."""
+Entity = tuple[str, int, int, list[Part]]
+
+
+def _mentions(text: str, found: list[Entity]) -> list[Entity]:
+    """Names that were found in a text and stand there again by themselves, besides the entities found."""
+    known: dict[str, Part] = {}
+    for kind, _, _, parts in found:
+        if kind == "name":
+            for part in parts:
+                if part.end - part.start > 2:
+                    known.setdefault(part.normal, part)
+    if not known:
+        return []
+    forms = {form for name in known for form in (_titled(name), name.upper())}
+    again = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(forms, key=len, reverse=True))) + r")(?!\w)")
+    taken, made, at = sorted((start, end) for _, start, end, _ in found), [], 0
+    for match in again.finditer(text):
+        start, end = match.span()
+        while at < len(taken) and taken[at][1] <= start:
+            at += 1
+        if at == len(taken) or taken[at][0] >= end:
+            part = known[match.group().lower()]
+            made.append(("name", start, end, [Part(part.kind, part.normal, start, end)]))
+    return made
+
+
+def find(text: str, windows: bool = True) -> list[Entity]:
+    """(kind, start, end, parts) of each entity, in order and without overlap; later mentions of a name by a part of it are entities too.
+
+    Without ``windows`` the whole text is matched, which finds the same.
+    """
     found = []
-    for match in (match for window in _windows(text) for match in _ANY.finditer(text, *window)):
+    stretches = _windows(text) if windows else [(0, len(text))]
+    for match in (match for window in stretches for match in _ANY.finditer(text, *window)):
         kind = _KINDS[int(match.lastgroup[1:])]
         start, end, whole = match.start(), match.end(), match.group()
         if kind == "email":
@@ -156,10 +207,13 @@ def find(text: str) -> list[tuple[str, int, int, list[Part]]]:
                 Part("domain", domain.lower(), start + cut + 1, end),
             ]
         elif kind == "secret":
-            start, end = match.span("secret_value")
-            parts = [Part("secret", match["secret_value"], start, end)]
+            group = "secret_value" if match["secret_value"] else "bearer_value"
+            start, end = match.span(group)
+            parts = [Part("secret", match[group], start, end)]
         elif kind == "name":
             parts = list(_name_parts(match))
+        elif "::" in whole and not _is_address(whole):
+            continue
         elif kind in ("ip", "key"):
             parts = [Part(kind, whole.lower() if kind == "ip" else whole, start, end)]
         elif kind == "iban":
@@ -171,7 +225,7 @@ def find(text: str) -> list[tuple[str, int, int, list[Part]]]:
             # With its country code a number is another one.
             parts = [Part(kind, ("+" if whole.startswith("+") else "") + digits, start, end)]
         found.append((kind, start, end, parts))
-    return found
+    return sorted([*found, *_mentions(text, found)], key=lambda one: one[1])
 
 
 class Draw:
@@ -244,6 +298,8 @@ def _drawn(draw: Draw, kind: str, normal: str, attempt: int) -> str:
         cut = head.end() if head else 0
         return normal[:cut] + _like(draw, normal[cut:])
     if kind == "ip":
+        if "::" in normal:
+            return _hex_like(draw, normal)
         if ":" in normal:
             return ":".join(f"{draw.below(65536):x}" for _ in range(8))
         return ".".join(str(1 + draw.below(254)) for _ in range(4))

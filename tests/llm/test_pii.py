@@ -2,6 +2,8 @@ import re
 
 import odd
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from flatweave.llm import pii
@@ -25,6 +27,13 @@ def kinds(text):
         ('token = "04dbebab91ab85687d33"', [("secret", "04dbebab91ab85687d33")]),
         ("Mr. John Smith and г-жа Иванова", [("name", "Mr. John Smith"), ("name", "г-жа Иванова")]),
         ("DE89 3704 0044 0532 0130 00; 078-05-1120", [("iban", "DE89 3704 0044 0532 0130 00"), ("ssn", "078-05-1120")]),
+        ("John Smith called.", [("name", "John Smith")]),
+        ("Mr John Smith came. Smith left, JOHN stayed; a smith worked", [("name", "Mr John Smith"), ("name", "Smith"), ("name", "JOHN")]),
+        ("Anna Schmidt schrieb. Schmidt rief an", [("name", "Anna Schmidt"), ("name", "Schmidt")]),
+        ("apikey=correcthorse APIKEY: correcthorse authtoken=correcthorse", [("secret", "correcthorse")] * 3),
+        ("at 2001:db8::1, ::1 and fe80::; std::abc a::b 10::x", [("ip", "2001:db8::1"), ("ip", "::1"), ("ip", "fe80::")]),
+        ("Authorization: Bearer abcdefgh12345678XYZ; bearer of good news", [("secret", "abcdefgh12345678XYZ")]),
+        ("Mr SMITH and Frau Dr. MÜLLER", [("name", "Mr SMITH"), ("name", "Frau Dr. MÜLLER")]),
         ("version 3.0, CC BY 4.0, 12 of 1,500 in 2024-01-02 at 10:20", []),
         ("The Don river; Anna went home; a token of thanks; sir", []),
         ("", []),
@@ -113,3 +122,25 @@ def test_odd_rows(spark):
     assert pii.replace_pii(odd.no_documents(spark)).count() == 0
     plain = df.withColumn("text", F.lit(None).cast("string"))
     assert pii.replace_pii(plain).where("text IS NOT NULL").count() == 0
+
+
+PIECES = [
+    "Mr", "mr", "John", "Smith", "SMITH", "Anna", "г-н", "Иванов", "apiKey", "API_KEY", "my-token", "token", "PassWord", "pwd", "=", ": ", " ", " ", "\n",
+    "'", '"', "correcthorse", "0123456789", "Bearer", "abcdef0123456789abcd", "a@b.example.com", "2001:db8", "::", "1", "10.0.0.1", "555-1234", "+49 30",
+    "plain words go on here without any sign at all so that a window has to end somewhere", "sk-", "ghp_", "AKIA", "x" * 40, "DE89", "3704",
+]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=30))
+def test_windows_miss_nothing(pieces):
+    text = "".join(pieces)
+    assert pii.find(text) == pii.find(text, windows=False)
+
+
+def test_coreference_of_bare_mentions():
+    text = "Dr. Elena Petrova spoke. Petrova said that Elena would go. PETROVA!"
+    made, entities = pii.replace(text, b"k", none)
+    assert "Petrova" not in made and "Elena" not in made and "PETROVA" not in made
+    given, family = entities[0]["surrogate"].split()[1:]
+    assert made == f"Dr. {given} {family} spoke. {family} said that {given} would go. {family.upper()}!"
