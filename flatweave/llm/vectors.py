@@ -30,6 +30,8 @@ OVERLAP = 4
 SAMPLE = 20_000
 LEAST_PER_CENTROID = 4
 # Centroids nearer than this are one, so that a dense group stays together.
+# Rows of a sample that are compared with all centroids at once: 8 MB for each 1,000 centroids.
+CENTROID_BLOCK = 1_000
 SAME_CENTROID = 0.85
 # A shard of more nodes is dealt on, by centroids of a sample of its own.
 RESPLIT_NODES = 16_000
@@ -66,20 +68,20 @@ def unit(rows: list) -> np.ndarray:
 
 
 def fit_centroids(sample: np.ndarray, count: int, rounds: int = 8, seed: int = 3) -> np.ndarray:
-    """Spherical k-means on a bounded sample."""
+    """Spherical k-means on a bounded sample; a block of products is held at a time."""
     random = np.random.default_rng(seed)
     centroids = sample[random.choice(len(sample), min(count, len(sample)), replace=False)]
+    blocks = range(0, len(sample), CENTROID_BLOCK)
     for _ in range(rounds):
-        nearest = (sample @ centroids.T).argmax(axis=1)
+        nearest = np.concatenate([(sample[at : at + CENTROID_BLOCK] @ centroids.T).argmax(axis=1) for at in blocks])
         sums = np.zeros_like(centroids)
         np.add.at(sums, nearest, sample)
         norms = np.linalg.norm(sums, axis=1, keepdims=True)
         centroids = np.where(norms > 0, sums / np.where(norms > 0, norms, 1), centroids)
-    alike = centroids @ centroids.T >= SAME_CENTROID
     kept = np.ones(len(centroids), bool)
     for at in range(len(centroids)):
         if kept[at]:
-            kept[at + 1 :] &= ~alike[at, at + 1 :]
+            kept[at + 1 :] &= centroids[at + 1 :] @ centroids[at] < SAME_CENTROID
     return centroids[kept]
 
 
