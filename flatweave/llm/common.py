@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatweave.session import stage
+from flatweave.session import new_stage_path, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 words_of: Callable[[str], list[str]] = re.compile(WORD).findall
@@ -37,9 +37,14 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
 _recorded: list[str] | None = None
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Written to the shared folder and read back, so that a lost executor costs a file read only."""
-    made, path = stage(df, f"llm-{name}")
+    if compression is None:
+        made, path = stage(df, f"llm-{name}")
+    else:
+        path = new_stage_path(df.sparkSession, f"llm-{name}")
+        df.write.option("compression", compression).parquet(path)
+        made = df.sparkSession.read.schema(df.schema).parquet(path)
     if _recorded is not None:
         _recorded.append(path)
     return made
@@ -104,6 +109,15 @@ ENTRY_BYTES = 104
 _kept: dict[str, Any] = {}
 
 
+def give_back() -> None:
+    """Memory that Python no longer uses goes back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim is not None:
+        trim(0)
+
+
 def kept_in_worker(name: str, make: Callable[[], Any] = dict) -> Any:
     """What this Python worker keeps under ``name``, made when it is first asked for.
 
@@ -112,11 +126,7 @@ def kept_in_worker(name: str, make: Callable[[], Any] = dict) -> Any:
     if name not in _kept:
         if _kept:
             _kept.clear()
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
-            if trim is not None:
-                trim(0)
+            give_back()
         _kept[name] = make()
     return _kept[name]
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatweave.llm.common import Vocabulary, hash_sample, held_out, kept_in_worker, slices_by_size, small_batches, words_of
+from flatweave.llm.common import Vocabulary, give_back, hash_sample, held_out, kept_in_worker, slices_by_size, small_batches, words_of
 
 UNKNOWN = "und"
 HASH_BITS = 17
@@ -225,7 +225,11 @@ def train_from(docs: DataFrame, most: int = MOST_DOCUMENTS) -> Model:
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     rows = hash_sample(usable.select("doc_id", "text", "lang"), "doc_id", most).collect()
     rows.sort(key=lambda row: (row["doc_id"], row["text"], row["lang"]))
-    return train([row["text"] for row in rows], [row["lang"] for row in rows])
+    model = train([row["text"] for row in rows], [row["lang"] for row in rows])
+    rows.clear()
+    _slots.clear()
+    give_back()
+    return model
 
 
 def label_words(model: Model, text: str) -> list[tuple[str, str]]:

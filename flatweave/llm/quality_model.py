@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatweave.llm.common import Vocabulary, hash_sample, held_out, kept_in_worker, small_batches, words_of
+from flatweave.llm.common import Vocabulary, give_back, hash_sample, held_out, kept_in_worker, small_batches, words_of
 
 HASH_BITS = 20
 MOST_LABELLED = 6_000
@@ -134,7 +134,10 @@ def train_from(docs: DataFrame, labels: DataFrame, label: str = "quality", most:
     """The sample is bounded, so the driver can learn from it."""
     rows = labelled_sample(docs, labels, label, most).collect()
     rows.sort(key=lambda row: (xxhash.xxh64_intdigest(str(row["doc_id"])), row["text"] or ""))
-    return train([row["text"] for row in rows], [row["__llm_label"] for row in rows])
+    model = train([row["text"] for row in rows], [row["__llm_label"] for row in rows])
+    rows.clear()
+    give_back()
+    return model
 
 
 def score(model: Model, spark, text: Column | str = "text") -> Column:

@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import odd
 import pytest
+import xxhash
 import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -122,3 +123,60 @@ def test_training_rows_are_bounded_however_often_an_id_repeats(spark):
     rows = quality_model.labelled_sample(docs, labels, most=50).collect()
     assert len(rows) == 50
     assert len(quality_model.labelled_sample(docs.where("doc_id > 1"), labels, most=50).collect()) <= 10
+
+
+def plain_features(text):
+    """Weights of hashed word and shape features, in a dictionary: each kind's counts share one scale."""
+    mask, mix = (1 << 64) - 1, [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9]
+    words = re.findall(common.WORD, text)
+    word = [xxhash.xxh64_intdigest(w) for w in words]
+    form = [xxhash.xxh64_intdigest(quality_model.shape(w), 1) for w in words]
+
+    def pairs(one):
+        return [(a * mix[1] + b * mix[2]) & mask for a, b in zip(one, one[1:])]
+
+    made = {}
+    for kind, hashes in enumerate((word, pairs(word), form, pairs(form), [int(a == b) for a, b in zip(word, word[1:])])):
+        for one in hashes:
+            slot = (((one + kind) * mix[0]) & mask) >> (64 - quality_model.HASH_BITS)
+            made[slot] = made.get(slot, 0.0) + 8.0 / len(hashes)
+    return made
+
+
+def test_training_and_scores_against_plain_dictionaries(documents):
+    """FTRL-proximal one weight at a time, then sparse dot products."""
+    rows = [row.text or "" for row in documents.orderBy("doc_id").limit(40).collect() if len(row.text or "") < 3_000]
+    labels = [i % 3 == 0 for i in range(len(rows))]
+    alpha, beta, l1, l2 = quality_model.ALPHA, quality_model.BETA, quality_model.L1, quality_model.L2
+    z, n = {}, {}
+
+    def weight(key, flat=False):
+        if not flat and abs(z.get(key, 0.0)) <= l1:
+            return 0.0
+        if flat:
+            return -z.get(key, 0.0) / ((beta + n.get(key, 0.0) ** 0.5) / alpha)
+        sign = 1 if z[key] > 0 else -1
+        return (sign * l1 - z[key]) / ((beta + n.get(key, 0.0) ** 0.5) / alpha + l2)
+
+    def update(key, gradient, w):
+        before = n.get(key, 0.0)
+        z[key] = z.get(key, 0.0) + gradient - ((before + gradient**2) ** 0.5 - before**0.5) / alpha * w
+        n[key] = before + gradient**2
+
+    for _ in range(quality_model.EPOCHS):
+        for text, label in zip(rows, labels):
+            own = plain_features(text)
+            w = {slot: weight(slot) for slot in own}
+            bias = weight("bias", flat=True)
+            error = 1 / (1 + np.exp(-(sum(w[s] * v for s, v in own.items()) + bias))) - label
+            for slot, value in own.items():
+                update(slot, error * value, w[slot])
+            update("bias", error, bias)
+    model = quality_model.train(rows, [int(label) for label in labels])
+    assert model.bias == pytest.approx(weight("bias", flat=True), abs=1e-9)
+    vocabulary = common.Vocabulary(quality_model._hashes)
+    for text in rows:
+        margin = sum(weight(slot) * value for slot, value in plain_features(text).items()) + weight("bias", flat=True)
+        words = common.words_of(text)
+        found = model.margin(vocabulary.rows(words)) if words else model.bias
+        assert found == pytest.approx(margin, abs=1e-4)
