@@ -45,17 +45,24 @@ def _group_hash(group: list[Column]) -> Column:
     return F.when(complete, F.xxhash64(*group))
 
 
-def hot_groups(df: DataFrame, group: list[Column], position: str, hot_rows: int) -> DataFrame:
+def group_sizes(df: DataFrame, group: list[Column], position: str, hot_rows: int) -> DataFrame:
+    """Rows of each group in an even sample, told by a hash, and in one more entry those of all rows outside it.
+
+    One pass that shuffles hashes of about one row in ``hot_rows / SAMPLE_ROWS``, and gives the number of all rows as well.
+    """
+    sampled = spread(position) < int(min(1.0, SAMPLE_ROWS / hot_rows) * (1 << SPREAD_BITS))
+    return df.groupBy(F.when(sampled, _group_hash(group)).alias(_HASH)).agg(F.count("*").alias(_ROWS))
+
+
+def hot_groups(sizes: DataFrame, hot_rows: int) -> DataFrame:
     """Hashes of groups too large for one task, with the leading bits to cut them by.
 
-    From an even sample of rows, of which only hashes are shuffled.  A group a quarter below ``hot_rows`` may be
+    A group a quarter below ``hot_rows`` may be
     cut as well, and one a little above it may not; both are still numbered right.  About one group per ``hot_rows`` rows can be hot:
     100,000 of 16 bytes in 10^11 rows, so the result may be broadcast.  Two groups with one hash are cut alike, no more.
     """
     share = min(1.0, SAMPLE_ROWS / hot_rows)
-    sampled = df.where(spread(position) < int(share * (1 << SPREAD_BITS)))
-    sizes = sampled.select(_group_hash(group).alias(_HASH)).where(F.col(_HASH).isNotNull())
-    sizes = sizes.groupBy(_HASH).agg((F.count("*") / share).alias(_ROWS))
+    sizes = sizes.where(F.col(_HASH).isNotNull()).withColumn(_ROWS, F.col(_ROWS) / share)
     sizes = sizes.where(F.col(_ROWS) > (hot_rows if share == 1.0 else 0.75 * hot_rows))
     bits = F.greatest(F.ceil(F.log2(F.col(_ROWS) / hot_rows)), F.lit(1))
     return sizes.select(_HASH, bits.cast("int").alias(_BITS))
@@ -87,15 +94,16 @@ def number_rows(
     ``position`` names a column that identifies a source row; it makes the order,
     hence the numbers, repeatable.  A row with a NULL key gets a NULL number.
 
-    ``keep`` writes a table and gives it back, under a name.  With it the large groups are found once, and rows are
-    counted to shuffle them into as many tasks as they need; without it nothing is run before the
+    ``keep`` writes a table and gives it back, under a name.  With it the large groups are found once, in a pass that also
+    counts the rows to shuffle them into as many tasks as they need; without it nothing is run before the
     result is, and the session's number of shuffle partitions holds.
     """
     scope = list(scope)
     group = [*map(F.col, scope), *keys]
-    hot = hot_groups(df, group, position, hot_rows)
+    sizes = group_sizes(df, group, position, hot_rows)
     if keep is not None:
-        hot = keep(hot, "hot-groups")
+        sizes = keep(sizes, "group-sizes")
+    hot = hot_groups(sizes, hot_rows)
 
     placed = (
         df.withColumns({_HASH: _group_hash(group), _SPREAD: spread(position), _TIE: F.xxhash64(position)})
@@ -106,7 +114,7 @@ def number_rows(
     )
     if keep is not None:
         default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        needed = -(-df.count() // rows_per_task)
+        needed = -(-(sizes.agg(F.sum(_ROWS)).first()[0] or 0) // rows_per_task)
         if needed > default:
             placed = placed.repartition(needed, _HASH, _CUT)
     # The group hash and range come first: comparing two longs settles most rows.

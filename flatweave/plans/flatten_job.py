@@ -14,7 +14,7 @@ from flatweave.operators.keys import KEY_COLUMNS, repeat_numbers, session_ids, w
 from flatweave.plans.work import Output, Pair, backfill_grid, route, settle
 from flatweave.schemas import PLACE
 from flatweave.session import Stages
-from flatweave.sinks.tables import copy_version, entries_of, publish, shard_state, write_version
+from flatweave.sinks.tables import copy_version, entries_of, publish, shard_state, version_counts, write_version
 from flatweave.sources.shards import among, listed_shards, read_source, shard_paths, shard_table
 
 # Shards in one step of a named run.
@@ -226,7 +226,8 @@ def _at_once(spark: SparkSession, function, arguments) -> dict:
 def _publish(spark, source: str, written: Written, out_root: str, marks: dict[Pair, str], run: str | None) -> None:
     def publish_one(output: Output, version_and_pairs: tuple[str, list[Pair]]) -> dict:
         (table, layout), (version, pairs) = output, version_and_pairs
-        publish(spark, out_root, layout, table, version, entries_of(spark, pairs, source, marks, run))
+        counts = version_counts(spark, out_root, layout, table, version)
+        publish(spark, out_root, layout, table, version, entries_of(spark, pairs, counts, source, marks, run))
         return {}
 
     _at_once(spark, publish_one, written.items())

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from flatweave.operators.relational import rows_per_day
 from flatweave.schemas import date_field
 from flatweave.session import partition_directories
-from flatweave.sinks.tables import PARTITIONED, SHARDED, flat_schema, rows_path
+from flatweave.sinks.tables import PARTITIONED, SHARDED, current_counts, flat_schema, rows_path
+from flatweave.sources.shards import Pair
 
 
 def schema_differences(left: DataFrame, right: DataFrame, ignore: tuple[str, ...] = ()) -> list[str]:
@@ -51,6 +52,19 @@ def days_match_partitions(spark: SparkSession, root: str, table: str) -> bool:
     return bool(days) and all(day is None or re.fullmatch(r"\d{4}-\d\d-\d\d", day) for day in days)
 
 
+def lost_rows(spark: SparkSession, root: str, layout: str, table: str) -> dict[Pair, tuple[int, int]]:
+    """Shards whose files have another number of rows than was published, with both numbers; only footers are read."""
+    counts = current_counts(spark, root, layout, table)
+    return {pair: both for pair, both in counts.items() if both[0] != both[1]}
+
+
+def layout_differences(spark: SparkSession, root: str, table: str) -> dict[Pair, tuple[int, int]]:
+    """Shards with other numbers of rows in the sharded and the partitioned layout, from footers; a missing one has none."""
+    sharded, partitioned = (current_counts(spark, root, layout, table) for layout in (SHARDED, PARTITIONED))
+    both = {pair: (sharded.get(pair, (0, 0))[1], partitioned.get(pair, (0, 0))[1]) for pair in sharded.keys() | partitioned.keys()}
+    return {pair: counts for pair, counts in both.items() if counts[0] != counts[1]}
+
+
 def count_difference(left: DataFrame, right: DataFrame) -> int:
     return left.count() - right.count()
 

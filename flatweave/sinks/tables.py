@@ -21,7 +21,7 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,8 +29,10 @@ from flatweave import schemas
 from flatweave.operators.flatten import flatten_table
 from flatweave.schemas import PLACE, PLACE_FIELDS, SOURCE_SCHEMAS, TABLES_OF_SOURCE
 from flatweave.session import (
+    LISTING,
     child_names,
     delete_path,
+    listing_tasks,
     move_if_absent,
     partition_directories,
     path_exists,
@@ -39,8 +41,12 @@ from flatweave.sinks.layouts import PARTITIONED, SHARDED
 from flatweave.sources.shards import Pair, among
 
 # What is known of each shard that was ever written: the version that holds it now and the one before, the source it came from, a mark
-# of the source's files, and the run that wrote it.
-STATE_FIELDS = [*PLACE_FIELDS, *(T.StructField(name, T.StringType()) for name in ("version", "previous", "source", "mark", "run"))]
+# of the source's files, the run that wrote it, and how many rows it has.
+STATE_FIELDS = [
+    *PLACE_FIELDS,
+    *(T.StructField(name, T.StringType()) for name in ("version", "previous", "source", "mark", "run")),
+    T.StructField("rows", T.LongType()),
+]
 STATE = T.StructType(STATE_FIELDS)
 PUBLISH_ATTEMPTS = 20
 DELETIONS_AT_ONCE = 16
@@ -153,7 +159,7 @@ def copy_version(
 
 
 def publish(spark: SparkSession, root: str, layout: str, table: str, version: str, entries: DataFrame) -> None:
-    """Make a version the current one of the shards in ``entries`` (dataset, shard, source, mark, run), all at once.
+    """Make a version the current one of the shards in ``entries`` (of :func:`entries_of`), all at once.
 
     A shard of which the version has no rows ends up empty.  Should another writer publish meanwhile, its
     publication is taken over and tried again.
@@ -204,11 +210,43 @@ def _clean(spark, root: str, layout: str, table: str, old: DataFrame, entries: D
             delete_path(spark, f"{path}/current/{name}")
 
 
+def footer_counts(spark: SparkSession, path: str, schema: T.StructType, by: tuple[str, ...]) -> list[Row]:
+    """Rows by partition columns, from the footers of the files alone; one a directory."""
+    # A session of its own: only the newer Parquet source takes the aggregate down to the footers.
+    reader = spark.newSession()
+    reader.conf.set("spark.sql.sources.useV1SourceList", "")
+    reader.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    reader.conf.set(LISTING, listing_tasks(spark))
+    return reader.read.schema(schema).parquet(path).groupBy(*by).agg(F.count("*").alias("rows")).collect()
+
+
+def version_counts(spark: SparkSession, root: str, layout: str, table: str, version: str) -> dict[Pair, int]:
+    """Rows of each shard in a version, from footers."""
+    path = _version_path(root, layout, table, version)
+    return {(row.dataset, row.shard): row.rows for row in footer_counts(spark, path, flat_schema(table), PLACE)}
+
+
+def current_counts(spark: SparkSession, root: str, layout: str, table: str) -> dict[Pair, tuple[int, int]]:
+    """Of each shard, the rows that were published and those that the footers of its files have now."""
+    state = shard_state(spark, root, layout, table).select(*PLACE, "version", "rows").collect()  # one a shard
+    if not state:
+        return {}
+    stored = T.StructType([*flat_schema(table).fields, T.StructField("version", T.StringType())])
+    found = footer_counts(spark, rows_path(root, layout, table), stored, ("version", *PLACE))
+    rows = {(row.version, row.dataset, row.shard): row.rows for row in found}
+    return {(one.dataset, one.shard): (one.rows, rows.get((one.version, one.dataset, one.shard), 0)) for one in state}
+
+
 def entries_of(
-    spark: SparkSession, pairs: Iterable[Pair], source: str | None = None, marks: dict[Pair, str] | None = None, run: str | None = None
+    spark: SparkSession,
+    pairs: Iterable[Pair],
+    counts: dict[Pair, int],
+    source: str | None = None,
+    marks: dict[Pair, str] | None = None,
+    run: str | None = None,
 ) -> DataFrame:
     """What :func:`publish` says of some shards."""
-    rows = [(dataset, shard, source, (marks or {}).get((dataset, shard)), run) for dataset, shard in sorted(set(pairs))]
+    rows = [(*pair, source, (marks or {}).get(pair), run, counts.get(pair, 0)) for pair in sorted(set(pairs))]
     return spark.createDataFrame(rows, T.StructType([f for f in STATE_FIELDS if f.name not in ("version", "previous")]))
 
 
@@ -221,4 +259,6 @@ def replace_shards(rows: DataFrame, root: str, layout: str, table: str, shards:
     spark = rows.sparkSession
     if isinstance(shards, DataFrame):
         shards = [tuple(row) for row in shards.select(*PLACE).distinct().collect()]  # a row a directory
-    publish(spark, root, layout, table, write_version(rows, root, layout, table), entries_of(spark, shards))
+    version = write_version(rows, root, layout, table)
+    counts = version_counts(spark, root, layout, table, version)
+    publish(spark, root, layout, table, version, entries_of(spark, shards, counts))

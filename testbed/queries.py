@@ -30,7 +30,7 @@ from flatweave.plans.work import (
 )
 from flatweave.schemas import PLACE
 from flatweave.session import Stages, delete_path, new_stage_path
-from flatweave.sinks.tables import PARTITIONED, SHARDED, ledger, read_flat, replace_shards, shard_state
+from flatweave.sinks.tables import PARTITIONED, SHARDED, current_counts, ledger, read_flat, replace_shards, shard_state
 from flatweave.sources.inventory import analytics_tables, discover_datasets, recent_event_tables, union_datasets
 from flatweave.sources.messages import decode_messages, parse_arrivals, parse_lifecycle
 from flatweave.sources.shards import list_shards, shard_paths, write_source
@@ -203,7 +203,9 @@ def union_all_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_supersedes_intraday(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = nested_root(spark, sf_dir, "events", "events_intraday")
-    rows = not_superseded(read_nested(spark, sf_dir, "events_intraday"), list_shards(spark, root, "events"))
+    # Directories are chosen, so that superseded rows are not read.
+    left = not_superseded(list_shards(spark, root, "events_intraday"), list_shards(spark, root, "events")).collect()
+    rows = read_nested(spark, sf_dir, "events_intraday", pairs=[tuple(row) for row in left])
     return flatten_table(key_events(rows, POSITION, _stages(spark)), "event_params", "events_intraday")
 
 
@@ -432,14 +434,21 @@ def written_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def written_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of each flat table in each layout, and whether files and directories have the declared form."""
+    """Rows of each flat table in each layout by the files' footers, and whether files and directories have the declared form.
+
+    Shards whose rows differ between the layouts, or from what was published, are differences as well.
+    """
     rows = []
     for table in schemas.ALL_TABLES:
         out = _written_root(spark, sf_dir, table)
-        counts = [read_flat(spark, out, layout, table).count() for layout in (SHARDED, PARTITIONED)]
+        found = [current_counts(spark, out, layout, table) for layout in (SHARDED, PARTITIONED)]
+        counts = [sum(now for _, now in one.values()) for one in found]
+        wrong = sum(published != now for one in found for published, now in one.values())
+        wrong += sum(found[0].get(pair) != found[1].get(pair) for pair in found[0].keys() | found[1].keys())
+        wrong += len(quality.written_differences(spark, out, table))
         partitioned = quality.as_written(spark, out, PARTITIONED, table)
         dates = quality.day_is_date(partitioned, table) and quality.days_match_partitions(spark, out, table)
-        rows.append((table, *counts, len(quality.written_differences(spark, out, table)), dates))
+        rows.append((table, *counts, wrong, dates))
     schema = "flat_table string, sharded long, partitioned long, differences int, day_is_date boolean"
     return spark.createDataFrame(rows, schema)
 

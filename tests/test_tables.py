@@ -5,13 +5,14 @@ import time
 import pytest
 from nested_rows import DATASET, event, export, param
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flatweave import quality
 from flatweave.operators.relational import rejoin
 from flatweave.plans.flatten_job import backfill, flatten_work, keyed_source
 from flatweave.plans.work import route
 from flatweave.session import Stages, drop_stage, shared_folder
-from flatweave.sinks.tables import PARTITIONED, SHARDED, ledger, read_flat, replace_shards, rows_path
+from flatweave.sinks.tables import PARTITIONED, SHARDED, current_counts, footer_counts, ledger, read_flat, replace_shards, rows_path
 from flatweave.sources.shards import read_source, shard_table
 
 CONTROL = "dataset string, tables_to_flatten array<string>, sharded boolean, partitioned boolean, intraday_views boolean"
@@ -405,3 +406,30 @@ def test_many_directories_are_listed_and_planned_quickly(spark, tmp_path):
     planned = time.monotonic()
     assert rows.where("shard = '20000007'").count() == 20
     assert listed - start < 15 and planned - listed < 15  # a few seconds each on an idle machine
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    root, out = export(spark, tmp_path / "in", "events", two_days()), str(tmp_path / "out")
+    flatten_work(spark, work(spark, ["20240101", "20240102"]), root, out)
+    for layout in (SHARDED, PARTITIONED):
+        assert current_counts(spark, out, layout, "event_params") == {(DATASET, "20240101"): (3, 3), (DATASET, "20240102"): (1, 1)}
+        assert quality.lost_rows(spark, out, layout, "event_params") == {}
+    assert quality.layout_differences(spark, out, "event_params") == {}
+    # A file that is lost shows.
+    path = pathlib.Path(rows_path(out, SHARDED, "event_params"))
+    for file in path.glob("version=*/dataset=*/shard=20240101/*.parquet"):
+        file.unlink()
+    assert quality.lost_rows(spark, out, SHARDED, "event_params") == {(DATASET, "20240101"): (3, 0)}
+    assert quality.layout_differences(spark, out, "event_params") == {(DATASET, "20240101"): (0, 3)}
+    assert current_counts(spark, str(tmp_path / "none"), SHARDED, "items") == {}
+
+
+def test_footer_counts_push_the_aggregate_down(spark, tmp_path, capsys):
+    spark.range(10).selectExpr("id", "CAST(id % 2 AS STRING) AS part").write.partitionBy("part").parquet(str(tmp_path / "t"))
+    reader = spark.newSession()
+    reader.conf.set("spark.sql.sources.useV1SourceList", "")
+    reader.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    reader.read.schema("id long, part string").parquet(str(tmp_path / "t")).groupBy("part").count().explain("formatted")
+    assert "PushedAggregation: [COUNT(*)]" in capsys.readouterr().out
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("part", T.StringType())])
+    assert {r.part: r.rows for r in footer_counts(spark, str(tmp_path / "t"), schema, ("part",))} == {"0": 5, "1": 5}
