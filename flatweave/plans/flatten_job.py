@@ -227,7 +227,7 @@ def _publish(spark, source: str, written: Written, out_root: str, marks: dict[Pa
     def publish_one(output: Output, version_and_pairs: tuple[str, list[Pair]]) -> dict:
         (table, layout), (version, pairs) = output, version_and_pairs
         counts = version_counts(spark, out_root, layout, table, version)
-        publish(spark, out_root, layout, table, version, entries_of(spark, pairs, counts, source, marks, run))
+        publish(spark, out_root, layout, table, version, entries_of(pairs, counts, source, marks, run))
         return {}
 
     _at_once(spark, publish_one, written.items())

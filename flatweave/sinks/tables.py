@@ -158,56 +158,63 @@ def copy_version(
     return write_version(rows, root, to, table)
 
 
-def publish(spark: SparkSession, root: str, layout: str, table: str, version: str, entries: DataFrame) -> None:
+def publish(spark: SparkSession, root: str, layout: str, table: str, version: str, entries: list[Row]) -> None:
     """Make a version the current one of the shards in ``entries`` (of :func:`entries_of`), all at once.
 
     A shard of which the version has no rows ends up empty.  Should another writer publish meanwhile, its
-    publication is taken over and tried again.
+    publication is taken over and tried again.  The driver holds a row for each shard of the table, as it does to plan a scan of it.
     """
     path = table_path(root, layout, table)
     for _ in range(PUBLISH_ATTEMPTS):
         number, old = _latest(spark, path)
-        before = old.select(*PLACE, F.col("version").alias("previous"))
-        new = entries.join(before, list(PLACE), "left").withColumn("version", F.lit(version)).select(*STATE.names)
-        whole = old.join(entries, list(PLACE), "left_anti").select(*STATE.names).unionByName(new)
+        known = {(row.dataset, row.shard): row for row in old.collect()} if number else {}
+        state = dict(known)
+        for entry in entries:
+            pair = entry["dataset"], entry["shard"]
+            before = known[pair].version if pair in known else None
+            state[pair] = Row(**{**entry.asDict(), "version": version, "previous": before})
+        rows = [tuple(row[name] for name in STATE.names) for _, row in sorted(state.items())]
         draft = f"{path}/current/_{uuid.uuid4().hex}"
         try:
-            whole.coalesce(1).write.parquet(draft)
+            spark.createDataFrame(rows, STATE).coalesce(1).write.parquet(draft)
             part = next(name for name in child_names(spark, draft) if name.endswith(".parquet"))
             published = move_if_absent(spark, f"{draft}/{part}", _publication(path, number + 1))
         finally:
             delete_path(spark, draft)
         if published:
-            _clean(spark, root, layout, table, old, entries, number + 1)
+            replaced = [known[entry["dataset"], entry["shard"]] for entry in entries if (entry["dataset"], entry["shard"]) in known]
+            used = {one for row in state.values() for one in (row.version, row.previous)}
+            _clean(spark, root, layout, table, replaced, used, number + 1)
             return
     raise RuntimeError(f"{path}: {PUBLISH_ATTEMPTS} publications by others came between")
 
 
-def _clean(spark, root: str, layout: str, table: str, old: DataFrame, entries: DataFrame, number: int) -> None:
+def _clean(spark: SparkSession, root: str, layout: str, table: str, replaced: list[Row], used: set[str | None], number: int) -> None:
     """Delete what the replaced shards had before their last version, and publications before the last one."""
     path = table_path(root, layout, table)
-    gone = old.join(entries, list(PLACE), "left_semi").where("previous IS NOT NULL")
-    gone = [tuple(row) for row in gone.select("previous", *PLACE).collect()]  # a row a replaced shard
-    if gone:
-        state = spark.read.schema(STATE).parquet(_publication(path, number))
-        used = {row[0] for row in state.select(F.explode(F.array("version", "previous"))).distinct().collect()}
-        doomed = [_version_path(root, layout, table, version) for version in {one[0] for one in gone} - used]
-        for version in {one[0] for one in gone} & used:
-            pairs = {(dataset, shard) for one, dataset, shard in gone if one == version}
-            datasets = {dataset for dataset, _ in pairs}
-
-            def wanted(values: dict, pairs=pairs, datasets=datasets) -> bool:
-                return values["dataset"] in datasets and ("shard" not in values or (values["dataset"], values["shard"]) in pairs)
-
-            found = partition_directories(
-                spark, _version_path(root, layout, table, version), tuple(partition_columns(layout, table)), wanted
-            )
-            doomed += [directory for _, directory in found]
+    gone: dict[str, set[Pair]] = {}
+    for row in replaced:
+        if row.previous is not None:
+            gone.setdefault(row.previous, set()).add((row.dataset, row.shard))
+    doomed = [_version_path(root, layout, table, version) for version in gone.keys() - used]
+    for version in gone.keys() & used:
+        pairs = gone[version]
+        datasets = {dataset for dataset, _ in pairs}
+
+        def wanted(values: dict, pairs=pairs, datasets=datasets) -> bool:
+            return values["dataset"] in datasets and ("shard" not in values or (values["dataset"], values["shard"]) in pairs)
+
+        columns = tuple(partition_columns(layout, table))
+        found = partition_directories(spark, _version_path(root, layout, table, version), columns, wanted)
+        doomed += [directory for _, directory in found]
+    doomed += [
+        f"{path}/current/{name}"
+        for name in child_names(spark, f"{path}/current")
+        if name[0].isdigit() and int(name.removesuffix(".parquet")) < number - 1
+    ]
+    if doomed:
         with ThreadPoolExecutor(max_workers=DELETIONS_AT_ONCE) as pool:
             list(pool.map(lambda one: delete_path(spark, one), doomed))
-    for name in child_names(spark, f"{path}/current"):
-        if name[0].isdigit() and int(name.removesuffix(".parquet")) < number - 1:
-            delete_path(spark, f"{path}/current/{name}")
 
 
 def footer_counts(spark: SparkSession, path: str, schema: T.StructType, by: tuple[str, ...]) -> list[Row]:
@@ -238,16 +245,17 @@ def current_counts(spark: SparkSession, root: str, layout: str, table: str) -> d
 
 
 def entries_of(
-    spark: SparkSession,
     pairs: Iterable[Pair],
     counts: dict[Pair, int],
     source: str | None = None,
     marks: dict[Pair, str] | None = None,
     run: str | None = None,
-) -> DataFrame:
+) -> list[Row]:
     """What :func:`publish` says of some shards."""
-    rows = [(*pair, source, (marks or {}).get(pair), run, counts.get(pair, 0)) for pair in sorted(set(pairs))]
-    return spark.createDataFrame(rows, T.StructType([f for f in STATE_FIELDS if f.name not in ("version", "previous")]))
+    return [
+        Row(dataset=pair[0], shard=pair[1], source=source, mark=(marks or {}).get(pair), run=run, rows=counts.get(pair, 0))
+        for pair in sorted(set(pairs))
+    ]
 
 
 def replace_shards(rows: DataFrame, root: str, layout: str, table: str, shards: Iterable[Pair] | DataFrame) -> None:
@@ -261,4 +269,4 @@ def replace_shards(rows: DataFrame, root: str, layout: str, table: str, shards:
         shards = [tuple(row) for row in shards.select(*PLACE).distinct().collect()]  # a row a directory
     version = write_version(rows, root, layout, table)
     counts = version_counts(spark, root, layout, table, version)
-    publish(spark, root, layout, table, version, entries_of(spark, shards, counts))
+    publish(spark, root, layout, table, version, entries_of(shards, counts))
