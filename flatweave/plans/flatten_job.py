@@ -169,7 +169,7 @@ def _left_to_do(
     return {pair: outputs for pair, outputs in left.items() if outputs}
 
 
-Written = dict[Output, tuple[str, list[Pair]]]  # version and shards
+Written = dict[Output, tuple[str, list[Pair], dict[Pair, int]]]  # version, shards and their rows
 
 
 def _flatten(spark, stages, source, todo, listed, source_root, out_root, options) -> Written:
@@ -199,7 +199,7 @@ def _flatten(spark, stages, source, todo, listed, source_root, out_root, options
         written: Written = {}
         # The layout with more shards is made of the source, and the other one of its files if they hold all it wants.
         for layout, pairs in sorted(layouts.items(), key=lambda one: (-len(one[1]), one[0])):
-            made = next(((known, version) for known, (version, has) in written.items() if set(pairs) <= set(has)), None)
+            made = next(((known, version) for known, (version, has, _) in written.items() if set(pairs) <= set(has)), None)
             if made is not None:
                 (_, other), version = made
                 some = pairs if len(pairs) < len(written[table, other][1]) else None
@@ -207,7 +207,7 @@ def _flatten(spark, stages, source, todo, listed, source_root, out_root, options
             else:
                 chosen = rows if len(pairs) == len(todo) else rows.where(among(pairs))
                 version = write_version(flatten_table(chosen, table, source), out_root, layout, table)
-            written[table, layout] = version, pairs
+            written[table, layout] = version, pairs, version_counts(spark, out_root, layout, table, version)
         return written
 
     # The writes go to different tables and share no state: let the cluster fill
@@ -224,9 +224,8 @@ def _at_once(spark: SparkSession, function, arguments) -> dict:
 
 
 def _publish(spark, source: str, written: Written, out_root: str, marks: dict[Pair, str], run: str | None) -> None:
-    def publish_one(output: Output, version_and_pairs: tuple[str, list[Pair]]) -> dict:
-        (table, layout), (version, pairs) = output, version_and_pairs
-        counts = version_counts(spark, out_root, layout, table, version)
+    def publish_one(output: Output, made: tuple[str, list[Pair], dict[Pair, int]]) -> dict:
+        (table, layout), (version, pairs, counts) = output, made
         publish(spark, out_root, layout, table, version, entries_of(pairs, counts, source, marks, run))
         return {}
 
