@@ -101,7 +101,7 @@ def hash_sample(df: DataFrame, key: str, most: int) -> DataFrame:
 
 
 # What a Python worker may keep of words, and the longest one worth keeping: text without spaces has "words" of any length.
-STORE_BYTES = 48 << 20
+STORE_BYTES = 104 << 20
 LONGEST_KEPT = 64
 # An entry of a dictionary, besides its key and value.
 ENTRY_BYTES = 104
