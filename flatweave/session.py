@@ -153,6 +153,26 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(target)] if fs.exists(target) else []
 
 
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    """A small file, whole."""
+    fs, target = _file_system(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(spark._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream))
+    finally:
+        stream.close()
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file, written new."""
+    fs, target = _file_system(spark, path)
+    stream = fs.create(target, False)
+    try:
+        stream.write(bytearray(content))
+    finally:
+        stream.close()
+
+
 def move_if_absent(spark: SparkSession, path: str, to: str) -> bool:
     """Move a file to a name that must be free, in one step where the store can; False if it is taken."""
     jvm = spark._jvm

@@ -9,13 +9,14 @@ The partitioned table has a partition per day, as a DATE, and below it one per s
 touch no other shard's rows, even if some of them carry another day's date, so writing again changes nothing.
 
 A write goes to a version of its own, which nobody reads until it is published.  Publishing moves one small file
-``current/<number>.parquet`` into place, which names the version of every shard: a reader sees all of a write or
+``current/<number>.json`` into place, which names the version of every shard: a reader sees all of a write or
 nothing of it, and two writers cannot publish the same number.  The version that a shard had before stays for readers under way until the
 shard is replaced again.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -36,6 +37,8 @@ from flatweave.session import (
     move_if_absent,
     partition_directories,
     path_exists,
+    read_bytes,
+    write_bytes,
 )
 from flatweave.sinks.layouts import PARTITIONED, SHARDED
 from flatweave.sources.shards import Pair, among
@@ -88,21 +91,29 @@ def flat_schema(table: str) -> T.StructType:
 # ---- What is current ---------------------------------------------------------------
 
 
-def _latest(spark: SparkSession, path: str) -> tuple[int, DataFrame]:
-    """Number and content of the last publication; 0 and nothing if there is none."""
-    numbers = [int(name.removesuffix(".parquet")) for name in child_names(spark, f"{path}/current") if name[0].isdigit()]
-    if not numbers:
-        return 0, spark.createDataFrame([], STATE)
-    return max(numbers), spark.read.schema(STATE).parquet(_publication(path, max(numbers)))
+def _latest(spark: SparkSession, path: str) -> int:
+    """Number of the last publication; 0 if there is none."""
+    names = child_names(spark, f"{path}/current")
+    return max((int(name.removesuffix(".json")) for name in names if name[0].isdigit()), default=0)
 
 
 def _publication(path: str, number: int) -> str:
-    return f"{path}/current/{number:010d}.parquet"
+    return f"{path}/current/{number:010d}.json"
+
+
+def _published(spark: SparkSession, path: str, number: int) -> dict[Pair, Row]:
+    """What the driver needs to publish the next one: a row a shard, as few as the directories that a scan lists there."""
+    if not number:
+        return {}
+    lines = read_bytes(spark, _publication(path, number)).decode().splitlines()
+    rows = [Row(**dict(zip(STATE.names, json.loads(line)))) for line in lines]
+    return {(row.dataset, row.shard): row for row in rows}
 
 
 def shard_state(spark: SparkSession, root: str, layout: str, table: str) -> DataFrame:
     """A row for each shard that a flat table holds, see :data:`STATE`."""
-    return _latest(spark, table_path(root, layout, table))[1]
+    path = table_path(root, layout, table)
+    return spark.createDataFrame([tuple(row) for row in _published(spark, path, _latest(spark, path)).values()], STATE)
 
 
 def ledger(spark: SparkSession, root: str) -> DataFrame:
@@ -122,9 +133,9 @@ def ledger(spark: SparkSession, root: str) -> DataFrame:
 def read_flat(spark: SparkSession, root: str, layout: str, table: str) -> DataFrame:
     """A flat table of either layout; empty if it was never written."""
     schema = flat_schema(table)
-    number, state = _latest(spark, table_path(root, layout, table))
-    if not number:
+    if not _latest(spark, table_path(root, layout, table)):
         return spark.createDataFrame([], schema)
+    state = shard_state(spark, root, layout, table)
     stored = T.StructType([*schema.fields, T.StructField("version", T.StringType())])
     rows = spark.read.schema(stored).parquet(rows_path(root, layout, table))
     # A row for each shard: less than the scan itself holds, which lists the shards' directories.  All columns are the scan's
@@ -166,19 +177,18 @@ def publish(spark: SparkSession, root: str, layout: str, table: str, version: st
     """
     path = table_path(root, layout, table)
     for _ in range(PUBLISH_ATTEMPTS):
-        number, old = _latest(spark, path)
-        known = {(row.dataset, row.shard): row for row in old.collect()} if number else {}
+        number = _latest(spark, path)
+        known = _published(spark, path, number)
         state = dict(known)
         for entry in entries:
             pair = entry["dataset"], entry["shard"]
             before = known[pair].version if pair in known else None
             state[pair] = Row(**{**entry.asDict(), "version": version, "previous": before})
-        rows = [tuple(row[name] for name in STATE.names) for _, row in sorted(state.items())]
+        lines = [json.dumps([row[name] for name in STATE.names]) for _, row in sorted(state.items())]
         draft = f"{path}/current/_{uuid.uuid4().hex}"
         try:
-            spark.createDataFrame(rows, STATE).coalesce(1).write.parquet(draft)
-            part = next(name for name in child_names(spark, draft) if name.endswith(".parquet"))
-            published = move_if_absent(spark, f"{draft}/{part}", _publication(path, number + 1))
+            write_bytes(spark, draft, "\n".join(lines).encode())
+            published = move_if_absent(spark, draft, _publication(path, number + 1))
         finally:
             delete_path(spark, draft)
         if published:
@@ -210,21 +220,27 @@ def _clean(spark: SparkSession, root: str, layout: str, table: str, replaced: li
     doomed += [
         f"{path}/current/{name}"
         for name in child_names(spark, f"{path}/current")
-        if name[0].isdigit() and int(name.removesuffix(".parquet")) < number - 1
+        if name[0].isdigit() and int(name.removesuffix(".json")) < number - 1
     ]
     if doomed:
         with ThreadPoolExecutor(max_workers=DELETIONS_AT_ONCE) as pool:
             list(pool.map(lambda one: delete_path(spark, one), doomed))
 
 
-def footer_counts(spark: SparkSession, path: str, schema: T.StructType, by: tuple[str, ...]) -> list[Row]:
-    """Rows by partition columns, from the footers of the files alone; one a directory."""
-    # A session of its own: only the newer Parquet source takes the aggregate down to the footers.
+@lru_cache(maxsize=4)
+def _footer_reader(spark: SparkSession) -> SparkSession:
+    """A session of its own: only the newer Parquet source takes an aggregate down to the footers."""
     reader = spark.newSession()
     reader.conf.set("spark.sql.sources.useV1SourceList", "")
     reader.conf.set("spark.sql.parquet.aggregatePushdown", "true")
     reader.conf.set(LISTING, listing_tasks(spark))
-    return reader.read.schema(schema).parquet(path).groupBy(*by).agg(F.count("*").alias("rows")).collect()
+    reader.conf.set("spark.sql.shuffle.partitions", "8")  # a row a directory
+    return reader
+
+
+def footer_counts(spark: SparkSession, path: str, schema: T.StructType, by: tuple[str, ...]) -> list[Row]:
+    """Rows by partition columns, from the footers of the files alone; one a directory."""
+    return _footer_reader(spark).read.schema(schema).parquet(path).groupBy(*by).agg(F.count("*").alias("rows")).collect()
 
 
 def version_counts(spark: SparkSession, root: str, layout: str, table: str, version: str) -> dict[Pair, int]:
