@@ -157,11 +157,20 @@ def test_backfill_writes_configured_tables(spark, tmp_path):
     assert not (tmp_path / "out" / "partitioned").exists()
 
 
+def directories(spark, root, pairs):
+    """A source ``users`` with one file of one row in each of many directories."""
+    spark.createDataFrame([("u",)], "user_id string").coalesce(1).write.parquet(f"{root}/one")
+    file = next((root / "one").glob("part-*.parquet"))
+    for dataset, shard in pairs:
+        folder = root / "in" / "users" / f"dataset={dataset}" / f"shard={shard}"
+        folder.mkdir(parents=True)
+        os.link(file, folder / "part-0.parquet")
+
+
 def test_only_requested_directories_are_scanned(spark, tmp_path):
-    columns = "user_id string, dataset string, shard string"
-    many = [("u", f"d{i % 20}", f"2024{i // 20:04d}") for i in range(2_000)]
-    spark.createDataFrame(many, columns).coalesce(1).write.partitionBy("dataset", "shard").parquet(f"{tmp_path}/in/users")
-    pairs = [(dataset, shard) for _, dataset, shard in many[:1_100]]
+    many = [(f"d{i % 20}", f"2024{i // 20:04d}") for i in range(2_000)]
+    directories(spark, tmp_path, many)
+    pairs = many[:1_100]
     rows = read_source(spark, f"{tmp_path}/in", "users", pairs=[*pairs, ("d0", "20990101"), ("no", "20240000")])
     # Most of the folder: it is listed whole, and pruned by the names of its directories.
     assert "PartitionFilters: [concat_ws(/, dataset" in rows._jdf.queryExecution().toString()
@@ -393,12 +402,7 @@ def test_shard_table(spark, tmp_path):
 
 
 def test_many_directories_are_listed_and_planned_quickly(spark, tmp_path):
-    spark.createDataFrame([("u",)], "user_id string").coalesce(1).write.parquet(str(tmp_path / "one"))
-    file = next((tmp_path / "one").glob("part-*.parquet"))
-    for number in range(20_000):
-        folder = tmp_path / "in" / "users" / f"dataset=d{number % 20}" / f"shard={20000000 + number // 20}"
-        folder.mkdir(parents=True)
-        os.link(file, folder / "part-0.parquet")
+    directories(spark, tmp_path, [(f"d{i % 20}", f"{20000000 + i // 20}") for i in range(20_000)])
     start = time.monotonic()
     assert shard_table(spark, f"{tmp_path}/in", "users").count() == 20_000
     listed = time.monotonic()
