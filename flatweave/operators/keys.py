@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,9 @@ KEY_COLUMNS = (
 )
 
 _NUMBER = "__number"
+# A broadcast may have so many rows; above that, rows and numbers are shuffled.
+MOST_BROADCAST = 500_000
+_CUTS, _PART = "__cuts", "__part"
 
 
 def _optional(df: DataFrame, name: str) -> Column:
@@ -78,11 +83,30 @@ def repeat_numbers(
     return numbered.where(F.col(_NUMBER) > 1).select(*PLACE, position, _NUMBER)
 
 
+def shard_cuts(events: DataFrame, tasks: int) -> DataFrame:
+    """Into how many parts the rows of a shard are cut to spread over so many tasks: dataset, shard, ``__cuts``.
+
+    Counts rows without reading a column.  A row for each shard comes to the driver, as few as the directories that a scan lists.
+    """
+    sizes = events.groupBy(*PLACE).agg(F.count("*").alias("n")).collect()
+    part = max(1, sum(row.n for row in sizes) // (2 * tasks))
+    schema = f"dataset string, shard string, {_CUTS} long"
+    return events.sparkSession.createDataFrame([(row.dataset, row.shard, ceil(row.n / part)) for row in sizes], schema)
+
+
+def _by_parts(rows: DataFrame, cuts: DataFrame, position: str, tasks: int) -> DataFrame:
+    # One column names the part, so that both sides are dealt alike whatever Spark finds out about the others.
+    part = F.xxhash64(*PLACE, F.pmod(F.xxhash64(position), F.coalesce(_CUTS, F.lit(1))))
+    parts = rows.join(F.broadcast(cuts), list(PLACE), "left").withColumn(_PART, part).drop(_CUTS)
+    return parts.repartition(tasks, _PART)
+
+
 def with_event_id(
     events: DataFrame,
     intraday_view: bool = False,
     position: str = "row_position",
     repeats: DataFrame | None = None,
+    parts: tuple[DataFrame, int] | None = None,
     **numbering,
 ) -> DataFrame:
     """Add ``event_id`` to nested events.
@@ -95,13 +119,22 @@ def with_event_id(
     Only the key columns are shuffled to be numbered.  The numbers, those given as ``repeats`` (a result of
     :func:`repeat_numbers`) or else made when the rows are read, are joined to the rows: by broadcast if
     Spark sees that they are small, else with one shuffle of the rows.
+
+    With ``parts`` (a result of :func:`shard_cuts` and the number of its tasks) there is such a shuffle, by shard and a part of
+    it; the rows are looked up in the numbers and are not sorted.  Where :data:`flatweave.session.BY_ALL_KEYS` is off, a task has the
+    rows of few shards, and so writes few files.
     """
-    parts, _, separator = _event_key(events, intraday_view)
+    pieces, _, separator = _event_key(events, intraday_view)
     if repeats is None:
         repeats = repeat_numbers(events, intraday_view, position, **numbering)
-    numbered = events.join(repeats, [*PLACE, position], "left")
+    if parts is None:
+        numbered = events.join(repeats, [*PLACE, position], "left")
+    else:
+        cuts, tasks = parts
+        few = _by_parts(repeats, cuts, position, tasks).hint("shuffle_hash")
+        numbered = _by_parts(events, cuts, position, tasks).join(few, [_PART, *PLACE, position], "left")
     numbered = numbered.select(*events.columns, F.coalesce(_NUMBER, F.lit(1)).alias(_NUMBER))
-    event_id = _joined([*parts, F.col(_NUMBER).cast("string")], separator)
+    event_id = _joined([*pieces, F.col(_NUMBER).cast("string")], separator)
     return numbered.withColumn("event_id", event_id).drop(_NUMBER)
 
 

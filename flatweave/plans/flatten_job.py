@@ -10,24 +10,50 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flatweave import schemas
 from flatweave.operators.flatten import columns_needed, flatten_table
-from flatweave.operators.keys import KEY_COLUMNS, repeat_numbers, session_ids, with_event_id, with_row_id
+from flatweave.operators.keys import (
+    KEY_COLUMNS,
+    MOST_BROADCAST,
+    repeat_numbers,
+    session_ids,
+    shard_cuts,
+    with_event_id,
+    with_row_id,
+)
+from flatweave.operators.numbering import ROWS_PER_TASK
 from flatweave.plans.work import Output, Pair, backfill_grid, route, settle
 from flatweave.schemas import PLACE
-from flatweave.session import Stages
+from flatweave.session import BY_ALL_KEYS, OPEN_AT_ONCE, OPEN_FILES, Stages, setting
 from flatweave.sinks.tables import copy_version, entries_of, publish, shard_state, version_counts, write_version
 from flatweave.sources.shards import among, listed_shards, read_source, shard_paths, shard_table
 
 # Shards in one step of a named run.
 SHARDS_AT_ONCE = 1_000
+# Rows of a source, with all columns, that a task takes when they are shuffled.
+WIDE_ROWS_PER_TASK = 500_000
 
 
-def key_numbers(rows: DataFrame, stages: Stages, position: str = "row_position", **numbering) -> DataFrame:
-    """Numbers of the rows that repeat a key, made once and staged; their size decides how they are joined."""
-    return stages.table(repeat_numbers(rows, position=position, keep=stages.table, **numbering), "repeats")
+Numbers = tuple[DataFrame, tuple[DataFrame, int] | None]
+
+
+def key_numbers(
+    rows: DataFrame,
+    stages: Stages,
+    position: str = "row_position",
+    most_broadcast: int = MOST_BROADCAST,
+    rows_per_task: int = ROWS_PER_TASK,
+    **numbering,
+) -> Numbers:
+    """Numbers of the rows that repeat a key, made once and staged, and the parts of shards to join them by if they are many."""
+    numbered = repeat_numbers(rows, position=position, keep=stages.table, rows_per_task=rows_per_task, **numbering)
+    repeats = stages.table(numbered, "repeats")
+    if repeats.count() <= most_broadcast:
+        return repeats, None
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // WIDE_ROWS_PER_TASK))
+    return repeats, (shard_cuts(rows, tasks), tasks)
 
 
 def key_events(
-    rows: DataFrame, position: str = "row_position", stages: Stages | None = None, **numbering
+    rows: DataFrame, position: str = "row_position", stages: Stages | None = None, intraday_view: bool = False, **numbering
 ) -> DataFrame:
     """Events with their id.
 
@@ -35,8 +61,9 @@ def key_events(
     that table is written now, and its owner drops it.  Without, nothing is run before the result is read.
     """
     if stages is None:
-        return with_event_id(rows, position=position, **numbering)
-    return with_event_id(rows, position=position, repeats=key_numbers(rows, stages, position, **numbering))
+        return with_event_id(rows, intraday_view, position, **numbering)
+    repeats, parts = key_numbers(rows, stages, position, intraday_view=intraday_view, **numbering)
+    return with_event_id(rows, intraday_view, position, repeats, parts)
 
 
 def keyed_source(
@@ -51,7 +78,7 @@ def keyed_source(
     strict: bool = False,
     random_row_ids: bool = False,
     stages: Stages | None = None,
-    numbers: DataFrame | None = None,
+    numbers: Numbers | None = None,
     rows: DataFrame | None = None,
     **numbering,
 ) -> DataFrame:
@@ -74,7 +101,8 @@ def keyed_source(
     if not source.startswith("events"):
         return with_row_id(rows, source, position, random_row_ids)
     if numbers is not None:
-        return with_event_id(rows, position=position, repeats=numbers)
+        repeats, parts = numbers
+        return with_event_id(rows, position=position, repeats=repeats, parts=parts)
     return key_events(rows, position, stages, **numbering)
 
 
@@ -179,7 +207,7 @@ def _flatten(spark, stages, source, todo, listed, source_root, out_root, options
             pairs_of.setdefault(table, {}).setdefault(layout, []).append(pair)
     position, extra = options.get("position", "row_position"), options.get("extra", ())
     random_ids = options.get("random_row_ids", False)
-    numbering = {name: value for name, value in options.items() if name in ("hot_rows", "rows_per_task")}
+    numbering = {name: value for name, value in options.items() if name in ("hot_rows", "rows_per_task", "most_broadcast")}
     options = {name: value for name, value in options.items() if name not in numbering}
 
     # One scan, listed once; each table reads its own columns of it.
@@ -212,7 +240,8 @@ def _flatten(spark, stages, source, todo, listed, source_root, out_root, options
 
     # The writes go to different tables and share no state: let the cluster fill
     # the tail of one with the tasks of another.
-    return _at_once(spark, write, pairs_of.items())
+    with setting(spark, OPEN_FILES, OPEN_AT_ONCE), setting(spark, BY_ALL_KEYS, "false"):
+        return _at_once(spark, write, pairs_of.items())
 
 
 def _at_once(spark: SparkSession, function, arguments) -> dict:

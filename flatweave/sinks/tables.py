@@ -31,6 +31,8 @@ from flatweave.operators.flatten import flatten_table
 from flatweave.schemas import PLACE, PLACE_FIELDS, SOURCE_SCHEMAS, TABLES_OF_SOURCE
 from flatweave.session import (
     LISTING,
+    OPEN_AT_ONCE,
+    OPEN_FILES,
     child_names,
     delete_path,
     listing_tasks,
@@ -38,6 +40,7 @@ from flatweave.session import (
     partition_directories,
     path_exists,
     read_bytes,
+    setting,
     write_bytes,
 )
 from flatweave.sinks.layouts import PARTITIONED, SHARDED
@@ -283,6 +286,7 @@ def replace_shards(rows: DataFrame, root: str, layout: str, table: str, shards:
     spark = rows.sparkSession
     if isinstance(shards, DataFrame):
         shards = [tuple(row) for row in shards.select(*PLACE).distinct().collect()]  # a row a directory
-    version = write_version(rows, root, layout, table)
+    with setting(spark, OPEN_FILES, OPEN_AT_ONCE):
+        version = write_version(rows, root, layout, table)
     counts = version_counts(spark, root, layout, table, version)
     publish(spark, root, layout, table, version, entries_of(shards, counts))

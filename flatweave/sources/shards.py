@@ -13,7 +13,15 @@ from pyspark.sql import types as T
 
 from flatweave.functions.expressions import quoted
 from flatweave.schemas import PLACE, PLACE_FIELDS, SOURCE_SCHEMAS
-from flatweave.session import LISTING, listing_tasks, partition_directories, path_exists, setting
+from flatweave.session import (
+    LISTING,
+    OPEN_AT_ONCE,
+    OPEN_FILES,
+    listing_tasks,
+    partition_directories,
+    path_exists,
+    setting,
+)
 
 Pair = tuple[str, str]
 # Up to so many directories are named to a scan one by one; for more, Spark would start a job to list them.
@@ -197,10 +205,18 @@ def _escaped(name: str) -> str:
 _ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
 
 
-def write_source(rows: DataFrame, root: str, source: str) -> str:
-    """Write nested rows that carry ``dataset`` and ``shard`` as an export."""
+def cluster(rows: DataFrame) -> DataFrame:
+    """Rows of a shard together in few tasks; an oversized shard is split."""
+    return rows.hint("rebalance", *PLACE)
+
+
+def write_source(rows: DataFrame, root: str, source: str, clustered: bool = False) -> str:
+    """Write nested rows that carry ``dataset`` and ``shard`` as an export.
+
+    Rows that are ``clustered``, by :func:`cluster` or since a scan of shards gave them, are not shuffled: each task has few shards.
+    """
     path = source_path(root, source)
-    # Rebalance collects each shard into few files and splits an oversized one.
-    clustered = rows.hint("rebalance", *PLACE)
-    clustered.write.mode("overwrite").partitionBy(*PLACE).parquet(path)
+    spark = rows.sparkSession
+    with setting(spark, OPEN_FILES, OPEN_AT_ONCE):
+        (rows if clustered else cluster(rows)).write.mode("overwrite").partitionBy(*PLACE).parquet(path)
     return path

@@ -140,7 +140,7 @@ def gated_intraday(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _intraday(table: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        keyed = with_event_id(gated_intraday(spark, sf_dir), intraday_view=True, position=POSITION)
+        keyed = key_events(gated_intraday(spark, sf_dir), POSITION, _stages(spark), intraday_view=True)
         return intraday_table(keyed, table)
 
     return query
@@ -519,7 +519,7 @@ def resumed_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``kept`` says whether the shard still has what the first attempt wrote.
     """
     root, out = new_stage_path(spark, "broken"), new_stage_path(spark, "flat")
-    write_source(read_nested(spark, sf_dir, "events"), root, "events")
+    write_source(read_nested(spark, sf_dir, "events"), root, "events", clustered=True)
     control = spark.createDataFrame([(dataset, ["items"], True, True, False) for dataset in DATASETS], CONTROL_SCHEMA)
     broken = shard_paths(spark, root, "events", between=(BROKEN, BROKEN))
     junk = [f"{path}/junk.parquet" for path in broken.values()]
@@ -604,7 +604,7 @@ def refresh_changed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each same-day shard was written in three ticks: nothing has changed at the second, one day at the third."""
     root, out, checkpoint = (new_stage_path(spark, name) for name in ("same-day", "flat", "checkpoint"))
     rows = read_nested(spark, sf_dir, "events_intraday")
-    write_source(rows, root, "events_intraday")
+    write_source(rows, root, "events_intraday", clustered=True)
     control = spark.createDataFrame([(dataset, ["items"], True, False, False) for dataset in DATASETS], CONTROL_SCHEMA)
     seen = []
     for tick in range(3):

@@ -103,6 +103,16 @@ def test_staged_and_lazy_keys_agree(spark):
         assert {(r.row_position, r.event_id) for r in keyed.collect()} == expected
 
 
+def test_many_numbers_are_joined_by_parts_of_shards_without_sorting_the_rows(spark):
+    events = skewed(spark)
+    expected = {(r.row_position, r.event_id) for r in with_event_id(events).collect()}
+    with Stages(spark) as stages:
+        keyed = key_events(events, stages=stages, most_broadcast=0)
+        assert {(r.row_position, r.event_id) for r in keyed.collect()} == expected
+        plan = keyed._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_rows_are_shuffled_for_their_keys_only(spark):
     """Wide rows move once at most, however many repeat a key."""
     wide = skewed(spark).withColumn("payload", F.repeat(F.lit("x"), 100))

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from flatweave.operators.relational import last_value_per_group, ordered_text, with_constants
 from flatweave.plans.work import EVENTS_ONLY, backfill_grid, default_control, not_superseded, read_control, route, with_source
 from flatweave.sources.inventory import discover_datasets, union_datasets
+from flatweave.sources.shards import read_source, write_source
+from testbed.nested import SOURCE_ROW, nested_events
 
 CONTROL = "dataset string, tables_to_flatten array<string>, sharded boolean, partitioned boolean, intraday_views boolean"
 DAY = 86_400_000
@@ -126,3 +128,15 @@ def test_null_keys_form_a_group(spark):
 def test_numbers_are_joined_in_their_own_order(spark):
     df = spark.createDataFrame([("a", n) for n in (100, 9, 10, 9, None, -1)], "k string, v long")
     assert ordered_text(df, ["k"], "v", "t", ",").first().t == "-1,9,9,10,100"
+
+
+def test_wide_rows_are_neither_shuffled_nor_sorted_to_write_an_export(spark, tmp_path):
+    rows = nested_events(spark, "/root/testdata/sf0.001")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("RebalancePartitions", 1)
+    assert "named_struct" in above and "named_struct" not in below
+    write_source(rows, str(tmp_path / "one"), "events", clustered=True)
+    again = read_source(spark, str(tmp_path / "one"), "events", extra=[SOURCE_ROW], position=False)
+    write_source(again, str(tmp_path / "two"), "events", clustered=True)
+    copied = read_source(spark, str(tmp_path / "two"), "events", extra=[SOURCE_ROW], position=False)
+    assert copied.exceptAll(rows.select(*copied.columns)).isEmpty() and copied.count() == rows.count()

@@ -11,7 +11,7 @@ from flatweave import quality
 from flatweave.operators.relational import rejoin
 from flatweave.plans.flatten_job import backfill, flatten_work, keyed_source
 from flatweave.plans.work import route
-from flatweave.session import Stages, drop_stage, shared_folder
+from flatweave.session import Stages, drop_stage, setting, shared_folder
 from flatweave.sinks.tables import PARTITIONED, SHARDED, current_counts, footer_counts, ledger, read_flat, replace_shards, rows_path
 from flatweave.sources.shards import read_source, shard_table
 
@@ -46,6 +46,20 @@ def partition_free(folder):
     return {p.name for p in path.iterdir() if not p.name.startswith("nested-")} if path.exists() else set()
 
 
+def test_a_shard_has_few_files_though_many_rows_repeat_a_key(spark, tmp_path):
+    days = [f"202401{day:02}" for day in range(1, 13)]
+    rows = [event(day, event_params=[param("a", int_value=at)]) for day in days for at in range(40)]
+    root, out = export(spark, tmp_path / "in", "events", rows), str(tmp_path / "out")
+    with setting(spark, "spark.sql.shuffle.partitions", "16"):
+        flatten_work(spark, work(spark, days, partitioned=False), root, out, most_broadcast=0)
+    for table in ("events", "event_params"):
+        files = list(pathlib.Path(rows_path(out, SHARDED, table)).rglob("*.parquet"))
+        # 32 parts of 12 shards; it was one file for each task and shard, about 190.
+        assert len(files) <= 48
+        flat = read_flat(spark, out, SHARDED, table)
+        assert flat.count() == flat.select("shard", "event_id").distinct().count() == 480
+
+
 def test_layouts_agree_and_runs_are_idempotent(spark, tmp_path):
     root, out = export(spark, tmp_path / "in", "events", two_days()), str(tmp_path / "out")
     before = staged_folders(spark)
