@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flatweave import schemas
 from flatweave.operators.flatten import columns_needed, flatten_table
@@ -24,12 +25,14 @@ from flatweave.plans.work import Output, Pair, backfill_grid, route, settle
 from flatweave.schemas import PLACE
 from flatweave.session import BY_ALL_KEYS, OPEN_AT_ONCE, OPEN_FILES, Stages, setting
 from flatweave.sinks.tables import copy_version, entries_of, publish, shard_state, version_counts, write_version
-from flatweave.sources.shards import among, listed_shards, read_source, shard_paths, shard_table
+from flatweave.sources.shards import among, cluster, listed_shards, read_source, shard_paths, shard_table
 
 # Shards in one step of a named run.
 SHARDS_AT_ONCE = 1_000
 # Rows of a source, with all columns, that a task takes when they are shuffled.
 WIDE_ROWS_PER_TASK = 500_000
+# Writes of a job that run beside each other, if it is cut into steps; each holds the broadcast numbers of its step.
+WRITES_AT_ONCE = 8
 
 
 Numbers = tuple[DataFrame, tuple[DataFrame, int] | None]
@@ -48,8 +51,49 @@ def key_numbers(
     repeats = stages.table(numbered, "repeats")
     if repeats.count() <= most_broadcast:
         return repeats, None
+    return repeats, _parts(rows)
+
+
+def _parts(rows: DataFrame) -> tuple[DataFrame, int]:
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // WIDE_ROWS_PER_TASK))
-    return repeats, (shard_cuts(rows, tasks), tasks)
+    return shard_cuts(rows, tasks), tasks
+
+
+def number_steps(
+    rows: DataFrame,
+    pairs: Iterable[Pair],
+    stages: Stages,
+    position: str = "row_position",
+    most_broadcast: int = MOST_BROADCAST,
+    rows_per_task: int = ROWS_PER_TASK,
+    **numbering,
+) -> list[tuple[list[Pair], Numbers]]:
+    """The numbers of :func:`key_numbers` for a job that writes, by steps of shards whose numbers may be broadcast.
+
+    So the wide rows stay where they are read, however many numbers all shards have.  Only shards that alone have too many are left to
+    a step that shuffles.  A row for each shard comes to the driver.
+    """
+    pairs = list(pairs)
+    numbered = repeat_numbers(rows, position=position, keep=stages.table, rows_per_task=rows_per_task, **numbering)
+    repeats = stages.table(numbered, "repeats")
+    found = repeats.groupBy(*PLACE).agg(F.count("*").alias("n")).collect()
+    counts = {(row.dataset, row.shard): row.n for row in found}
+    if sum(counts.values()) <= most_broadcast:
+        return [(pairs, (repeats, None))]
+    repeats = stages.table(cluster(repeats), "repeats-by-shard", PLACE)  # a step reads its own
+    steps: list[list[Pair]] = []
+    room = -1
+    for pair in sorted(pair for pair in pairs if counts.get(pair, 0) <= most_broadcast):
+        if counts.get(pair, 0) > room:
+            steps.append([])
+            room = most_broadcast
+        steps[-1].append(pair)
+        room -= counts.get(pair, 0)
+    made = [(step, (F.broadcast(repeats.where(among(step))), None)) for step in steps]
+    large = [pair for pair in pairs if counts.get(pair, 0) > most_broadcast]
+    if large:
+        made.append((large, (repeats.where(among(large)), _parts(rows.where(among(large))))))
+    return made
 
 
 def key_events(
@@ -197,7 +241,8 @@ def _left_to_do(
     return {pair: outputs for pair, outputs in left.items() if outputs}
 
 
-Written = dict[Output, tuple[str, list[Pair], dict[Pair, int]]]  # version, shards and their rows
+Made = tuple[str, list[Pair], dict[Pair, int]]  # a version, shards and their rows
+Written = dict[Output, list[Made]]
 
 
 def _flatten(spark, stages, source, todo, listed, source_root, out_root, options) -> Written:
@@ -212,19 +257,21 @@ def _flatten(spark, stages, source, todo, listed, source_root, out_root, options
 
     # One scan, listed once; each table reads its own columns of it.
     scan = read_source(spark, source_root, source, extra=extra, position=position == "row_position", listed=listed)
-    numbers = keyed = None
+    keyed = None
+    steps: list[tuple[list[Pair], Numbers | None]] = [(list(todo), None)]
     if source.startswith("events"):
-        numbers = key_numbers(scan.select(*KEY_COLUMNS, *PLACE, position), stages, position, **numbering)
+        steps = number_steps(scan.select(*KEY_COLUMNS, *PLACE, position), todo, stages, position, **numbering)
     elif random_ids and sum(map(len, pairs_of.values())) > 1:
         # Ids that are drawn at random are made once for all tables.
         keyed = keyed_source(spark, source_root, source, sorted(pairs_of), rows=scan, **options)
         keyed = stages.table(keyed, f"keyed-{source}", PLACE)
 
-    def write(table: str, layouts: dict[str, list[Pair]]) -> Written:
+    def write(table: str, layouts: dict[str, list[Pair]], step: list[Pair], numbers: Numbers | None) -> dict[Output, Made]:
         rows = keyed
         if rows is None:
-            rows = keyed_source(spark, source_root, source, [table], numbers=numbers, rows=scan, **options)
-        written: Written = {}
+            part = scan if len(step) == len(todo) else scan.where(among(step))
+            rows = keyed_source(spark, source_root, source, [table], numbers=numbers, rows=part, **options)
+        written: dict[Output, Made] = {}
         # The layout with more shards is made of the source, and the other one of its files if they hold all it wants.
         for layout, pairs in sorted(layouts.items(), key=lambda one: (-len(one[1]), one[0])):
             made = next(((known, version) for known, (version, has, _) in written.items() if set(pairs) <= set(has)), None)
@@ -233,32 +280,42 @@ def _flatten(spark, stages, source, todo, listed, source_root, out_root, options
                 some = pairs if len(pairs) < len(written[table, other][1]) else None
                 version = copy_version(spark, out_root, table, version, other, layout, some)
             else:
-                chosen = rows if len(pairs) == len(todo) else rows.where(among(pairs))
+                chosen = rows if len(pairs) == len(step) else rows.where(among(pairs))
                 version = write_version(flatten_table(chosen, table, source), out_root, layout, table)
             written[table, layout] = version, pairs, version_counts(spark, out_root, layout, table, version)
         return written
 
-    # The writes go to different tables and share no state: let the cluster fill
+    writes = []
+    for step, numbers in steps:
+        inside = set(step)
+        for table, layouts in pairs_of.items():
+            some = {layout: [pair for pair in pairs if pair in inside] for layout, pairs in layouts.items()}
+            some = {layout: pairs for layout, pairs in some.items() if pairs}
+            if some:
+                writes.append((table, some, step, numbers))
+    # The writes go to different versions and share no state: let the cluster fill
     # the tail of one with the tasks of another.
+    written: Written = {}
     with setting(spark, OPEN_FILES, OPEN_AT_ONCE), setting(spark, BY_ALL_KEYS, "false"):
-        return _at_once(spark, write, pairs_of.items())
+        for one in _at_once(spark, write, writes, len(pairs_of) if len(steps) == 1 else WRITES_AT_ONCE):
+            for output, made in one.items():
+                written.setdefault(output, []).append(made)
+    return written
 
 
-def _at_once(spark: SparkSession, function, arguments) -> dict:
-    arguments, done = list(arguments), {}
-    with ThreadPoolExecutor(max_workers=len(arguments)) as pool:
-        for one in [pool.submit(inheritable_thread_target(spark)(function), *args) for args in arguments]:
-            done |= one.result()
-    return done
+def _at_once(spark: SparkSession, function, arguments, most: int) -> list:
+    with ThreadPoolExecutor(max_workers=most) as pool:
+        return [one.result() for one in [pool.submit(inheritable_thread_target(spark)(function), *args) for args in arguments]]
 
 
 def _publish(spark, source: str, written: Written, out_root: str, marks: dict[Pair, str], run: str | None) -> None:
-    def publish_one(output: Output, made: tuple[str, list[Pair], dict[Pair, int]]) -> dict:
-        (table, layout), (version, pairs, counts) = output, made
-        publish(spark, out_root, layout, table, version, entries_of(pairs, counts, source, marks, run))
-        return {}
+    def publish_one(output: Output, made: list[Made]) -> None:
+        table, layout = output
+        versions = {pair: version for version, pairs, _ in made for pair in pairs}
+        counts = {pair: rows for _, _, found in made for pair, rows in found.items()}
+        publish(spark, out_root, layout, table, versions, entries_of(versions, counts, source, marks, run))
 
-    _at_once(spark, publish_one, written.items())
+    _at_once(spark, publish_one, written.items(), len(written))
 
 
 def backfill(

@@ -172,8 +172,10 @@ def copy_version(
     return write_version(rows, root, to, table)
 
 
-def publish(spark: SparkSession, root: str, layout: str, table: str, version: str, entries: list[Row]) -> None:
-    """Make a version the current one of the shards in ``entries`` (of :func:`entries_of`), all at once.
+def publish(
+    spark: SparkSession, root: str, layout: str, table: str, version: str | dict[Pair, str], entries: list[Row]
+) -> None:
+    """Make a version, or each shard's own, the current one of the shards in ``entries`` (of :func:`entries_of`), all at once.
 
     A shard of which the version has no rows ends up empty.  Should another writer publish meanwhile, its
     publication is taken over and tried again.  The driver holds a row for each shard of the table, as it does to plan a scan of it.
@@ -186,7 +188,8 @@ def publish(spark: SparkSession, root: str, layout: str, table: str, version: st
         for entry in entries:
             pair = entry["dataset"], entry["shard"]
             before = known[pair].version if pair in known else None
-            state[pair] = Row(**{**entry.asDict(), "version": version, "previous": before})
+            own = version if isinstance(version, str) else version[pair]
+            state[pair] = Row(**{**entry.asDict(), "version": own, "previous": before})
         lines = [json.dumps([row[name] for name in STATE.names]) for _, row in sorted(state.items())]
         draft = f"{path}/current/_{uuid.uuid4().hex}"
         try:

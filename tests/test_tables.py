@@ -9,11 +9,21 @@ from pyspark.sql import types as T
 
 from flatweave import quality
 from flatweave.operators.relational import rejoin
-from flatweave.plans.flatten_job import backfill, flatten_work, keyed_source
+from flatweave.plans.flatten_job import backfill, flatten_work, keyed_source, number_steps
 from flatweave.plans.work import route
 from flatweave.session import Stages, drop_stage, setting, shared_folder
-from flatweave.sinks.tables import PARTITIONED, SHARDED, current_counts, footer_counts, ledger, read_flat, replace_shards, rows_path
-from flatweave.sources.shards import read_source, shard_table
+from flatweave.sinks.tables import (
+    PARTITIONED,
+    SHARDED,
+    current_counts,
+    footer_counts,
+    ledger,
+    read_flat,
+    replace_shards,
+    rows_path,
+    shard_state,
+)
+from flatweave.sources.shards import among, read_source, shard_table
 
 CONTROL = "dataset string, tables_to_flatten array<string>, sharded boolean, partitioned boolean, intraday_views boolean"
 
@@ -60,6 +70,37 @@ def test_a_shard_has_few_files_though_many_rows_repeat_a_key(spark, tmp_path):
         assert flat.count() == flat.select("shard", "event_id").distinct().count() == 480
 
 
+def test_many_numbers_are_joined_by_steps_of_shards_without_shuffling_rows(spark, tmp_path):
+    days = [f"202401{day:02}" for day in range(1, 5)]
+    # 39 rows of a day repeat a key, and 199 of the last one: above what may be broadcast here.
+    rows = [event(day, event_params=[param("a", int_value=at)]) for day in days for at in range(200 if day == days[-1] else 40)]
+    root, out = export(spark, tmp_path / "in", "events", rows), str(tmp_path / "out")
+    pairs = [(DATASET, day) for day in days]
+    with Stages(spark) as stages:
+        scan = read_source(spark, root, "events")
+        steps = number_steps(scan, pairs, stages, most_broadcast=100)
+        assert sorted(pair for step, _ in steps for pair in step) == pairs
+        assert [len(step) for step, _ in steps] == [2, 1, 1]
+        for step, numbers in steps:
+            keyed = keyed_source(spark, root, "events", ["events"], numbers=numbers, rows=scan.where(among(step)))
+            assert keyed.select("event_id", "shard").distinct().count() == sum(200 if day == days[-1] else 40 for _, day in step)
+            plan = keyed._jdf.queryExecution().executedPlan().toString()
+            assert ("BroadcastHashJoin" in plan and "hashpartitioning" not in plan) == (step != pairs[-1:])
+    whole = str(tmp_path / "whole")
+    flatten_work(spark, work(spark, days, ("event_params",)), root, whole)
+    for _ in range(3):
+        flatten_work(spark, work(spark, days, ("event_params",)), root, out, most_broadcast=100)
+    for layout in (SHARDED, PARTITIONED):
+        flat, expected = (read_flat(spark, one, layout, "event_params") for one in (out, whole))
+        assert flat.count() == expected.count() == 320
+        assert flat.exceptAll(expected).count() == 0
+        assert all(published == now for published, now in current_counts(spark, out, layout, "event_params").values())
+    # Of each shard, its last version and the one before.
+    versions = shard_state(spark, out, SHARDED, "event_params")
+    assert versions.select("version").distinct().count() == 3
+    assert len(list(pathlib.Path(rows_path(out, SHARDED, "event_params")).iterdir())) == 6
+
+
 def test_layouts_agree_and_runs_are_idempotent(spark, tmp_path):
     root, out = export(spark, tmp_path / "in", "events", two_days()), str(tmp_path / "out")
     before = staged_folders(spark)
