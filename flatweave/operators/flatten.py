@@ -75,8 +75,10 @@ def intraday_events(keyed: DataFrame, shard: str | None = None, source: str = "e
     With ``shard`` the columns are those that shard's export has.  Without it, rows
     of all shards get all columns, NULL where the row's shard predates a column.
     """
-    with_sessions = keyed.withColumns(session_ids(separator="."))
-    return with_sessions.selectExpr(*intraday_event_columns(keyed.schema, shard, source))
+    schema = keyed.schema
+    if "session_id" not in keyed.columns:
+        keyed = keyed.withColumns(session_ids(separator="."))
+    return keyed.selectExpr(*intraday_event_columns(schema, shard, source))
 
 
 # ---- Event arrays: a row for each element ------------------------------------------

@@ -140,7 +140,11 @@ def gated_intraday(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _intraday(table: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        keyed = key_events(gated_intraday(spark, sf_dir), POSITION, _stages(spark), intraday_view=True)
+        rows = gated_intraday(spark, sf_dir)
+        if table == "events":
+            # The parameters are read before rows are shuffled, and stay behind.
+            rows = rows.withColumns(session_ids(separator=".")).drop("event_params")
+        keyed = key_events(rows, POSITION, _stages(spark), intraday_view=True)
         return intraday_table(keyed, table)
 
     return query

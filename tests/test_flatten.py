@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from flatweave import schemas
 from flatweave.operators.flatten import columns_needed, flatten_table, intraday_events
-from flatweave.operators.keys import with_event_id, with_row_id
+from flatweave.operators.keys import session_ids, with_event_id, with_row_id
 from flatweave.sinks.tables import flat_schema
 from flatweave.sources.shards import read_source
 from flatweave.streaming.intraday import intraday_table
@@ -124,6 +124,15 @@ def test_same_day_columns_by_shard(spark, shard, collected, active):
     assert row.is_active_user == (True if active else None)
 
 
+def test_same_day_events_take_session_ids_that_were_read_before(spark):
+    """So a shuffle of keyed rows need not carry the parameters."""
+    rows = frame(spark, "events_intraday", [event(event_params=[param("ga_session_id", int_value=5)]), event(event_params=None)])
+    keyed = with_event_id(rows, intraday_view=True)
+    narrow = with_event_id(rows.withColumns(session_ids(separator=".")).drop("event_params"), intraday_view=True)
+    assert sorted(intraday_events(narrow).collect(), key=str) == sorted(intraday_events(keyed).collect(), key=str)
+    assert {row.session_id for row in intraday_events(narrow).collect()} == {"u.5", None}
+
+
 def test_same_day_parameters_have_no_raw_values(spark):
     keyed = with_event_id(frame(spark, "events", [event(event_params=[param("k", int_value=1)])]), intraday_view=True)
     names = intraday_table(keyed, "event_params").columns
