@@ -1,12 +1,14 @@
 import json
+import re
 
 from pyspark.sql import functions as F
 
 from flatweave.operators.relational import last_value_per_group, ordered_text, with_constants
 from flatweave.plans.work import EVENTS_ONLY, backfill_grid, default_control, not_superseded, read_control, route, with_source
+from flatweave.session import setting
 from flatweave.sources.inventory import discover_datasets, union_datasets
 from flatweave.sources.shards import read_source, write_source
-from testbed.nested import SOURCE_ROW, nested_events
+from testbed.nested import SOURCE_ROW, event_base, nested_events, thinned
 
 CONTROL = "dataset string, tables_to_flatten array<string>, sharded boolean, partitioned boolean, intraday_views boolean"
 DAY = 86_400_000
@@ -140,3 +142,31 @@ def test_wide_rows_are_neither_shuffled_nor_sorted_to_write_an_export(spark, tmp
     write_source(again, str(tmp_path / "two"), "events", clustered=True)
     copied = read_source(spark, str(tmp_path / "two"), "events", extra=[SOURCE_ROW], position=False)
     assert copied.exceptAll(rows.select(*copied.columns)).isEmpty() and copied.count() == rows.count()
+
+
+def test_lines_and_orders_without_an_event_are_left_out_before_the_shuffle(spark, tmp_path):
+    spark.createDataFrame([("n", 1, 1)], "n_name string, n_nationkey long, n_regionkey long").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([("r", 1)], "r_name string, r_regionkey long").write.parquet(f"{tmp_path}/region.parquet")
+    spark.createDataFrame([(1, 1)], "c_custkey long, c_nationkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(1, "p")], "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    # Two rows of one event, an event that is no purchase, and lines and orders with and without an event, or a key.
+    events = [(1, "purchase", 1), (1, "purchase", 2), (2, "view", 1), (None, "purchase", 1), (7, "purchase", 1)]
+    kinds = "event_id long, event_type string, user_id long"
+    moment = F.timestamp_seconds(F.lit(0))
+    spark.createDataFrame(events, kinds).withColumn("ts", moment).write.parquet(f"{tmp_path}/events.parquet")
+    lines = [(1, 1), (1, 9), (2, 1), (None, 1), (7, None)] + [(key, 1) for key in range(100, 1100)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = [(1, 1.0), (1, 2.0), (2, 3.0), (None, 4.0)] + [(key, 5.0) for key in range(100, 1100)]
+    spark.createDataFrame(orders, "o_orderkey long, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+
+    broadcast = "spark.sql.autoBroadcastJoinThreshold"
+    with setting(spark, broadcast, "-1"), setting(spark, "spark.sql.adaptive.enabled", "false"), thinned(spark):
+        base = event_base(spark, str(tmp_path)).select("event_id", "event_type", "user_id", "l_partkey", "o_totalprice", "p_name")
+        plan = base._jdf.queryExecution().optimizedPlan().toString()
+        found = sorted(map(tuple, base.collect()), key=str)
+    for column in ("l_orderkey", "o_orderkey"):
+        assert re.search(rf"might_contain\(.*{column}", plan)
+    bought = [(1, part, price, name) for part, name in ((1, "p"), (9, None)) for price in (1.0, 2.0)]
+    expected = [(1, "purchase", user, part, price, name) for user in (1, 2) for _, part, price, name in bought]
+    expected += [(2, "view", 1, None, None, None), (None, "purchase", 1, None, None, None), (7, "purchase", 1, None, None, None)]
+    assert found == sorted(expected, key=str)
