@@ -140,7 +140,7 @@ def _windows(text: str) -> Iterator[tuple[int, int]]:
     """Stretches that hold all entities, between white space."""
     spans = [match.span() for match in _SIGNS.finditer(text)]
     words = set(_LETTERS.findall(text))
-    words = {word for word in words if word in _WORDS or word.lower() in _SECRET_WORDS}
+    words = {word for word in words if word in _WORDS or word.startswith("AKIA") or word.lower() in _SECRET_WORDS}
     if words:
         spans += [match.span() for match in _LETTERS.finditer(text) if match.group() in words]
         spans.sort()
