@@ -146,7 +146,7 @@ def write_token_files(
         end = tokens.END.to_bytes(tokens.ID_BYTES, "little")
         part, number, writer, done = TaskContext.get().partitionId(), 0, None, []
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.ids(batch.column(1).to_pylist())):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.ids(batch.column(1))):
                 if writer is None:
                     writer = Writer(folder, f"part-{part:06d}-{number:04d}.ids.zst")
                     number += 1

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import odd
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -171,6 +172,38 @@ def test_a_workers_store_is_bounded_in_bytes():
     assert max(map(len, [*encoder._known, *encoder._first])) <= common.LONGEST_KEPT
 
 
+SIGNS = [
+    *[" "] * 12, "a", "the", "Ab", "\u00e9", "\u00d1", "\u00d7", "\u00f7", "\u00ff", "\u024f", "\u0250", "\u0434", "\u047f", "\u0482", "1", "22", "\u00b2", "\u0663",
+    ".", ",", "&&&", "|", "_", "'", "'s", "don't", "\u2019", "\u2014", "\n", "\n", "\n\n", "\t", "\r\n", "\x0b", "\x1c", "\x00", "\x7f", "\x85", "\xa0", "\xad", "\u1680",
+    "\u180e", "\u2003", "\u200b", "\u200d", "\u2028", "\u2029", "\u202f", "\u205f", "\u3000", "\u4f60", "\u304b", "\ud55c", "\U0001f600", "e\u0301", "\u03a9", "\u0627", "<|endoftext|>",
+]
+
+
+def test_ids_of_texts_cut_into_pieces(plain, monkeypatch):
+    """Random texts of signs that meet in every way, as a list and as a part of an Arrow column, in any portions."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choices(SIGNS, k=rng.randrange(30))) for _ in range(4_000)] + [None, "", None]
+    expected = [plain(text) for text in texts]
+    column = pa.array(["before", *texts, "after"])
+    for at_once, pieces in ((tokens._BYTES_AT_ONCE, tokens._PIECES_AT_ONCE), (100, 7)):
+        monkeypatch.setattr(tokens, "_BYTES_AT_ONCE", at_once)
+        monkeypatch.setattr(tokens, "_PIECES_AT_ONCE", pieces)
+        encoder = tokens.Encoder(tokens.public_tokenizer())
+        for given in (texts, column[1:-1]):
+            assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.ids(given)] == expected
+    assert encoder.ids([]) == [] and encoder.ids(column[:0]) == []
+
+
+def test_pieces_are_encoded_once(plain, monkeypatch):
+    """Signs and line ends do not make new pieces of known words."""
+    encoder = tokens.Encoder(tokens.public_tokenizer())
+    encoder.ids(["Alpha beta gamma. x\nBeta\nGamma,"])
+    for name in ("_whole", "_pieces"):
+        monkeypatch.setattr(encoder, name, lambda pieces: pytest.fail(f"encoded again: {pieces}") if pieces else [])
+    text = "Alpha.\nGamma beta,\nBeta gamma,\nAlpha x."
+    assert np.frombuffer(encoder.ids([text])[0], "<u4").tolist() == plain(text)
+
+
 def test_a_new_operator_clears_the_stores_of_others():
     first = common.kept_in_worker("one", lambda: [1])
     assert common.kept_in_worker("one", lambda: [2]) is first
