@@ -14,8 +14,8 @@ from flatweave.llm.common import ENTRY_BYTES, LONGEST_KEPT, STORE_BYTES, kept_in
 
 END = 0
 ID_BYTES = 4
-_BYTES_AT_ONCE = 4 << 20  # of texts that are cut together; a longer one is cut alone
-_PIECES_AT_ONCE = 500_000
+_BYTES_AT_ONCE = 2 << 20  # of texts that are cut together; a longer one is cut alone
+_PIECES_AT_ONCE = 250_000
 _TOGETHER = 2_048  # bytes; longer texts are slower by the word
 
 # What each byte of UTF-8 is part of, and further marks.
